@@ -1,0 +1,101 @@
+"""Mapping of the driver's test tables onto the road-speed domain.
+
+``events`` stands for speed readings: link = user, borough = event type,
+speed = value, reading time = ts (UTC wall time), arrival order = event_id.
+Events of one user lie hours apart, so every minute constant is multiplied by
+``SCALE`` (150) when run on these tables; the operators themselves are unscaled.
+
+``bronze`` re-creates the raw text form (speed and time as text, a point list)
+with some deliberately malformed rows so the cleaning rules are exercised on the
+whole table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import settings as S
+from ..operators.joins import lookup_inner
+from ..operators.filters import filter_valid_speed
+from . import gold as G
+from . import silver as SV
+
+SCALE = S.TimeScale(150.0)
+NOW = "2024-01-31 00:00:00"
+HOLIDAYS = ("2024-01-01", "2024-01-15")
+SPLITS = {
+    "train": "data_as_of < TIMESTAMP_NTZ'2024-01-21 00:00:00'",
+    "val": "data_as_of < TIMESTAMP_NTZ'2024-01-26 00:00:00'",
+    "test": "data_as_of >= TIMESTAMP_NTZ'2024-01-26 00:00:00'",
+}
+GOLD_PARAMS = S.GoldParams(scale=SCALE)
+SERVING_PARAMS = S.ServingParams(scale=SCALE)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed readings: link_id, borough, link_name, data_as_of (UTC), speed, event_id."""
+    e = table(spark, sf_dir, "events")
+    uid = F.col("user_id").cast("string")
+    return e.select(uid.alias("link_id"), F.col("event_type").alias("borough"),
+                    F.concat(F.lit("link-"), uid).alias("link_name"),
+                    F.col("ts").alias("data_as_of"), F.col("value").alias("speed"), "event_id")
+
+
+def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw text rows like the landed history (speed/time as text, point list)."""
+    e = table(spark, sf_dir, "events")
+    uid = F.col("user_id").cast("string")
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    pts = (F.when(k % 10 == 0, F.lit(None).cast("string"))
+           .when(k % 10 == 1, F.lit(""))
+           .when(k % 10 == 2, F.lit("no points"))
+           .when(k % 10 == 3, F.lit("40.5"))
+           .when(k % 10 == 4, F.lit("40.5,-73.9,7 40.6,-73.8"))
+           .otherwise(F.concat(F.lit("40."), F.lpad(k.cast("string"), 2, "0"), F.lit(",-73."),
+                               F.lpad((F.col("user_id") % 100).cast("string"), 2, "0"),
+                               F.lit(" 40.80,-73.90"))))
+    speed = F.when(F.col("event_id") % 89 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string"))
+    ts = (F.when(F.col("event_id") % 97 == 0, F.lit("not a time"))
+          .otherwise(F.date_format("ts", S.BRONZE_TS_FORMAT)))
+    return e.select(uid.alias("link_id"), F.col("event_type").alias("borough"),
+                    F.concat(F.lit("link-"), uid).alias("link_name"),
+                    speed.alias("speed"), ts.alias("data_as_of"), pts.alias("link_points"))
+
+
+def active(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active-link list: every user with ``user_id % 5 <> 0`` (derived from events)."""
+    e = table(spark, sf_dir, "events")
+    return (e.filter(F.col("user_id") % 5 != 0)
+            .select(F.col("user_id").cast("string").alias("link_id")).distinct())
+
+
+def holidays(spark: SparkSession) -> DataFrame:
+    rows = ", ".join(f"('{d}')" for d in HOLIDAYS)
+    return spark.sql(f"SELECT holiday_date FROM VALUES {rows} AS t(holiday_date)")
+
+
+def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SV.silver_clean(bronze(spark, sf_dir), active(spark, sf_dir), holidays(spark))
+
+
+def lookup(spark: SparkSession, sf_dir: str, method: str = "exact", accuracy: int = 10000) -> DataFrame:
+    return G.build_lookup(silver(spark, sf_dir), SPLITS, method=method, accuracy=accuracy)
+
+
+def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = silver(spark, sf_dir)
+    return G.build_gold(s, G.build_lookup(s, SPLITS), GOLD_PARAMS)
+
+
+def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the collector would publish: valid readings of links in the lookup,
+    with ratio and class (data_as_of = UTC instant, event_id = arrival order)."""
+    r = filter_valid_speed(readings(spark, sf_dir))
+    snap = lookup_inner(r, lookup(spark, sf_dir), fallback=False)
+    return snap.select("link_id", "data_as_of", "current_congestion", "speed_ratio",
+                       "link_name", "borough", "speed", "event_id")
