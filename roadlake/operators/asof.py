@@ -65,7 +65,7 @@ def asof_lags(df: DataFrame, values: list[str], key: str = "link_id", ts: str =
 def serving_features(snapshots: DataFrame, lookup: DataFrame, holidays: DataFrame | None = None,
                      key: str = "link_id", tie: str | None = None,
                      params: S.ServingParams = S.ServingParams(), zone: str = S.LOCAL_ZONE,
-                     checked: bool = True) -> DataFrame:
+                     checked: bool = True, stored: bool = False) -> DataFrame:
     """J8 (+J5, W5, F4, F5, F9, F14, F19): one feature row per link for its newest snapshot.
 
     ``snapshots``: link_id, data_as_of (UTC instant), current_congestion, speed_ratio,
@@ -75,11 +75,11 @@ def serving_features(snapshots: DataFrame, lookup: DataFrame, holidays: DataFram
     lagged = asof_lags(snapshots, vals, key=key, tie=tie, params=params, mode="both")
     newest = latest_per_link(lagged, key=key, ts="data_as_of", tie=tie)
     newest = newest.dropna(subset=[f"lag_{m}" for m in params.lag_tolerance])
-    feat = lookup_inner(newest, lookup, key=key, with_ratio=False, checked=checked)
+    feat = lookup_inner(newest, lookup, key=key, with_ratio=False, checked=checked, stored=stored)
     local = utc_to_local("data_as_of", zone)
     feat = feat.withColumn("_local", local)
     if holidays is not None:
-        feat = join_holiday(feat, holidays, local_ts="_local", checked=checked)
+        feat = join_holiday(feat, holidays, local_ts="_local")
     else:
         feat = feat.withColumn("is_holiday", F.lit(0))
     lag_cols = []

@@ -6,7 +6,7 @@ predictions; only the 3 x 3 result is small.
 
 from __future__ import annotations
 
-from itertools import combinations
+import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,29 +89,41 @@ def _safe_corr(a: str, b: str):
     return F.when(ok, F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))
 
 
+def _pearson(df: DataFrame, cols: list[str]):
+    """Pearson matrix of ``cols`` over complete rows: one distributed pass
+    (``VectorAssembler`` + MLlib ``Correlation``); the k x k result is tiny.
+    A constant column has NaN correlations; they are reported as null."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip") \
+        .transform(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    m = Correlation.corr(vec, "_v", "pearson").head()[0].toArray()
+    k = len(cols)
+    out = {}
+    for i in range(k):
+        off = [m[i][j] for j in range(k) if j != i]
+        constant = k > 1 and all(math.isnan(v) for v in off)
+        for j in range(k):
+            v = float(m[i][j])
+            out[(i, j)] = None if (math.isnan(v) or (i == j and constant)) else v
+    return out
+
+
 def correlation_matrix(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
-    """Pearson correlation of every pair (both orders, diagonal 1.0) over all rows,
-    computed in one aggregate pass; null where a column is constant."""
-    x = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    pairs = list(combinations(cols, 2))
-    one = x.agg(*[_safe_corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)],
-                *[(F.var_pop(c) > 0).alias(f"v{j}") for j, c in enumerate(cols)])
-    parts = []
-    for i, (a, b) in enumerate(pairs):
-        parts += [f"'{a}', '{b}', c{i}", f"'{b}', '{a}', c{i}"]
-    for j, c in enumerate(cols):
-        parts.append(f"'{c}', '{c}', IF(v{j}, 1.0D, CAST(NULL AS DOUBLE))")
-    long = one.selectExpr(f"stack({len(parts)}, {', '.join(parts)}) AS (feature_a, feature_b, corr)")
-    return long.withColumn("corr", F.round("corr", digits))
+    """Pearson correlation of every pair (both orders; diagonal 1.0, or null for a
+    constant column) over all rows -- no row cap."""
+    m = _pearson(df, cols)
+    rows = [(a, b, None if m[(i, j)] is None else round(m[(i, j)], digits))
+            for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
 
 
 def label_correlation_rank(df: DataFrame, cols: list[str], label: str = S.LABEL_COL,
                            digits: int = 6) -> DataFrame:
     """Features ranked by absolute correlation with the label."""
-    x = df.select(*[F.col(c).cast("double").alias(c) for c in cols + [label]])
-    one = x.agg(*[_safe_corr(c, label).alias(f"c{i}") for i, c in enumerate(cols)])
-    parts = ", ".join(f"'{c}', c{i}" for i, c in enumerate(cols))
-    long = one.selectExpr(f"stack({len(cols)}, {parts}) AS (feature, corr)") \
-        .withColumn("corr", F.round("corr", digits))
-    w = Window.orderBy(F.abs("corr").desc_nulls_last(), "feature")  # len(cols) rows
-    return long.withColumn("rank", F.row_number().over(w).cast("int"))
+    m = _pearson(df, cols + [label])
+    k = len(cols)
+    vals = [(c, None if m[(i, k)] is None else round(m[(i, k)], digits)) for i, c in enumerate(cols)]
+    vals.sort(key=lambda r: (r[1] is None, -abs(r[1]) if r[1] is not None else 0.0, r[0]))
+    rows = [(c, v, r + 1) for r, (c, v) in enumerate(vals)]
+    return df.sparkSession.createDataFrame(rows, "feature string, corr double, rank int")

@@ -391,10 +391,10 @@ WHERE p15.found AND p30.found AND p45.found AND p60.found"""
 
 @query("serving_features", _serving_sql())
 def q_serving_features(spark, sf):
-    snap = T.snapshots(spark, sf)
-    window = R.lookback_window(snap, T.NOW, LOOKBACK_MIN)
-    return serving_features(window, T.lookup(spark, sf), T.holidays(spark), tie="event_id",
-                            params=T.SERVING_PARAMS)
+    lk = T.lookup(spark, sf, materialize=True)
+    window = R.lookback_window(T.snapshots(spark, sf, lk), T.NOW, LOOKBACK_MIN)
+    return serving_features(window, lk, T.holidays(spark), tie="event_id",
+                            params=T.SERVING_PARAMS, stored=True)
 
 
 # ---------------------------------------------------------------- 2.5 aggregations

@@ -83,8 +83,16 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SV.silver_clean(bronze(spark, sf_dir), active(spark, sf_dir), holidays(spark))
 
 
-def lookup(spark: SparkSession, sf_dir: str, method: str = "exact", accuracy: int = 10000) -> DataFrame:
-    return G.build_lookup(silver(spark, sf_dir), SPLITS, method=method, accuracy=accuracy)
+def lookup(spark: SparkSession, sf_dir: str, method: str = "exact", accuracy: int = 10000,
+           materialize: bool = False) -> DataFrame:
+    """The free-flow lookup of the training split.  ``materialize`` stores it once
+    (checkpoint) so several joins in one query reuse it, like the written artifact."""
+    lk = G.build_lookup(silver(spark, sf_dir), SPLITS, method=method, accuracy=accuracy)
+    if materialize:
+        from ..session import checkpoint_dir
+        checkpoint_dir(spark)
+        lk = lk.checkpoint(eager=True)
+    return lk
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,10 +100,11 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.build_gold(s, G.build_lookup(s, SPLITS), GOLD_PARAMS)
 
 
-def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+def snapshots(spark: SparkSession, sf_dir: str, lk: DataFrame | None = None) -> DataFrame:
     """What the collector would publish: valid readings of links in the lookup,
     with ratio and class (data_as_of = UTC instant, event_id = arrival order)."""
     r = filter_valid_speed(readings(spark, sf_dir))
-    snap = lookup_inner(r, lookup(spark, sf_dir), fallback=False)
+    snap = lookup_inner(r, lk if lk is not None else lookup(spark, sf_dir), fallback=False,
+                        stored=lk is not None)
     return snap.select("link_id", "data_as_of", "current_congestion", "speed_ratio",
                        "link_name", "borough", "speed", "event_id")

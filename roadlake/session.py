@@ -9,8 +9,13 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "roadlake",
-                  event_log_dir: str | None = None) -> SparkSession:
-    """A local session for tests and benchmarks (UI off, AQE on)."""
+                  event_log_dir: str | None = None, checkpoint: str | None = None) -> SparkSession:
+    """A local session for tests and benchmarks (UI off, AQE on).
+
+    Tests have no shared storage, so a fresh scratch folder becomes the checkpoint
+    directory unless one is given.
+    """
+    ckpt = checkpoint or tempfile.mkdtemp(prefix="roadlake-ckpt-")
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
@@ -18,6 +23,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         .config("spark.checkpoint.dir", ckpt)
          .config("spark.driver.memory", os.environ.get("ROADLAKE_DRIVER_MEMORY", "8g"))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if event_log_dir:
@@ -28,16 +34,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (shared storage).  Only when it is unset -- local
-    tests -- a fresh scratch folder is created and registered.
+    On a cluster that setting points at shared storage and is used as is.  Only when
+    nothing is configured -- a bare local session in tests -- a scratch folder is
+    registered with the SparkContext.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        spark.sparkContext.setCheckpointDir(d)
-        return d
-    d = tempfile.mkdtemp(prefix="roadlake-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    d = sc.getConf().get("spark.checkpoint.dir", None)
+    if not d:
+        try:
+            d = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001 - unavailable on some session kinds
+            d = None
+    d = d or tempfile.mkdtemp(prefix="roadlake-ckpt-")
+    sc.setCheckpointDir(d)
     return d
