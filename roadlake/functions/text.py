@@ -71,7 +71,8 @@ def json_encode_snapshot(data_as_of="data_as_of", current="current_congestion",
 def json_decode_snapshot(col, zone: str = S.LOCAL_ZONE) -> Column:
     """F16: JSON text -> struct with ``data_as_of`` as a UTC instant (NTZ).
 
-    Invalid JSON gives a null struct; a time without offset is local time.
+    Invalid JSON gives null fields (the row is dropped by the message decoder);
+    a time without offset is local time.
     """
     parsed = F.from_json(_c(col), SNAPSHOT_VALUE_SCHEMA, {"mode": "PERMISSIVE"})
     return F.when(parsed.isNotNull(), F.struct(

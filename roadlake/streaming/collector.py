@@ -38,3 +38,100 @@ def case_cascade(rows: DataFrame, active: DataFrame, now, dead_minutes: float =
     out = rows.join(bounded_broadcast(a), on=key, how="left")
     return out.withColumn("verdict", verdict(F.col("_active"), F.col(ts), F.col(speed), now, dead_minutes)) \
         .drop("_active")
+
+
+# --------------------------------------------------------------------------- streaming job
+
+def now_utc() -> Column:
+    """Processing time as a UTC wall-clock NTZ value (zone free)."""
+    from ..functions.timefn import epoch_ntz
+    return F.timestamp_add("MICROSECOND", F.unix_micros(F.current_timestamp()), epoch_ntz())
+
+
+def judged_feed(feed: DataFrame, active: DataFrame, lookup: DataFrame, now=None,
+                dead_minutes: float = S.DEAD_LINK_MINUTES, ingest_col: str | None = None) -> DataFrame:
+    """T1 row path before state: parse -> verdict (T2) -> valid only (T9: dead rows
+    dropped) -> lookup inner join (J5, stream-static, broadcast) -> ratio and class.
+
+    ``now`` defaults to processing time; ``ingest_col`` (e.g. the feed file's
+    modification time) orders rows of one link inside a micro-batch.
+    """
+    from ..operators.joins import lookup_inner
+    from ..sources.readers import parse_feed
+    rows = parse_feed(feed)
+    if ingest_col:
+        rows = rows.withColumn("ingest_ts", F.col(ingest_col))
+    else:
+        rows = rows.withColumn("ingest_ts", now_utc())
+    now_c = now if now is not None else now_utc()
+    judged = case_cascade(rows, active, now_c, dead_minutes)
+    valid = judged.filter(F.col("verdict") == "valid")
+    return lookup_inner(valid, lookup, fallback=False)
+
+
+def change_stream(valid: DataFrame, ttl_minutes: float = S.DEAD_LINK_MINUTES) -> DataFrame:
+    """T3 + T4: keyed emit-if-changed over micro-batches."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+    from .state import OUT_COLS, OUT_SCHEMA, STATE_SCHEMA, make_change_handler
+    return (valid.select(*OUT_COLS).groupBy("link_id")
+            .applyInPandasWithState(make_change_handler(ttl_minutes), OUT_SCHEMA, STATE_SCHEMA,
+                                    "append", GroupStateTimeout.ProcessingTimeTimeout))
+
+
+def dual_sink(bronze_root: str, topic_fmt: str = "kafka", topic_options: dict | None = None,
+              topic_path: str | None = None, on_bronze_error=None):
+    """T5: one micro-batch -> topic (K7), then bronze (K2).  The batch is persisted so
+    both writes read it once; a failing bronze write is reported, not raised, so the
+    topic keeps flowing.  Bronze output is keyed by ``batch_id`` (idempotent retry)."""
+    from datetime import datetime, timezone
+
+    from ..sources.writers import write_bronze_realtime, write_snapshots
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            write_snapshots(batch, fmt=topic_fmt, options=topic_options, path=topic_path,
+                            timestamp_col=None if topic_fmt == "kafka" else "ingest_ts")
+            processing = datetime.now(timezone.utc).replace(tzinfo=None).strftime("%Y-%m-%d %H:%M:%S")
+            try:
+                write_bronze_realtime(batch.select("link_id", "speed", "data_as_of", "borough", "link_name"),
+                                      bronze_root, processing, batch_id=batch_id)
+            except Exception as e:  # noqa: BLE001 - the topic must not stop on a bronze failure
+                if on_bronze_error:
+                    on_bronze_error(batch_id, e)
+        finally:
+            batch.unpersist()
+
+    return sink
+
+
+def start_collector(feed_stream: DataFrame, active: DataFrame, lookup: DataFrame, bronze_root: str,
+                    checkpoint: str, topic_fmt: str = "kafka", topic_options: dict | None = None,
+                    topic_path: str | None = None, trigger: dict | None = None,
+                    ingest_col: str | None = None):
+    """The whole collector as one streaming query (default trigger: every minute)."""
+    valid = judged_feed(feed_stream, active, lookup, ingest_col=ingest_col)
+    changed = change_stream(valid)
+    w = changed.writeStream.foreachBatch(dual_sink(bronze_root, topic_fmt, topic_options, topic_path)) \
+        .option("checkpointLocation", checkpoint).outputMode("append")
+    w = w.trigger(**(trigger or {"processingTime": "1 minute"}))
+    return w.start()
+
+
+# --------------------------------------------------------------------------- warm-up
+
+def needs_warmup(recent_snapshots: DataFrame, min_links: int = S.WARMUP_MIN_LINKS) -> bool:
+    """G23 gate: fewer than ``min_links`` distinct links in the lookback."""
+    from ..operators.aggregates import snapshot_readiness
+    return not snapshot_readiness(recent_snapshots, min_links=min_links).head()["ready"]
+
+
+def warmup_snapshots(bronze_rt: DataFrame, lookup: DataFrame, now,
+                     lookback_minutes: float = S.LOOKBACK_MINUTES) -> DataFrame:
+    """Re-score the realtime bronze rows of every partition overlapping the lookback
+    (S8 + J5 + F7/F8); the caller publishes them with ``write_snapshots``."""
+    from ..operators.joins import lookup_inner
+    from ..sources.readers import recent_hours
+    recent = recent_hours(bronze_rt, now, lookback_minutes)
+    return lookup_inner(recent, lookup, fallback=False).select(
+        "link_id", "data_as_of", "current_congestion", "speed_ratio", "link_name")
