@@ -114,8 +114,22 @@ def start_collector(feed_stream: DataFrame, active: DataFrame, lookup: DataFrame
     changed = change_stream(valid)
     w = changed.writeStream.foreachBatch(dual_sink(bronze_root, topic_fmt, topic_options, topic_path)) \
         .option("checkpointLocation", checkpoint).outputMode("append")
-    w = w.trigger(**(trigger or {"processingTime": "1 minute"}))
-    return w.start()
+    trigger = trigger or {"processingTime": "1 minute"}
+    w = w.trigger(**trigger)
+    if not (trigger.get("availableNow") or trigger.get("once")):
+        return w.start()
+    # A bounded catch-up run must end once the input is drained; with state timeouts
+    # pending, no-data batches would keep it alive.  Timed-out links are then evicted
+    # by the next run instead (eviction never changes output).  The setting is taken
+    # when the query starts, so the session's own value is restored right after.
+    spark = feed_stream.sparkSession
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    old = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(key, old)
 
 
 # --------------------------------------------------------------------------- warm-up
