@@ -798,6 +798,33 @@ def q_index_categories(spark, sf):
     return index_labels(train, "link_id")
 
 
+def _fit_forest(spark, sf):
+    """M2-M4 on the sampled, weighted training split (reference parameters; ``maxBins``
+    raised to the number of link categories when that is larger)."""
+    from ..operators.ml import build_pipeline
+    from .training import prepare, weighted_train
+    frame = prepare(T.gold(spark, sf), T.SPLITS)
+    train = weighted_train(frame)
+    n_links = train.select("link_id").distinct().count() + 1
+    return build_pipeline(maxBins=max(S.FOREST_PARAMS["maxBins"], n_links + 1)).fit(train)
+
+
+@query("score_batch", None)
+def q_score_batch(spark, sf):
+    from ..operators.ml import score_batch
+    model = _fit_forest(spark, sf)
+    lk = T.lookup(spark, sf, materialize=True)
+    window = R.lookback_window(T.snapshots(spark, sf, lk), T.NOW, LOOKBACK_MIN)
+    feats = serving_features(window, lk, T.holidays(spark), tie="event_id", params=T.SERVING_PARAMS, stored=True)
+    return score_batch(model, feats)
+
+
+@query("feature_importance", None)
+def q_feature_importance(spark, sf):
+    from ..operators.ml import feature_importance
+    return feature_importance(_fit_forest(spark, sf))
+
+
 def queries() -> dict:
     return {k: v[0] for k, v in Q.items()}
 

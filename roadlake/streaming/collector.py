@@ -56,8 +56,14 @@ def judged_feed(feed: DataFrame, active: DataFrame, lookup: DataFrame, now=None,
     ``now`` defaults to processing time; ``ingest_col`` (e.g. the feed file's
     modification time) orders rows of one link inside a micro-batch.
     """
+    from ..functions.timefn import epoch_ntz
     from ..operators.joins import lookup_inner
     from ..sources.readers import parse_feed
+    if ingest_col == "file":
+        # each landed feed file is one fetch: its modification time is the arrival time
+        mtime = F.unix_micros(F.col("_metadata.file_modification_time"))
+        feed = feed.withColumn("_ingest", F.timestamp_add("MICROSECOND", mtime, epoch_ntz()))
+        ingest_col = "_ingest"
     rows = parse_feed(feed)
     if ingest_col:
         rows = rows.withColumn("ingest_ts", F.col(ingest_col))

@@ -92,3 +92,68 @@ def test_training_scoring_and_reload(spark, scratch):
     cols = set(preds.columns)
     assert set(S.PREDICTION_COLUMNS) <= cols and preds.count() > 0
     assert preds.filter("confidence < 0.3 OR confidence > 1.0").count() == 0
+
+
+def test_warmup_replay_and_artifact_check(spark, scratch):
+    from roadlake.operators.quality import artifact_check
+    from roadlake.sources.writers import write_bronze_realtime, write_lookup, write_snapshots
+    now = "2024-01-31 00:00:00"
+    rt = spark.createDataFrame(
+        [("1", 30.0, dt.datetime(2024, 1, 30, 23, 0), "B", "n"), ("1", 30.0, dt.datetime(2024, 1, 30, 21, 0), "B", "n"),
+         ("2", 10.0, dt.datetime(2024, 1, 30, 23, 30), "B", "m"), ("7", 10.0, dt.datetime(2024, 1, 30, 23, 30), "B", "m")],
+        "link_id string, speed double, data_as_of timestamp_ntz, borough string, link_name string")
+    root = os.path.join(scratch, "rt")
+    for r in rt.collect():  # each reading lands in the hour partition of its own time
+        write_bronze_realtime(spark.createDataFrame([r], rt.schema), root, r.data_as_of.strftime("%Y-%m-%d %H:%M:%S"))
+    lookup = spark.createDataFrame([("1", 60.0, "B1", "N1"), ("2", 50.0, "B2", "N2")],
+                                   "link_id string, free_flow_speed double, borough string, link_name string")
+    lk_path = os.path.join(scratch, "lookup")
+    write_lookup(lookup, lk_path)
+    assert C.needs_warmup(spark.createDataFrame([("1",)], "link_id string"))
+    replay = C.warmup_snapshots(spark.read.parquet(root), spark.read.parquet(lk_path), now)
+    got = sorted((r.link_id, r.current_congestion) for r in replay.collect())
+    assert got == [("1", 1), ("2", 2)]       # 21:00 is outside the 90-minute lookback; 7 has no lookup
+    topic = os.path.join(scratch, "topic")
+    write_snapshots(replay, fmt="parquet", path=topic, timestamp_col="data_as_of")
+    report = {r.artifact: r for r in artifact_check(spark, [
+        {"name": "lookup", "path": lk_path, "expected_rows": 2, "columns": S.LOOKUP_COLUMNS},
+        {"name": "coords", "path": os.path.join(scratch, "missing")},
+        {"name": "topic", "path": topic, "expected_rows": 5, "columns": ["key", "value"]},
+    ]).collect()}
+    assert report["lookup"].ok and report["lookup"].rows == 2
+    assert not report["coords"].exists and not report["coords"].ok
+    assert report["topic"].exists and not report["topic"].ok
+
+
+def test_change_detect_batch_equals_stream(spark, scratch):
+    """W6 batch form = T3 streaming state on the same rows split over micro-batches."""
+    from roadlake.operators.windows import change_detect
+    now = dt.datetime.now(NY).replace(microsecond=0, tzinfo=None)
+    times = [now - dt.timedelta(minutes=m) for m in (50, 40, 30)]
+    seq = [("1", times[i]) for i in (0, 0, 1, 1, 0, 2, 2, 1)] + [("2", times[i]) for i in (0, 1, 1, 2)]
+    feed, ckpt, topic, bronze = (os.path.join(scratch, d) for d in ("feed", "ckpt", "topic", "bronze"))
+    os.makedirs(feed)
+    active = spark.createDataFrame([("1",), ("2",)], "link_id string")
+    lookup = spark.createDataFrame([("1", 50.0, "B", "N"), ("2", 50.0, "B", "N")],
+                                   "link_id string, free_flow_speed double, borough string, link_name string")
+    # one fetch (file) per reading, three fetches per micro-batch, arrival = file time
+    base = 1_700_000_000
+    for i, (link, t) in enumerate(seq):
+        path = os.path.join(scratch, f"f{i:02d}.txt")
+        _feed_file(scratch, f"f{i:02d}.txt", [(link, 20, t)])
+        os.utime(path, (base + i, base + i))
+    for b in range(0, len(seq), 3):
+        for i in range(b, min(b + 3, len(seq))):
+            os.rename(os.path.join(scratch, f"f{i:02d}.txt"), os.path.join(feed, f"f{i:02d}.txt"))
+        q = C.start_collector(R.scan_feed_tsv(spark, feed, streaming=True), active, lookup, bronze, ckpt,
+                              topic_fmt="parquet", topic_path=topic, trigger={"availableNow": True},
+                              ingest_col="file")
+        q.processAllAvailable()
+        q.stop()
+    streamed = sorted((r.link_id, r.data_as_of) for r in
+                      R.decode_snapshot_messages(spark.read.parquet(topic)).collect())
+    utc = lambda t: t.replace(tzinfo=NY).astimezone(dt.timezone.utc).replace(tzinfo=None)
+    rows = [(link, utc(t), dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i), i) for i, (link, t) in enumerate(seq)]
+    batch = change_detect(spark.createDataFrame(rows, "link_id string, data_as_of timestamp_ntz, "
+                                                      "ingest_ts timestamp_ntz, row_no long"))
+    assert streamed == sorted((r.link_id, r.data_as_of) for r in batch.collect())
