@@ -22,10 +22,13 @@ def free_flow_lookup(df: DataFrame, key: str = "link_id", speed: str = "speed",
     whose cumulative share reaches ``q``); ``borough``/``link_name`` come from the
     link's earliest row.  Both are computed from one scan, no self join.
 
-    ``method="exact"``: a (link, speed) histogram -- partial aggregation collapses a
-    hot link to its distinct speeds before the shuffle -- then a running sum per link
-    over the histogram only.  ``method="approx"``: ``percentile_approx`` sketches with
-    the given ``accuracy`` (bounded memory per group, approximate rank).
+    ``method="exact"``: ``percentile_disc`` -- each map task keeps a value -> count map
+    per link (partial aggregation collapses a hot link to its distinct speeds), one
+    shuffle by link merges them.  ``method="histogram"``: the same numbers from a
+    (link, speed) count table and a running sum per link; its window buffers spill
+    to disk, so it also suits links with an unbounded number of distinct speeds.
+    ``method="approx"``: ``percentile_approx`` sketches with the given ``accuracy``
+    (bounded memory per group, approximate rank).
     """
     src = df.filter(F.col(speed).isNotNull())
     meta = F.min(F.struct(F.col(order).alias("t"), F.col("borough").alias("borough"),
@@ -34,6 +37,9 @@ def free_flow_lookup(df: DataFrame, key: str = "link_id", speed: str = "speed",
         out = src.groupBy(key).agg(
             F.percentile_approx(speed, q, accuracy).cast("double").alias("free_flow_speed"),
             meta.alias("_m"))
+    elif method == "exact":
+        pdisc = F.expr(f"percentile_disc({float(q)}) WITHIN GROUP (ORDER BY `{speed}`)")
+        out = src.groupBy(key).agg(pdisc.cast("double").alias("free_flow_speed"), meta.alias("_m"))
     else:
         hist = src.groupBy(key, speed).agg(F.count(F.lit(1)).alias("_n"), meta.alias("_m"))
         w_run = Window.partitionBy(key).orderBy(speed).rowsBetween(Window.unboundedPreceding, 0)

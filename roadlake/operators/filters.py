@@ -36,11 +36,12 @@ def filter_valid_speed(df: DataFrame, col: str = "speed", lo: float = S.SPEED_MI
 def filter_active_links(df: DataFrame, active: DataFrame, key: str = "link_id") -> DataFrame:
     """Left-semi join against the active-link list.
 
-    The active list holds one row per link, so it is broadcast.  Its size is bounded by
-    the number of road links (a fixed, small dimension), not by the data volume.
+    The list holds one row per road link; it is counted first and broadcast only
+    within the bound (else a shuffle semi join).
     """
+    from .joins import bounded_broadcast
     ids = active.select(F.col(active.columns[0]).cast("string").alias(key)).distinct()
-    return df.join(F.broadcast(ids), on=key, how="left_semi")
+    return df.join(bounded_broadcast(ids), on=key, how="left_semi")
 
 
 def filter_not_null(df: DataFrame, *cols: str) -> DataFrame:

@@ -83,12 +83,6 @@ def distribution_pct(df: DataFrame, by: str, split: str = "split", digits: int =
     return counts.withColumn("pct", F.round(F.col("count") * F.lit(100.0) / total, digits))
 
 
-def _safe_corr(a: str, b: str):
-    # covariance over the product of deviations; null (not an ANSI error) for a constant column
-    ok = (F.var_pop(a) > 0) & (F.var_pop(b) > 0)
-    return F.when(ok, F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))
-
-
 def _pearson(df: DataFrame, cols: list[str]):
     """Pearson matrix of ``cols`` over complete rows: one distributed pass
     (``VectorAssembler`` + MLlib ``Correlation``); the k x k result is tiny.
@@ -113,7 +107,7 @@ def correlation_matrix(df: DataFrame, cols: list[str], digits: int = 6) -> DataF
     """Pearson correlation of every pair (both orders; diagonal 1.0, or null for a
     constant column) over all rows -- no row cap."""
     m = _pearson(df, cols)
-    rows = [(a, b, None if m[(i, j)] is None else round(m[(i, j)], digits))
+    rows = [(a, b, None if m[(i, j)] is None else round(m[(i, j)], digits) + 0.0)
             for i, a in enumerate(cols) for j, b in enumerate(cols)]
     return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
 
@@ -123,7 +117,7 @@ def label_correlation_rank(df: DataFrame, cols: list[str], label: str = S.LABEL_
     """Features ranked by absolute correlation with the label."""
     m = _pearson(df, cols + [label])
     k = len(cols)
-    vals = [(c, None if m[(i, k)] is None else round(m[(i, k)], digits)) for i, c in enumerate(cols)]
+    vals = [(c, None if m[(i, k)] is None else round(m[(i, k)], digits) + 0.0) for i, c in enumerate(cols)]
     vals.sort(key=lambda r: (r[1] is None, -abs(r[1]) if r[1] is not None else 0.0, r[0]))
     rows = [(c, v, r + 1) for r, (c, v) in enumerate(vals)]
     return df.sparkSession.createDataFrame(rows, "feature string, corr double, rank int")

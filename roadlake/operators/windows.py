@@ -66,21 +66,6 @@ def gold_features(df: DataFrame, params: S.GoldParams = S.GoldParams(), key: str
             .withColumn("speed_ratio_trend", speed_ratio_trend()))
 
 
-def lag_features(df: DataFrame, cols: list[str], rows: dict, key: str = "link_id",
-                 order: list[str] = ("data_as_of",)) -> DataFrame:
-    """W1 (plain form): lag ``k`` rows of a struct of ``cols`` for each name -> k."""
-    w = Window.partitionBy(key).orderBy(*order)
-    packed = F.struct(*[F.col(c) for c in cols])
-    return df.select("*", *[F.lag(packed, k).over(w).alias(f"_lag_{name}") for name, k in rows.items()])
-
-
-def lead_label(df: DataFrame, cols: list[str], k: int = S.LEAD_ROWS, key: str = "link_id",
-               order: list[str] = ("data_as_of",)) -> DataFrame:
-    """W2 (plain form)."""
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.select("*", F.lead(F.struct(*[F.col(c) for c in cols]), k).over(w).alias(f"_lead_{k}"))
-
-
 def latest_per_link(df: DataFrame, key: str = "link_id", ts: str = "data_as_of",
                     tie: str | None = None) -> DataFrame:
     """Newest row per link; equal times -> smallest ``tie``.

@@ -556,7 +556,7 @@ def _corr_sql() -> str:
             if a == b:
                 expr = f"CASE WHEN var_pop({a}) > 0 THEN 1.0 END"
             else:
-                expr = f"CASE WHEN var_pop({a}) > 0 AND var_pop({b}) > 0 THEN round(corr({a}, {b}), 6) END"
+                expr = f"CASE WHEN var_pop({a}) > 0 AND var_pop({b}) > 0 THEN round(corr({a}, {b}), 6) + 0.0 END"
             parts.append(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {expr} AS corr FROM gold")
     return O.with_(*O.BASE_GOLD) + "\nUNION ALL\n".join(parts)
 
@@ -568,7 +568,7 @@ def q_correlation_matrix(spark, sf):
 
 def _label_corr_sql() -> str:
     parts = [f"SELECT '{c}' AS feature, CASE WHEN var_pop({c}) > 0 AND var_pop({S.LABEL_COL}) > 0 "
-             f"THEN round(corr({c}, {S.LABEL_COL}), 6) END AS corr FROM gold" for c in S.NUMERIC_FEATURES]
+             f"THEN round(corr({c}, {S.LABEL_COL}), 6) + 0.0 END AS corr FROM gold" for c in S.NUMERIC_FEATURES]
     return (O.with_(*O.BASE_GOLD) + ", c AS (" + " UNION ALL ".join(parts) + ")\n"
             "SELECT feature, corr, CAST(row_number() OVER (ORDER BY abs(corr) DESC NULLS LAST, feature) AS INTEGER) AS rank FROM c")
 

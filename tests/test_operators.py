@@ -61,6 +61,8 @@ def test_free_flow_exact_matches_brute_force(spark):
     df = spark.createDataFrame(rows, "link_id string, speed double, data_as_of timestamp_ntz, borough string, link_name string")
     got = {r.link_id: r.free_flow_speed for r in G.free_flow_lookup(df).collect()}
     approx = {r.link_id: r.free_flow_speed for r in G.free_flow_lookup(df, method="approx", accuracy=100000).collect()}
+    hist = {r.link_id: r.free_flow_speed for r in G.free_flow_lookup(df, method="histogram").collect()}
+    assert hist == got
     for link in range(12):
         vals = [r[1] for r in rows if r[0] == str(link) and r[1] is not None]
         assert got[str(link)] == brute_p85(vals)
