@@ -6,6 +6,8 @@ All of them are single ``groupBy().agg()`` passes; Spark runs them as partial
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,17 +111,77 @@ def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
 
 
+def exact_quantiles(df: DataFrame, col: str, qs=(0.25, 0.5, 0.75), accuracy: int = 100_000) -> list:
+    """Exact linearly interpolated quantiles (pandas / ``quantile_cont``) without
+    gathering the column into one task.
+
+    Pass 1 counts rows and brackets every needed rank with ``percentile_approx``
+    (rank error <= n/accuracy).  Pass 2 counts rows below each bracket and builds a
+    (value, count) histogram of the rows inside the brackets only -- about
+    4n/accuracy rows -- from which the exact ranked values are read.  A bracket
+    that misses its rank (never expected) is widened and retried.
+    """
+    x = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    n = x.count()
+    if n == 0:
+        return [None for _ in qs]
+    ranks = sorted({int(math.floor(q * (n - 1))) for q in qs} | {int(math.ceil(q * (n - 1))) for q in qs})
+    margin = 2.0 / accuracy
+    while True:
+        probs = []
+        for r in ranks:
+            probs += [max(0.0, r / n - margin), min(1.0, (r + 1) / n + margin)]
+        bounds = x.agg(F.percentile_approx("x", probs, accuracy).alias("b")).head()["b"]
+        brackets = [(bounds[2 * i], bounds[2 * i + 1]) for i in range(len(ranks))]
+        band = None
+        for lo, hi in brackets:
+            c = (F.col("x") >= lo) & (F.col("x") <= hi)
+            band = c if band is None else band | c
+        below = x.agg(*[F.count_if(F.col("x") < lo).alias(f"b{i}") for i, (lo, _) in enumerate(brackets)]).head()
+        hist = sorted((r["x"], r["n"]) for r in
+                      x.filter(band).groupBy("x").agg(F.count(F.lit(1)).alias("n")).collect())
+        values, ok = {}, True
+        for i, (r, (lo, hi)) in enumerate(zip(ranks, brackets)):
+            seen = below[f"b{i}"]
+            found = None
+            for v, cnt in hist:
+                if v < lo or v > hi:
+                    continue
+                if seen + cnt > r:
+                    found = v
+                    break
+                seen += cnt
+            if found is None or below[f"b{i}"] > r:
+                ok = False
+                break
+            values[r] = found
+        if ok:
+            break
+        margin *= 4
+    out = []
+    for q in qs:
+        pos = q * (n - 1)
+        lo_r, hi_r = int(math.floor(pos)), int(math.ceil(pos))
+        out.append(values[lo_r] + (values[hi_r] - values[lo_r]) * (pos - lo_r))
+    return out
+
+
 def describe_column(df: DataFrame, col: str, digits: int = 4) -> DataFrame:
-    """Count, mean, std, min, quartiles (interpolated), max -- rounded."""
+    """Count, mean, std, min, quartiles (interpolated, exact), max -- rounded.
+
+    Moments come from one aggregate; the quartiles from ``exact_quantiles``.
+    """
     c = F.col(col)
+    p25, p50, p75 = exact_quantiles(df, col, (0.25, 0.5, 0.75))
+    lit = lambda v: F.lit(v).cast("double")
     return df.agg(
         F.count(c).alias("count"),
         F.round(F.avg(c), digits).alias("mean"),
         F.round(F.stddev_samp(c), digits).alias("std"),
         F.round(F.min(c), digits).alias("min"),
-        F.round(F.percentile(c, 0.25), digits).alias("p25"),
-        F.round(F.percentile(c, 0.5), digits).alias("p50"),
-        F.round(F.percentile(c, 0.75), digits).alias("p75"),
+        F.round(lit(p25), digits).alias("p25"),
+        F.round(lit(p50), digits).alias("p50"),
+        F.round(lit(p75), digits).alias("p75"),
         F.round(F.max(c), digits).alias("max"),
     )
 

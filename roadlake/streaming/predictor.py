@@ -35,12 +35,13 @@ def run_predictor(snapshots: DataFrame, lookup: DataFrame, holidays: DataFrame,
 
 def start_predictor(tick_stream: DataFrame, load_snapshots, lookup: DataFrame, holidays: DataFrame,
                     model, out_root: str, checkpoint: str, trigger: dict | None = None,
-                    params: S.ServingParams = S.ServingParams()):
+                    params: S.ServingParams = S.ServingParams(), now: str | None = None):
     """T8 (streaming): every trigger re-reads the bounded lookback (``load_snapshots()``)
-    and scores it; ``tick_stream`` only paces the runs (e.g. the snapshot topic)."""
+    and scores it; ``tick_stream`` only paces the runs (e.g. the snapshot topic).
+    ``now`` pins the clock (replays, tests); by default each run uses processing time."""
 
     def tick(_batch: DataFrame, _batch_id: int) -> None:
-        run_predictor(load_snapshots(), lookup, holidays, model, out_root, params=params)
+        run_predictor(load_snapshots(), lookup, holidays, model, out_root, now=now, params=params)
 
     w = tick_stream.writeStream.foreachBatch(tick).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"processingTime": "5 minutes"})).start()

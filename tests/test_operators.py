@@ -202,3 +202,15 @@ def test_aggregates_small(spark):
     assert (n.speed, n.data_as_of, n.link_id) == (1, 1, 0)
     d = G.describe_column(spark.createDataFrame([(float(i),) for i in range(1, 5)], "c double"), "c").head()
     assert (d["count"], d.mean, d.p25, d.p50, d["max"]) == (4, 2.5, 1.75, 2.5, 4.0)
+
+
+def test_exact_quantiles_bracketing(spark):
+    import numpy as np
+    rng = random.Random(5)
+    vals = [float(rng.randint(0, 300)) / 7 for _ in range(3000)] + [5.0] * 400
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,), (float("nan"),)], "c double")
+    qs = (0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0)
+    for acc in (20, 100_000):   # a coarse sketch forces narrow, re-checked brackets
+        got = G.exact_quantiles(df, "c", qs, accuracy=acc)
+        exp = [float(np.quantile(np.array(vals), q)) for q in qs]
+        assert all(abs(a - b) < 1e-9 for a, b in zip(got, exp)), (acc, got, exp)

@@ -93,6 +93,19 @@ def test_training_scoring_and_reload(spark, scratch):
     assert set(S.PREDICTION_COLUMNS) <= cols and preds.count() > 0
     assert preds.filter("confidence < 0.3 OR confidence > 1.0").count() == 0
 
+    # streaming form: the snapshot topic paces the runs, each run re-reads the lookback
+    from roadlake.sources.writers import write_snapshots
+    from roadlake.streaming.predictor import start_predictor
+    topic = os.path.join(scratch, "topic")
+    write_snapshots(snaps.limit(50), fmt="parquet", path=topic, timestamp_col="data_as_of")
+    tick = spark.readStream.schema("key string, value string, timestamp timestamp_ntz").parquet(topic)
+    out2 = os.path.join(scratch, "pred2")
+    q = start_predictor(tick, lambda: snaps, lk, T.holidays(spark), model, out2, os.path.join(scratch, "ck"),
+                        trigger={"availableNow": True}, params=T.SERVING_PARAMS, now=T.NOW)
+    q.processAllAvailable()
+    q.stop()
+    assert R.scan_predictions(spark, out2).count() == preds.count()
+
 
 def test_warmup_replay_and_artifact_check(spark, scratch):
     from roadlake.operators.quality import artifact_check
