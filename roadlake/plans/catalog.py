@@ -45,6 +45,12 @@ LOOKBACK_MIN = S.LOOKBACK_MINUTES * T.SCALE.factor      # 13,500 minutes
 DEAD_MIN = S.DEAD_LINK_MINUTES * T.SCALE.factor         # 18,000 minutes
 
 
+def _enriched(spark, sf) -> DataFrame:
+    """Silver (built once) joined to the lookup computed from it: ratio + class."""
+    s = T.silver(spark, sf)
+    return J.enrich_free_flow(s, T.lookup(spark, sf, silver_df=s))
+
+
 def _gold_split(spark, sf):
     return P.time_split(T.gold(spark, sf), T.SPLITS)
 
@@ -284,8 +290,7 @@ def q_free_flow_lookup_approx(spark, sf):
 @query("enrich_free_flow", _w(*O.BASE_LOOKUP, O.ENRICHED) + """
 SELECT link_id, data_as_of_utc, free_flow_speed, speed_ratio, current_congestion FROM enriched""")
 def q_enrich_free_flow(spark, sf):
-    s = T.silver(spark, sf)
-    return J.enrich_free_flow(s, T.lookup(spark, sf)) \
+    return _enriched(spark, sf) \
         .select("link_id", "data_as_of_utc", "free_flow_speed", "speed_ratio", "current_congestion")
 
 
@@ -416,7 +421,7 @@ def q_link_meta(spark, sf):
 @query("count_by_key", _w(*O.BASE_LOOKUP, O.ENRICHED) + """
 SELECT current_congestion, count(*) AS count FROM enriched GROUP BY current_congestion""")
 def q_count_by_key(spark, sf):
-    return G.count_by_key(J.enrich_free_flow(T.silver(spark, sf), T.lookup(spark, sf)), "current_congestion")
+    return G.count_by_key(_enriched(spark, sf), "current_congestion")
 
 
 @query("count_by_year_month", """
@@ -448,7 +453,7 @@ def q_count_link_speed(spark, sf):
 SELECT count(*) AS rows, count(*) FILTER (WHERE free_flow_speed IS NULL) AS missing_free_flow,
        count(*) FILTER (WHERE current_congestion = 2) AS heavy FROM enriched""")
 def q_row_counts(spark, sf):
-    e = J.enrich_free_flow(T.silver(spark, sf), T.lookup(spark, sf))
+    e = _enriched(spark, sf)
     return G.row_counts(e, {"missing_free_flow": "free_flow_speed IS NULL", "heavy": "current_congestion = 2"})
 
 
@@ -727,7 +732,7 @@ SELECT link_id, data_as_of_utc,
   CASE current_congestion WHEN 0 THEN '0-free flow' WHEN 1 THEN '1-congested' WHEN 2 THEN '2-severe' END AS label
 FROM enriched""")
 def q_class_label(spark, sf):
-    e = J.enrich_free_flow(T.silver(spark, sf), T.lookup(spark, sf))
+    e = _enriched(spark, sf)
     return e.select("link_id", "data_as_of_utc", class_label("current_congestion").alias("label"))
 
 

@@ -84,10 +84,12 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lookup(spark: SparkSession, sf_dir: str, method: str = "exact", accuracy: int = 10000,
-           materialize: bool = False) -> DataFrame:
+           materialize: bool = False, silver_df: DataFrame | None = None) -> DataFrame:
     """The free-flow lookup of the training split.  ``materialize`` stores it once
-    (checkpoint) so several joins in one query reuse it, like the written artifact."""
-    lk = G.build_lookup(silver(spark, sf_dir), SPLITS, method=method, accuracy=accuracy)
+    (checkpoint) so several joins in one query reuse it, like the written artifact;
+    ``silver_df`` reuses a silver frame the caller already built."""
+    s = silver_df if silver_df is not None else silver(spark, sf_dir)
+    lk = G.build_lookup(s, SPLITS, method=method, accuracy=accuracy)
     if materialize:
         from ..session import checkpoint_dir
         checkpoint_dir(spark)

@@ -40,7 +40,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     nothing is configured -- a bare local session in tests -- a scratch folder is
     registered with the SparkContext.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current
