@@ -131,11 +131,14 @@ def q_filter_not_null(spark, sf):
     return P.filter_not_null(T.bronze(spark, sf), "link_points").select("link_id", "data_as_of", "link_points")
 
 
-@query("filter_link_sample", _w(O.READINGS) +
-       "SELECT event_id, link_id, data_as_of, speed FROM readings WHERE link_id IN ('7', '42', '99')")
+@query("filter_link_sample", _w(*O.BASE_GOLD) + """
+SELECT link_id, data_as_of, speed FROM bronze
+WHERE link_id IN (SELECT link_id FROM active EXCEPT SELECT link_id FROM gold)""")
 def q_filter_link_sample(spark, sf):
-    return P.filter_link_sample(T.readings(spark, sf), ["7", "42", "99"]) \
-        .select("event_id", "link_id", "data_as_of", "speed")
+    # the investigation step: raw rows of the active links that produced no gold row;
+    # the link list (at most one entry per road link) is data-derived, not literal
+    ids = [r.link_id for r in P.missing_links(T.active(spark, sf), T.gold(spark, sf)).collect()]
+    return P.filter_link_sample(T.bronze(spark, sf), ids).select("link_id", "data_as_of", "speed")
 
 
 @query("filter_partition", _w(*O.BASE_SILVER) +
