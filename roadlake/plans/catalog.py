@@ -548,6 +548,13 @@ def q_distribution_pct(spark, sf):
     return M.distribution_pct(_gold_split(spark, sf), "hour")
 
 
+@query("distribution_pct_month", _w(*O.BASE_GOLD, O.GOLD_SPLIT) + """
+SELECT split, month, count(*) AS count,
+  round(count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY split), 3) AS pct FROM gold_split GROUP BY split, month""")
+def q_distribution_pct_month(spark, sf):
+    return M.distribution_pct(_gold_split(spark, sf), "month")
+
+
 @query("split_class_distribution", _w(*O.BASE_GOLD, O.GOLD_SPLIT) + """
 SELECT split, future_congestion_15min, count(*) AS count FROM gold_split GROUP BY 1, 2""")
 def q_split_class_distribution(spark, sf):
@@ -623,7 +630,8 @@ SELECT event_id, link_id, day FROM (
 WHERE prev IS DISTINCT FROM day""")
 def q_change_detect(spark, sf):
     r = P.filter_valid_speed(T.readings(spark, sf))
-    r = r.select("event_id", "link_id", F.date_trunc("day", "data_as_of").alias("day"),
+    # to_date -> NTZ midnight stays zone free (date_trunc would yield a zoned timestamp)
+    r = r.select("event_id", "link_id", F.to_date("data_as_of").cast("timestamp_ntz").alias("day"),
                  F.col("data_as_of").alias("ingest_ts"), F.col("event_id").alias("row_no"))
     return W.change_detect(r, value="day").select("event_id", "link_id", "day")
 

@@ -81,3 +81,18 @@ def test_partition_pruning_on_written_silver(spark, scratch):
     write_silver(T.silver(spark, SF), root)
     p = plan(filter_partition(spark.read.parquet(root), 2024, 1))
     assert "PartitionFilters: [isnotnull(year" in p and "(month" in p
+
+
+@pytest.mark.parametrize("name", ["silver_clean", "gold_features", "serving_features", "json_roundtrip",
+                                  "change_detect", "partition_keys", "active_links", "scan_recent_hours"])
+def test_results_do_not_depend_on_session_zone(spark, name):
+    key = "spark.sql.session.timeZone"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "UTC")
+        a = rows_of([tuple(r) for r in E.queries()[name](spark, SF).collect()])
+        spark.conf.set(key, "America/Los_Angeles")
+        b = rows_of([tuple(r) for r in E.queries()[name](spark, SF).collect()])
+    finally:
+        spark.conf.set(key, old)
+    assert a == b
