@@ -25,7 +25,7 @@ def _gap_minutes(later_sec: Column, earlier_sec: Column) -> Column:
 
 
 def gold_features(df: DataFrame, params: S.GoldParams = S.GoldParams(), key: str = "link_id",
-                  ts: str = "data_as_of_utc", tie: tuple = ("speed",)) -> DataFrame:
+                  ts: str = "data_as_of_utc", tie: tuple = ("speed",), keep_gaps: bool = False) -> DataFrame:
     """W1-W4 + P10 + P11 + F9: lags, lead label, gap rule, dropna, trends.
 
     Input needs ``key``, ``ts`` (instant), ``speed_ratio``, ``current_congestion`` and the
@@ -57,6 +57,9 @@ def gold_features(df: DataFrame, params: S.GoldParams = S.GoldParams(), key: str
         proj.append(F.col(f"_p{m}.c").cast("int").alias(f"past_congestion_{m}min"))
         proj.append(F.col(f"_p{m}.r").cast("double").alias(f"past_speed_ratio_{m}min"))
     proj.append(F.col("_f.c").cast("int").alias(S.LABEL_COL))
+    if keep_gaps:  # W3 values of the kept rows, in (unscaled-name) minutes
+        proj += [_gap_minutes(F.col("_sec"), F.col(f"_p{m}.s")).alias(f"gap_{m}min") for m in params.lag_rows]
+        proj.append(_gap_minutes(F.col("_f.s"), F.col("_sec")).alias("gap_future_15min"))
     out = out.select(*proj)
     required = ([f"past_congestion_{m}min" for m in params.lag_rows]
                 + [f"past_speed_ratio_{m}min" for m in params.lag_rows]

@@ -610,11 +610,23 @@ def q_snapshot_readiness(spark, sf):
 
 
 # ---------------------------------------------------------------- 2.6 windows
-@query("gold_features", _w(*O.BASE_GOLD) + "SELECT * FROM gold")
+@query("gold_features", _w(*O.BASE_GOLD) + f"SELECT {', '.join(S.GOLD_COLUMNS)} FROM gold")
 def q_gold_features(spark, sf):
     return T.gold(spark, sf)
 
 
+@query("gap_minutes", _w(*O.BASE_GOLD) + """
+SELECT link_id, data_as_of, gap_15min, gap_30min, gap_45min, gap_60min, gap_future_15min FROM gold""")
+def q_gap_minutes(spark, sf):
+    """W3 + P10: whole-second gaps of every kept row, each inside its (scaled) tolerance."""
+    from ..operators.joins import enrich_free_flow
+    from ..operators.windows import gold_features
+    s = T.silver(spark, sf)
+    e = enrich_free_flow(s, T.lookup(spark, sf, silver_df=s))
+    g = gold_features(e, T.GOLD_PARAMS, ts="data_as_of_utc", tie=("speed",), keep_gaps=True)
+    return g.select("link_id", "data_as_of", "gap_15min", "gap_30min", "gap_45min", "gap_60min", "gap_future_15min")
+
+
 @query("latest_per_link", _w(*O.BASE_SNAP) + """
 SELECT link_id, data_as_of, current_congestion, speed_ratio, event_id FROM snapshots
 QUALIFY row_number() OVER (PARTITION BY link_id ORDER BY data_as_of DESC, event_id) = 1""")

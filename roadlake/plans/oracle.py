@@ -64,7 +64,10 @@ GOLD = """gold AS (
          pc60 AS past_congestion_60min, pr60 AS past_speed_ratio_60min,
          CAST(current_congestion - pc15 AS INTEGER) AS congestion_trend,
          speed_ratio - pr15 AS speed_ratio_trend,
-         fc AS future_congestion_15min, data_as_of, year
+         fc AS future_congestion_15min, data_as_of, year,
+         (sec - ps15) / 60.0 AS gap_15min, (sec - ps30) / 60.0 AS gap_30min,
+         (sec - ps45) / 60.0 AS gap_45min, (sec - ps60) / 60.0 AS gap_60min,
+         (fs - sec) / 60.0 AS gap_future_15min
   FROM (
     SELECT *,
       lag(current_congestion, 3) OVER w AS pc15, lag(speed_ratio, 3) OVER w AS pr15, lag(sec, 3) OVER w AS ps15,
