@@ -155,3 +155,25 @@ def warmup_snapshots(bronze_rt: DataFrame, lookup: DataFrame, now,
     recent = recent_hours(bronze_rt, now, lookback_minutes)
     return lookup_inner(recent, lookup, fallback=False).select(
         "link_id", "data_as_of", "current_congestion", "speed_ratio", "link_name")
+
+
+def maybe_warmup(spark, recent_snapshots: DataFrame, bronze_root: str, lookup: DataFrame, now,
+                 topic_fmt: str = "kafka", topic_options: dict | None = None, topic_path: str | None = None,
+                 min_links: int = S.WARMUP_MIN_LINKS, lookback_minutes: float = S.LOOKBACK_MINUTES) -> int:
+    """T6, run once before the collector starts: when the topic's lookback holds fewer
+    than ``min_links`` links and realtime bronze has data, re-score the recent bronze
+    rows and publish them.  Returns the number of published snapshots (0 if skipped)."""
+    from ..sources.readers import partition_exists
+    from ..sources.writers import write_snapshots
+    if not needs_warmup(recent_snapshots, min_links) or not partition_exists(spark, bronze_root):
+        return 0
+    replay = warmup_snapshots(spark.read.parquet(bronze_root), lookup, now, lookback_minutes)
+    replay = replay.persist()
+    try:
+        n = replay.count()
+        if n:
+            write_snapshots(replay, fmt=topic_fmt, options=topic_options, path=topic_path,
+                            timestamp_col=None if topic_fmt == "kafka" else "data_as_of")
+        return n
+    finally:
+        replay.unpersist()

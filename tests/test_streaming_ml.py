@@ -127,7 +127,13 @@ def test_warmup_replay_and_artifact_check(spark, scratch):
     got = sorted((r.link_id, r.current_congestion) for r in replay.collect())
     assert got == [("1", 1), ("2", 2)]       # 21:00 is outside the 90-minute lookback; 7 has no lookup
     topic = os.path.join(scratch, "topic")
-    write_snapshots(replay, fmt="parquet", path=topic, timestamp_col="data_as_of")
+    empty_topic = spark.createDataFrame([], "link_id string")
+    assert C.maybe_warmup(spark, empty_topic, os.path.join(scratch, "none"), lookup, now,
+                          topic_fmt="parquet", topic_path=topic) == 0       # no bronze yet
+    assert C.maybe_warmup(spark, empty_topic, root, spark.read.parquet(lk_path), now,
+                          topic_fmt="parquet", topic_path=topic) == 2
+    full = spark.range(25).selectExpr("CAST(id AS STRING) AS link_id")
+    assert C.maybe_warmup(spark, full, root, lookup, now, topic_fmt="parquet", topic_path=topic) == 0
     report = {r.artifact: r for r in artifact_check(spark, [
         {"name": "lookup", "path": lk_path, "expected_rows": 2, "columns": S.LOOKUP_COLUMNS},
         {"name": "coords", "path": os.path.join(scratch, "missing")},
