@@ -214,3 +214,18 @@ def test_exact_quantiles_bracketing(spark):
         got = G.exact_quantiles(df, "c", qs, accuracy=acc)
         exp = [float(np.quantile(np.array(vals), q)) for q in qs]
         assert all(abs(a - b) < 1e-9 for a, b in zip(got, exp)), (acc, got, exp)
+
+
+def test_hot_link_is_spread_over_tasks(spark):
+    """A link holding a third of all rows must not land in one window task."""
+    from roadlake.operators.skew import BUCKET, with_halo
+    base = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 500).cast("string")).alias("link_id"),
+        F.timestamp_add("MINUTE", (F.col("id") / 3).cast("int") * 5, F.lit("2024-01-01").cast("timestamp_ntz"))
+        .alias("data_as_of_utc"))
+    hot_rows = base.filter("link_id = 'hot'").count()
+    split = with_halo(base, "data_as_of_utc", 66 * 60_000_000, 21 * 60_000_000, bucket_hours=24.0)
+    per_task = (split.repartition(16, "link_id", BUCKET).filter("link_id = 'hot'")
+                .groupBy(F.spark_partition_id().alias("p")).count().collect())
+    assert len(per_task) >= 8                         # the hot link spans most tasks
+    assert max(r["count"] for r in per_task) < 0.4 * hot_rows
