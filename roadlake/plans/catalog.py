@@ -40,7 +40,6 @@ def _w(*ctes):
     return O.with_(*ctes)
 
 
-SCALED_NOW = T.NOW
 LOOKBACK_MIN = S.LOOKBACK_MINUTES * T.SCALE.factor      # 13,500 minutes
 DEAD_MIN = S.DEAD_LINK_MINUTES * T.SCALE.factor         # 18,000 minutes
 
