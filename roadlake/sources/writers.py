@@ -102,8 +102,22 @@ def write_snapshots(df: DataFrame, fmt: str = "kafka", options: dict | None = No
 def write_predictions(df: DataFrame, root: str, processing_utc, zone: str = S.LOCAL_ZONE) -> bool:
     """K8: append predictions under ``date=/hour=`` of processing time; an empty run
     writes nothing (returns False)."""
-    if df.isEmpty():
-        return False
-    out = processing_partition(df, processing_utc, zone)
-    out.write.mode("append").partitionBy("date", "hour").parquet(root)
-    return True
+    df = df.persist()  # the emptiness check and the write share one scoring pass
+    try:
+        if df.isEmpty():
+            return False
+        out = processing_partition(df, processing_utc, zone)
+        out.write.mode("append").partitionBy("date", "hour").parquet(root)
+        return True
+    finally:
+        df.unpersist()
+
+
+def write_json_list(ids: DataFrame, path: str, col: str = "link_id") -> None:
+    """The active-link artifact: one JSON array of sorted ids in one text file.
+
+    The list holds one entry per road link (P7 output), so gathering it into a single
+    row is bounded by the road network, not by the reading volume.
+    """
+    arr = ids.agg(F.to_json(F.sort_array(F.collect_set(F.col(col).cast("string")))).alias("value"))
+    arr.coalesce(1).write.mode("overwrite").text(path)

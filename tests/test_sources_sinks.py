@@ -106,3 +106,10 @@ def test_materialize_checkpoint(spark):
     df = spark.range(10).withColumn("x", F.col("id") * 2)
     m = materialize(df)
     assert m.count() == 10 and m.agg(F.sum("x")).head()[0] == 90
+
+
+def test_json_list_roundtrip(spark, scratch):
+    path = os.path.join(scratch, "active")
+    ids = spark.createDataFrame([("3",), ("1",), ("2",), ("1",)], "link_id string")
+    K.write_json_list(ids, path)
+    assert sorted(r.link_id for r in R.scan_json_list(spark, path).collect()) == ["1", "2", "3"]
