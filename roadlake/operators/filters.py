@@ -65,14 +65,12 @@ def filter_partition(df: DataFrame, year: int, month: int | None = None) -> Data
 
 
 def active_links(df: DataFrame, now, window_hours: float = S.ACTIVE_WINDOW_HOURS,
-                 key: str = "link_id", ts: str = "data_as_of") -> DataFrame:
-    """Distinct, sorted links that reported at or after ``now - window``.
-
-    Rows whose time failed to parse (null) are skipped.
-    """
+                 key: str = "link_id", ts: str = "data_as_of", ordered: bool = True) -> DataFrame:
+    """Distinct (sorted, for the artifact) links that reported at or after
+    ``now - window``.  Rows whose time failed to parse (null) are skipped."""
     cutoff = plus_minutes(_lit_ts(now), -window_hours * 60)
-    return (df.filter(F.col(ts).isNotNull() & (F.col(ts) >= cutoff))
-            .select(key).distinct().orderBy(key))
+    out = df.filter(F.col(ts).isNotNull() & (F.col(ts) >= cutoff)).select(key).distinct()
+    return out.orderBy(key) if ordered else out
 
 
 def _lit_ts(now) -> Column:

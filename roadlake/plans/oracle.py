@@ -26,7 +26,8 @@ BRONZE = r"""bronze AS (
                 || ',-73.' || lpad(CAST(user_id % 100 AS VARCHAR), 2, '0') || ' 40.80,-73.90' END AS link_points
   FROM events)"""
 
-ACTIVE = """active AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS link_id FROM events WHERE user_id % 5 <> 0)"""
+ACTIVE = """active AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS link_id FROM events
+                     WHERE ts >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 48 HOUR)"""
 
 SILVER = r"""silver AS (
   SELECT link_id, borough, link_name, loc AS data_as_of, spd AS speed,

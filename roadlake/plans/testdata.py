@@ -68,10 +68,9 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def active(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Active-link list: every user with ``user_id % 5 <> 0`` (derived from events)."""
-    e = table(spark, sf_dir, "events")
-    return (e.filter(F.col("user_id") % 5 != 0)
-            .select(F.col("user_id").cast("string").alias("link_id")).distinct())
+    """Active-link list by the P7 rule: links with a reading in the 48 hours before ``NOW``."""
+    from ..operators.filters import active_links
+    return active_links(readings(spark, sf_dir), NOW, ordered=False)
 
 
 def holidays(spark: SparkSession) -> DataFrame:
