@@ -15,7 +15,7 @@ from .. import settings as S
 
 
 def _classes(spark, classes=S.CLASSES) -> DataFrame:
-    rows = ", ".join(f"({float(c)})" for c in classes)
+    rows = ", ".join(f"({float(c)}D)" for c in classes)  # double literals, not DECIMAL
     return spark.sql(f"SELECT c FROM VALUES {rows} AS t(c)")
 
 

@@ -47,9 +47,22 @@ def forest(weight_col: str | None = "class_weight", **overrides) -> RandomForest
     return RandomForestClassifier(**kw)
 
 
-def build_pipeline(weight_col: str | None = "class_weight", **forest_overrides) -> Pipeline:
-    """M4: indexers -> assembler -> forest."""
-    return Pipeline(stages=indexers() + [assembler(), forest(weight_col, **forest_overrides)])
+def build_pipeline(weight_col: str | None = "class_weight", categorical: bool = True,
+                   **forest_overrides) -> Pipeline:
+    """M4: indexers -> assembler -> forest.
+
+    ``categorical=False`` feeds the indexes as plain numbers.  MLlib caps ``maxBins``
+    at the number of training rows, so a training set smaller than the link count
+    cannot hold link_id as a categorical feature.
+    """
+    if categorical:
+        return Pipeline(stages=indexers() + [assembler(), forest(weight_col, **forest_overrides)])
+    from pyspark.ml.feature import SQLTransformer
+    nums = ", ".join(f"{c}_idx + 0.0 AS {c}_num" for c in S.CATEGORICAL_FEATURES)
+    strip = SQLTransformer(statement=f"SELECT *, {nums} FROM __THIS__")  # drops nominal metadata
+    asm = VectorAssembler(inputCols=[f"{c}_num" for c in S.CATEGORICAL_FEATURES] + S.NUMERIC_FEATURES,
+                          outputCol="features", handleInvalid="keep")
+    return Pipeline(stages=indexers() + [strip, asm, forest(weight_col, **forest_overrides)])
 
 
 def feature_importance(model: PipelineModel, top: int = 5) -> DataFrame:

@@ -511,7 +511,7 @@ SELECT c AS actual,
   count(p.actual) FILTER (WHERE p.predicted = 0.0) AS pred_0,
   count(p.actual) FILTER (WHERE p.predicted = 1.0) AS pred_1,
   count(p.actual) FILTER (WHERE p.predicted = 2.0) AS pred_2
-FROM (VALUES (0.0), (1.0), (2.0)) t(c) LEFT JOIN pairs p ON p.actual = t.c GROUP BY c""")
+FROM (VALUES (0.0::DOUBLE), (1.0::DOUBLE), (2.0::DOUBLE)) t(c) LEFT JOIN pairs p ON p.actual = t.c GROUP BY c""")
 def q_confusion_matrix(spark, sf):
     return M.confusion_matrix(_persistence(spark, sf))
 
@@ -520,7 +520,7 @@ def q_confusion_matrix(spark, sf):
 cm AS (SELECT c AS actual,
   count(p.actual) FILTER (WHERE p.predicted = 0.0) AS p0, count(p.actual) FILTER (WHERE p.predicted = 1.0) AS p1,
   count(p.actual) FILTER (WHERE p.predicted = 2.0) AS p2
-  FROM (VALUES (0.0), (1.0), (2.0)) t(c) LEFT JOIN pairs p ON p.actual = t.c GROUP BY c)
+  FROM (VALUES (0.0::DOUBLE), (1.0::DOUBLE), (2.0::DOUBLE)) t(c) LEFT JOIN pairs p ON p.actual = t.c GROUP BY c)
 SELECT actual, round(p0 / nullif(p0 + p1 + p2, 0), 6) AS pred_0, round(p1 / nullif(p0 + p1 + p2, 0), 6) AS pred_1,
   round(p2 / nullif(p0 + p1 + p2, 0), 6) AS pred_2 FROM cm""")
 def q_confusion_normalized(spark, sf):
@@ -832,8 +832,10 @@ def _fit_forest(spark, sf):
     from .training import prepare, weighted_train
     frame = prepare(T.gold(spark, sf), T.SPLITS)
     train = weighted_train(frame)
-    n_links = train.select("link_id").distinct().count() + 1
-    return build_pipeline(maxBins=max(S.FOREST_PARAMS["maxBins"], n_links + 1)).fit(train)
+    stats = train.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("link_id").alias("links")).head()
+    n_links = stats["links"] + 1  # + the "unseen" bucket
+    return build_pipeline(categorical=stats["n"] > n_links,
+                          maxBins=max(S.FOREST_PARAMS["maxBins"], n_links + 1)).fit(train)
 
 
 @query("score_batch", None)

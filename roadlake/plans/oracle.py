@@ -122,7 +122,7 @@ BASE_SNAP = (READINGS,) + BASE_LOOKUP + (SNAPSHOTS,)
 PERSIST = """pairs AS (SELECT CAST(future_congestion_15min AS DOUBLE) AS actual,
                        CAST(current_congestion AS DOUBLE) AS predicted FROM gold)"""
 
-CM = """classes AS (SELECT * FROM (VALUES (0.0), (1.0), (2.0)) t(c)),
+CM = """classes AS (SELECT * FROM (VALUES (0.0::DOUBLE), (1.0::DOUBLE), (2.0::DOUBLE)) t(c)),
 cm AS (SELECT a.c AS actual, p.c AS predicted,
               (SELECT count(*) FROM pairs x WHERE x.actual = a.c AND x.predicted = p.c) AS n
        FROM classes a CROSS JOIN classes p)"""
@@ -132,7 +132,7 @@ METRICS = """per_class AS (
          CAST(sum(CASE WHEN actual = c AND predicted = c THEN 1 ELSE 0 END) AS BIGINT) AS tp,
          CAST(sum(CASE WHEN actual <> c AND predicted = c THEN 1 ELSE 0 END) AS BIGINT) AS fp,
          CAST(sum(CASE WHEN actual = c AND predicted <> c THEN 1 ELSE 0 END) AS BIGINT) AS fn
-  FROM (SELECT * FROM (VALUES (0.0), (1.0), (2.0)) t(c)) k LEFT JOIN pairs ON TRUE GROUP BY c),
+  FROM (SELECT * FROM (VALUES (0.0::DOUBLE), (1.0::DOUBLE), (2.0::DOUBLE)) t(c)) k LEFT JOIN pairs ON TRUE GROUP BY c),
 prf AS (
   SELECT class, tp, fp, fn,
          CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
