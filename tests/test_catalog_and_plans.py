@@ -37,7 +37,14 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(cols) == sorted(ocols)
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     oorder = sorted(range(len(ocols)), key=lambda i: ocols[i])
-    assert rows_of([tuple(r[i] for i in order) for r in got]) == rows_of([tuple(r[i] for i in oorder) for r in exp])
+    g = [tuple(r[i] for i in order) for r in got]
+    o = [tuple(r[i] for i in oorder) for r in exp]
+    assert rows_of(g) == rows_of(o)
+    for j in range(len(cols)):  # same value types per column (e.g. DOUBLE, not DECIMAL)
+        gv = [r[j] for r in g if r[j] is not None]
+        ov = [r[j] for r in o if r[j] is not None]
+        if gv and ov:
+            assert type(gv[0]).__name__ == type(ov[0]).__name__, (sorted(cols)[j], gv[0], ov[0])
 
 
 def test_every_query_has_sql_or_is_known_nonsql():
