@@ -8,83 +8,119 @@ has met (bounded, see ``CACHE_WORDS``) and gives the library only words it has n
 
 from __future__ import annotations
 
+import functools
+import json
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import stored, text_bytes
+from .words import Growing, WordNumbers, spans
 
 END_ID = 1
-#: Words whose ids one Python worker keeps (about 200 bytes each); beyond it starts anew.
-CACHE_WORDS = 1_000_000
+#: Words whose ids one Python worker keeps (about 60 bytes each); beyond it starts anew.
+CACHE_WORDS = 2_000_000
 ID = np.dtype("<u4")
 
 TOKEN_SCHEMA = "part int, before long, doc_id {id_type}, n_tokens long, ids binary"
 
 
+def byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write bytes that are no visible Latin-1 character: as the next letters from U+0100 on."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(0x100 + k) for k, b in enumerate(hidden)}
+
+
 class WordIds:
-    """Ids of words, each as little-endian unsigned 32-bit integers in one bytes object."""
+    """Ids of words, as little-endian unsigned 32-bit integers; keeps those of the words it has met.
+
+    A vocabulary of the known shape (canonical composition, white space folded, lower case; a
+    pattern's matches, byte by byte) cuts a word into runs, and the library's model gives
+    each run's ids directly.  Other vocabularies, and words with characters from U+0300
+    on, go through the library's whole pipeline.
+    """
 
     def __init__(self, vocabulary: str, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker per core
         from tokenizers import Tokenizer
 
-        self.tok = Tokenizer.from_str(vocabulary)
-        self.cap = cache_words
-        self.known: dict[bytes, bytes] = {}
-        # an id that ends a run of letters carries the vocabulary's end-of-word mark
-        pieces = self.tok.get_vocab(with_added_tokens=False)
-        self.ends = np.zeros(max(pieces.values()) + 1, dtype=bool)
-        for piece, i in pieces.items():
-            self.ends[i] = piece.endswith("</w>")
-        self.marks = {m: self._whole([m.decode()])[0] for m in (b",", b".")}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tok.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, ID).tobytes() for e in found]
-
-    def _letters(self, words: list[str], width: int = 256) -> list[bytes]:
-        """Words of plain letters: one run each, so many are encoded as one text."""
-        out: list[bytes] = []
-        lines = [" ".join(words[i : i + width]) for i in range(0, len(words), width)]
-        for e in self.tok.encode_batch_fast(lines, add_special_tokens=False):
-            ids = np.array(e.ids, ID)
-            raw, stops = ids.tobytes(), (np.flatnonzero(self.ends[ids]) + 1) * ID.itemsize
-            out.extend(raw[a:b] for a, b in zip([0, *stops[:-1].tolist()], stops.tolist()))
-        return out
-
-    def learn(self, words: set[bytes]) -> None:
-        cores: dict[bytes, None] = {}
-        marked: list[tuple[bytes, bytes, bytes]] = []
-        rest: list[bytes] = []
+        self.tok, self.cap = Tokenizer.from_str(vocabulary), cache_words
+        self.pattern = _run_pattern(json.loads(vocabulary))
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.letters = byte_letters()
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known = WordNumbers()
+        self.ids, self.begins, self.sizes = Growing(ID), Growing(np.int64), Growing(np.int64)
+
+    def _run(self, run: bytes) -> bytes:
+        text = run.decode() if run.isalpha() else run.decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tok.model.tokenize(text)]).tobytes()
+
+    def _learn(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word."""
+        if self.pattern is None:
+            return self._whole(words)
+        run = functools.cache(self._run)  # for this call: words of one text share their runs
+        out: list[bytes | None] = []
         for w in words:
-            core, mark = (w[:-1], w[-1:]) if w[-1:] in self.marks else (w, b"")
-            s = core.decode("utf-8", "replace")
-            if s.isalpha() and max(s) < "ɐ" and "İ" not in s:
-                if core not in self.known:
-                    cores[core] = None
-                if mark:
-                    marked.append((w, core, mark))
+            if w.isalpha():
+                out.append(run(w.lower()))
+            elif w[-1:] in b",." and w[:-1].isalpha():
+                out.append(run(w[:-1].lower()) + run(w[-1:]))
             else:
-                rest.append(w)
-        self.known.update(zip(cores, self._letters([c.decode() for c in cores])))
-        self.known.update((w, self.known[core] + self.marks[mark]) for w, core, mark in marked)
-        self.known.update(zip(rest, self._whole([w.decode("utf-8", "replace") for w in rest])))
+                s = w.decode("utf-8", "replace")
+                plain = max(s) < "\u0300" and "İ" not in s and not any(x in s for x in self.special)
+                out.append(b"".join([run(r.encode()) for r in self.pattern.findall(s.lower())]) if plain else None)
+        rest = [k for k, x in enumerate(out) if x is None]
+        for k, ids in zip(rest, self._whole([words[k] for k in rest])):
+            out[k] = ids
+        return out
+
+    def _whole(self, words: list[bytes]) -> list[bytes]:
+        found = self.tok.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        return [np.array(e.ids, ID).tobytes() for e in found]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        words = [t.split() for t in texts]
-        new = set().union(*words).difference(self.known)
-        if len(self.known) + len(new) > self.cap:
-            self.known = {}
-            new = set().union(*words)
-        self.learn(new)
-        get = self.known.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+        """All ids of each text."""
+        if self.known.count > self.cap:
+            self._clear()
+        data, starts, ends, n_words = spans(texts)
+        numbers, new = self.known.numbers(data, starts, ends)
+        if new:
+            ids = self._learn(new)
+            size = np.array([len(x) for x in ids], dtype=np.int64) // ID.itemsize
+            self.begins.extend(self.ids.count + np.cumsum(size) - size)
+            self.sizes.extend(size)
+            self.ids.extend(np.frombuffer(b"".join(ids), ID))
+        size = self.sizes.values[numbers]
+        upto = np.cumsum(size)
+        at = np.repeat(self.begins.values[numbers] - upto + size, size)
+        at += np.arange(len(at))
+        flat = self.ids.values[at].tobytes()
+        cut = (np.r_[0, upto][np.cumsum(n_words)] * ID.itemsize).tolist()
+        return [flat[a:b] for a, b in zip([0, *cut[:-1]], cut)]
+
+
+def _run_pattern(made: dict):
+    """The compiled pattern of a vocabulary of the known shape, else None."""
+    steps = [n.get("type") for n in (made.get("normalizer") or {}).get("normalizers", [])]
+    cuts = (made.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    if steps != ["NFC", "Replace", "Lowercase"] or [c.get("type") for c in cuts] != ["Split", "ByteLevel"]:
+        return None
+    split, level = cuts
+    if (split["behavior"], split["invert"], level["add_prefix_space"], level["use_regex"]) != ("Removed", True, False, False):
+        return None
+    return regex.compile(split["pattern"]["Regex"])
 
 
 _MADE: dict[int, WordIds] = {}
