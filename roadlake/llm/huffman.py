@@ -24,11 +24,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import drop, scratch
-from .token_ids import END_ID, tokenised, with_start
+from .token_ids import END_ID, pieces_of, tokenised, with_start
 
 LIMIT = 18
-BLOCK_TOKENS = 1 << 19
-EVERY = 256
+BLOCK_TOKENS = 1 << 17
+EVERY = 128
 CODE = "lengths binary, limit int, total long"
 BLOCKS = ("start long, doc_ids array<{id_type}>, starts array<long>, counts array<long>, "
           "n_tokens long, payload binary, checkpoints binary")
@@ -145,8 +145,8 @@ def token_counts(tokens: DataFrame) -> np.ndarray:
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, dtype=np.int64)
         for batch in parts:
-            for ids in batch.column("ids").to_pylist():
-                got = np.bincount(np.frombuffer(ids, "<u4"))
+            for held in pieces_of(batch.column("ids")):
+                got = np.bincount(np.frombuffer(b"".join(held), "<u4"))
                 if len(got) > len(seen):
                     seen = np.pad(seen, (0, len(got) - len(seen)))
                 seen[: len(got)] += got
