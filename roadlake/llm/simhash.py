@@ -24,7 +24,6 @@ from .shared import stored, text_bytes
 SHINGLE = 3
 RADIUS = 3
 SEED = 42
-TILE_ROWS = 16_384
 STRETCH = 256
 
 
@@ -118,12 +117,16 @@ def linked_pairs(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> tuple
     return child, low[child]
 
 
-def fingerprint_links(prints: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
+def fingerprint_links(prints: DataFrame, radius: int = RADIUS, tile_rows: int | None = None) -> DataFrame:
     """Links ``(a, b)`` that connect the distinct ``fp`` values within ``radius`` bits of each other.
 
     Of each tile pair only a spanning forest of its links is returned: as few rows as
-    fingerprints, and the same components.
+    fingerprints, and the same components.  Without ``tile_rows`` a tile holds about 16 times
+    the root of their number (4096 at least), which keeps both the tile pairs and
+    the bytes that they move well below the comparisons.
     """
+    if tile_rows is None:
+        tile_rows = max(4096, int(16 * prints.count() ** 0.5))
     counted = prints.select("fp", F.bit_count("fp").alias("ones"))
     sizes = counted.groupBy("ones").agg(F.ceil(F.count("*") / F.lit(tile_rows)).cast("int").alias("tiles"))  # 65 rows at most
     dealt = (counted.join(F.broadcast(sizes), "ones")
@@ -156,7 +159,7 @@ def fingerprint_links(prints: DataFrame, radius: int = RADIUS, tile_rows: int =
     return spread.mapInArrow(compare, "a long, b long")
 
 
-def _grouped(rows: DataFrame, radius: int, tile_rows: int) -> DataFrame:
+def _grouped(rows: DataFrame, radius: int, tile_rows: int | None) -> DataFrame:
     """``rows(doc_id, fp, ...)`` (a written table) -> ``(fp, component_id, class_fp)`` per distinct fingerprint."""
     prints = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     found = components(fingerprint_links(prints.select("fp"), radius, tile_rows))
@@ -167,7 +170,7 @@ def _grouped(rows: DataFrame, radius: int, tile_rows: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, width: int = SHINGLE, radius: int = RADIUS, seed: int = SEED,
-                    tile_rows: int = TILE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    tile_rows: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``fingerprint`` (16 hex digits), ``component_id``.
 
     Null and empty texts have fingerprint zero and link like any other.  Texts of fewer
@@ -187,7 +190,7 @@ def row_hash(columns: list[str]) -> Column:
 
 
 def keep_one(docs: DataFrame, *, width: int = SHINGLE, radius: int = RADIUS, seed: int = SEED,
-             tile_rows: int = TILE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+             tile_rows: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without near-duplicates: one row of each component stays, whole.
 
     It is the one with the smallest id (nulls last), then the smallest hash of its
