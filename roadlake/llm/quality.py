@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .shared import id_crc, text_bytes
 from .token_ids import pieces_of
+from .words import Growing, WordNumbers, spans
 
 
 @dataclass(frozen=True)
@@ -34,10 +35,10 @@ class QualityParams:
     #: The model is fitted on at most this many labelled rows and bytes of text, the first by
     #: a hash of the id; texts are taken whole.  Scoring has no bound.
     max_rows: int = 3000
-    max_bytes: int = 24 << 20
+    max_bytes: int = 16 << 20
     threshold: float = 0.7
     #: Words whose features one Python worker keeps while scoring.
-    cache_words: int = 1_000_000
+    cache_words: int = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -81,22 +82,6 @@ def same_bucket(p: QualityParams) -> int:
     return int((np.array([SAME], dtype=np.uint32) * _ODD >> np.uint32(32 - (p.buckets.bit_length() - 1)))[0])
 
 
-class Vocabulary:
-    """Numbers for words as they appear, so that a document becomes an array."""
-
-    def __init__(self) -> None:
-        self.number: dict[bytes, int] = {}
-
-    def add(self, documents: list[list[bytes]]) -> list[bytes]:
-        new = list(set().union(*documents).difference(self.number))
-        first = len(self.number)
-        self.number.update((w, first + k) for k, w in enumerate(new))
-        return new
-
-    def rows(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
-
-
 def fit(texts: list[bytes], labels: np.ndarray, p: QualityParams = QualityParams()) -> QualityModel:
     """Train on whole texts (``labels`` 0 or 1).  With fewer than two classes every score is the label's share."""
     labels = np.asarray(labels, dtype=np.int64)
@@ -105,14 +90,16 @@ def fit(texts: list[bytes], labels: np.ndarray, p: QualityParams = QualityParams
     if len(set(labels.tolist())) < 2:
         return QualityModel(np.zeros(p.buckets), prior, p)
     rng = np.random.default_rng(p.seed)
-    known = Vocabulary()
-    words = known.add([t.split() for t in texts])
-    buckets, sizes = word_features(words, p)
+    data, starts, ends, n_words = spans(texts)
+    numbers, new = WordNumbers().numbers(data, starts, ends)
+    all_rows = np.split(numbers, np.cumsum(n_words)[:-1])
+    parts = [word_features(new[k : k + 20_000], p) for k in range(0, len(new), 20_000)]  # bounds what is held at once
+    buckets = np.concatenate([b.astype(np.int32) for b, _ in parts] or [np.zeros(0, dtype=np.int32)])
+    sizes = np.concatenate([n for _, n in parts] or [np.zeros(0, dtype=np.int64)])
     ends = np.cumsum(sizes)
     begins = ends - sizes
     docs = []
-    for t in texts:
-        rows = known.rows(t.split())
+    for rows in all_rows:
         unique, n = np.unique(rows, return_counts=True)
         docs.append((unique, n, sizes[rows[1:][rows[1:] == rows[:-1]]].sum()))
     vectors = (rng.random((p.buckets, p.dim), dtype=np.float32) - 0.5) / p.dim
@@ -169,34 +156,27 @@ class Scorer:
         self._clear()
 
     def _clear(self) -> None:
-        self.known = Vocabulary()
-        self.sums, self.sizes, self.filled = np.zeros(1024), np.zeros(1024), 0
-
-    def _learn(self, documents: list[list[bytes]]) -> None:
-        if len(self.known.number) > self.model.params.cache_words:
-            self._clear()
-        new = self.known.add(documents)
-        buckets, sizes = word_features(new, self.model.params)
-        need = self.filled + len(new)
-        if need > len(self.sums):
-            grown = max(need, 2 * len(self.sums))
-            self.sums, self.sizes = (np.pad(x, (0, grown - len(x))) for x in (self.sums, self.sizes))
-        owner = np.repeat(np.arange(len(new)), sizes)
-        self.sums[self.filled : need] = np.bincount(owner, self.model.margin[buckets], len(new))
-        self.sizes[self.filled : need] = sizes
-        self.filled = need
+        self.known, self.sums, self.sizes = WordNumbers(), Growing(np.float64), Growing(np.float64)
 
     def scores(self, texts: list[bytes]) -> list[float]:
-        documents = [t.split() for t in texts]
-        self._learn(documents)
-        out = []
-        for words in documents:
-            rows = self.known.rows(words)
-            repeats = self.sizes[rows[1:][rows[1:] == rows[:-1]]].sum()
-            total = self.sizes[rows].sum() + repeats
-            margin = (self.sums[rows].sum() + repeats * self.same) / total if total else 0.0
-            out.append(float(1 / (1 + np.exp(-(margin + self.model.bias)))))
-        return out
+        if self.known.count > self.model.params.cache_words:
+            self._clear()
+        data, starts, ends, n_words = spans(texts)
+        numbers, new = self.known.numbers(data, starts, ends)
+        if new:
+            buckets, sizes = word_features(new, self.model.params)
+            self.sums.extend(np.bincount(np.repeat(np.arange(len(new)), sizes), self.model.margin[buckets], len(new)))
+            self.sizes.extend(sizes)
+        size = self.sizes.values[numbers]
+        again = np.r_[False, numbers[1:] == numbers[:-1]] if len(numbers) else np.zeros(0, dtype=bool)
+        first = np.cumsum(n_words) - n_words
+        again[first[n_words > 0]] = False  # a text's first word has none before it
+        repeated = np.where(again, size, 0.0)
+        doc = np.repeat(np.arange(len(texts)), n_words)
+        total = np.bincount(doc, size + repeated, len(texts))
+        margin = np.bincount(doc, self.sums.values[numbers] + repeated * self.same, len(texts))
+        margin = np.divide(margin, total, out=np.zeros(len(texts)), where=total > 0) + self.model.bias
+        return (1 / (1 + np.exp(-margin))).tolist()
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, train: Column, p: QualityParams,

@@ -1,0 +1,128 @@
+"""Token ids, packing and the Huffman file format against the tokenizers library and plain Python."""
+
+import heapq
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from llm_cases import ODD, SF_SMALL
+from tokenizers import Tokenizer
+
+from roadlake.llm import huffman, packing
+from roadlake.llm.token_ids import WordIds, read_vocabulary
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def tok():
+    return Tokenizer.from_file(PATH)
+
+
+def whole(tok, text):
+    return np.array(tok.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
+
+
+def test_word_ids_equal_whole_text_ids(tok, spark):
+    texts = [t or "" for _, t in ODD] + [r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("text").collect()]
+    texts += ["don't we'll I'M", "a,b,, c., d.", "é ́x", "ΣΑΣ ὈΔΥΣΣΕΎΣ", "<|startoftext|>x<|ENDOFTEXT|>", "a b\u0085c", "ﬁ ǅ ß ẞ"]
+    found = WordIds(read_vocabulary(PATH), cache_words=50).encode([t.encode() for t in texts])
+    for t, ids in zip(texts, found):
+        assert ids == whole(tok, t)[:-1].tobytes(), t
+
+
+def check_pieces(rows, docs, tok):
+    expected = sorted((i is None, i or 0, zlib.crc32(whole(tok, t).tobytes())) for i, t in docs)
+    by_doc, lanes = {}, {}
+    for r in rows:
+        assert r.length > 0 and r.length * 4 == len(r.ids) and zlib.crc32(bytes(r.ids)) == r.ids_crc32
+        lanes.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        by_doc.setdefault((r.doc_id, r.sequence_id * 2048 + r.offset - r.start), []).append(r)
+    got = []
+    for (i, _), pieces in by_doc.items():
+        pieces.sort(key=lambda r: r.start)
+        assert [p.start for p in pieces] == list(np.cumsum([0] + [p.length for p in pieces[:-1]]))
+        ids = b"".join(bytes(p.ids) for p in pieces)
+        assert {p.doc_tokens for p in pieces} == {len(ids) // 4}
+        got.append((i is None, i or 0, zlib.crc32(ids)))
+    assert sorted(got) == expected
+    for k, lane in lanes.items():
+        ends = 0
+        for offset, length in sorted(lane):
+            assert offset == ends
+            ends += length
+        assert ends == 2048 or k == max(lanes)
+    assert sorted(lanes) == list(range(len(lanes)))
+    for r in rows:
+        n = sum(length for _, length in lanes[r.sequence_id])
+        assert r.sequence_length == n and r.padded_length == (n if n & (n - 1) == 0 else 2048)
+
+
+def test_pack_odd(odd, tok):
+    check_pieces(packing.pack(odd, PATH).collect(), ODD, tok)
+
+
+def test_pack_table_and_empty(spark, none, tok):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    check_pieces(packing.pack(docs, PATH).collect(), [(r.doc_id, r.text) for r in docs.collect()], tok)
+    assert packing.pack(none, PATH).count() == 0
+
+
+def test_file_round_trip(spark, odd, tok, scratch):
+    huffman.write_ids(odd, scratch + "/f", PATH, parts=3, block_tokens=700, every=16)
+    rows = sorted(huffman.read_ids(spark, scratch + "/f", every=16).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == [i for i, _ in ODD]  # ODD is in order, nulls first
+    at = 0
+    for r in rows:
+        assert r.start == at and r.n_tokens * 4 == len(r.ids)
+        at += r.n_tokens
+    assert sorted((r.doc_id or -1, bytes(r.ids)) for r in rows) == sorted((i or -1, whole(tok, t).tobytes()) for i, t in ODD)
+
+
+def test_digests_of_table_and_empty(spark, none, tok):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    at, expected = 0, []
+    for r in docs.orderBy("doc_id").collect():
+        ids = whole(tok, r.text)
+        expected.append((r.doc_id, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    got = huffman.id_digests(docs, PATH).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == expected
+    assert huffman.id_digests(none, PATH).count() == 0
+
+
+def cost_without_limit(counts):
+    heap = [int(c) for c in counts if c]
+    heapq.heapify(heap)
+    cost = 0
+    while len(heap) > 1:
+        a = heapq.heappop(heap) + heapq.heappop(heap)
+        cost += a
+        heapq.heappush(heap, a)
+    return cost
+
+
+def test_code_lengths():
+    rng = np.random.default_rng(3)
+    counts = (rng.pareto(0.7, 400) * 3).astype(np.int64)
+    lengths = huffman.code_lengths(counts, 25)
+    assert (lengths[counts == 0] == 0).all() and (lengths[counts > 0] > 0).all()
+    assert int((lengths * counts).sum()) == cost_without_limit(counts)
+    short = huffman.code_lengths(counts, 9)
+    assert short.max() <= 9 and sum(2.0 ** -int(x) for x in short if x) <= 1
+    assert huffman.code_lengths(np.array([0, 5]), 9).tolist() == [0, 1]
+    assert huffman.code_lengths(np.zeros(0, dtype=np.int64), 9).tolist() == []
+    # five symbols, at most three bits: the best of all length tables
+    c = np.array([1, 1, 2, 40, 60])
+    best = min(int(np.dot(c, t)) for t in np.stack(np.meshgrid(*[range(1, 4)] * 5), -1).reshape(-1, 5) if (2.0 ** -t).sum() <= 1)
+    assert int(np.dot(huffman.code_lengths(c, 3), c)) == best
+
+
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 5000])
+def test_bits_round_trip(n):
+    ids = (np.random.default_rng(n).pareto(0.6, n) * 2).astype(np.int64) % 900
+    lengths = huffman.code_lengths(np.bincount(ids, minlength=900), 18)
+    payload, offsets = huffman.encode_bits(ids, huffman.canonical(lengths), lengths)
+    back = huffman.decode_bits(payload, n, offsets, *huffman.decode_table(lengths, 18), 18)
+    assert back.tolist() == ids.tolist()
