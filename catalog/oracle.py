@@ -118,6 +118,39 @@ BASE_LOOKUP = BASE_SILVER + (LOOKUP,)
 BASE_GOLD = BASE_LOOKUP + (ENRICHED, GOLD)
 BASE_SNAP = (READINGS,) + BASE_LOOKUP + (SNAPSHOTS,)
 
+# the dense series: every constant unscaled
+DENSE_SILVER = """dense_silver AS (
+  SELECT link_id, 'b' AS borough, 'link-' || link_id AS link_name, loc AS data_as_of, speed,
+         CAST(hour(loc) AS INTEGER) AS hour, CAST(dayofweek(loc) + 1 AS INTEGER) AS day_of_week,
+         CAST(month(loc) AS INTEGER) AS month,
+         CAST(CASE WHEN dayofweek(loc) IN (0, 6) THEN 1 ELSE 0 END AS INTEGER) AS is_weekend, 0 AS is_holiday,
+         utc AS data_as_of_utc, CAST(year(loc) AS INTEGER) AS year
+  FROM (SELECT *, ((utc AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') AS loc FROM (
+    SELECT CAST(l_suppkey % 20 AS VARCHAR) AS link_id, l_quantity AS speed, l_orderkey,
+           TIMESTAMP '2024-03-01 05:00:00' + INTERVAL 5 MINUTE *
+             (row_number() OVER (PARTITION BY l_suppkey % 20 ORDER BY l_orderkey, l_linenumber, l_extendedprice) - 1) AS utc
+    FROM lineitem) x WHERE l_orderkey % 97 <> 0) y)"""
+
+DENSE_LOOKUP = """dense_lookup AS (
+  SELECT link_id, CAST(quantile_disc(speed, 0.85) AS DOUBLE) AS free_flow_speed
+  FROM dense_silver WHERE data_as_of < TIMESTAMP '2024-03-02 00:00:00' GROUP BY link_id)"""
+
+
+def _unscaled(sql: str) -> str:
+    """The gold statement at scale 1: tolerances in minutes."""
+    for wide, narrow in (("1500 AND 3000", "10 AND 20"), ("3750 AND 5250", "25 AND 35"),
+                         ("6000 AND 7500", "40 AND 50"), ("8250 AND 9750", "55 AND 65")):
+        sql = sql.replace(wide, narrow)
+    return sql
+
+
+DENSE_GOLD = (DENSE_SILVER, DENSE_LOOKUP,
+              ENRICHED.replace("enriched AS", "dense_enriched AS").replace("FROM silver s", "FROM dense_silver s").replace("JOIN lookup l", "JOIN dense_lookup l"),
+              _unscaled(GOLD).replace("gold AS", "dense_gold AS").replace("FROM enriched)", "FROM dense_enriched)"),
+              """dense_split AS (
+  SELECT *, CASE WHEN data_as_of < TIMESTAMP '2024-03-02 00:00:00' THEN 'train'
+                 WHEN data_as_of < TIMESTAMP '2024-03-04 00:00:00' THEN 'val' ELSE 'test' END AS split FROM dense_gold)""")
+
 # persistence predictions on gold: predicted = current class, actual = label
 PERSIST = """pairs AS (SELECT CAST(future_congestion_15min AS DOUBLE) AS actual,
                        CAST(current_congestion AS DOUBLE) AS predicted FROM gold)"""

@@ -7,24 +7,28 @@ different summation orders are rounded on both sides.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .. import settings as S
-from ..functions import (calendar_features, class_label, clean_quotes, confidence, epoch_seconds,
+from roadlake import settings as S
+from roadlake.functions import (calendar_features, class_label, clean_quotes, confidence, epoch_seconds,
                          json_decode_snapshot, json_encode_snapshot, local_date_str, local_hour_str,
                          minutes_between, parse_first_point, parse_local_ts, parse_utc_ts,
                          plus_minutes, utc_to_local)
-from ..operators import aggregates as G
-from ..operators import filters as P
-from ..operators import joins as J
-from ..operators import metrics as M
-from ..operators import windows as W
-from ..operators.asof import asof_lags, serving_features
-from ..sources import readers as R
+from roadlake.operators import aggregates as G
+from roadlake.operators import filters as P
+from roadlake.operators import joins as J
+from roadlake.operators import metrics as M
+from roadlake.operators import windows as W
+from roadlake.operators.asof import asof_lags, serving_features
+from roadlake.session import checkpoint_dir
+from roadlake.sources import readers as R
 from . import oracle as O
-from . import testdata as T
-from .silver import link_coordinates
+from roadlake.plans.silver import link_coordinates
+
+from . import tables as T
 
 Q: dict = {}
 
@@ -45,9 +49,8 @@ DEAD_MIN = S.DEAD_LINK_MINUTES * T.SCALE.factor         # 18,000 minutes
 
 
 def _enriched(spark, sf) -> DataFrame:
-    """Silver (built once) joined to the lookup computed from it: ratio + class."""
-    s = T.silver(spark, sf)
-    return J.enrich_free_flow(s, T.lookup(spark, sf, silver_df=s))
+    """Stored silver joined to the stored lookup: ratio + class."""
+    return J.enrich_free_flow(T.silver(spark, sf), T.lookup(spark, sf))
 
 
 def _gold_split(spark, sf):
@@ -134,9 +137,8 @@ def q_filter_not_null(spark, sf):
 SELECT link_id, data_as_of, speed FROM bronze
 WHERE link_id IN (SELECT link_id FROM active EXCEPT SELECT link_id FROM gold)""")
 def q_filter_link_sample(spark, sf):
-    # the investigation step: raw rows of the active links that produced no gold row;
-    # the link list (at most one entry per road link) is data-derived, not literal
-    ids = [r.link_id for r in P.missing_links(T.active(spark, sf), T.gold(spark, sf)).collect()]
+    # the investigation step: raw rows of the active links that produced no gold row
+    ids = P.missing_links(T.active(spark, sf), T.gold(spark, sf))
     return P.filter_link_sample(T.bronze(spark, sf), ids).select("link_id", "data_as_of", "speed")
 
 
@@ -151,7 +153,7 @@ SELECT DISTINCT trim(trim("linkId"), '"') AS link_id FROM feed
 WHERE (strptime(trim(trim("DataAsOf"), '"'), '%m/%d/%Y %H:%M:%S') AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC'
       >= TIMESTAMP '{T.NOW}' - INTERVAL 48 HOUR""")
 def q_active_links(spark, sf):
-    f = R.feed_rows(T.table(spark, sf, "events"))
+    f = T.feed_rows(T.table(spark, sf, "events"))
     parsed = R.parse_feed(f)
     return P.active_links(parsed, T.NOW)
 
@@ -197,22 +199,28 @@ SELECT CAST(link_id AS VARCHAR) AS link_id, CAST(borough AS VARCHAR) AS borough,
   CAST(future_congestion_15min AS DOUBLE) AS future_congestion_15min, data_as_of,
   CAST(year AS DOUBLE) AS year FROM gold""")
 def q_bulk_cast(spark, sf):
-    from .training import training_frame
+    from roadlake.plans.training import training_frame
     return training_frame(T.gold(spark, sf))
 
 
-@query("stratified_sample", None)
+@query("stratified_sample", _w(*O.DENSE_GOLD) + f"""
+SELECT link_id, data_as_of, future_congestion_15min FROM dense_gold
+WHERE substr(md5('{S.SAMPLE_SEED}|' || link_id || '|' || CAST(data_as_of AS VARCHAR)), 1, 8) < '{P.sample_limit(S.SAMPLE_FRACTION)}'""")
 def q_stratified_sample(spark, sf):
-    return P.stratified_sample(T.gold(spark, sf))
+    return P.stratified_sample(T.dense_gold(spark, sf), ["link_id", "data_as_of"]).select("link_id", "data_as_of", S.LABEL_COL)
 
 
 @query("union_months", """
 SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem
-WHERE l_shipdate >= TIMESTAMP '1995-01-01' AND l_shipdate < TIMESTAMP '2002-01-01'""")
+WHERE l_shipdate >= (SELECT date_trunc('month', min(l_shipdate)) FROM lineitem) + INTERVAL 12 MONTH
+  AND l_shipdate < (SELECT date_trunc('month', max(l_shipdate)) FROM lineitem) - INTERVAL 11 MONTH""")
 def q_union_months(spark, sf):
+    """All months from the 13th present to the 13th from the end, as one pushed range over one scan."""
     li = T.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
-    parts = [li.filter(F.year("l_shipdate") == y) for y in range(1995, 2002)]
-    return P.union_all(parts)
+    ends = li.agg(F.min("l_shipdate"), F.max("l_shipdate")).first()  # from the file footers
+    month = lambda t, n: divmod(t.year * 12 + t.month - 1 + n, 12)
+    (y0, m0), (y1, m1) = month(ends[0], 12), month(ends[1], -12)
+    return P.months_between(li, (y0, m0 + 1), (y1, m1 + 1), ts="l_shipdate")
 
 
 @query("dedupe_by_key", _w(O.BRONZE) + """
@@ -280,13 +288,24 @@ def q_join_holiday(spark, sf):
 
 @query("free_flow_lookup", _w(*O.BASE_LOOKUP) + "SELECT link_id, free_flow_speed, borough, link_name FROM lookup")
 def q_free_flow_lookup(spark, sf):
-    return T.lookup(spark, sf)
+    return T.build_lookup(spark, sf)
 
 
-@query("free_flow_lookup_approx", _w(*O.BASE_LOOKUP) +
-       "SELECT link_id, free_flow_speed, borough, link_name FROM lookup")
+@query("free_flow_lookup_approx", """
+WITH x AS (SELECT l_suppkey % 20 AS link, l_extendedprice AS v FROM lineitem),
+r AS (SELECT link, v, cume_dist() OVER (PARTITION BY link ORDER BY v) AS share, count(*) OVER (PARTITION BY link) AS n FROM x)
+SELECT CAST(link AS VARCHAR) AS link_id, max(n) AS rows, TRUE AS within FROM r GROUP BY link""")
 def q_free_flow_lookup_approx(spark, sf):
-    return T.lookup(spark, sf, method="approx", accuracy=1_000_000)
+    """The sketch at its default accuracy over continuous values: its rank is within n / accuracy (and one row)."""
+    x = T.table(spark, sf, "lineitem").select((F.col("l_suppkey") % 20).cast("string").alias("link_id"),
+                                              F.col("l_extendedprice").alias("speed"), F.col("l_shipdate").alias("data_as_of"),
+                                              F.lit("x").alias("borough"), F.lit("y").alias("link_name"))
+    lk = G.free_flow_lookup(x, method="approx")
+    ranked = x.join(lk.select("link_id", "free_flow_speed"), "link_id").groupBy("link_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("speed") < F.col("free_flow_speed")).alias("below"),
+        F.count_if(F.col("speed") <= F.col("free_flow_speed")).alias("upto"))
+    wanted, slack = F.col("rows") * S.FREE_FLOW_PERCENTILE, F.col("rows") / 10_000 + 1
+    return ranked.select("link_id", "rows", ((F.col("below") - slack <= wanted) & (F.col("upto") + slack >= wanted)).alias("within"))
 
 
 @query("enrich_free_flow", _w(*O.BASE_LOOKUP, O.ENRICHED) + """
@@ -357,7 +376,8 @@ def _serving_sql() -> str:
     lags = {15: (10, 20), 30: (25, 35), 45: (40, 50), 60: (55, 65)}
     us = 150 * 60_000_000
     ctes = [O.READINGS] + list(O.BASE_LOOKUP) + [O.SNAPSHOTS, f"""s AS (
-  SELECT link_id, event_id, epoch_us(data_as_of) AS u, data_as_of, current_congestion, speed_ratio, link_name
+  SELECT link_id, event_id, epoch_us(data_as_of) AS u, data_as_of, current_congestion, speed_ratio,
+         CASE WHEN event_id % 7 = 0 THEN '' ELSE link_name END AS link_name
   FROM snapshots WHERE data_as_of >= TIMESTAMP '{T.NOW}' - INTERVAL {int(LOOKBACK_MIN)} MINUTE)""",
             """latest AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY link_id ORDER BY u DESC, event_id) = 1)"""]
     cols = []
@@ -396,12 +416,15 @@ WHERE p15.found AND p30.found AND p45.found AND p60.found"""
     return O.with_(*ctes) + sel
 
 
+def _window(spark, sf) -> DataFrame:
+    """Snapshots of the lookback; every seventh has no name, as in the feed, so the lookup's stands in."""
+    w = R.lookback_window(T.snapshots(spark, sf), T.NOW, LOOKBACK_MIN)
+    return w.withColumn("link_name", F.when(F.col("event_id") % 7 == 0, F.lit("")).otherwise(F.col("link_name")))
+
+
 @query("serving_features", _serving_sql())
 def q_serving_features(spark, sf):
-    lk = T.lookup(spark, sf, materialize=True)
-    window = R.lookback_window(T.snapshots(spark, sf, lk), T.NOW, LOOKBACK_MIN)
-    return serving_features(window, lk, T.holidays(spark), tie="event_id",
-                            params=T.SERVING_PARAMS, stored=True)
+    return serving_features(_window(spark, sf), T.lookup(spark, sf), T.holidays(spark), tie="event_id", params=T.SERVING_PARAMS)
 
 
 # ---------------------------------------------------------------- 2.5 aggregations
@@ -618,10 +641,9 @@ def q_gold_features(spark, sf):
 SELECT link_id, data_as_of, gap_15min, gap_30min, gap_45min, gap_60min, gap_future_15min FROM gold""")
 def q_gap_minutes(spark, sf):
     """W3 + P10: whole-second gaps of every kept row, each inside its (scaled) tolerance."""
-    from ..operators.joins import enrich_free_flow
-    from ..operators.windows import gold_features
-    s = T.silver(spark, sf)
-    e = enrich_free_flow(s, T.lookup(spark, sf, silver_df=s))
+    from roadlake.operators.joins import enrich_free_flow
+    from roadlake.operators.windows import gold_features
+    e = enrich_free_flow(T.silver(spark, sf), T.lookup(spark, sf))
     g = gold_features(e, T.GOLD_PARAMS, ts="data_as_of_utc", tie=("speed",), keep_gaps=True)
     return g.select("link_id", "data_as_of", "gap_15min", "gap_30min", "gap_45min", "gap_60min", "gap_future_15min")
 
@@ -671,8 +693,8 @@ def q_utc_to_local(spark, sf):
 SELECT event_id, (strptime(trim(trim("DataAsOf"), '"'), '%m/%d/%Y %H:%M:%S') AT TIME ZONE 'America/New_York')
   AT TIME ZONE 'UTC' AS data_as_of FROM feed""")
 def q_parse_local_ts(spark, sf):
-    f = R.feed_rows(T.table(spark, sf, "events"))
-    return f.select("event_id", parse_local_ts(clean_quotes('"DataAsOf"')).alias("data_as_of"))
+    f = T.feed_rows(T.table(spark, sf, "events"))
+    return f.select("event_id", parse_local_ts(clean_quotes("raw_time")).alias("data_as_of"))
 
 
 @query("calendar_features", _w(*O.BASE_SILVER) + """
@@ -705,9 +727,9 @@ def q_epoch_arith(spark, sf):
 SELECT event_id, trim(trim("linkId"), '"') AS link_id, trim(trim("Speed"), '"') AS speed,
   trim(trim("linkName"), '"') AS link_name FROM feed""")
 def q_clean_quotes(spark, sf):
-    f = R.feed_rows(T.table(spark, sf, "events"))
-    return f.select("event_id", clean_quotes('"linkId"').alias("link_id"), clean_quotes('"Speed"').alias("speed"),
-                    clean_quotes('"linkName"').alias("link_name"))
+    f = T.feed_rows(T.table(spark, sf, "events"))
+    return f.select("event_id", clean_quotes("raw_link").alias("link_id"), clean_quotes("raw_speed").alias("speed"),
+                    clean_quotes("raw_name").alias("link_name"))
 
 
 @query("parse_first_point", _w(O.BRONZE) + r"""
@@ -766,7 +788,7 @@ SELECT event_id, link_id, CASE
   WHEN speed IS NULL OR speed <= 0 OR speed >= 100 THEN 'faulty_sensor'
   ELSE 'valid' END AS verdict FROM readings""")
 def q_case_cascade(spark, sf):
-    from ..streaming.collector import case_cascade
+    from roadlake.streaming.collector import case_cascade
     return case_cascade(T.readings(spark, sf), T.active(spark, sf), T.NOW, DEAD_MIN) \
         .select("event_id", "link_id", "verdict")
 
@@ -798,20 +820,20 @@ SELECT count(*) AS rows, 125 AS expected, count(*) = 125 AS ok FROM p
 WHERE len(parts) = 2 AND regexp_matches(trim(parts[1]), '^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$')
   AND regexp_matches(trim(parts[2]), '^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$')""")
 def q_expected_count(spark, sf):
-    from ..operators.quality import expected_count
+    from roadlake.operators.quality import expected_count
     return expected_count(link_coordinates(T.bronze(spark, sf), T.active(spark, sf)), S.EXPECTED_COORDINATE_ROWS)
 
 
 @query("silver_clean", _w(*O.BASE_SILVER) + "SELECT * FROM silver")
 def q_silver_clean(spark, sf):
-    return T.silver(spark, sf)
+    return T.clean(spark, sf)
 
 
 @query("profile_snapshots", _w(*O.BASE_SNAP) + """
 SELECT count(*) AS rows, count(DISTINCT link_id) AS links, min(data_as_of) AS min_ts, max(data_as_of) AS max_ts,
   count(*) FILTER (WHERE link_name IS NULL) AS null_names FROM snapshots""")
 def q_profile_snapshots(spark, sf):
-    from ..operators.quality import profile
+    from roadlake.operators.quality import profile
     return profile(T.snapshots(spark, sf))
 
 
@@ -820,38 +842,111 @@ def q_profile_snapshots(spark, sf):
 SELECT link_id, CAST(row_number() OVER (ORDER BY count(*) DESC, link_id) - 1 AS DOUBLE) AS link_id_idx
 FROM gold_split WHERE split = 'train' GROUP BY link_id""")
 def q_index_categories(spark, sf):
-    from ..operators.ml import index_labels
+    from roadlake.operators.ml import index_labels
     train = _gold_split(spark, sf).filter(F.col("split") == "train")
     return index_labels(train, "link_id")
 
 
-def _fit_forest(spark, sf):
-    """M2-M4 on the sampled, weighted training split (reference parameters; ``maxBins``
-    raised to the number of link categories when that is larger)."""
-    from ..operators.ml import build_pipeline
-    from .training import prepare, weighted_train
-    frame = prepare(T.gold(spark, sf), T.SPLITS)
-    train = weighted_train(frame)
-    stats = train.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("link_id").alias("links")).head()
-    n_links = stats["links"] + 1  # + the "unseen" bucket
-    return build_pipeline(categorical=stats["n"] > n_links,
-                          maxBins=max(S.FOREST_PARAMS["maxBins"], n_links + 1)).fit(train)
+def _forest(spark, sf):
+    """The frame with its splits and the forest fitted on the sampled train split of the dense series."""
+    from roadlake.plans.training import fit_forest, prepare
+    frame = prepare(T.dense_gold(spark, sf), T.DENSE_SPLITS)
+    return frame, fit_forest(frame)
 
 
-@query("score_batch", None)
-def q_score_batch(spark, sf):
-    from ..operators.ml import score_batch
-    model = _fit_forest(spark, sf)
-    lk = T.lookup(spark, sf, materialize=True)
-    window = R.lookback_window(T.snapshots(spark, sf, lk), T.NOW, LOOKBACK_MIN)
-    feats = serving_features(window, lk, T.holidays(spark), tie="event_id", params=T.SERVING_PARAMS, stored=True)
+def _predictions(spark, sf) -> DataFrame:
+    from roadlake.operators.ml import score_batch
+    _, model = _forest(spark, sf)
+    feats = serving_features(_window(spark, sf), T.lookup(spark, sf), T.holidays(spark), tie="event_id", params=T.SERVING_PARAMS)
     return score_batch(model, feats)
 
 
+@query("score_batch", O.with_(f"served AS ({_serving_sql()})") + """
+SELECT link_id, data_as_of AS timestamp, data_as_of + INTERVAL 15 MINUTE AS target_time, TRUE AS class_ok, TRUE AS confidence_ok
+FROM served""")
+def q_score_batch(spark, sf):
+    """M7: one prediction per served link; which class is the forest's own business, that it is one is not."""
+    p = _predictions(spark, sf)
+    return p.select("link_id", "timestamp", "target_time", F.col("predicted_congestion").isin(*S.CLASSES).alias("class_ok"),
+                    F.col("confidence").between(0.333, 1.0).alias("confidence_ok"))
+
+
+@query("prediction_profile", O.with_(f"served AS ({_serving_sql()})") + """
+SELECT count(*) AS rows, count(DISTINCT link_id) AS links, min(data_as_of) AS min_ts, max(data_as_of) AS max_ts,
+  count(*) FILTER (WHERE link_name IS NULL) AS null_names FROM served""")
+def q_prediction_profile(spark, sf):
+    """K8 -> S7 -> Q5: predictions are written, scanned again and profiled."""
+    from roadlake.operators.quality import profile
+    from roadlake.sources.writers import write_predictions
+    root = f"{checkpoint_dir(spark)}/predictions-{uuid.uuid4().hex}"
+    write_predictions(_predictions(spark, sf), root, T.NOW, run_id="profile", batch_id=0)
+    return profile(R.scan_predictions(spark, root), ts="timestamp")
+
+
+@query("evaluate_split", _w(*O.DENSE_GOLD) + """
+SELECT split, count(*) AS rows, TRUE AS f1_ok FROM dense_split WHERE split <> 'train' GROUP BY split""")
+def q_evaluate_split(spark, sf):
+    """M5: the confusion counts of the fitted model add up to all rows of the split."""
+    from roadlake.plans.training import evaluate
+    frame, model = _forest(spark, sf)
+    parts = []
+    for split in ("val", "test"):
+        e = evaluate(model, frame.filter(F.col("split") == split))
+        n = e["confusion"].agg(F.sum(F.col("pred_0") + F.col("pred_1") + F.col("pred_2")).cast("long").alias("rows"))
+        parts.append(n.crossJoin(e["macro_f1"].select(F.col("macro_f1").between(0.0, 1.0).alias("f1_ok")))  # one row each
+                     .where(F.col("rows") > 0).select(F.lit(split).alias("split"), "rows", "f1_ok"))
+    return P.union_all(parts)
+
+
 @query("feature_importance", None)
 def q_feature_importance(spark, sf):
-    from ..operators.ml import feature_importance
-    return feature_importance(_fit_forest(spark, sf))
+    from roadlake.operators.ml import feature_importance
+    return feature_importance(_forest(spark, sf)[1])
+
+
+# ---------------------------------------------------------------- dense series, order and written forms
+@query("gold_features_dense", _w(*O.DENSE_GOLD) + f"SELECT {', '.join(S.GOLD_COLUMNS)} FROM dense_gold")
+def q_gold_features_dense(spark, sf):
+    return T.dense_gold(spark, sf)
+
+
+@query("change_detect_arrival", _w(O.READINGS) + """
+SELECT event_id, link_id, hour FROM (
+  SELECT event_id, link_id, hour, row_number() OVER w AS rn, lag(hour) OVER w AS prev
+  FROM (SELECT *, CASE WHEN event_id % 11 = 0 THEN NULL ELSE date_trunc('day', data_as_of) END AS hour,
+               (event_id * 7919) % 1000003 AS arrival FROM readings) r
+  WINDOW w AS (PARTITION BY link_id ORDER BY arrival, event_id)) x
+WHERE rn = 1 OR prev IS DISTINCT FROM hour""")
+def q_change_detect_arrival(spark, sf):
+    """W6 with rows that arrive out of time order (A, B, A happens) and null values."""
+    r = T.readings(spark, sf)
+    arrival = (F.col("event_id") * 7919) % 1000003
+    day = F.when(F.col("event_id") % 11 != 0, F.to_date("data_as_of").cast("timestamp_ntz"))
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    r = r.select("event_id", "link_id", day.alias("hour"), F.timestamp_add("SECOND", arrival, start).alias("ingest_ts"),
+                 F.col("event_id").alias("row_no"))
+    return W.change_detect(r, value="hour").select("event_id", "link_id", "hour")
+
+
+@query("order_within_link_rank", _w(*O.BASE_SNAP) + """
+SELECT link_id, data_as_of, CAST(row_number() OVER (ORDER BY link_id, data_as_of, event_id) - 1 AS BIGINT) AS place FROM snapshots""")
+def q_order_within_link_rank(spark, sf):
+    """W7 + W8: the place of every row in the written, ordered output."""
+    s = W.order_output(T.snapshots(spark, sf).select("link_id", "data_as_of", "event_id"), "link_id", "data_as_of", "event_id")
+    return numbered(s).select("link_id", "data_as_of", "place")
+
+
+def numbered(ordered: DataFrame) -> DataFrame:
+    """Rows of an ordered frame with their place: the parts' counts, then the place inside the part."""
+    marked = ordered.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_id"))
+    path = f"{checkpoint_dir(ordered.sparkSession)}/ordered-{uuid.uuid4().hex}"
+    marked.write.parquet(path)  # the order is fixed once
+    rows = ordered.sparkSession.read.parquet(path)
+    counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
+    counts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.join(counts, "_part").withColumn("place", F.col("_before") + inside)
 
 
 def queries() -> dict:

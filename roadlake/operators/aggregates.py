@@ -6,52 +6,69 @@ All of them are single ``groupBy().agg()`` passes; Spark runs them as partial
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import settings as S
 from ..functions.congestion import class_label
 
 
+def ranked_values(x: DataFrame, keys: list[str], value: str, ranks: dict[str, tuple[float, Column]],
+                  accuracy: int = 10_000) -> DataFrame:
+    """Exact order statistics per key, bounded in memory whatever the number of values.
+
+    ``ranks`` maps a name to ``(share, rank)``: the place that is wanted, as a share of the
+    rows and as a 0-based rank in terms of ``_n``, the key's row count.  One pass brackets
+    each rank by two sketch quantiles (their rank error is at most ``n / accuracy``, the
+    margin is twice that); a second counts the rows below each bracket as one group and the
+    rows inside, about ``4 n / accuracy`` per rank, by value; those counts are ranked.
+    Null and NaN values take no part.  Returns ``keys``, ``_n`` and one column per name.
+    """
+    x = x.select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    if not keys:
+        x = x.withColumn("_all", F.lit(0))
+    by = keys or ["_all"]
+    margin = 2.0 / accuracy
+    names = list(ranks)
+    probs = [min(1.0, max(0.0, p)) for n in names for p in (ranks[n][0] - margin, ranks[n][0] + margin)]
+    sketch = x.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_x", probs, accuracy).alias("_b"))
+    # a rank is rounded to a whole row, which can lie one row outside its share: the ends stay open there
+    small = F.col("_n") <= 4 * accuracy
+    bracket = [F.struct(F.lit(k).alias("k"), ranks[n][1].cast("long").alias("rank"),
+                        F.when(small, F.lit(float("-inf"))).otherwise(F.col("_b")[2 * k]).alias("lo"),
+                        F.when(small, F.lit(float("inf"))).otherwise(F.col("_b")[2 * k + 1]).alias("hi")) for k, n in enumerate(names)]
+    sketch = sketch.select(*by, "_n", F.array(*bracket).alias("_k"))
+    met = x.join(sketch, by).select(*by, "_n", "_x", F.explode(F.filter("_k", lambda b: F.col("_x") <= b["hi"])).alias("b"))
+    # all rows below a bracket are one group, its null value sorts first
+    counted = (met.groupBy(*by, "_n", F.col("b.k").alias("_of"), F.col("b.rank").alias("_rank"),
+                           F.when(F.col("_x") >= F.col("b.lo"), F.col("_x")).alias("_x")).agg(F.count(F.lit(1)).alias("_m")))
+    run = Window.partitionBy(*by, "_of").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    upto = counted.withColumn("_upto", F.sum("_m").over(run))
+    pick = [F.min(F.when((F.col("_of") == k) & (F.col("_upto") > F.col("_rank")), F.col("_x"))).alias(n) for k, n in enumerate(names)]
+    return upto.groupBy(*by).agg(F.first("_n").alias("_n"), *pick).select(*keys, "_n", *names)
+
+
 def free_flow_lookup(df: DataFrame, key: str = "link_id", speed: str = "speed",
                      order: str = "data_as_of", q: float = S.FREE_FLOW_PERCENTILE,
-                     method: str = "exact", accuracy: int = 10000) -> DataFrame:
+                     method: str = "exact", accuracy: int = 10_000) -> DataFrame:
     """G1 + G2 + J2: one row per link -> (link_id, free_flow_speed, borough, link_name).
 
     ``free_flow_speed`` is the discrete ``q`` percentile of speed (the smallest value
     whose cumulative share reaches ``q``); ``borough``/``link_name`` come from the
-    link's earliest row.  Both are computed from one scan, no self join.
-
-    ``method="exact"``: ``percentile_disc`` -- each map task keeps a value -> count map
-    per link (partial aggregation collapses a hot link to its distinct speeds), one
-    shuffle by link merges them.  ``method="histogram"``: the same numbers from a
-    (link, speed) count table and a running sum per link; its window buffers spill
-    to disk, so it also suits links with an unbounded number of distinct speeds.
-    ``method="approx"``: ``percentile_approx`` sketches with the given ``accuracy``
-    (bounded memory per group, approximate rank).
+    link's earliest row.
+
+    ``method="exact"``: ``ranked_values``, exact with bounded state per link.
+    ``method="approx"``: ``percentile_approx`` sketches with the given ``accuracy``.
     """
     src = df.filter(F.col(speed).isNotNull())
     meta = F.min(F.struct(F.col(order).alias("t"), F.col("borough").alias("borough"),
-                          F.col("link_name").alias("link_name")))
+                          F.col("link_name").alias("link_name"))).alias("_m")
     if method == "approx":
-        out = src.groupBy(key).agg(
-            F.percentile_approx(speed, q, accuracy).cast("double").alias("free_flow_speed"),
-            meta.alias("_m"))
-    elif method == "exact":
-        pdisc = F.expr(f"percentile_disc({float(q)}) WITHIN GROUP (ORDER BY `{speed}`)")
-        out = src.groupBy(key).agg(pdisc.cast("double").alias("free_flow_speed"), meta.alias("_m"))
+        out = src.groupBy(key).agg(F.percentile_approx(speed, q, accuracy).cast("double").alias("free_flow_speed"), meta)
     else:
-        hist = src.groupBy(key, speed).agg(F.count(F.lit(1)).alias("_n"), meta.alias("_m"))
-        w_run = Window.partitionBy(key).orderBy(speed).rowsBetween(Window.unboundedPreceding, 0)
-        w_all = Window.partitionBy(key)
-        hist = (hist.withColumn("_cum", F.sum("_n").over(w_run))
-                .withColumn("_tot", F.sum("_n").over(w_all)))
-        rank = F.ceil(F.lit(q) * F.col("_tot"))
-        out = hist.groupBy(key).agg(
-            F.min(F.when(F.col("_cum") >= rank, F.col(speed))).cast("double").alias("free_flow_speed"),
-            F.min("_m").alias("_m"))
+        rank = F.greatest(F.ceil(F.lit(q) * F.col("_n")) - 1, F.lit(0))
+        speeds = ranked_values(src, [key], speed, {"free_flow_speed": (q, rank)}, accuracy)
+        out = src.groupBy(key).agg(meta).join(speeds, key, "left")
     return out.select(key, "free_flow_speed", F.col("_m.borough").alias("borough"),
                       F.col("_m.link_name").alias("link_name"))
 
@@ -111,79 +128,30 @@ def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
 
 
-def exact_quantiles(df: DataFrame, col: str, qs=(0.25, 0.5, 0.75), accuracy: int = 100_000) -> list:
-    """Exact linearly interpolated quantiles (pandas / ``quantile_cont``) without
-    gathering the column into one task.
-
-    Pass 1 counts rows and brackets every needed rank with ``percentile_approx``
-    (rank error <= n/accuracy).  Pass 2 counts rows below each bracket and builds a
-    (value, count) histogram of the rows inside the brackets only -- about
-    4n/accuracy rows -- from which the exact ranked values are read.  A bracket
-    that misses its rank (never expected) is widened and retried.
-    """
-    x = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    n = x.count()
-    if n == 0:
-        return [None for _ in qs]
-    ranks = sorted({int(math.floor(q * (n - 1))) for q in qs} | {int(math.ceil(q * (n - 1))) for q in qs})
-    margin = 2.0 / accuracy
-    while True:
-        probs = []
-        for r in ranks:
-            probs += [max(0.0, r / n - margin), min(1.0, (r + 1) / n + margin)]
-        bounds = x.agg(F.percentile_approx("x", probs, accuracy).alias("b")).head()["b"]
-        brackets = [(bounds[2 * i], bounds[2 * i + 1]) for i in range(len(ranks))]
-        band = None
-        for lo, hi in brackets:
-            c = (F.col("x") >= lo) & (F.col("x") <= hi)
-            band = c if band is None else band | c
-        below = x.agg(*[F.count_if(F.col("x") < lo).alias(f"b{i}") for i, (lo, _) in enumerate(brackets)]).head()
-        hist = sorted((r["x"], r["n"]) for r in
-                      x.filter(band).groupBy("x").agg(F.count(F.lit(1)).alias("n")).collect())
-        values, ok = {}, True
-        for i, (r, (lo, hi)) in enumerate(zip(ranks, brackets)):
-            seen = below[f"b{i}"]
-            found = None
-            for v, cnt in hist:
-                if v < lo or v > hi:
-                    continue
-                if seen + cnt > r:
-                    found = v
-                    break
-                seen += cnt
-            if found is None or below[f"b{i}"] > r:
-                ok = False
-                break
-            values[r] = found
-        if ok:
-            break
-        margin *= 4
-    out = []
-    for q in qs:
-        pos = q * (n - 1)
-        lo_r, hi_r = int(math.floor(pos)), int(math.ceil(pos))
-        out.append(values[lo_r] + (values[hi_r] - values[lo_r]) * (pos - lo_r))
-    return out
-
-
-def describe_column(df: DataFrame, col: str, digits: int = 4) -> DataFrame:
+def describe_column(df: DataFrame, col: str, digits: int = 4, accuracy: int = 10_000) -> DataFrame:
     """Count, mean, std, min, quartiles (interpolated, exact), max -- rounded.
 
-    Moments come from one aggregate; the quartiles from ``exact_quantiles``.
+    NaN counts as missing.  The quartiles interpolate between the two ranked values around
+    them, as pandas and ``quantile_cont`` do; nothing but the one result row is gathered.
     """
-    c = F.col(col)
-    p25, p50, p75 = exact_quantiles(df, col, (0.25, 0.5, 0.75))
-    lit = lambda v: F.lit(v).cast("double")
-    return df.agg(
-        F.count(c).alias("count"),
-        F.round(F.avg(c), digits).alias("mean"),
-        F.round(F.stddev_samp(c), digits).alias("std"),
-        F.round(F.min(c), digits).alias("min"),
-        F.round(lit(p25), digits).alias("p25"),
-        F.round(lit(p50), digits).alias("p50"),
-        F.round(lit(p75), digits).alias("p75"),
-        F.round(F.max(c), digits).alias("max"),
-    )
+    x = df.select(F.col(col).cast("double").alias("x"))
+    x = x.withColumn("x", F.when(~F.isnan("x"), F.col("x")))
+    places = {}
+    for name, share in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+        at = F.lit(share) * (F.col("_n") - 1)
+        places[f"{name}_lo"], places[f"{name}_hi"] = (share, F.floor(at)), (share, F.ceil(at))
+    ranked = ranked_values(x, [], "x", places, accuracy)
+    moments = x.agg(F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
+                    F.min("x").alias("min"), F.max("x").alias("max"))
+    quartiles = []
+    for name, share in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+        at = F.lit(share) * (F.col("_n") - 1)
+        lo, hi = F.col(f"{name}_lo"), F.col(f"{name}_hi")
+        quartiles.append(F.round(lo + (hi - lo) * (at - F.floor(at)), digits).alias(name))
+    # one row each
+    both = moments.join(F.broadcast(ranked), F.lit(True), "left")
+    return both.select("count", *(F.round(c, digits).alias(c) for c in ("mean", "std", "min")), *quartiles,
+                       F.round("max", digits).alias("max"))
 
 
 def class_histogram(df: DataFrame, col: str = "predicted_congestion") -> DataFrame:
@@ -198,11 +166,11 @@ def split_class_distribution(df: DataFrame, label: str = S.LABEL_COL, split: str
 
 
 def coverage(df: DataFrame, key: str = "link_id", ts: str = "data_as_of") -> DataFrame:
-    """Distinct links, rows, distinct (year, month) present -- one aggregate."""
-    ym = F.year(ts) * 100 + F.month(ts)
-    return df.agg(F.count_distinct(key).alias("links"), F.count(F.lit(1)).alias("rows"),
-                  F.count_distinct(ym).alias("months"),
-                  F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
+    """Distinct links, rows, distinct (year, month) present; the rows shrink to one per link and month first."""
+    ym = (F.year(ts) * 100 + F.month(ts)).alias("ym")
+    small = df.groupBy(key, ym).agg(F.count(F.lit(1)).alias("n"), F.min(ts).alias("lo"), F.max(ts).alias("hi"))
+    return small.agg(F.count_distinct(key).alias("links"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+                     F.count_distinct("ym").alias("months"), F.min("lo").alias("first_ts"), F.max("hi").alias("last_ts"))
 
 
 def snapshot_readiness(df: DataFrame, key: str = "link_id",

@@ -20,10 +20,9 @@ from pyspark.sql import functions as F
 
 from .. import settings as S
 from ..functions.congestion import congestion_trend, speed_ratio_trend
-from ..functions.timefn import calendar_features, utc_to_local
+from ..functions.timefn import calendar_features, epoch_micros, utc_to_local
 from .joins import join_holiday, lookup_inner
 from .skew import BUCKET, HOME, MICROS, with_halo
-from .windows import latest_per_link
 
 
 def _pick_nearest(bk: Column, fw: Column, target_us: Column) -> Column:
@@ -62,20 +61,48 @@ def asof_lags(df: DataFrame, values: list[str], key: str = "link_id", ts: str =
     return split.select("*", *cols).filter(F.col(HOME)).drop(BUCKET, HOME, MICROS)
 
 
+def newest_with_lags(snapshots: DataFrame, values: list[str], key: str = "link_id", ts: str = "data_as_of",
+                     tie: str | None = None, params: S.ServingParams = S.ServingParams()) -> DataFrame:
+    """W5 + J6 + J7 for the newest snapshot of each link only: two partial aggregates, no window.
+
+    The first finds each link's newest time; it is joined back on the link (one row per
+    link), and the second takes the newest row and, per lag, the latest row at or before
+    the target and the earliest after it, each from its own time range.
+    """
+    sc = params.scale
+    us = epoch_micros(F.col(ts))
+    t = F.col(tie) if tie else F.lit(0)
+    ref = snapshots.groupBy(key).agg(F.max(us).alias("_ref"))
+    x = snapshots.select("*", us.alias("_at")).join(ref, on=key)
+    back = F.col("_ref") - F.col("_at")
+    # max() favours the smallest tie through -tie, min() through +tie
+    late = F.struct(F.col("_at").alias("u"), (-t).alias("_k"), *[F.col(v) for v in values])
+    early = F.struct(F.col("_at").alias("u"), t.alias("_k"), *[F.col(v) for v in values])
+    rest = [c for c in snapshots.columns if c != key]
+    aggs = [F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(F.col("_at"), -t)).alias("_r"), F.first("_ref").alias("_ref")]
+    for m, (lo, hi) in params.lag_tolerance.items():
+        at, near, far = sc.micros(m), sc.micros(lo), sc.micros(hi)
+        carried = at + sc.micros(params.locf_max_minutes)
+        aggs += [F.max(F.when(back.between(at, far), late)).alias(f"_b{m}"),
+                 F.min(F.when(back.between(near, at), early)).alias(f"_f{m}"),
+                 F.max(F.when(back.between(at, carried), late)).alias(f"_c{m}")]
+    found = x.groupBy(key).agg(*aggs)
+    lags = [F.coalesce(_pick_nearest(F.col(f"_b{m}"), F.col(f"_f{m}"), F.col("_ref") - F.lit(sc.micros(m))), F.col(f"_c{m}"))
+            .dropFields("_k").alias(f"lag_{m}") for m in params.lag_tolerance]
+    return found.select(key, *[F.col("_r." + c).alias(c) for c in rest], *lags)
+
+
 def serving_features(snapshots: DataFrame, lookup: DataFrame, holidays: DataFrame | None = None,
                      key: str = "link_id", tie: str | None = None,
-                     params: S.ServingParams = S.ServingParams(), zone: str = S.LOCAL_ZONE,
-                     checked: bool = True, stored: bool = False) -> DataFrame:
+                     params: S.ServingParams = S.ServingParams(), zone: str = S.LOCAL_ZONE) -> DataFrame:
     """J8 (+J5, W5, F4, F5, F9, F14, F19): one feature row per link for its newest snapshot.
 
     ``snapshots``: link_id, data_as_of (UTC instant), current_congestion, speed_ratio,
     link_name.  Links missing from the lookup or missing any lag are dropped.
     """
-    vals = ["current_congestion", "speed_ratio"]
-    lagged = asof_lags(snapshots, vals, key=key, tie=tie, params=params, mode="both")
-    newest = latest_per_link(lagged, key=key, ts="data_as_of", tie=tie)
+    newest = newest_with_lags(snapshots, ["current_congestion", "speed_ratio"], key=key, tie=tie, params=params)
     newest = newest.dropna(subset=[f"lag_{m}" for m in params.lag_tolerance])
-    feat = lookup_inner(newest, lookup, key=key, with_ratio=False, checked=checked, stored=stored)
+    feat = lookup_inner(newest, lookup, key=key, with_ratio=False)
     local = utc_to_local("data_as_of", zone)
     feat = feat.withColumn("_local", local)
     if holidays is not None:

@@ -36,12 +36,11 @@ def filter_valid_speed(df: DataFrame, col: str = "speed", lo: float = S.SPEED_MI
 def filter_active_links(df: DataFrame, active: DataFrame, key: str = "link_id") -> DataFrame:
     """Left-semi join against the active-link list.
 
-    The list holds one row per road link; it is counted first and broadcast only
-    within the bound (else a shuffle semi join).
+    The list is a stored artifact with one row per road link; Spark broadcasts it if its
+    bytes allow, else the join shuffles.
     """
-    from .joins import bounded_broadcast
     ids = active.select(F.col(active.columns[0]).cast("string").alias(key)).distinct()
-    return df.join(bounded_broadcast(ids), on=key, how="left_semi")
+    return df.join(ids, on=key, how="left_semi")
 
 
 def filter_not_null(df: DataFrame, *cols: str) -> DataFrame:
@@ -50,9 +49,12 @@ def filter_not_null(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def filter_link_sample(df: DataFrame, links, key: str = "link_id") -> DataFrame:
-    """P5: one link or a literal list of links."""
+    """P5: one link, a literal list of links, or a frame whose first column lists them (semi join)."""
     if isinstance(links, str):
         return df.filter(F.col(key) == links)
+    if isinstance(links, DataFrame):
+        ids = links.select(F.col(links.columns[0]).cast("string").alias(key))
+        return df.join(ids, on=key, how="left_semi")
     return df.filter(F.col(key).isin(list(links)))
 
 
@@ -101,10 +103,13 @@ def time_split(df: DataFrame, bounds: Mapping[str, object] = S.SPLIT_BOUNDS,
     return out if name is None else out.filter(F.col("split") == name)
 
 
-def valid_gap(gap_col, lo: float, hi: float) -> Column:
-    """P10: a null gap passes (removed later by dropna); else lo <= gap <= hi."""
-    g = _c(gap_col)
-    return g.isNull() | ((g >= lo) & (g <= hi))
+def within_gap(present: Column, minutes: Column, lo: float, hi: float) -> Column:
+    """P10 with P11's rule for lags: the neighbour is there and ``lo <= minutes <= hi``.
+
+    A row whose neighbour is missing would be dropped for its null lag afterwards anyway,
+    so one predicate per neighbour does both.
+    """
+    return present & minutes.between(lo, hi)
 
 
 def all_of(conds: Iterable[Column]) -> Column:
@@ -132,11 +137,21 @@ def bulk_cast(df: DataFrame, to_string: list[str] = (), to_double: list[str] = (
     ])
 
 
-def stratified_sample(df: DataFrame, label: str = S.LABEL_COL, fraction: float = S.SAMPLE_FRACTION,
+def stratified_sample(df: DataFrame, keys: list[str], label: str = S.LABEL_COL, fraction: float = S.SAMPLE_FRACTION,
                       classes=S.CLASSES, seed: int = S.SAMPLE_SEED) -> DataFrame:
-    """Per-class Bernoulli sample (no shuffle)."""
-    fr = {float(c): fraction for c in classes}
-    return df.sampleBy(F.col(label).cast("double"), fractions=fr, seed=seed)
+    """Per-class Bernoulli sample (no shuffle).
+
+    A row is drawn by a digest of its ``keys`` and the seed, so the same rows come back
+    whatever the partitioning, also when a lost task runs again.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *(F.col(k).cast("string") for k in keys))
+    drawn = F.substring(F.md5(text.cast("binary")), 1, 8) < F.lit(sample_limit(fraction))
+    return df.filter(F.col(label).cast("double").isin([float(c) for c in classes]) & drawn)
+
+
+def sample_limit(fraction: float) -> str:
+    """Digests whose first eight hex digits sort before this are drawn."""
+    return "g" if fraction >= 1 else f"{int(fraction * (1 << 32)):08x}"
 
 
 def union_all(dfs: list[DataFrame]) -> DataFrame:
@@ -144,6 +159,13 @@ def union_all(dfs: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
+def months_between(df: DataFrame, first: tuple[int, int], last: tuple[int, int], ts: str = "data_as_of") -> DataFrame:
+    """P15 over one table: all months from ``first`` to ``last`` (year, month), as one pushed half-open range."""
+    start = F.make_timestamp_ntz(F.lit(first[0]), F.lit(first[1]), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    end = F.timestamp_add("MONTH", F.lit(1), F.make_timestamp_ntz(F.lit(last[0]), F.lit(last[1]), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
+    return df.filter((F.col(ts) >= start) & (F.col(ts) < end))
+
+
 def dedupe_by_key(df: DataFrame, key: str = "link_id", order: list[str] | None = None) -> DataFrame:
     """One row per key, deterministically the smallest ``order`` row.
 

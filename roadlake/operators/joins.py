@@ -1,4 +1,9 @@
-"""Dimension joins (J1-J5) and the size-checked broadcast they share."""
+"""Dimension joins.
+
+A dimension (active list, free-flow lookup) is a stored table: callers pass it in, and
+Spark broadcasts it if its stored bytes are below the session's threshold.  Nothing
+here counts, stores or hints at a table that grows with the data.
+"""
 
 from __future__ import annotations
 
@@ -10,87 +15,45 @@ from ..functions.congestion import congestion_class, holiday_flag, speed_ratio
 from ..functions.text import name_fallback
 from ..functions.timefn import local_date_str
 
-# A dimension is broadcast only after counting it: one row per road link or per
-# calendar day is tiny, but nothing guarantees that for every caller.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``dim`` if it has at most ``max_rows`` rows, else leave it to a shuffle join.
-
-    The check runs ``limit(max_rows + 1).count()``: it stops reading once the bound is
-    exceeded.  Above the bound the join stays a sort-merge join that AQE may still
-    demote or split for skew at run time.
-    """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
-def small_dimension(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                    materialize: bool = True) -> DataFrame:
-    """Materialize a *derived* dimension once, then broadcast it if it is within bound.
-
-    The dimension (e.g. the free-flow lookup, an aggregate over all history) is
-    ``checkpoint()``-ed into ``spark.checkpoint.dir`` -- reliable storage that survives
-    executor loss -- so the size check and the join read the stored rows instead of
-    recomputing the aggregate.  Pass ``materialize=False`` for an input that is
-    already stored (a read artifact or a checkpointed frame): only the count runs.
-    """
-    stored = dim
-    if materialize:
-        from ..session import checkpoint_dir
-        checkpoint_dir(dim.sparkSession)
-        stored = dim.checkpoint(eager=True)
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
-
 
 def join_holiday(df: DataFrame, holidays: DataFrame, local_ts: str = "data_as_of",
-                 out: str = "is_holiday", checked: bool = False) -> DataFrame:
+                 out: str = "is_holiday") -> DataFrame:
     """J1 + F19: flag rows whose local date is a holiday (broadcast left join).
 
     After ``distinct`` the holiday table has at most one row per calendar date
-    (366 per covered year), a bound that holds by construction, so it is broadcast
-    without a counting job unless ``checked`` asks for one.
+    (366 per covered year), a bound that holds by construction, so it is broadcast.
     """
     h = holidays.select(F.col(holidays.columns[0]).cast("string").alias("_holiday_date")).distinct()
-    h = bounded_broadcast(h) if checked else F.broadcast(h)
     return (df.withColumn("_date_str", local_date_str(local_ts))
-            .join(h, F.col("_date_str") == F.col("_holiday_date"), "left")
+            .join(F.broadcast(h), F.col("_date_str") == F.col("_holiday_date"), "left")
             .withColumn(out, holiday_flag("_holiday_date"))
             .drop("_date_str", "_holiday_date"))
 
 
-def enrich_free_flow(df: DataFrame, lookup: DataFrame, key: str = "link_id",
-                     checked: bool = True, stored: bool = False) -> DataFrame:
+def enrich_free_flow(df: DataFrame, lookup: DataFrame, key: str = "link_id") -> DataFrame:
     """J3 + F7 + F8: attach free-flow speed (left join), ratio and class."""
-    lk = lookup.select(key, "free_flow_speed")
-    lk = small_dimension(lk, materialize=not stored) if checked else lk
-    return (df.join(lk, on=key, how="left")
+    return (df.join(lookup.select(key, "free_flow_speed"), on=key, how="left")
             .withColumn("speed_ratio", speed_ratio("speed", "free_flow_speed"))
             .withColumn("current_congestion", congestion_class("speed_ratio")))
 
 
 def join_class_weight(df: DataFrame, weights: DataFrame, label: str = S.LABEL_COL) -> DataFrame:
-    """Broadcast left join on differently named keys; the right key is dropped.
+    """Left join of each row's label to its class weight.
 
     The weight table has one row per class (three rows), a fixed bound.
     """
-    w = F.broadcast(weights.select(F.col(weights.columns[0]).alias("_label_for_weight"),
-                                   F.col("class_weight").cast("double")))
-    return (df.join(w, F.col(label).cast("double") == F.col("_label_for_weight").cast("double"), "left")
-            .drop("_label_for_weight"))
+    by_class = F.broadcast(weights.select(F.col(label).cast("double").alias("_class"), F.col("class_weight").cast("double")))
+    return df.join(by_class, F.col(label).cast("double") == F.col("_class"), "left").drop("_class")
 
 
 def lookup_inner(df: DataFrame, lookup: DataFrame, key: str = "link_id",
-                 with_ratio: bool = True, checked: bool = True, fallback: bool = True,
-                 stored: bool = False) -> DataFrame:
+                 with_ratio: bool = True, fallback: bool = True) -> DataFrame:
     """J5 (+F7/F8/F14): keep links in the lookup with free-flow > 0; attach borough,
     fall back to the lookup's link name, and optionally compute ratio and class.
     """
     lk = (lookup.filter(F.col("free_flow_speed") > 0)
           .select(key, "free_flow_speed",
                   F.col("borough").alias("_lk_borough"), F.col("link_name").alias("_lk_name")))
-    lk = small_dimension(lk, materialize=not stored) if checked else lk
     out = df.join(lk, on=key, how="inner")
     out = out.withColumn("borough", F.col("_lk_borough"))
     if "link_name" in df.columns:

@@ -6,7 +6,6 @@ predictions; only the 3 x 3 result is small.
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -86,21 +85,15 @@ def distribution_pct(df: DataFrame, by: str, split: str = "split", digits: int =
 def _pearson(df: DataFrame, cols: list[str]):
     """Pearson matrix of ``cols`` over complete rows: one distributed pass
     (``VectorAssembler`` + MLlib ``Correlation``); the k x k result is tiny.
-    A constant column has NaN correlations; they are reported as null."""
+    A constant column (its smallest value is its largest) has no correlations: null."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.stat import Correlation
-    vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip") \
-        .transform(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    typed = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    ends = typed.dropna().agg(*[(F.min(c) == F.max(c)).alias(c) for c in cols]).first()
+    vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(typed)
     m = Correlation.corr(vec, "_v", "pearson").head()[0].toArray()
-    k = len(cols)
-    out = {}
-    for i in range(k):
-        off = [m[i][j] for j in range(k) if j != i]
-        constant = k > 1 and all(math.isnan(v) for v in off)
-        for j in range(k):
-            v = float(m[i][j])
-            out[(i, j)] = None if (math.isnan(v) or (i == j and constant)) else v
-    return out
+    varies = [ends[c] is False for c in cols]
+    return {(i, j): float(m[i][j]) if varies[i] and varies[j] else None for i in range(len(cols)) for j in range(len(cols))}
 
 
 def correlation_matrix(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:

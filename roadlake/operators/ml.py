@@ -16,11 +16,18 @@ from ..functions.timefn import plus_minutes
 
 def index_labels(df: DataFrame, col: str) -> DataFrame:
     """M1 (as data): label -> index by frequency (desc), ties by value -- the order a
-    frequency-ordered ``StringIndexer`` assigns.  Distributed: a count per label and a
-    rank over the (small) label table."""
+    frequency-ordered ``StringIndexer`` assigns.
+
+    Labels of equal frequency are ranked among themselves; in front of them stand all labels
+    of higher frequencies, summed up over the distinct frequencies (far fewer than labels:
+    k of them need k * k / 2 rows).
+    """
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy(F.col("_n").desc(), F.col(col))  # one row per distinct label
-    return counts.select(col, (F.row_number().over(w) - 1).cast("double").alias(f"{col}_idx"))
+    sizes = counts.groupBy("_n").agg(F.count(F.lit(1)).alias("_labels"))
+    ahead = Window.orderBy(F.col("_n").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_n", F.coalesce(F.sum("_labels").over(ahead), F.lit(0)).alias("_ahead"))
+    own = F.row_number().over(Window.partitionBy("_n").orderBy(col)) - 1
+    return (counts.join(sizes, "_n").select(col, (F.col("_ahead") + own).cast("double").alias(f"{col}_idx")))
 
 
 def indexers(cols=S.CATEGORICAL_FEATURES) -> list:
@@ -47,22 +54,19 @@ def forest(weight_col: str | None = "class_weight", **overrides) -> RandomForest
     return RandomForestClassifier(**kw)
 
 
-def build_pipeline(weight_col: str | None = "class_weight", categorical: bool = True,
-                   **forest_overrides) -> Pipeline:
-    """M4: indexers -> assembler -> forest.
+def build_pipeline(weight_col: str | None = "class_weight", **forest_overrides) -> Pipeline:
+    """M4: indexers -> assembler -> forest, the same at every data size.
 
-    ``categorical=False`` feeds the indexes as plain numbers.  MLlib caps ``maxBins``
-    at the number of training rows, so a training set smaller than the link count
-    cannot hold link_id as a categorical feature.
+    ``maxBins`` must exceed the number of links by two (the unseen bucket and one), and
+    MLlib also needs at least that many training rows; ``bins_for`` sizes it.
     """
-    if categorical:
-        return Pipeline(stages=indexers() + [assembler(), forest(weight_col, **forest_overrides)])
-    from pyspark.ml.feature import SQLTransformer
-    nums = ", ".join(f"{c}_idx + 0.0 AS {c}_num" for c in S.CATEGORICAL_FEATURES)
-    strip = SQLTransformer(statement=f"SELECT *, {nums} FROM __THIS__")  # drops nominal metadata
-    asm = VectorAssembler(inputCols=[f"{c}_num" for c in S.CATEGORICAL_FEATURES] + S.NUMERIC_FEATURES,
-                          outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=indexers() + [strip, asm, forest(weight_col, **forest_overrides)])
+    return Pipeline(stages=indexers() + [assembler(), forest(weight_col, **forest_overrides)])
+
+
+def bins_for(train: DataFrame, cats=S.CATEGORICAL_FEATURES) -> int:
+    """``maxBins`` that holds every category of ``train`` and the unseen bucket."""
+    counts = train.agg(*(F.count_distinct(c).alias(c) for c in cats)).first()
+    return max(S.FOREST_PARAMS["maxBins"], max(counts) + 2)
 
 
 def feature_importance(model: PipelineModel, top: int = 5) -> DataFrame:

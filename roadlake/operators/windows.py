@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from .. import settings as S
 from ..functions.congestion import congestion_trend, speed_ratio_trend
 from ..functions.timefn import epoch_micros
-from .filters import all_of, dropna_required, valid_gap
-from .joins import bounded_broadcast
+from .filters import all_of, dropna_required, within_gap
 from .skew import BUCKET, HOME, MICROS, bucket_width_us, with_halo
 
 
@@ -46,10 +45,11 @@ def gold_features(df: DataFrame, params: S.GoldParams = S.GoldParams(), key: str
     lead_col = F.lead(row, params.lead_rows).over(w).alias("_f")
     out = split.select("*", sec.alias("_sec"), *lag_cols, lead_col)
 
-    conds = [valid_gap(_gap_minutes(F.col("_f.s"), F.col("_sec")),
-                       sc.minutes(params.lead_tolerance[0]), sc.minutes(params.lead_tolerance[1]))]
+    conds = [within_gap(F.col("_f").isNotNull(), _gap_minutes(F.col("_f.s"), F.col("_sec")),
+                        sc.minutes(params.lead_tolerance[0]), sc.minutes(params.lead_tolerance[1]))]
     for m, (lo, hi) in params.lag_tolerance.items():
-        conds.append(valid_gap(_gap_minutes(F.col("_sec"), F.col(f"_p{m}.s")), sc.minutes(lo), sc.minutes(hi)))
+        conds.append(within_gap(F.col(f"_p{m}").isNotNull(), _gap_minutes(F.col("_sec"), F.col(f"_p{m}.s")),
+                                sc.minutes(lo), sc.minutes(hi)))
     out = out.filter(F.col(HOME) & all_of(conds))
 
     proj = [F.col(c) for c in df.columns]
@@ -61,10 +61,9 @@ def gold_features(df: DataFrame, params: S.GoldParams = S.GoldParams(), key: str
         proj += [_gap_minutes(F.col("_sec"), F.col(f"_p{m}.s")).alias(f"gap_{m}min") for m in params.lag_rows]
         proj.append(_gap_minutes(F.col("_f.s"), F.col("_sec")).alias("gap_future_15min"))
     out = out.select(*proj)
-    required = ([f"past_congestion_{m}min" for m in params.lag_rows]
-                + [f"past_speed_ratio_{m}min" for m in params.lag_rows]
-                + [S.LABEL_COL, "speed_ratio", "current_congestion"])
-    out = dropna_required(out, required)
+    # What the model reads must be there: all columns added here, and the current state
+    added = [c for c in out.columns if c not in df.columns]
+    out = dropna_required(out, [*added, "speed_ratio", "current_congestion"])
     return (out.withColumn("congestion_trend", congestion_trend())
             .withColumn("speed_ratio_trend", speed_ratio_trend()))
 
@@ -82,30 +81,27 @@ def latest_per_link(df: DataFrame, key: str = "link_id", ts: str = "data_as_of",
 
 
 def change_detect(df: DataFrame, key: str = "link_id", value: str = "data_as_of",
-                  order: tuple = ("ingest_ts", "row_no"), bucket_hours: float = 24.0,
-                  checked: bool = True) -> DataFrame:
-    """Keep a row only if ``value`` differs from the previous row of its link.
+                  order: tuple = ("ingest_ts", "row_no"), bucket_hours: float = 24.0) -> DataFrame:
+    """Keep a row only if ``value`` differs from the previous row of its link (null equals null).
 
     Emit-if-changed compares with the last *emitted* value, which always equals the
-    previous row's value, so A, B, A emits three times.  The previous row is found in
-    two levels so no task holds a whole link: within a time bucket of ``order[0]``
-    by ``lag``; for a bucket's first row, from the last row of the nearest earlier
-    bucket (a one-row-per-bucket table).
+    previous row's value, so A, B, A emits three times.  No task holds a whole link: inside a
+    time bucket of ``order[0]`` the previous row comes by ``lag``; the first row of a bucket
+    takes the last value of the nearest earlier bucket, from a table of one row per bucket
+    that is joined on the buckets' own partitioning.
     """
     width = bucket_width_us(0, 0, bucket_hours)
-    b = F.floor(epoch_micros(F.col(order[0])) / F.lit(width)).cast("long")
-    x = df.withColumn(BUCKET, b)
+    x = df.withColumn(BUCKET, F.floor(epoch_micros(F.col(order[0])) / F.lit(width)).cast("long"))
+    place = F.struct(*[F.col(c) for c in order])
+    # the value goes inside a struct, so that a null value differs from "no row"
+    last = x.groupBy(key, BUCKET).agg(F.max_by(F.struct(F.col(value).alias("v")), place).alias("_end"))
+    before = last.select(key, BUCKET, F.lag("_end").over(Window.partitionBy(key).orderBy(BUCKET)).alias("_before"))
     w = Window.partitionBy(key, BUCKET).orderBy(*[F.col(c) for c in order])
-    x = x.select("*", F.lag(value, 1).over(w).alias("_prev_in"), F.row_number().over(w).alias("_rn"))
-    last = (df.withColumn(BUCKET, b).groupBy(key, BUCKET)
-            .agg(F.max_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias("_last")))
-    wb = Window.partitionBy(key).orderBy(BUCKET)
-    edge = last.select(key, BUCKET, F.lag("_last", 1).over(wb).alias("_prev_last"))
-    edge = bounded_broadcast(edge) if checked else edge
-    x = x.join(edge, on=[key, BUCKET], how="left")
-    prev = F.when(F.col("_rn") == 1, F.col("_prev_last")).otherwise(F.col("_prev_in"))
-    return (x.filter(~F.col(value).eqNullSafe(prev) | (F.col("_rn") == 1) & F.col("_prev_last").isNull())
-            .drop(BUCKET, "_prev_in", "_rn", "_prev_last"))
+    x = x.select("*", F.lag(F.struct(F.col(value).alias("v"))).over(w).alias("_inside"))
+    x = x.join(before, on=[key, BUCKET], how="left")
+    previous = F.coalesce("_inside", "_before")
+    return (x.filter(previous.isNull() | ~F.col(value).eqNullSafe(previous["v"]))
+            .drop(BUCKET, "_inside", "_before"))
 
 
 def order_within_link(df: DataFrame, key: str = "link_id", ts: str = "data_as_of") -> DataFrame:

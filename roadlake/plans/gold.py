@@ -19,9 +19,8 @@ def build_lookup(silver: DataFrame, bounds=S.SPLIT_BOUNDS, split: str = "train",
     return free_flow_lookup(train, order="data_as_of_utc", method=method, accuracy=accuracy)
 
 
-def build_gold(silver: DataFrame, lookup: DataFrame, params: S.GoldParams = S.GoldParams(),
-               checked: bool = True) -> DataFrame:
+def build_gold(silver: DataFrame, lookup: DataFrame, params: S.GoldParams = S.GoldParams()) -> DataFrame:
     """J3 + F7/F8 + W4: the gold table (19 features, label, data_as_of, year)."""
-    enriched = enrich_free_flow(silver, lookup, checked=checked)
+    enriched = enrich_free_flow(silver, lookup)
     feats = gold_features(enriched, params, ts="data_as_of_utc", tie=("speed",))
     return feats.select(*S.GOLD_COLUMNS)

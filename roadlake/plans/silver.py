@@ -14,13 +14,13 @@ SILVER_OUT = S.SILVER_COLUMNS + ["data_as_of_utc", "year"]
 
 
 def silver_clean(bronze: DataFrame, active: DataFrame, holidays: DataFrame,
-                 zone: str = S.LOCAL_ZONE, checked: bool = True) -> DataFrame:
+                 zone: str = S.LOCAL_ZONE) -> DataFrame:
     """Q4: cast + range-filter speed, keep active links, parse the UTC text time, derive
     local wall time and calendar features, flag holidays, project the silver schema.
 
     ``data_as_of`` is local wall time (display, calendar, partitions); ``data_as_of_utc``
     is the instant used for ordering and gaps.  Rows whose time does not parse are
-    dropped.  One narrow projection chain; the two dimensions are broadcast.
+    dropped.  One narrow projection chain over two stored dimensions.
     """
     from ..operators.joins import join_holiday
 
@@ -31,7 +31,7 @@ def silver_clean(bronze: DataFrame, active: DataFrame, holidays: DataFrame,
           .filter(F.col("data_as_of_utc").isNotNull())
           .withColumn("data_as_of", utc_to_local("data_as_of_utc", zone)))
     df = df.select("*", *calendar_features("data_as_of"))
-    df = join_holiday(df, holidays, local_ts="data_as_of", checked=checked)
+    df = join_holiday(df, holidays, local_ts="data_as_of")
     return df.select(*S.SILVER_COLUMNS, "data_as_of_utc",
                      F.year("data_as_of").cast("int").alias("year"))
 

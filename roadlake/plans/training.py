@@ -15,8 +15,7 @@ NUMERIC_CAST = S.NUMERIC_FEATURES + [S.LABEL_COL, "year"]
 
 def training_frame(gold: DataFrame) -> DataFrame:
     """P13 + P11: required columns, ids as text, everything else double, no nulls."""
-    cols = list(dict.fromkeys(S.FEATURE_COLUMNS + [S.LABEL_COL, "data_as_of", "year"]))
-    typed = bulk_cast(gold.select(*cols), to_string=S.CATEGORICAL_FEATURES, to_double=NUMERIC_CAST)
+    typed = bulk_cast(gold.select(*S.GOLD_COLUMNS), to_string=S.CATEGORICAL_FEATURES, to_double=NUMERIC_CAST)
     return dropna_required(typed, S.FEATURE_COLUMNS + [S.LABEL_COL, "year", "month"])
 
 
@@ -35,17 +34,15 @@ def materialize(df: DataFrame, path: str | None = None, fmt: str = "parquet") ->
     return df.checkpoint(eager=True)
 
 
-def prepare(gold: DataFrame, bounds=S.SPLIT_BOUNDS, fraction: float = S.SAMPLE_FRACTION,
-            seed: int = S.SAMPLE_SEED, checkpoint_path: str | None = None) -> DataFrame:
-    """Typed, sampled, materialized frame with a ``split`` column."""
-    frame = stratified_sample(training_frame(gold), fraction=fraction, seed=seed)
-    frame = materialize(frame, checkpoint_path)
-    return time_split(frame, bounds)
+def prepare(gold: DataFrame, bounds=S.SPLIT_BOUNDS, checkpoint_path: str | None = None) -> DataFrame:
+    """Typed, materialized frame with a ``split`` column; every row of every split."""
+    return time_split(materialize(training_frame(gold), checkpoint_path), bounds)
 
 
-def weighted_train(frame: DataFrame) -> DataFrame:
-    """G13 + J4 on the train split."""
+def weighted_train(frame: DataFrame, fraction: float = S.SAMPLE_FRACTION, seed: int = S.SAMPLE_SEED) -> DataFrame:
+    """P14 + G13 + J4 on the train split: the sample bounds only the rows the forest is fitted on."""
     train = frame.filter(F.col("split") == "train")
+    train = stratified_sample(train, ["link_id", "data_as_of"], fraction=fraction, seed=seed)
     return join_class_weight(train, class_weight(train))
 
 
@@ -56,12 +53,19 @@ def evaluate(model, df: DataFrame) -> dict:
     return {"confusion": confusion_matrix(pred), "metrics": metrics, "macro_f1": macro_f1(metrics)}
 
 
+def fit_forest(frame: DataFrame, fraction: float = S.SAMPLE_FRACTION, forest_params: dict | None = None):
+    """M2-M4 on the sampled, weighted train split."""
+    from ..operators.ml import bins_for, build_pipeline
+    train = weighted_train(frame, fraction)
+    params = {"maxBins": bins_for(train)} | (forest_params or {})
+    return build_pipeline(**params).fit(train)
+
+
 def run_training(spark: SparkSession, gold: DataFrame, bounds=S.SPLIT_BOUNDS, forest_params: dict | None = None,
-                 checkpoint_path: str | None = None) -> dict:
-    """Whole training step; returns the fitted model and the val/test evaluations."""
-    from ..operators.ml import build_pipeline
+                 checkpoint_path: str | None = None, fraction: float = S.SAMPLE_FRACTION) -> dict:
+    """Whole training step; the fitted model and its evaluation on all val and test rows."""
     frame = prepare(gold, bounds, checkpoint_path=checkpoint_path)
-    model = build_pipeline(**(forest_params or {})).fit(weighted_train(frame))
+    model = fit_forest(frame, fraction, forest_params)
     return {"model": model,
             "val": evaluate(model, frame.filter(F.col("split") == "val")),
             "test": evaluate(model, frame.filter(F.col("split") == "test"))}

@@ -36,23 +36,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is.  Only when
-    nothing is configured -- a bare local session in tests -- a scratch folder is
-    registered with the SparkContext.
+    On a cluster that setting points at shared storage and is used as is; without it there
+    is no folder that all executors see, which is an error.  Only a local session, whose
+    executors are this process, falls back to a scratch folder.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - remote sessions: the server owns the checkpoint folder
-        return spark.conf.get("spark.checkpoint.dir", "") or ""
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    d = sc.getConf().get("spark.checkpoint.dir", None)
+    d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        try:
-            d = spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:  # noqa: BLE001 - unavailable on some session kinds
-            d = None
-    d = d or tempfile.mkdtemp(prefix="roadlake-ckpt-")
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="roadlake-ckpt-")
     sc.setCheckpointDir(d)
-    return d
+    return sc.getCheckpointDir()

@@ -92,6 +92,11 @@ SPLIT_BOUNDS = {
 }
 
 
+# --------------------------------------------------------------------------
+# end of the fixed values; below: parameter objects
+# --------------------------------------------------------------------------
+
+
 @dataclass(frozen=True)
 class TimeScale:
     """Multiplies every minute constant (tests use sparse data, see README)."""

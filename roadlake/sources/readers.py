@@ -15,10 +15,11 @@ from pyspark.sql import types as T
 
 from .. import settings as S
 from ..functions.text import clean_quotes, json_decode_snapshot
-from ..functions.timefn import local_date_str, local_hour_str, parse_local_ts, plus_minutes, utc_to_local
+from ..functions.timefn import epoch_ntz, local_date_str, local_hour_str, parse_local_ts, plus_minutes, utc_to_local
 from ..operators.filters import _lit_ts, month_range_filter
 
-FEED_HEADER = ['"linkId"', '"Speed"', '"DataAsOf"', '"linkName"']
+#: Columns taken from the feed by name (the last may be missing), and what they are called here.
+FEED_COLUMNS = {"linkId": "raw_link", "Speed": "raw_speed", "DataAsOf": "raw_time", "linkName": "raw_name"}
 
 
 def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -34,41 +35,47 @@ def scan_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
-def scan_feed_tsv(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """S3: tab-separated feed with a header whose names and values carry quotes.
+def scan_feed_tsv(spark: SparkSession, path: str, streaming: bool = False, max_files: int | None = None) -> DataFrame:
+    """S3: tab-separated feed files with a header line whose names and values carry quotes.
 
-    Every column is read as text (no inference); values are cleaned with F11.
-    Malformed lines become nulls (PERMISSIVE) and are rejected by later rules.
+    Each file's own header says where its columns are: ``linkId``, ``Speed``, ``DataAsOf``
+    and ``linkName`` are picked by name as text, whatever their order and whatever else
+    there is; a column that a file lacks is null.  ``feed_ts`` (the file's time, UTC),
+    ``feed_file`` and ``feed_row`` (the line in the file) say in which order rows arrived.  A file is one
+    fetch of all links, read whole; ``max_files`` bounds a micro-batch.
     """
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in FEED_HEADER])
-    reader = (spark.readStream if streaming else spark.read).schema(schema) \
-        .option("sep", "\t").option("header", "true").option("quote", "\u0000") \
-        .option("mode", "PERMISSIVE").option("enforceSchema", "true")
-    return reader.csv(path)
+    reader = (spark.readStream if streaming else spark.read).format("text").option("wholetext", "true")
+    if streaming and max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    mtime = F.unix_micros(F.col("_metadata.file_modification_time"))
+    files = reader.load(path).select(F.split("value", "\\r?\\n").alias("lines"),
+                                     F.timestamp_add("MICROSECOND", mtime, epoch_ntz()).alias("feed_ts"),
+                                     F.col("_metadata.file_path").alias("feed_file"))
+    return feed_lines(files)
+
+
+def feed_lines(files: DataFrame) -> DataFrame:
+    """Rows of feed files given as ``lines`` (the first is the header), ``feed_ts`` and ``feed_file``."""
+    names = F.transform(F.split(F.element_at("lines", 1), "\t"), clean_quotes)
+    rows = (files.withColumn("names", names)
+            .select("names", "feed_ts", "feed_file", F.posexplode(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))).alias("feed_row", "line"))
+            .where(F.trim("line") != ""))
+    values = F.split("line", "\t")
+    pick = lambda n: F.try_element_at(values, F.nullif(F.array_position("names", n).cast("int"), F.lit(0)))
+    return rows.select(*(pick(n).alias(c) for n, c in FEED_COLUMNS.items()), "feed_ts", "feed_file",
+                       F.col("feed_row").cast("long").alias("feed_row"))
 
 
 def parse_feed(feed: DataFrame, zone: str = S.LOCAL_ZONE) -> DataFrame:
-    """S3 + F3 + F11: quoted feed columns -> link_id, speed, data_as_of (UTC), link_name."""
-    speed_txt = clean_quotes('`"Speed"`')
-    out = feed.select(
+    """S3 + F3 + F11: quoted feed columns -> link_id, speed, data_as_of (UTC), link_name ('' if missing)."""
+    speed_txt = clean_quotes("raw_speed")
+    return feed.select(
         "*",
-        clean_quotes('`"linkId"`').alias("link_id"),
+        clean_quotes("raw_link").alias("link_id"),
         F.when(speed_txt != "", speed_txt.try_cast("double")).alias("speed"),
-        parse_local_ts(clean_quotes('`"DataAsOf"`'), zone).alias("data_as_of"),
-        F.coalesce(clean_quotes('`"linkName"`'), F.lit("")).alias("link_name"),
-    )
-    return out.drop(*FEED_HEADER)
-
-
-def feed_rows(events: DataFrame, zone: str = S.LOCAL_ZONE) -> DataFrame:
-    """Re-create feed lines (quoted text, local ``MM/dd/yyyy HH:mm:ss`` times) from readings
-    so the feed parser can run over the whole test table."""
-    uid = F.col("user_id").cast("string")
-    q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
-    local = F.date_format(utc_to_local("ts", zone), S.FEED_TS_FORMAT)
-    return events.select(q(uid).alias('"linkId"'), q(F.col("value").cast("string")).alias('"Speed"'),
-                         q(local).alias('"DataAsOf"'), q(F.concat(F.lit("link-"), uid)).alias('"linkName"'),
-                         "event_id", "ts")
+        parse_local_ts(clean_quotes("raw_time"), zone).alias("data_as_of"),
+        F.coalesce(clean_quotes("raw_name"), F.lit("")).alias("link_name"),
+    ).drop(*FEED_COLUMNS.values())
 
 
 def explode_json_ids(df: DataFrame, col: str, out: str = "link_id") -> DataFrame:
@@ -147,12 +154,13 @@ def recent_hours(df: DataFrame, now, minutes: float = S.LOOKBACK_MINUTES, zone_i
     """Rows of every ``date``/``hour`` partition overlapping ``[now - minutes, now]``
     (local partition keys), then the exact time predicate.
 
-    The partition predicate is on string columns only, so Spark prunes directories.
+    The first predicate reads the partition columns only, so Spark prunes directories.
     """
     now_c = _lit_ts(now)
     start = plus_minutes(now_c, -minutes)
     lo_local, hi_local = utc_to_local(start, zone), utc_to_local(now_c, zone)
-    key = F.concat(F.col("date"), F.lit(" "), F.col("hour"))
+    # a written table gives the keys back as DATE and INT, a frame in memory as text
+    key = F.concat(F.col("date").cast("string"), F.lit(" "), F.lpad(F.col("hour").cast("string"), 2, "0"))
     lo_key = F.concat(local_date_str(lo_local), F.lit(" "), local_hour_str(lo_local))
     hi_key = F.concat(local_date_str(hi_local), F.lit(" "), local_hour_str(hi_local))
     return df.filter((key >= lo_key) & (key <= hi_key)).filter(F.col(ts) >= start)

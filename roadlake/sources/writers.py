@@ -1,10 +1,12 @@
-"""Sinks (K1-K9).  All writes are idempotent where the reference relied on luck:
-partitioned tables use dynamic partition overwrite, so re-running a month or a
-micro-batch replaces exactly the partitions it produces.
+"""Sinks (K1-K9).  A step that is run again leaves the table as one run would: months are
+replaced as a whole, micro-batches are appended once per run and batch.
 """
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,43 +32,105 @@ def processing_partition(df: DataFrame, processing_utc, zone: str = S.LOCAL_ZONE
     return df.withColumn("date", local_date_str(local)).withColumn("hour", local_hour_str(local))
 
 
-def write_bronze_realtime(df: DataFrame, root: str, processing_utc, batch_id: int | None = None,
-                          zone: str = S.LOCAL_ZONE) -> None:
-    """K2: realtime bronze rows under ``date=/hour=`` of *processing* time.
+RUN, BATCH = "run_id", "batch_id"
+
+
+def append_once(df: DataFrame, root: str, keys: list[str], partition_by: list[str], run_id: str, batch_id: int) -> int:
+    """Append one micro-batch so that a retry adds only what is not stored yet.
 
-    With a ``batch_id`` the rows go to their own ``batch=`` partition written with
-    dynamic overwrite, so a retried micro-batch replaces its own output.
+    Every row carries the run and batch that wrote it, as plain columns.  If the
+    partitions of the batch already hold rows of this run and batch (an attempt that was
+    cut off, or one that had ended), the rows whose ``keys`` are there are left out.
+    Only those partitions are read, and only on a retry is there anything to find.
+    Returns 1 if rows were written, else 0.
     """
-    out = processing_partition(df, processing_utc, zone)
-    cols = ["date", "hour"]
-    if batch_id is not None:
-        out = out.withColumn("batch", F.lit(int(batch_id)).cast("long"))
-        cols.append("batch")
-    _dynamic(out.write.mode("overwrite" if batch_id is not None else "append")).partitionBy(*cols).parquet(root)
+    spark = df.sparkSession
+    out = df.withColumn(RUN, F.lit(str(run_id))).withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
+    out = out.persist()  # the checks and the write share one pass
+    try:
+        places = [tuple(r) for r in out.select(*partition_by).distinct().collect()]  # hours of one batch
+        if not places:
+            return 0
+        try:
+            schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
+            there = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(root)
+        except AnalysisException:
+            there = None  # nothing has been written yet
+        if there is not None:
+            here = F.lit(False)
+            for place in places:
+                same = F.lit(True)
+                for c, v in zip(partition_by, place):
+                    same &= F.col(c) == F.lit(v)
+                here |= same
+            there = there.where(here & (F.col(RUN) == F.lit(str(run_id))) & (F.col(BATCH) == F.lit(int(batch_id))))
+            if not there.limit(1).isEmpty():
+                match = [out[k].eqNullSafe(there[k]) for k in keys]
+                out_new = out.join(there.select(*keys), match, "left_anti")
+                if out_new.limit(1).isEmpty():
+                    return 0
+                out_new.write.mode("append").partitionBy(*partition_by).parquet(root)
+                return 1
+        out.write.mode("append").partitionBy(*partition_by).parquet(root)
+        return 1
+    finally:
+        out.unpersist()
 
 
-def write_silver(df: DataFrame, root: str, fmt: str = "parquet") -> None:
-    """K3: partition by year/month of local time; re-running a month replaces it."""
+def write_bronze_realtime(df: DataFrame, root: str, run_id: str, batch_id: int, arrival: str = "ingest_ts",
+                          keys: tuple = ("link_id", "data_as_of", "ingest_ts"), zone: str = S.LOCAL_ZONE) -> int:
+    """K2: realtime bronze rows under ``date=/hour=`` of their arrival time in the batch.
+
+    The arrival time belongs to the row, so a retry after the hour has changed goes to the
+    same place.  ``run_id`` is new with every new stream checkpoint (whose batch numbers
+    start again at 0); a batch is written once per run and batch, see ``append_once``.
+    """
+    out = processing_partition(df, F.col(arrival), zone)
+    return append_once(out, root, list(keys), ["date", "hour"], run_id, batch_id)
+
+
+def write_silver(df: DataFrame, root: str, source_month: str, fmt: str = "parquet") -> None:
+    """K3: replace everything that one *source* month (``yyyy-MM`` of the UTC input) gave.
+
+    Below ``source_month=`` rows lie by year and month of local time, so the hours of a
+    source month that belong to the local month before do not touch that month's own rows.
+    """
+    if not re.fullmatch(r"\d{4}-\d{2}", source_month):
+        raise ValueError("source_month is yyyy-MM")
     out = df.withColumn("year", F.year("data_as_of").cast("int")).withColumn("month", F.month("data_as_of").cast("int"))
-    _dynamic(out.write.format(fmt).mode("overwrite")).partitionBy("year", "month").save(root)
+    (out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("year", "month").save(f"{root}/source_month={source_month}"))
+
+
+def _gold_layout(df: DataFrame, partitions: int, files_per_month: int) -> DataFrame:
+    slot = F.pmod(F.xxhash64("link_id", "data_as_of"), F.lit(files_per_month))
+    return df.repartition(partitions, "year", "month", slot)
 
 
 def write_gold(df: DataFrame, root: str, fmt: str = "parquet", partitions: int = S.GOLD_WRITE_PARTITIONS,
                files_per_month: int = 8, max_records: int = S.GOLD_MAX_RECORDS_PER_FILE) -> None:
-    """K4: ``year``/``month`` partitioned gold, at most ``max_records`` rows per file.
+    """K4: replace the whole ``year``/``month`` partitioned gold table, at most ``max_records`` rows per file.
 
     Rows are spread over ``files_per_month`` hash slots per month before the write,
     so one large month is written by several tasks instead of one.
     """
-    slot = F.pmod(F.xxhash64("link_id", "data_as_of"), F.lit(files_per_month))
-    out = df.repartition(partitions, "year", "month", slot)
+    out = _gold_layout(df, partitions, files_per_month)
+    (out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+     .option("maxRecordsPerFile", max_records).partitionBy("year", "month").save(root))
+
+
+def replace_gold_months(df: DataFrame, root: str, fmt: str = "parquet", partitions: int = S.GOLD_WRITE_PARTITIONS,
+                        files_per_month: int = 8, max_records: int = S.GOLD_MAX_RECORDS_PER_FILE) -> None:
+    """K4, partial form: replace only the months that ``df`` holds; all others stay."""
+    out = _gold_layout(df, partitions, files_per_month)
     (_dynamic(out.write.format(fmt).mode("overwrite")).option("maxRecordsPerFile", max_records)
      .partitionBy("year", "month").save(root))
 
 
 def write_lookup(df: DataFrame, path: str) -> None:
     """K5: overwrite a small dimension as one file (one row per link)."""
-    df.coalesce(1).write.mode("overwrite").parquet(path)
+    # repartition, not coalesce: what computes the rows keeps its own parallelism
+    df.repartition(1).write.mode("overwrite").parquet(path)
 
 
 def compact_artifact(spark: SparkSession, src: str, dst: str) -> bool:
@@ -77,7 +141,7 @@ def compact_artifact(spark: SparkSession, src: str, dst: str) -> bool:
     df = spark.read.parquet(src)
     if df.isEmpty():
         return False
-    df.coalesce(1).write.mode("overwrite").parquet(dst)
+    df.repartition(1).write.mode("overwrite").parquet(dst)
     return True
 
 
@@ -99,18 +163,15 @@ def write_snapshots(df: DataFrame, fmt: str = "kafka", options: dict | None = No
         snapshot_messages(df, timestamp_col=timestamp_col).write.mode("append").format(fmt).save(path)
 
 
-def write_predictions(df: DataFrame, root: str, processing_utc, zone: str = S.LOCAL_ZONE) -> bool:
-    """K8: append predictions under ``date=/hour=`` of processing time; an empty run
-    writes nothing (returns False)."""
-    df = df.persist()  # the emptiness check and the write share one scoring pass
-    try:
-        if df.isEmpty():
-            return False
-        out = processing_partition(df, processing_utc, zone)
-        out.write.mode("append").partitionBy("date", "hour").parquet(root)
-        return True
-    finally:
-        df.unpersist()
+def write_predictions(df: DataFrame, root: str, processing_utc, run_id: str, batch_id: int,
+                      zone: str = S.LOCAL_ZONE) -> bool:
+    """K8: predictions under ``date=/hour=`` of processing time, once per run and batch.
+
+    ``processing_utc`` is the batch's own time, so a retried tick meets its first attempt;
+    an empty run writes nothing (returns False).
+    """
+    out = processing_partition(df, processing_utc, zone)
+    return bool(append_once(out, root, ["link_id", "timestamp"], ["date", "hour"], run_id, batch_id))
 
 
 def write_json_list(ids: DataFrame, path: str, col: str = "link_id") -> None:

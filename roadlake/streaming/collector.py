@@ -6,6 +6,9 @@ keyed state for change detection (``state.py``) and a dual sink per micro-batch.
 
 from __future__ import annotations
 
+import json
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +16,8 @@ from .. import settings as S
 from ..functions.timefn import plus_minutes
 from ..operators.filters import _lit_ts
 
+LOG = logging.getLogger(__name__)
+
 
 def verdict(active_match: Column, ts: Column, speed: Column, now,
             dead_minutes: float = S.DEAD_LINK_MINUTES) -> Column:
@@ -31,11 +36,10 @@ def verdict(active_match: Column, ts: Column, speed: Column, now,
 
 def case_cascade(rows: DataFrame, active: DataFrame, now, dead_minutes: float = S.DEAD_LINK_MINUTES,
                  key: str = "link_id", ts: str = "data_as_of", speed: str = "speed") -> DataFrame:
-    """T2 + T9: add a ``verdict`` column (broadcast left join against the active list)."""
+    """T2 + T9: add a ``verdict`` column (left join against the active list)."""
     a = active.select(F.col(active.columns[0]).cast("string").alias(key)).distinct() \
         .withColumn("_active", F.lit(True))
-    from ..operators.joins import bounded_broadcast
-    out = rows.join(bounded_broadcast(a), on=key, how="left")
+    out = rows.join(a, on=key, how="left")  # Spark broadcasts the stored list if its bytes allow
     return out.withColumn("verdict", verdict(F.col("_active"), F.col(ts), F.col(speed), now, dead_minutes)) \
         .drop("_active")
 
@@ -48,31 +52,27 @@ def now_utc() -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(F.current_timestamp()), epoch_ntz())
 
 
+VERDICTS = ("inactive", "dead", "faulty_sensor", "valid")
+OBSERVED = "collector"
+
+
 def judged_feed(feed: DataFrame, active: DataFrame, lookup: DataFrame, now=None,
-                dead_minutes: float = S.DEAD_LINK_MINUTES, ingest_col: str | None = None) -> DataFrame:
+                dead_minutes: float = S.DEAD_LINK_MINUTES) -> DataFrame:
     """T1 row path before state: parse -> verdict (T2) -> valid only (T9: dead rows
-    dropped) -> lookup inner join (J5, stream-static, broadcast) -> ratio and class.
+    dropped) -> lookup inner join (J5, stream-static) -> ratio and class.
 
-    ``now`` defaults to processing time; ``ingest_col`` (e.g. the feed file's
-    modification time) orders rows of one link inside a micro-batch.
+    ``now`` defaults to processing time.  Rows carry their arrival order: the feed file's
+    time, the file and the line.  How many rows got which verdict, and how many of the
+    valid ones the lookup knows, is observed as ``collector`` and ``collector_matched``.
     """
-    from ..functions.timefn import epoch_ntz
     from ..operators.joins import lookup_inner
     from ..sources.readers import parse_feed
-    if ingest_col == "file":
-        # each landed feed file is one fetch: its modification time is the arrival time
-        mtime = F.unix_micros(F.col("_metadata.file_modification_time"))
-        feed = feed.withColumn("_ingest", F.timestamp_add("MICROSECOND", mtime, epoch_ntz()))
-        ingest_col = "_ingest"
-    rows = parse_feed(feed)
-    if ingest_col:
-        rows = rows.withColumn("ingest_ts", F.col(ingest_col))
-    else:
-        rows = rows.withColumn("ingest_ts", now_utc())
+    rows = parse_feed(feed).withColumn("ingest_ts", F.col("feed_ts"))
     now_c = now if now is not None else now_utc()
     judged = case_cascade(rows, active, now_c, dead_minutes)
+    judged = judged.observe(OBSERVED, *(F.count_if(F.col("verdict") == v).alias(v) for v in VERDICTS))
     valid = judged.filter(F.col("verdict") == "valid")
-    return lookup_inner(valid, lookup, fallback=False)
+    return lookup_inner(valid, lookup, fallback=False).observe(f"{OBSERVED}_matched", F.count(F.lit(1)).alias("matched"))
 
 
 def change_stream(valid: DataFrame, ttl_minutes: float = S.DEAD_LINK_MINUTES) -> DataFrame:
@@ -84,13 +84,17 @@ def change_stream(valid: DataFrame, ttl_minutes: float = S.DEAD_LINK_MINUTES) ->
                                     "append", GroupStateTimeout.ProcessingTimeTimeout))
 
 
-def dual_sink(bronze_root: str, topic_fmt: str = "kafka", topic_options: dict | None = None,
+def run_id_of(spark, checkpoint: str) -> str:
+    """The id that Spark gives a stream with its checkpoint: the same after a restart, new with a new checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def dual_sink(bronze_root: str, checkpoint: str, topic_fmt: str = "kafka", topic_options: dict | None = None,
               topic_path: str | None = None, on_bronze_error=None):
     """T5: one micro-batch -> topic (K7), then bronze (K2).  The batch is persisted so
-    both writes read it once; a failing bronze write is reported, not raised, so the
-    topic keeps flowing.  Bronze output is keyed by ``batch_id`` (idempotent retry)."""
-    from datetime import datetime, timezone
-
+    both writes read it once.  A failing bronze write is tried once more; if that fails
+    too it is logged and handed to ``on_bronze_error(batch_id, error)``, and the topic
+    keeps flowing.  Bronze rows are written once per run and batch."""
     from ..sources.writers import write_bronze_realtime, write_snapshots
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -98,13 +102,15 @@ def dual_sink(bronze_root: str, topic_fmt: str = "kafka", topic_options: dict |
         try:
             write_snapshots(batch, fmt=topic_fmt, options=topic_options, path=topic_path,
                             timestamp_col=None if topic_fmt == "kafka" else "ingest_ts")
-            processing = datetime.now(timezone.utc).replace(tzinfo=None).strftime("%Y-%m-%d %H:%M:%S")
-            try:
-                write_bronze_realtime(batch.select("link_id", "speed", "data_as_of", "borough", "link_name"),
-                                      bronze_root, processing, batch_id=batch_id)
-            except Exception as e:  # noqa: BLE001 - the topic must not stop on a bronze failure
-                if on_bronze_error:
-                    on_bronze_error(batch_id, e)
+            rows = batch.select("link_id", "speed", "data_as_of", "borough", "link_name", "ingest_ts")
+            for attempt in (1, 2):
+                try:
+                    write_bronze_realtime(rows, bronze_root, run_id_of(batch.sparkSession, checkpoint), batch_id)
+                    break
+                except Exception as e:  # noqa: BLE001 - the topic must not stop on a bronze failure
+                    LOG.warning("bronze write of batch %s failed, attempt %s: %s", batch_id, attempt, e)
+                    if attempt == 2 and on_bronze_error:
+                        on_bronze_error(batch_id, e)
         finally:
             batch.unpersist()
 
@@ -113,13 +119,16 @@ def dual_sink(bronze_root: str, topic_fmt: str = "kafka", topic_options: dict |
 
 def start_collector(feed_stream: DataFrame, active: DataFrame, lookup: DataFrame, bronze_root: str,
                     checkpoint: str, topic_fmt: str = "kafka", topic_options: dict | None = None,
-                    topic_path: str | None = None, trigger: dict | None = None,
-                    ingest_col: str | None = None):
-    """The whole collector as one streaming query (default trigger: every minute)."""
-    valid = judged_feed(feed_stream, active, lookup, ingest_col=ingest_col)
+                    topic_path: str | None = None, trigger: dict | None = None, on_bronze_error=None):
+    """The whole collector as one streaming query (default trigger: every minute).
+
+    ``feed_stream`` comes from ``scan_feed_tsv``; its ``max_files`` bounds what one
+    micro-batch, and so one link's rows in it, can hold.
+    """
+    valid = judged_feed(feed_stream, active, lookup)
     changed = change_stream(valid)
-    w = changed.writeStream.foreachBatch(dual_sink(bronze_root, topic_fmt, topic_options, topic_path)) \
-        .option("checkpointLocation", checkpoint).outputMode("append")
+    sink = dual_sink(bronze_root, checkpoint, topic_fmt, topic_options, topic_path, on_bronze_error)
+    w = changed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).outputMode("append")
     trigger = trigger or {"processingTime": "1 minute"}
     w = w.trigger(**trigger)
     if not (trigger.get("availableNow") or trigger.get("once")):

@@ -6,9 +6,11 @@ form triggers that job every 5 minutes from ``foreachBatch``.
 
 from __future__ import annotations
 
+import logging
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .. import settings as S
 from ..operators.asof import serving_features
@@ -16,6 +18,8 @@ from ..operators.ml import score_batch
 from ..sources.readers import lookback_window
 from ..sources.writers import write_predictions
 
+LOG = logging.getLogger(__name__)
+
 
 def predict_once(snapshots: DataFrame, lookup: DataFrame, holidays: DataFrame, model, now,
                  params: S.ServingParams = S.ServingParams(), tie: str | None = None) -> DataFrame:
@@ -26,22 +30,40 @@ def predict_once(snapshots: DataFrame, lookup: DataFrame, holidays: DataFrame, m
 
 
 def run_predictor(snapshots: DataFrame, lookup: DataFrame, holidays: DataFrame, model, out_root: str,
-                  now: str | None = None, params: S.ServingParams = S.ServingParams()) -> bool:
-    """T8 (one tick): score and append to ``out_root`` (nothing written for an empty run)."""
+                  run_id: str, batch_id: int, now: str | None = None,
+                  params: S.ServingParams = S.ServingParams()) -> bool:
+    """T8 (one tick): score and write to ``out_root`` once per run and batch (nothing for an empty run)."""
     now = now or datetime.now(timezone.utc).replace(tzinfo=None).strftime("%Y-%m-%d %H:%M:%S")
     preds = predict_once(snapshots, lookup, holidays, model, now, params)
-    return write_predictions(preds, out_root, now)
+    return write_predictions(preds, out_root, now, run_id, batch_id)
 
 
 def start_predictor(tick_stream: DataFrame, load_snapshots, lookup: DataFrame, holidays: DataFrame,
                     model, out_root: str, checkpoint: str, trigger: dict | None = None,
-                    params: S.ServingParams = S.ServingParams(), now: str | None = None):
+                    params: S.ServingParams = S.ServingParams(), now: str | None = None, on_error=None):
     """T8 (streaming): every trigger re-reads the bounded lookback (``load_snapshots()``)
     and scores it; ``tick_stream`` only paces the runs (e.g. the snapshot topic).
-    ``now`` pins the clock (replays, tests); by default each run uses processing time."""
 
-    def tick(_batch: DataFrame, _batch_id: int) -> None:
-        run_predictor(load_snapshots(), lookup, holidays, model, out_root, now=now, params=params)
+    A run's clock is its micro-batch's time, which a retry keeps; ``now`` pins it (replays,
+    tests).  A failing run is tried once more, then logged and handed to
+    ``on_error(batch_id, error)``.  ``lookup`` is a stored table: it is read, not computed.
+    """
+    from .collector import now_utc, run_id_of
+
+    def tick(batch: DataFrame, batch_id: int) -> None:
+        at = now or batch.agg(F.date_format(F.max("_tick"), "yyyy-MM-dd HH:mm:ss")).first()[0]
+        if at is None:
+            return
+        for attempt in (1, 2):
+            try:
+                run_predictor(load_snapshots(), lookup, holidays, model, out_root,
+                              run_id_of(batch.sparkSession, checkpoint), batch_id, now=at, params=params)
+                return
+            except Exception as e:  # noqa: BLE001 - the next tick scores the same lookback again
+                LOG.warning("scoring of batch %s failed, attempt %s: %s", batch_id, attempt, e)
+                if attempt == 2 and on_error:
+                    on_error(batch_id, e)
 
-    w = tick_stream.writeStream.foreachBatch(tick).option("checkpointLocation", checkpoint)
+    w = (tick_stream.select(now_utc().alias("_tick")).writeStream.foreachBatch(tick)
+         .option("checkpointLocation", checkpoint))
     return w.trigger(**(trigger or {"processingTime": "5 minutes"})).start()

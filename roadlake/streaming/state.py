@@ -1,6 +1,6 @@
 """Keyed change-detection state (T3) with eviction (T4).
 
-The only Python that runs on executors: for one link's rows of a micro-batch it
+For one link's rows of a micro-batch, in the order in which the feed brought them, it
 emits a row when its ``data_as_of`` differs from the previous row's (the last
 emitted value), remembering that value across micro-batches.  A link that sends
 nothing for ``ttl_minutes`` of processing time loses its state; its next valid
@@ -17,7 +17,7 @@ from .. import settings as S
 
 OUT_SCHEMA = ("link_id string, data_as_of timestamp_ntz, speed double, link_name string, "
               "borough string, free_flow_speed double, speed_ratio double, current_congestion int, "
-              "ingest_ts timestamp_ntz")
+              "ingest_ts timestamp_ntz, feed_file string, feed_row long")
 STATE_SCHEMA = "last_ns long"
 OUT_COLS = [c.strip().split(" ")[0] for c in OUT_SCHEMA.split(",")]
 
@@ -32,7 +32,7 @@ def make_change_handler(ttl_minutes: float = S.DEAD_LINK_MINUTES):
         pdf = pd.concat(list(pdfs), ignore_index=True)
         if pdf.empty:
             return
-        pdf = pdf.sort_values(["ingest_ts", "data_as_of"], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["ingest_ts", "feed_file", "feed_row"], kind="stable").reset_index(drop=True)
         ns = pdf["data_as_of"].astype("datetime64[ns]").astype("int64")
         last = state.get[0] if state.exists else None
         prev = ns.shift(1)

@@ -61,8 +61,8 @@ def test_free_flow_exact_matches_brute_force(spark):
     df = spark.createDataFrame(rows, "link_id string, speed double, data_as_of timestamp_ntz, borough string, link_name string")
     got = {r.link_id: r.free_flow_speed for r in G.free_flow_lookup(df).collect()}
     approx = {r.link_id: r.free_flow_speed for r in G.free_flow_lookup(df, method="approx", accuracy=100000).collect()}
-    hist = {r.link_id: r.free_flow_speed for r in G.free_flow_lookup(df, method="histogram").collect()}
-    assert hist == got
+    coarse = {r.link_id: r.free_flow_speed for r in G.free_flow_lookup(df, accuracy=4).collect()}
+    assert coarse == got
     for link in range(12):
         vals = [r[1] for r in rows if r[0] == str(link) and r[1] is not None]
         assert got[str(link)] == brute_p85(vals)
@@ -204,16 +204,36 @@ def test_aggregates_small(spark):
     assert (d["count"], d.mean, d.p25, d.p50, d["max"]) == (4, 2.5, 1.75, 2.5, 4.0)
 
 
-def test_exact_quantiles_bracketing(spark):
+def test_exact_quartiles_bracketing(spark):
     import numpy as np
     rng = random.Random(5)
     vals = [float(rng.randint(0, 300)) / 7 for _ in range(3000)] + [5.0] * 400
     df = spark.createDataFrame([(v,) for v in vals] + [(None,), (float("nan"),)], "c double")
-    qs = (0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0)
-    for acc in (20, 100_000):   # a coarse sketch forces narrow, re-checked brackets
-        got = G.exact_quantiles(df, "c", qs, accuracy=acc)
-        exp = [float(np.quantile(np.array(vals), q)) for q in qs]
-        assert all(abs(a - b) < 1e-9 for a, b in zip(got, exp)), (acc, got, exp)
+    for acc in (20, 100_000):   # a coarse sketch leaves wide brackets
+        d = G.describe_column(df, "c", digits=9, accuracy=acc).head()
+        assert d["count"] == len(vals) and abs(d.mean - np.mean(vals)) < 1e-8 and abs(d.std - np.std(vals, ddof=1)) < 1e-8
+        for name, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+            assert abs(d[name] - float(np.quantile(np.array(vals), q))) < 1e-8
+    empty = G.describe_column(df.limit(0), "c").head()
+    assert empty["count"] == 0 and empty.p50 is None
+
+
+def test_hot_link_with_continuous_speeds(spark):
+    """One link holds most rows, each with a speed of its own: exact, and few rows are ranked."""
+    n = 40_000
+    df = spark.range(n).select(F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise((F.col("id") % 7).cast("string")).alias("link_id"),
+                               (F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / 7.0).alias("speed"),
+                               F.timestamp_add("SECOND", F.col("id").cast("int"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("data_as_of"),
+                               F.lit("b").alias("borough"), F.lit("n").alias("link_name"))
+    by_link = {}
+    for r in df.select("link_id", "speed").collect():
+        by_link.setdefault(r.link_id, []).append(r.speed)
+    for accuracy in (500, 10_000):
+        got = {r.link_id: r.free_flow_speed for r in G.free_flow_lookup(df, accuracy=accuracy).collect()}
+        assert got == {k: brute_p85(v) for k, v in by_link.items()}
+    x = df.select("link_id", "speed")
+    ranked = G.ranked_values(x, ["link_id"], "speed", {"p": (0.85, F.ceil(0.85 * F.col("_n")) - 1)}, 500)
+    assert {r.link_id: r["_n"] for r in ranked.collect()} == {k: len(v) for k, v in by_link.items()}
 
 
 def test_hot_link_is_spread_over_tasks(spark):

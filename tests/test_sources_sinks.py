@@ -46,19 +46,120 @@ def test_bronze_month_is_replaced_not_appended(spark, scratch):
         2024, 12).count() == 1
 
 
-def test_silver_and_gold_writes(spark, scratch):
-    df = spark.createDataFrame(
-        [("a", dt.datetime(2024, 1, 31, 23), 1.0), ("b", dt.datetime(2024, 2, 1, 1), 2.0)],
-        "link_id string, data_as_of timestamp_ntz, speed double")
+def test_feed_columns_by_name(spark, scratch):
+    """Other column orders, more columns and a missing linkName, batch and stream."""
+    folder = os.path.join(scratch, "feed")
+    os.makedirs(folder)
+    files = {
+        "a.txt": ['"Id"\t"Speed"\t"TravelTime"\t"DataAsOf"\t"linkId"\t"linkName"', '"7"\t"30"\t"99"\t"01/15/2024 08:03:12"\t"111"\t"N1"'],
+        "b.txt": ['"DataAsOf"\t"linkId"\t"Speed"', '"01/15/2024 08:03:12"\t"222"\t"40"', "", '"01/15/2024 08:04:12"\t"223"'],
+        "c.txt": ['"linkId"\t"Speed"\t"DataAsOf"\t"linkName"'],
+    }
+    for name, lines in files.items():
+        with open(os.path.join(folder, name), "w") as fh:
+            fh.write("\r\n".join(lines))
+    t = dt.datetime(2024, 1, 15, 13, 3, 12)
+    expected = [("111", 30.0, t, "N1"), ("222", 40.0, t, ""), ("223", None, t + dt.timedelta(minutes=1), "")]
+    pick = lambda df: sorted((r.link_id, r.speed, r.data_as_of, r.link_name) for r in df.collect())
+    assert pick(R.parse_feed(R.scan_feed_tsv(spark, folder))) == expected
+    out = os.path.join(scratch, "out")
+    q = (R.parse_feed(R.scan_feed_tsv(spark, folder, streaming=True, max_files=1)).writeStream.format("parquet")
+         .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    assert pick(spark.read.parquet(out)) == expected
+
+
+SILVER = "link_id string, data_as_of timestamp_ntz, speed double"
+
+
+def test_silver_months_do_not_destroy_each_other(spark, scratch):
+    """A source month's first five hours belong to the local month before."""
     root = os.path.join(scratch, "silver")
-    K.write_silver(df, root)
-    K.write_silver(df.filter("link_id = 'b'"), root)  # replaces February only
+    jan = spark.createDataFrame([("a", dt.datetime(2024, 1, 5, 3), 1.0), ("a", dt.datetime(2024, 1, 31, 18), 1.0), ("b", dt.datetime(2023, 12, 31, 20), 2.0)], SILVER)
+    feb = spark.createDataFrame([("a", dt.datetime(2024, 1, 31, 21), 3.0), ("b", dt.datetime(2024, 2, 1, 1), 4.0)], SILVER)
+    for df, name, total in ((jan, "2024-01", 3), (feb, "2024-02", 5), (jan, "2024-01", 5), (feb.limit(1), "2024-02", 4), (feb, "2024-02", 5)):
+        K.write_silver(df, root, name)
+        assert spark.read.parquet(root).count() == total
     back = spark.read.parquet(root)
-    assert back.count() == 2 and back.filter("month = 2").count() == 1
-    gold = df.withColumn("year", F.lit(2024)).withColumn("month", F.month("data_as_of"))
-    groot = os.path.join(scratch, "gold")
-    K.write_gold(gold, groot, partitions=4, files_per_month=2, max_records=1)
-    assert spark.read.parquet(groot).count() == 2
+    assert back.filter("year = 2024 AND month = 1").count() == 3 and back.filter("month = 12").count() == 1
+
+
+def test_gold_full_and_partial_writes(spark, scratch):
+    root = os.path.join(scratch, "gold")
+    gold = spark.createDataFrame([("a", dt.datetime(2024, 1, 31, 23), 1.0), ("b", dt.datetime(2024, 2, 1, 1), 2.0)], SILVER) \
+        .withColumn("year", F.lit(2024)).withColumn("month", F.month("data_as_of"))
+    K.write_gold(gold, root, partitions=4, files_per_month=2, max_records=1)
+    assert spark.read.parquet(root).count() == 2
+    K.replace_gold_months(gold.filter("month = 2").union(gold.filter("month = 2")), root, partitions=2)
+    assert sorted(r.month for r in spark.read.parquet(root).collect()) == [1, 2, 2]
+    K.write_gold(gold.filter("month = 2"), root, partitions=2)  # a rebuild with fewer months leaves none behind
+    assert [r.month for r in spark.read.parquet(root).collect()] == [2]
+
+
+RT = "link_id string, speed double, data_as_of timestamp_ntz, borough string, link_name string, ingest_ts timestamp_ntz"
+
+
+def _rt(spark, *rows):
+    return spark.createDataFrame([(link, 30.0, at, "B", "n", at) for link, at in rows], RT)
+
+
+def test_bronze_realtime_is_written_once(spark, scratch):
+    root = os.path.join(scratch, "rt")
+    h = dt.datetime(2024, 1, 30, 10, 59)  # 05:59 local
+    one = _rt(spark, ("1", h), ("2", h + dt.timedelta(minutes=2)))  # a batch over an hour change
+    count = lambda: spark.read.parquet(root).count()
+    K.write_bronze_realtime(one, root, "run-a", 0)
+    K.write_bronze_realtime(one, root, "run-a", 0)  # the batch again, after the hour has changed
+    assert count() == 2
+    K.write_bronze_realtime(_rt(spark, ("3", h)), root, "run-b", 0)  # a new checkpoint numbers from 0 again
+    K.write_bronze_realtime(_rt(spark, ("3", h)), root, "run-a", 1)
+    assert count() == 4
+    half = _rt(spark, ("5", h))
+    K.write_bronze_realtime(half, root, "run-a", 2)  # as if an attempt had been cut off
+    K.write_bronze_realtime(half.union(_rt(spark, ("6", h))), root, "run-a", 2)
+    assert count() == 6 and spark.read.parquet(root).select("link_id", "run_id", "batch_id").distinct().count() == 6
+    assert K.write_bronze_realtime(one.limit(0), root, "run-a", 3) == 0
+    assert sorted(os.listdir(os.path.join(root, "date=2024-01-30"))) == ["hour=05", "hour=06"]  # no folder per batch
+
+
+def test_recent_hours_of_a_written_table(spark, scratch):
+    """Hours 00-09 local and a lookback across midnight, with the partitions pruned."""
+    root = os.path.join(scratch, "rt")
+    times = [dt.datetime(2024, 1, 30, 4, 0) + dt.timedelta(minutes=20 * k) for k in range(40)]  # from 23:00 local of the 29th
+    K.write_bronze_realtime(_rt(spark, *((str(k), t) for k, t in enumerate(times))), root, "r", 0)
+    table = spark.read.parquet(root)
+    for now in ("2024-01-30 05:30:00", "2024-01-30 06:10:00", "2024-01-30 11:00:00", "2024-01-30 15:30:00"):
+        at = dt.datetime.fromisoformat(now)
+        got = R.recent_hours(table, now, 90)
+        # the last hour's partition is read whole: rows later than now, as a replay has, stay
+        expected = {t for t in times if t >= at - dt.timedelta(minutes=90) and t < at.replace(minute=0) + dt.timedelta(hours=1)}
+        assert {r.data_as_of for r in got.collect()} == expected
+        scan = got._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [(concat(cast(date" in scan
+
+
+def test_month_runner(spark, scratch):
+    from roadlake.plans.months import clean_months, finished, land_months
+    from roadlake.plans.silver import silver_clean
+    active = spark.createDataFrame([("a",), ("b",)], "link_id string")
+    holidays = spark.createDataFrame([("2024-01-01",)], "holiday_date string")
+    times = [dt.datetime(2023, 12, 31, 20) + dt.timedelta(hours=9 * k) for k in range(200)]
+    raw = spark.createDataFrame([("ab"[k % 2], "B", "n", "40.5" if k % 7 else "x", t) for k, t in enumerate(times)],
+                                "link_id string, borough string, link_name string, speed string, ts timestamp_ntz") \
+        .withColumn("data_as_of", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"))
+    bronze, silver, led, led2 = (os.path.join(scratch, x) for x in ("bronze", "silver", "ledger-b", "ledger-s"))
+    months = [(2023, 12), (2024, 1), (2024, 2), (2024, 3), (2024, 4)]
+    landed = land_months(raw, months, bronze, led, ts="ts")
+    assert list(landed) == ["2023-12", "2024-01", "2024-02", "2024-03"] and sum(landed.values()) == 200
+    assert land_months(raw, months, bronze, led, ts="ts") == {}
+    clean = lambda **k: clean_months(spark, bronze, months, active, holidays, silver, led2, **k)
+    first = clean()
+    whole = silver_clean(raw.drop("ts"), active, holidays)
+    cols = whole.columns
+    rows = lambda df: sorted(map(tuple, df.select(*cols).collect()))
+    assert rows(spark.read.parquet(silver)) == rows(whole) and finished(spark, led2) == set(first)
+    assert clean() == {} and set(clean(redo=[(2024, 2)])) == {"2024-02"}
+    assert rows(spark.read.parquet(silver)) == rows(whole)
 
 
 def test_compact_artifact_refuses_empty(spark, scratch):
@@ -76,8 +177,9 @@ def test_predictions_roundtrip_ignores_other_files(spark, scratch):
     preds = spark.createDataFrame([("1", "B", None, dt.datetime(2024, 1, 1), 2, 0.9)],
                                   "link_id string, borough string, link_name string, timestamp timestamp_ntz, "
                                   "predicted_congestion int, confidence double")
-    assert K.write_predictions(preds.limit(0), root, "2024-01-01 12:00:00") is False
-    assert K.write_predictions(preds, root, "2024-01-01 12:00:00")
+    assert K.write_predictions(preds.limit(0), root, "2024-01-01 12:00:00", "run", 0) is False
+    assert K.write_predictions(preds, root, "2024-01-01 12:00:00", "run", 1)
+    assert K.write_predictions(preds, root, "2024-01-01 12:00:00", "run", 1) is False  # the tick again
     part = os.path.join(root, "date=2024-01-01", "hour=07")
     assert os.path.isdir(part)
     with open(os.path.join(part, "notes.txt"), "w") as fh:

@@ -5,8 +5,8 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import functions as F
 
 from roadlake import settings as S
-from roadlake.plans import testdata as T
-from roadlake.plans.training import evaluate, prepare, weighted_train
+from catalog import tables as T
+from roadlake.plans.training import evaluate, prepare, run_training, weighted_train
 from roadlake.sources import readers as R
 from roadlake.streaming import collector as C
 from roadlake.streaming.predictor import run_predictor
@@ -51,7 +51,7 @@ def test_collector_stream_change_detection(spark, scratch):
     assert got == sorted([("1", utc(ta)), ("1", utc(tb)), ("1", utc(ta)), ("2", utc(ta)), ("2", utc(tb))])
     assert {r.current_congestion for r in msgs.filter("link_id = '1'").collect()} == {1}
     b = spark.read.parquet(bronze)
-    assert b.count() == 5 and set(b.columns) >= {"link_id", "speed", "data_as_of", "borough", "date", "hour", "batch"}
+    assert b.count() == 5 and set(b.columns) >= {"link_id", "speed", "data_as_of", "borough", "date", "hour", "run_id", "batch_id"}
 
 
 def test_case_cascade_order(spark):
@@ -67,9 +67,9 @@ def test_case_cascade_order(spark):
 
 def test_training_scoring_and_reload(spark, scratch):
     gold = T.gold(spark, SF)
-    frame = prepare(gold, T.SPLITS, fraction=1.0)
-    from roadlake.operators.ml import build_pipeline, feature_importance, save_model, score_batch
-    model = build_pipeline(numTrees=5, maxDepth=4, maxBins=256).fit(weighted_train(frame))
+    frame = prepare(gold, T.SPLITS)
+    from roadlake.operators.ml import build_pipeline, feature_importance, save_model
+    model = build_pipeline(numTrees=5, maxDepth=4, maxBins=256).fit(weighted_train(frame, fraction=1.0))
     ev = evaluate(model, frame.filter(F.col("split") != "train"))
     cm = ev["confusion"].collect()
     assert len(cm) == 3 and all(len(r) == 4 for r in cm)
@@ -84,10 +84,11 @@ def test_training_scoring_and_reload(spark, scratch):
     assert a == b
 
     # scorer: serving features -> predictions folder (unseen links are kept by the indexers)
-    lk = T.lookup(spark, SF, materialize=True)
-    snaps = T.snapshots(spark, SF, lk)
+    lk = T.lookup(spark, SF)
+    snaps = T.snapshots(spark, SF)
     out = os.path.join(scratch, "pred")
-    assert run_predictor(snaps, lk, T.holidays(spark), model, out, now=T.NOW, params=T.SERVING_PARAMS)
+    assert run_predictor(snaps, lk, T.holidays(spark), model, out, "run", 0, now=T.NOW, params=T.SERVING_PARAMS)
+    assert not run_predictor(snaps, lk, T.holidays(spark), model, out, "run", 0, now=T.NOW, params=T.SERVING_PARAMS)  # a retry
     preds = R.scan_predictions(spark, out)
     cols = set(preds.columns)
     assert set(S.PREDICTION_COLUMNS) <= cols and preds.count() > 0
@@ -116,8 +117,7 @@ def test_warmup_replay_and_artifact_check(spark, scratch):
          ("2", 10.0, dt.datetime(2024, 1, 30, 23, 30), "B", "m"), ("7", 10.0, dt.datetime(2024, 1, 30, 23, 30), "B", "m")],
         "link_id string, speed double, data_as_of timestamp_ntz, borough string, link_name string")
     root = os.path.join(scratch, "rt")
-    for r in rt.collect():  # each reading lands in the hour partition of its own time
-        write_bronze_realtime(spark.createDataFrame([r], rt.schema), root, r.data_as_of.strftime("%Y-%m-%d %H:%M:%S"))
+    write_bronze_realtime(rt.withColumn("ingest_ts", F.col("data_as_of")), root, "run", 0)
     lookup = spark.createDataFrame([("1", 60.0, "B1", "N1"), ("2", 50.0, "B2", "N2")],
                                    "link_id string, free_flow_speed double, borough string, link_name string")
     lk_path = os.path.join(scratch, "lookup")
@@ -165,8 +165,7 @@ def test_change_detect_batch_equals_stream(spark, scratch):
         for i in range(b, min(b + 3, len(seq))):
             os.rename(os.path.join(scratch, f"f{i:02d}.txt"), os.path.join(feed, f"f{i:02d}.txt"))
         q = C.start_collector(R.scan_feed_tsv(spark, feed, streaming=True), active, lookup, bronze, ckpt,
-                              topic_fmt="parquet", topic_path=topic, trigger={"availableNow": True},
-                              ingest_col="file")
+                              topic_fmt="parquet", topic_path=topic, trigger={"availableNow": True})
         q.processAllAvailable()
         q.stop()
     streamed = sorted((r.link_id, r.data_as_of) for r in
@@ -176,3 +175,109 @@ def test_change_detect_batch_equals_stream(spark, scratch):
     batch = change_detect(spark.createDataFrame(rows, "link_id string, data_as_of timestamp_ntz, "
                                                       "ingest_ts timestamp_ntz, row_no long"))
     assert streamed == sorted((r.link_id, r.data_as_of) for r in batch.collect())
+
+
+LOOKUP = "link_id string, free_flow_speed double, borough string, link_name string"
+
+
+def _collect(spark, scratch, files, max_files=None, ttl=None, **options):
+    feed, topic, bronze, ckpt = (os.path.join(scratch, d) for d in ("feed", "topic", "bronze", "ckpt"))
+    os.makedirs(feed, exist_ok=True)
+    for name, rows in files.items():
+        _feed_file(feed, name, rows)
+    active = spark.createDataFrame([("1",), ("2",)], "link_id string")
+    lookup = spark.createDataFrame([("1", 50.0, "B1", "N1")], LOOKUP)
+    q = C.start_collector(R.scan_feed_tsv(spark, feed, streaming=True, max_files=max_files), active, lookup, bronze, ckpt,
+                          topic_fmt="parquet", topic_path=topic, trigger={"availableNow": True}, **options)
+    q.processAllAvailable()
+    assert q.exception() is None
+    progress = q.recentProgress
+    q.stop()
+    return topic, bronze, progress
+
+
+def test_order_inside_one_micro_batch(spark, scratch):
+    """A, B, A in one file and one batch is three changes; rejected and unmatched rows are counted."""
+    now = dt.datetime.now(NY).replace(microsecond=0, tzinfo=None)
+    a, b = now - dt.timedelta(minutes=20), now - dt.timedelta(minutes=30)
+    rows = [("1", 30, a), ("1", 30, a), ("1", 30, b), ("1", 30, a), ("2", 30, a), ("9", 30, a), ("1", 0, a), ("1", 30, now - dt.timedelta(hours=9))]
+    topic, bronze, progress = _collect(spark, scratch, {"f.txt": rows})
+    assert spark.read.parquet(topic).count() == 3 and spark.read.parquet(bronze).count() == 3
+    seen = [p.observedMetrics for p in progress if p.observedMetrics.get("collector")]
+    assert sum(m["collector"].valid for m in seen) == 5 and sum(m["collector"].inactive for m in seen) == 1
+    assert sum(m["collector"].dead for m in seen) == 1 and sum(m["collector"].faulty_sensor for m in seen) == 1
+    assert sum(m["collector_matched"].matched for m in seen) == 4  # link 2 is not in the lookup
+
+
+def test_bronze_failure_is_retried_then_reported(spark, scratch, monkeypatch):
+    from roadlake.sources import writers
+    now = dt.datetime.now(NY).replace(microsecond=0, tzinfo=None)
+    real, calls, told = writers.write_bronze_realtime, [], []
+
+    def flaky(*args, **options):
+        calls.append(1)
+        if len(calls) in (1, 3, 4):
+            raise OSError("no space")
+        return real(*args, **options)
+
+    monkeypatch.setattr(writers, "write_bronze_realtime", flaky)
+    report = lambda batch, e: told.append((batch, str(e)))
+    topic, bronze, _ = _collect(spark, scratch, {"f1.txt": [("1", 30, now - dt.timedelta(minutes=30))]}, on_bronze_error=report)
+    assert spark.read.parquet(bronze).count() == 1 and not told  # the second attempt worked
+    _collect(spark, scratch, {"f2.txt": [("1", 30, now - dt.timedelta(minutes=20))]}, on_bronze_error=report)
+    assert [m for _, m in told] == ["no space"] and spark.read.parquet(topic).count() == 2  # reported; the topic flows
+
+
+class _State:
+    def __init__(self):
+        self.value, self.timeout, self.hasTimedOut = None, None, False
+
+    @property
+    def exists(self):
+        return self.value is not None
+
+    @property
+    def get(self):
+        return self.value
+
+    def update(self, v):
+        self.value = v
+
+    def setTimeoutDuration(self, ms):
+        self.timeout = ms
+
+    def remove(self):
+        self.value = None
+
+
+def test_state_times_out(spark):
+    import pandas as pd
+    from roadlake.streaming.state import OUT_COLS, make_change_handler
+    handler, state = make_change_handler(ttl_minutes=120), _State()
+    row = {c: None for c in OUT_COLS} | {"link_id": "1", "data_as_of": pd.Timestamp("2024-01-01 10:00"), "ingest_ts": pd.Timestamp("2024-01-01 10:01"), "feed_file": "f", "feed_row": 0}
+    once = lambda: sum(len(x) for x in handler(("1",), iter([pd.DataFrame([row])]), state))
+    assert once() == 1 and once() == 0 and state.timeout == 120 * 60_000
+    state.hasTimedOut = True
+    assert list(handler(("1",), iter([]), state)) == [] and not state.exists
+    state.hasTimedOut = False
+    assert once() == 1
+
+
+def test_run_training_evaluates_every_row(spark):
+    gold = T.dense_gold(spark, "/root/testdata/sf0.001")
+    out = run_training(spark, gold, T.DENSE_SPLITS, forest_params={"numTrees": 3, "maxDepth": 3}, fraction=0.35)
+    frame = prepare(gold, T.DENSE_SPLITS)
+    for split in ("val", "test"):
+        assert out[split]["macro_f1"].first().rows == frame.filter(F.col("split") == split).count()
+    assert [type(s).__name__ for s in out["model"].stages] == ["StringIndexerModel", "StringIndexerModel", "VectorAssembler", "RandomForestClassificationModel"]
+
+
+def test_sample_is_redrawn_in_plain_python(spark):
+    import hashlib
+    gold = T.dense_gold(spark, "/root/testdata/sf0.001")
+    from roadlake.operators.filters import sample_limit, stratified_sample
+    key = lambda r: f"{S.SAMPLE_SEED}|{r.link_id}|{r.data_as_of}"
+    expected = {key(r) for r in gold.collect() if hashlib.md5(key(r).encode()).hexdigest()[:8] < sample_limit(S.SAMPLE_FRACTION)}
+    for parts in (1, 5):
+        assert {key(r) for r in stratified_sample(gold.repartition(parts), ["link_id", "data_as_of"]).collect()} == expected
+    assert 0.25 < len(expected) / gold.count() < 0.45
