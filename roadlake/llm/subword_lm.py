@@ -241,8 +241,10 @@ class BlockValues:
 
     def load(self, words: list[bytes], values: np.ndarray) -> None:
         data, starts, ends, _ = spans(words)
-        self.known.numbers(data, starts, ends)  # distinct words, so numbered in this order
-        self.parts.append(values)
+        numbers, _ = self.known.numbers(data, starts, ends)
+        placed = np.empty_like(values)
+        placed[:, numbers - (self.known.count - len(words))] = values  # the words are new and distinct
+        self.parts.append(placed)
 
     def sums(self, texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
         """Each text's number of words, and for each value its sum over the text's words."""
