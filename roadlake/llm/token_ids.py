@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -26,7 +27,7 @@ from .words import Growing, WordNumbers, spans
 
 END_ID = 1
 #: Words whose ids one Python worker keeps (about 60 bytes each); beyond it starts anew.
-CACHE_WORDS = 2_000_000
+CACHE_WORDS = 1_000_000
 ID = np.dtype("<u4")
 
 TOKEN_SCHEMA = "part int, before long, doc_id {id_type}, n_tokens long, ids binary"
@@ -143,17 +144,15 @@ def read_vocabulary(path: str) -> str:
         return f.read()
 
 
-def pieces_of(column: pa.Array, chars: int = 1 << 20) -> Iterator[list[bytes]]:
-    """The column's values in lists of about ``chars`` bytes, so that memory follows one list."""
-    held, size = [], 0
-    for v in column.to_pylist():
-        held.append(v)
-        size += len(v)
-        if size >= chars:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+def pieces_of(column: pa.Array, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The column's values in lists of about ``size`` bytes, so that memory follows one list."""
+    upto = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(column):
+        before = upto[at - 1] if at else 0
+        end = int(np.searchsorted(upto, before + size)) + 1
+        yield column.slice(at, end - at).to_pylist()
+        at = end
 
 
 def tokenised(docs: DataFrame, vocabulary_path: str, *, id_col: str = "doc_id", text_col: str = "text",
