@@ -3,12 +3,16 @@
 A word's lattice has one arc for every vocabulary piece that matches somewhere in it.  Each
 segmentation of the word is a path, its probability the product of its pieces' weights, and
 the word's probability the sum over all paths, by a forward recursion in log space.  Pieces
-never cross the start of a word, so a text's probability is the product of its
-words' and of the end's.
+never cross the start of a word, so a text's probability is the product of its words' and
+of the end's.
 
 The vocabulary is an existing one and is not changed; its scores are the prior of the
-weights.  The weights are fitted to the training texts by expectation maximisation over
-their distinct words (forward and backward recursion), with the prior as pseudo counts.
+weights.  The weights are fitted to the distinct words of the training texts by expectation
+maximisation (forward and backward recursion), with the prior as pseudo counts.  A word
+that the training texts hold has one more segmentation, itself as a whole: an arc from its
+start to its end whose weight is its discounted share of the training tokens.  What the
+discount leaves over is the weight of the segmentations into pieces, for all words, known
+or not; so the probabilities of all words and of the end still sum to one.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ MARK = "▁"
 ROUNDS = 2
 #: Pseudo counts that the vocabulary's own scores are worth in training.
 PRIOR = 1000.0
+#: What is taken off each token's count for the segmentations into pieces.
+DISCOUNT = 0.5
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _SLOTS = 18
@@ -189,6 +195,36 @@ def word_logs(lat: Lattice, words: list[bytes], logs: np.ndarray) -> np.ndarray:
     return out
 
 
+@dataclass(frozen=True)
+class Shares:
+    """How whole words and segmentations into pieces share the probability."""
+
+    n_tokens: int  # of the training texts, ends included
+    n_types: int
+    n_train: int
+    into_pieces: float  # of any token: the weight of all segmentations into pieces
+    word_start: float  # log10: from the lattice's weight of a word to its probability as a word
+    end: float  # log10 of the end's probability
+
+    def words(self, counts: np.ndarray, lattice_logs: np.ndarray) -> np.ndarray:
+        """log10 of each word's probability from its training count and its lattice weight."""
+        pieces = lattice_logs + self.word_start + np.log10(self.into_pieces)
+        whole = np.maximum(counts - DISCOUNT, 0.0) / max(self.n_tokens, 1)
+        with np.errstate(divide="ignore"):
+            return np.where(whole > 0, np.logaddexp(np.log(whole), pieces * np.log(10)) / np.log(10), pieces)
+
+
+def shares(lat: Lattice, weights: np.ndarray, n_tokens: int, n_types: int, n_train: int) -> Shares:
+    """A word made of pieces is one that starts a word, others, and then a new word or the end."""
+    first = float(sum(w for p, w in zip(lat.pieces, weights) if p.startswith(MARK)))
+    stop = first + float(weights[lat.end])
+    if n_train:
+        into, end = DISCOUNT * n_types / n_tokens, (n_train - DISCOUNT) / n_tokens
+    else:  # nothing to learn from: the vocabulary's scores alone
+        into, end = first / stop, float(weights[lat.end]) / stop
+    return Shares(n_tokens, n_types, n_train, into, float(np.log10(stop / first)), float(np.log10(end)))
+
+
 def vocabulary(model_path: str) -> tuple[Lattice, np.ndarray]:
     """Arcs and prior weights (with the end's as last) from a SentencePiece model file.
 
@@ -272,9 +308,9 @@ def score(docs: DataFrame, train: Column, model_path: str, *, rounds: int = ROUN
     ``train`` picks the training rows; ``held_out`` is its opposite.  Tokens are the text's
     words and one end.  ``base_score`` is the sum of log10((c + 0.1) / (N + 0.1 (V + 1)))
     over a text's tokens, from the counts c of tokens in all training texts; ``score`` is the
-    log10 probability of the text under the lattice model.  Null text counts as empty: one
+    log10 probability of the text, all segmentations of all its words summed up.  Null text counts as empty: one
     end.  Equal rows and null ids each give a row; no rows give no rows, no training rows
-    leave the prior weights and counts of 0.  Other columns are not read.
+    leave the vocabulary's own weights and counts of 0.  Other columns are not read.
 
     A block of documents sends each of its distinct words once, and gets that word's count
     and probability back; no task holds more words than its block has.
@@ -319,9 +355,9 @@ def score(docs: DataFrame, train: Column, model_path: str, *, rounds: int = ROUN
             lat_ = held_lattice.value
             uses = np.zeros(len(lat_.pieces))
             for batch in parts:
-                words, times = batch.column("word").to_pylist(), batch.column("c").to_numpy().astype(np.float64)
+                words = batch.column("word").to_pylist()  # each once: rare words tell what unknown ones look like
                 for at, texts in by_length(words):
-                    uses += expected(lat_, *arcs_of(lat_, texts), logs.value, times[at])
+                    uses += expected(lat_, *arcs_of(lat_, texts), logs.value, np.ones(len(at)))
             used = np.flatnonzero(uses)
             yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(uses[used])], names=["piece", "uses"])
 
@@ -329,11 +365,11 @@ def score(docs: DataFrame, train: Column, model_path: str, *, rounds: int = ROUN
         got = distinct.mapInArrow(expect, "piece long, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).toArrow()
         uses = prior * weights
         uses[got.column("piece").to_numpy()] += got.column("uses").to_numpy()
-        uses[lat.end] += n_train
+        uses[lat.end] += 1
         weights = uses / uses.sum()
 
     logs = spark.sparkContext.broadcast(log_weights(weights))
-    end_log = float(np.log10(weights[lat.end]))
+    parted = shares(lat, weights, n_tokens, n_words, n_train)
     base_of = lambda c: np.log10((c + 0.1) / (n_tokens + 0.1 * (n_words + 1)))
 
     def weigh(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,8 +378,9 @@ def score(docs: DataFrame, train: Column, model_path: str, *, rounds: int = ROUN
             words = batch.column("word").to_pylist()
             once_each = list(dict.fromkeys(words))  # the rows of one word lie together
             log = dict(zip(once_each, word_logs(lat_, once_each, logs.value).tolist()))
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("word"), batch.column("c"),
-                                              pa.array([log[w] for w in words], pa.float64())], names=["block", "word", "c", "log"])
+            model = parted.words(batch.column("c").to_numpy(), np.array([log[w] for w in words], dtype=np.float64))
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("word"), batch.column("c"), pa.array(model)],
+                                             names=["block", "word", "c", "log"])
 
     def nothing(kind):
         return F.lit(None).cast(kind)
@@ -373,7 +410,7 @@ def score(docs: DataFrame, train: Column, model_path: str, *, rounds: int = ROUN
                     yield pa.RecordBatch.from_arrays(
                         [rest.column("id").slice(a, n), pc.invert(rest.column("train").slice(a, n)), pa.array(n_words + 1),
                          pa.array(known.astype(np.int64) + (n_train > 0)), pa.array(np.full(n, n_tokens, dtype=np.int64)),
-                         pa.array(base + end_base), pa.array(model + end_log)],
+                         pa.array(base + end_base), pa.array(model + parted.end)],
                         names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
                     a += n
 

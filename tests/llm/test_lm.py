@@ -72,6 +72,25 @@ def test_bytes_spell_characters_without_a_piece():
     assert got == pytest.approx(spelt / math.log(10))
 
 
+def test_probabilities_of_all_words_sum_to_one():
+    """Whole-word arcs and segmentations into pieces share one unit of probability with the end."""
+    pieces, weights = ["▁", "▁a", "a", "b", "ab"], np.array([0.15, 0.1, 0.1, 0.1, 0.05, 0.5])
+    lat = subword_lm.lattice(pieces, [-1] * 256)
+    counts = {b"a": 3, b"ab": 1, b"bba": 2}
+    words = [bytes(w) for n in range(0, 9) for w in itertools.product(b"ab", repeat=n)]
+    n_train = 4
+    parted = subword_lm.shares(lat, weights, sum(counts.values()) + n_train, len(counts) + 1, n_train)
+    logs = subword_lm.word_logs(lat, words, subword_lm.log_weights(weights))
+    w = dict(zip(pieces, weights))
+    for x, g in zip(words[:60], logs):
+        assert g == pytest.approx(math.log10(brute("▁" + x.decode(), w)), abs=1e-9)
+    total = (10 ** parted.words(np.array([counts.get(x, 0) for x in words]), logs)).sum() + 10**parted.end
+    assert 0.9999 < total <= 1 + 1e-9  # words of more than eight letters are the rest
+    alone = subword_lm.shares(lat, weights, 0, 0, 0)
+    total = (10 ** alone.words(np.zeros(len(words)), logs)).sum() + 10**alone.end
+    assert 0.9999 < total <= 1 + 1e-9
+
+
 def plain_scores(rows):
     """Base scores and counts in plain Python."""
     held = {k: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0 for k, (i, _) in enumerate(rows)}
