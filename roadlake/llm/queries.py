@@ -83,13 +83,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # Equal rank, score and ties for every query row; the integer inner product is exact in BIGINT.
 _TOPK = """
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
   FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
-         CAST(list_sum(list_transform(list_zip(a.q, b.q), p -> p[1] * p[2])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
   FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
   WHERE a.vec_id % 50 = 0
 ), ranked AS (
@@ -102,8 +102,8 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 _LINKS = """
 WITH RECURSIVE vectors AS (
   SELECT vec_id, label, CASE WHEN label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0
-    THEN list_transform(embedding, x -> CAST(x AS DOUBLE)) END AS v
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    THEN list_transform(embedding, lambda x: CAST(x AS DOUBLE)) END AS v
   FROM embeddings
 ), links AS MATERIALIZED (
   SELECT a.vec_id AS a, b.vec_id AS b

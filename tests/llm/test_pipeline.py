@@ -72,3 +72,15 @@ def test_query_columns(spark, name):
     out = entry.queries()[name](spark, SF_SMALL)
     assert set(wanted.get(int(name[2:].split("_")[0]), "doc_id").split()) <= set(out.columns)
     assert out.count() > 0
+
+
+@pytest.mark.parametrize("name", ["op3_cover_tree", "op5_bit_sliced_topk"])
+def test_query_matches_sql(spark, name):
+    import duckdb
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF_SMALL}/embeddings.parquet'")
+    out = entry.queries()[name](spark, SF_SMALL)
+    rel = con.execute(entry.oracle_sql()[name])
+    columns = [d[0] for d in rel.description]
+    assert sorted(columns) == sorted(out.columns)
+    assert sorted(map(tuple, out.select(*columns).collect())) == sorted(rel.fetchall())
