@@ -18,18 +18,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import BLOCK_BYTES, batches, block_of, count_blocks, drop, stored, text_bytes
+from .shared import BLOCK_BYTES, block_of, count_blocks, stored, text_bytes
 from .token_ids import pieces_of
 
 REACH = 16
 MAX_CHUNK = 4096
-#: A run of repeated chunks is cut when it spans so many bytes (about 25 words).
-MIN_RUN = 150
+#: A run of repeated chunks is cut when it spans so many bytes (about 16 words).
+MIN_RUN = 100
 DIGEST_BYTES = 12
 _PAD = 64
 
@@ -136,6 +137,30 @@ def repeated_spans(text: bytes, ends: list[int], owners: list, min_run: int) ->
     return spans
 
 
+def _once_each(block: int, ids: list, counts: list[int], raw: list[bytes], id_type: pa.DataType,
+               rows: int = 50_000) -> Iterator[pa.RecordBatch]:
+    """Each digest of a block once, with the smallest id that has it and whether it stands there more than once."""
+    rank = np.empty(len(ids), dtype=np.int64)
+    order = sorted(range(len(ids)), key=lambda k: (ids[k] is None, ids[k]))
+    rank[order] = np.arange(len(ids))
+    of_rank = pa.array([ids[k] for k in order], id_type)
+    whole = np.frombuffer(b"".join(raw), dtype=np.dtype([("a", "<u8"), ("b", "<u4")]))
+    raw.clear()
+    place = np.repeat(rank, counts)
+    by = np.lexsort((place, whole["b"], whole["a"]))
+    whole, place = whole[by], place[by]
+    fresh = np.r_[True, whole[1:] != whole[:-1]] if len(whole) else np.zeros(0, dtype=bool)
+    first = np.flatnonzero(fresh)
+    twice = np.diff(np.r_[first, len(whole)]) > 1
+    for k in range(0, len(first), rows):
+        at = first[k : k + rows]
+        owner = of_rank.take(pa.array(place[at]))
+        digest = pa.Array.from_buffers(pa.binary(DIGEST_BYTES), len(at), [None, pa.py_buffer(whole[at].tobytes())]).cast(pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(at), block, dtype=np.int32)), digest, owner.is_null(), owner, pa.array(twice[k : k + rows])],
+            names=["block", "digest", "none", "id", "twice"])
+
+
 def repeats(docs: DataFrame, *, min_run: int = MIN_RUN, reach: int = REACH, max_chunk: int = MAX_CHUNK,
             block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of ``docs`` as ``(row, n_chunks, n_repeated, spans, kept)``.
@@ -156,30 +181,25 @@ def repeats(docs: DataFrame, *, min_run: int = MIN_RUN, reach: int = REACH, max_
     id_field = rows.schema["id"].dataType
     id_type = id_field.simpleString()
     id_arrow = rows.select("id").limit(0).toArrow().schema.field("id").type
-    blocked = rows.select(block_of(n_blocks, "id", "text").alias("block"), "row", "id", "text")
+    block = block_of(n_blocks, "id", "text").alias("block")
 
     def chunked(column: pa.Array) -> Iterator[tuple[bytes, list[int]]]:
         for texts in pieces_of(column):
             yield from zip(texts, chunk_ends(texts, reach, max_chunk))
 
-    sent = pa.schema([("block", pa.int32()), ("digest", pa.binary()), ("none", pa.bool_()), ("id", id_arrow), ("twice", pa.bool_())])
-
     def send(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, dict[bytes, tuple]] = {}
+        held: dict[int, list] = {}
         for batch in parts:
             blocks, ids = batch.column("block").to_pylist(), batch.column("id").to_pylist()
             for block, i, (text, ends) in zip(blocks, ids, chunked(batch.column("text"))):
-                of_block = seen.setdefault(block, {})
-                key = (i is None, i)
-                for d in digests(text, ends):
-                    if (was := of_block.get(d)) is None:
-                        of_block[d] = (key, False)
-                    else:
-                        of_block[d] = (was[0] if i is None or was[0] <= key else key, True)
-        yield from batches(((block, d, none, i, twice) for block, found in seen.items()
-                            for d, ((none, i), twice) in found.items()), sent)
-
-    once = (blocked.select("block", "id", "text").repartitionById(n_blocks, "block")
+                of_block = held.setdefault(block, [[], [], []])
+                of_block[0].append(i)
+                of_block[1].append(len(ends))
+                of_block[2].append(b"".join(digests(text, ends)))
+        for block in list(held):
+            yield from _once_each(block, *held.pop(block), id_arrow)
+
+    once = (rows.select(block, "id", "text").repartitionById(n_blocks, "block")
             .mapInArrow(send, f"block int, digest binary, none boolean, id {id_type}, twice boolean"))
     same = Window.partitionBy("digest")
     owner = F.min(F.struct("none", "id", "block")).over(same)
@@ -187,14 +207,13 @@ def repeats(docs: DataFrame, *, min_run: int = MIN_RUN, reach: int = REACH, max_
                           (F.max("twice").over(same) | (F.count("*").over(same) > 1)).alias("shared"))
               .where("shared").select("block", "digest", F.col("owner.id").alias("owner_id"), F.col("owner.block").alias("owner_block")))
     shared = stored(shared, "repeated-chunks")
-    row_type = rows.schema["row"].dataType.simpleString()
     nothing = lambda kind: F.lit(None).cast(kind)
     met = (shared.select("block", F.lit(0).alias("kind"), "digest", "owner_id", "owner_block",
-                         nothing(rows.schema["row"].dataType).alias("row"), nothing(id_field).alias("id"), nothing("binary").alias("text"))
-           .unionByName(blocked.select("block", F.lit(1).alias("kind"), nothing("binary").alias("digest"),
-                                       nothing(id_field).alias("owner_id"), nothing("int").alias("owner_block"), "row", "id", "text"))
+                         nothing(rows.schema["row"].dataType).alias("row"))
+           .unionByName(rows.select(block, F.lit(1).alias("kind"), nothing("binary").alias("digest"),
+                                    nothing(id_field).alias("owner_id"), nothing("int").alias("owner_block"), "row"))
            .repartitionById(n_blocks, "block")
-           .sortWithinPartitions("kind", F.col("id").asc_nulls_last(), F.xxhash64("text")))
+           .sortWithinPartitions("kind", F.col("row").getField(id_col).asc_nulls_last(), F.xxhash64(F.col("row").getField(text_col))))
     spec = T.StructType([T.StructField("row", rows.schema["row"].dataType)]
                         + list(T._parse_datatype_string(f"n_chunks int, n_repeated int, spans {SPANS.format(id_type=id_type)}, kept binary")))
     span_arrow = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("owner_id", id_arrow)]))
@@ -213,7 +232,9 @@ def repeats(docs: DataFrame, *, min_run: int = MIN_RUN, reach: int = REACH, max_
                 continue
             rest = batch.slice(firsts)
             n_chunks, n_repeated, all_spans, kept = [], [], [], []
-            for block, i, (text, ends) in zip(rest.column("block").to_pylist(), rest.column("id").to_pylist(), chunked(rest.column("text"))):
+            own_ids = pc.struct_field(rest.column("row"), id_col).to_pylist()
+            own_texts = pc.fill_null(pc.struct_field(rest.column("row"), text_col).cast(pa.binary()), b"")
+            for block, i, (text, ends) in zip(rest.column("block").to_pylist(), own_ids, chunked(own_texts)):
                 owners: list = []
                 for d in digests(text, ends):
                     key = (block, d)
@@ -242,7 +263,7 @@ def repeats(docs: DataFrame, *, min_run: int = MIN_RUN, reach: int = REACH, max_
 
 def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
     """One row per repeated span: ``doc_id, owner_id, start, end, n_chars``; documents without one have no row."""
-    found = repeats(docs, id_col=id_col, **options)
+    found = repeats(docs.select(id_col, options.get("text_col", "text")), id_col=id_col, **options)
     return (found.select(F.col(f"row.`{id_col}`").alias("doc_id"), F.explode("spans").alias("s"))
             .select("doc_id", "s.owner_id", "s.start", "s.end", (F.col("s.end") - F.col("s.start")).alias("n_chars")))
 
