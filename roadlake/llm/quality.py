@@ -90,9 +90,12 @@ def fit(texts: list[bytes], labels: np.ndarray, p: QualityParams = QualityParams
     if len(set(labels.tolist())) < 2:
         return QualityModel(np.zeros(p.buckets), prior, p)
     rng = np.random.default_rng(p.seed)
-    data, starts, ends, n_words = spans(texts)
-    numbers, new = WordNumbers().numbers(data, starts, ends)
-    all_rows = np.split(numbers, np.cumsum(n_words)[:-1])
+    table, new, all_rows = WordNumbers(), [], []
+    for part in pieces_of(pa.array(texts, pa.binary())):
+        data, starts, ends, n_words = spans(part)
+        numbers, met = table.numbers(data, starts, ends)
+        new += met
+        all_rows += np.split(numbers.astype(np.int32), np.cumsum(n_words)[:-1])
     parts = [word_features(new[k : k + 20_000], p) for k in range(0, len(new), 20_000)]  # bounds what is held at once
     buckets = np.concatenate([b.astype(np.int32) for b, _ in parts] or [np.zeros(0, dtype=np.int32)])
     sizes = np.concatenate([n for _, n in parts] or [np.zeros(0, dtype=np.int64)])

@@ -11,7 +11,6 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +19,9 @@ from pyspark.sql import functions as F
 import roadlake
 from roadlake.session import checkpoint_dir
 
+# Arrow's own pools keep what they have freed; a worker that lives on needs it back.
+pa.set_memory_pool(pa.system_memory_pool())
+
 #: Text bytes that one block of documents holds on average.  A block is the unit that
 #: is read by one task together with the statistics of its own words or chunks.
 BLOCK_BYTES = 16 << 20
@@ -84,19 +86,3 @@ def count_blocks(total_bytes: int | None, block_bytes: int) -> int:
 def block_of(n: int, *cols: str) -> Column:
     """Block number by a hash of the given columns; equal rows meet, nothing else is needed."""
     return F.pmod(F.xxhash64(*cols), F.lit(n)).cast("int")
-
-
-def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 20_000) -> Iterator[pa.RecordBatch]:
-    """Rows as Arrow batches of bounded length."""
-    held: list[tuple] = []
-    for r in rows:
-        held.append(r)
-        if len(held) >= size:
-            yield _batch(held, schema)
-            held = []
-    if held:
-        yield _batch(held, schema)
-
-
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import stored, text_bytes
-from .words import Growing, WordNumbers, spans
+from .words import IdPool, spans
 
 END_ID = 1
 #: Words whose ids one Python worker keeps (about 60 bytes each); beyond it starts anew.
@@ -41,7 +41,7 @@ def byte_letters() -> dict[int, str]:
 
 
 class WordIds:
-    """Ids of words, as little-endian unsigned 32-bit integers; keeps those of the words it has met.
+    """Ids of texts, as little-endian unsigned 32-bit integers, from the ids of their words.
 
     A vocabulary of the known shape (canonical composition, white space folded, lower case; a
     pattern's matches, byte by byte) cuts a word into runs, and the library's model gives
@@ -53,15 +53,11 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker per core
         from tokenizers import Tokenizer
 
-        self.tok, self.cap = Tokenizer.from_str(vocabulary), cache_words
+        self.tok = Tokenizer.from_str(vocabulary)
         self.pattern = _run_pattern(json.loads(vocabulary))
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.letters = byte_letters()
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known = WordNumbers()
-        self.ids, self.begins, self.sizes = Growing(ID), Growing(np.int64), Growing(np.int64)
+        self.pool = IdPool(self._learn, cache_words)
 
     def _run(self, run: bytes) -> bytes:
         text = run.decode() if run.isalpha() else run.decode("latin-1").translate(self.letters)
@@ -93,23 +89,10 @@ class WordIds:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """All ids of each text."""
-        if self.known.count > self.cap:
-            self._clear()
+        if self.pool.known.count > self.pool.cap:
+            self.pool.clear()
         data, starts, ends, n_words = spans(texts)
-        numbers, new = self.known.numbers(data, starts, ends)
-        if new:
-            ids = self._learn(new)
-            size = np.array([len(x) for x in ids], dtype=np.int64) // ID.itemsize
-            self.begins.extend(self.ids.count + np.cumsum(size) - size)
-            self.sizes.extend(size)
-            self.ids.extend(np.frombuffer(b"".join(ids), ID))
-        size = self.sizes.values[numbers]
-        upto = np.cumsum(size)
-        at = np.repeat(self.begins.values[numbers] - upto + size, size)
-        at += np.arange(len(at))
-        flat = self.ids.values[at].tobytes()
-        cut = (np.r_[0, upto][np.cumsum(n_words)] * ID.itemsize).tolist()
-        return [flat[a:b] for a, b in zip([0, *cut[:-1]], cut)]
+        return self.pool.joined(self.pool.numbers(data, starts, ends), n_words)
 
 
 def _run_pattern(made: dict):

@@ -9,6 +9,8 @@ through a dictionary.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -84,7 +86,7 @@ class WordNumbers:
         """Number new, distinct words."""
         need = self.count + len(words)
         if need > len(self.sizes):
-            grown = max(need, 2 * len(self.sizes))
+            grown = max(need, 3 * len(self.sizes) // 2)
             self.keys = np.concatenate([self.keys, np.zeros((grown - len(self.keys), 2), dtype=np.uint64)])
             self.sizes = np.concatenate([self.sizes, np.zeros(grown - len(self.sizes), dtype=np.uint8)])
         numbers = np.arange(self.count, need)
@@ -135,6 +137,41 @@ class Growing:
     def extend(self, more: np.ndarray) -> None:
         need = self.count + len(more)
         if need > len(self.values):
-            self.values = np.concatenate([self.values, np.zeros(max(need, 2 * len(self.values)) - len(self.values), dtype=self.values.dtype)])
+            self.values = np.concatenate([self.values, np.zeros(max(need, 3 * len(self.values) // 2) - len(self.values), dtype=self.values.dtype)])
         self.values[self.count : need] = more
         self.count = need
+
+
+class IdPool:
+    """Ids of words, as little-endian unsigned 32-bit integers; keeps those of the words it has met.
+
+    ``learn`` gives the ids of a list of new words.  Beyond ``cap`` words it starts anew.
+    """
+
+    def __init__(self, learn: Callable[[list[bytes]], list[bytes]], cap: int):
+        self.learn, self.cap = learn, cap
+        self.clear()
+
+    def clear(self) -> None:
+        self.known = WordNumbers()
+        self.ids, self.begins, self.sizes = Growing(np.dtype("<u4")), Growing(np.int32), Growing(np.int32)
+
+    def numbers(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        numbers, new = self.known.numbers(data, starts, ends)
+        if new:
+            ids = self.learn(new)
+            size = np.array([len(x) for x in ids], dtype=np.int64) // 4
+            self.begins.extend(self.ids.count + np.cumsum(size) - size)
+            self.sizes.extend(size)
+            self.ids.extend(np.frombuffer(b"".join(ids), "<u4"))
+        return numbers
+
+    def joined(self, numbers: np.ndarray, n_words: np.ndarray) -> list[bytes]:
+        """The ids of the first ``n_words[0]`` words one after the other, then of the next, and so on."""
+        size = self.sizes.values[numbers]
+        upto = np.cumsum(size, dtype=np.int64)
+        at = np.repeat(self.begins.values[numbers] - upto + size, size)
+        at += np.arange(len(at))
+        flat = self.ids.values[at].tobytes()
+        cut = (np.r_[0, upto][np.cumsum(n_words)] * 4).tolist()
+        return [flat[a:b] for a, b in zip([0, *cut[:-1]], cut)]
