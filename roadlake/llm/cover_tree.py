@@ -51,18 +51,17 @@ def build(points: np.ndarray, leaf: int = LEAF) -> Node:
     nested), then each point that no chosen centre covers; points go to the first centre
     within the level's radius.
     """
-    everything = np.arange(len(points))
-    away = distances(points, points[0])
-    root = Node(everything, 0, float(away.max()), 0)
+    apart = np.sqrt(np.maximum(0.0, 2 - 2 * points @ points.T))  # of one block: a bounded table
+    root = Node(np.arange(len(points)), 0, float(apart[0].max()), 0)
     open_ = [(root, 1)]
     while open_:
         node, level = open_.pop()
         radius = root.radius / 2**level
-        if len(node.rows) <= leaf or node.radius == 0.0:
+        if len(node.rows) <= leaf or node.radius <= SLACK:
             continue
         rest, centre = node.rows, node.centre
         while len(rest):
-            away = distances(points[rest], points[centre])
+            away = apart[centre, rest]
             near = away <= radius
             near[rest == centre] = True
             child = Node(rest[near], int(centre), float(away[near].max()), level)
