@@ -12,16 +12,12 @@ import tempfile
 import uuid
 import zipfile
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import roadlake
 from roadlake.session import checkpoint_dir
 
-# Arrow's own pools keep what they have freed; a worker that lives on needs it back.
-pa.set_memory_pool(pa.system_memory_pool())
-
 #: Text bytes that one block of documents holds on average.  A block is the unit that
 #: is read by one task together with the statistics of its own words or chunks.
 BLOCK_BYTES = 16 << 20

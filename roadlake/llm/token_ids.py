@@ -27,12 +27,16 @@ from .words import IdPool, spans
 
 END_ID = 1
 #: Words whose ids one Python worker keeps (about 60 bytes each); beyond it starts anew.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 2_000_000
 ID = np.dtype("<u4")
 
 TOKEN_SCHEMA = "part int, before long, doc_id {id_type}, n_tokens long, ids binary"
 
 
+#: ASCII marks but the apostrophe, with which the pattern's own endings begin.
+_MARKS = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b != 0x27)
+
+
 def byte_letters() -> dict[int, str]:
     """How byte-level vocabularies write bytes that are no visible Latin-1 character: as the next letters from U+0100 on."""
     visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -55,7 +59,7 @@ class WordIds:
 
         self.tok = Tokenizer.from_str(vocabulary)
         self.pattern = _run_pattern(json.loads(vocabulary))
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.special = os.path.commonprefix([t.content for t in self.tok.get_added_tokens_decoder().values()])
         self.letters = byte_letters()
         self.pool = IdPool(self._learn, cache_words)
 
@@ -70,14 +74,20 @@ class WordIds:
         run = functools.cache(self._run)  # for this call: words of one text share their runs
         out: list[bytes | None] = []
         for w in words:
-            if w.isalpha():
-                out.append(run(w.lower()))
-            elif w[-1:] in b",." and w[:-1].isalpha():
-                out.append(run(w[:-1].lower()) + run(w[-1:]))
+            core = w.rstrip(_MARKS)  # most words are letters, then perhaps a run of marks
+            if not core or core.isalpha():
+                ids = run(core.lower()) if core else b""
             else:
-                s = w.decode("utf-8", "replace")
-                plain = max(s) < "\u0300" and "İ" not in s and not any(x in s for x in self.special)
-                out.append(b"".join([run(r.encode()) for r in self.pattern.findall(s.lower())]) if plain else None)
+                s = core.decode("utf-8", "replace")
+                if max(s) >= "\u0300" or "İ" in s or (self.special in s if self.special else False):
+                    out.append(None)
+                    continue
+                s = s.lower()
+                ids = run(s.encode()) if s.isalpha() else b"".join([run(r.encode()) for r in self.pattern.findall(s)])
+                if not s.isalpha() and core != w and not s[-1].isalnum():
+                    out.append(None)  # the marks go on from the core's own
+                    continue
+            out.append(ids + run(w[len(core) :]) if len(core) < len(w) else ids)
         rest = [k for k, x in enumerate(out) if x is None]
         for k, ids in zip(rest, self._whole([words[k] for k in rest])):
             out[k] = ids
