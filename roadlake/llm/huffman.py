@@ -96,23 +96,19 @@ def decode_table(lengths: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarra
 
 def encode_bits(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray, every: int = EVERY) -> tuple[bytes, np.ndarray]:
     """The bits of ``ids`` and the bit offset of every ``every``-th one."""
-    size = lengths[ids].astype(np.int64)
-    ends = np.cumsum(size)
+    ids = ids.astype(np.intp, copy=False)
+    size = lengths[ids]
+    ends = np.cumsum(size, dtype=np.int64)
     starts = ends - size
     words = np.zeros((int(ends[-1]) + 63) // 64 + 1 if len(ids) else 1, dtype=np.uint64)
+    # codes at the top of a word; a zero length shifts by less than a word and is never used
+    top = (codes << (np.uint64(64) - np.maximum(lengths, 1).astype(np.uint64)))[ids]
     at, inside = starts >> 6, (starts & 63).astype(np.uint64)
-    room = np.uint64(64) - inside
-    code, wide = codes[ids], size.astype(np.uint64)
-    fits = wide <= room
-    # the share of the word in which the code starts; a code is never longer than a word
-    head = np.where(fits, code << np.where(fits, room - wide, 0).astype(np.uint64),
-                    code >> np.where(fits, 0, wide - room).astype(np.uint64))
     if len(ids):
         first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-        words[at[first]] = np.bitwise_or.reduceat(head, first)
-        over = np.flatnonzero(~fits)  # at most one code leaves each word
-        tail = code[over] << (np.uint64(64) - (wide[over] - room[over]))
-        words[at[over] + 1] |= tail
+        words[at[first]] = np.bitwise_or.reduceat(top >> inside, first)
+        over = np.flatnonzero(inside + size > 64)  # at most one code leaves each word
+        words[at[over] + 1] |= top[over] << (np.uint64(64) - inside[over])
     used = (int(ends[-1]) + 7) // 8 if len(ids) else 0
     return words.astype(">u8").tobytes()[:used], starts[::every].copy()
 
