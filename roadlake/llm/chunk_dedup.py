@@ -3,8 +3,11 @@
 A gear hash rolls over a text's bytes (the last 32 bytes decide its value).  A chunk ends
 where that value is the largest within ``REACH`` bytes to either side and the next byte
 starts a character.  Cuts depend only on the bytes around them, so a passage is cut alike
-wherever it stands, and an insertion moves the cuts near it only.  Chunks are compared by a
-96-bit digest; the first of equal ones stays.
+wherever it stands, and an insertion moves the cuts near it only.  Text that repeats with a
+period of at most ``REACH`` bytes has no largest value: a stretch of it ends a chunk once a
+period, from its first byte to its last, at the place in the period with the largest value; a
+stretch of one byte is parted from the text around it.  Chunks are compared by a 96-bit
+digest, those of one byte whatever their length; the first of equal ones stays.
 
 Documents are dealt into blocks.  A block sends each of its digests once, so a chunk that
 millions of documents share reaches the digest's task once per block.  Repeated digests
@@ -33,6 +36,7 @@ MAX_CHUNK = 4096
 MIN_RUN = 100
 DIGEST_BYTES = 12
 _PAD = 64
+_ROLL = 32  # bytes that decide a hash value
 
 SPANS = "array<struct<start:int,end:int,owner_id:{id_type}>>"
 
@@ -73,14 +77,18 @@ def chunk_ends(texts: list[bytes], reach: int = REACH, max_chunk: int = MAX_CHUN
     h = gear_hash(data)
     h[:-1][(data[1:] & 0xC0) == 0x80] = 0  # no end inside a character
     ahead = _forward_max(h, reach)
-    best = np.zeros(len(h), dtype=bool)
-    best[reach:-1] = (h[reach:-1] > ahead[: len(h) - reach - 1]) & (h[reach:-1] >= ahead[reach + 1 :])
-    ends = np.flatnonzero(best) + 1
+    here, before = h[reach:-1], ahead[: len(h) - reach - 1]
+    peak = here >= ahead[reach + 1 :]
+    ends = np.flatnonzero(peak & (here > before)) + reach + 1
+    tied = np.flatnonzero(peak & (here == before) & (here > 0)) + reach
     out, at = [], _PAD
     for text in texts:
         n = len(text)
         lo, hi = np.searchsorted(ends, [at + 1, at + n])
         found = [*(ends[lo:hi] - at).tolist(), n] if n else []
+        lo, hi = np.searchsorted(tied, [at, at + n])
+        if lo < hi:
+            found = _each_period(found, data[at : at + n], h[at : at + n], tied[lo:hi] - at, reach)
         if n > max_chunk:
             found = _shortened(text, found, max_chunk)
         out.append(found)
@@ -88,6 +96,58 @@ def chunk_ends(texts: list[bytes], reach: int = REACH, max_chunk: int = MAX_CHUN
     return out
 
 
+def _stretch(data: np.ndarray, p: int, period: int, step: int = 256) -> tuple[int, int]:
+    """The longest ``data[start:end]`` around ``data[p]`` that repeats with ``period``."""
+    start, end, n = p - period + 1, p + 1, len(data)
+    width = step
+    while end < n:
+        stop = min(end + width, n)
+        other = np.flatnonzero(data[end:stop] != data[end - period : stop - period])
+        if len(other):
+            end += int(other[0])
+            break
+        end, width = stop, 2 * width
+    width = step
+    while start > 0:
+        stop = max(start - width, 0)
+        other = np.flatnonzero(data[stop:start] != data[stop + period : start + period])
+        if len(other):
+            start = stop + int(other[-1]) + 1
+            break
+        start, width = stop, 2 * width
+    return start, end
+
+
+def _each_period(ends: list[int], data: np.ndarray, h: np.ndarray, tied: np.ndarray, reach: int) -> list[int]:
+    """``ends`` of one text with those of its periodic stretches, which hold the ``tied`` peaks.
+
+    A stretch of ``_ROLL + 3 * reach`` bytes holds a tied peak whatever stands around it; shorter
+    ones keep their ends.
+    """
+    had, n = np.array(ends), len(data)
+    stays, more, k = np.ones(len(had), dtype=bool), [], 0
+    while k < len(tied):
+        p, past = int(tied[k]), int(tied[k]) + 1
+        for period in range(1, min(reach, p) + 1):
+            if h[p - period] != h[p]:
+                continue
+            start, end = _stretch(data, p, period)
+            past = max(past, end)
+            if end - start < _ROLL + 3 * reach:
+                continue
+            if period == 1:
+                more += [start, end]
+                break
+            first = start + _ROLL - 1  # from here on the hash repeats too
+            top = int(np.argmax(h[first : first + period])) + first + 1
+            more += range(top - (top - start - 1) // period * period, end + 1, period)
+            stays[np.searchsorted(had, start, "right") : np.searchsorted(had, end)] = False
+            break
+        k = int(np.searchsorted(tied, past))
+    more = [x for x in more if 0 < x < n and data[x] & 0xC0 != 0x80]
+    return np.union1d(had[stays], np.array(more, dtype=had.dtype)).tolist()
+
+
 def _shortened(text: bytes, ends: list[int], max_chunk: int) -> list[int]:
     out, at = [], 0
     for end in ends:
@@ -103,7 +163,8 @@ def _shortened(text: bytes, ends: list[int], max_chunk: int) -> list[int]:
 
 def digests(text: bytes, ends: list[int]) -> list[bytes]:
     digest = xxhash.xxh3_128_digest
-    return [digest(text[a:b])[:DIGEST_BYTES] for a, b in zip([0, *ends], ends)]
+    chunks = (text[a:b] for a, b in zip([0, *ends], ends))
+    return [digest(c[:1] if c[0] == c[-1] and c.count(c[:1]) == len(c) else c)[:DIGEST_BYTES] for c in chunks]
 
 
 def whole_words(text: bytes, start: int, end: int) -> tuple[int, int]:

@@ -148,6 +148,29 @@ def test_chunk_ends():
         assert sizes.max() <= chunk_dedup.MAX_CHUNK and all(t[a:b].decode() for a, b in zip([0, *ends], ends))
 
 
+@pytest.mark.parametrize("n_words", [60, 300])
+def test_periodic_passages(n_words):
+    """A phrase of 1 to 16 bytes over and over is cut alike whatever stands around it."""
+    phrases = ["no money down, x"[16 - k :] for k in range(2, 17)] + ["Retionly ", "ha ", "buy now ", "no money down, ", "日本 ", "é "]
+    phrases = [p if " " in p else p[:-1] + " " for p in phrases] + ["z" * 4, "-" * 5]
+    rng = random.Random(n_words)
+    for phrase in phrases:
+        passage = (phrase * (n_words // len(phrase.split()) + 1)).encode().strip()
+        if len(passage) < chunk_dedup.MIN_RUN + 2 * len(phrase):
+            continue
+        for _ in range(5):
+            sides = [words(rng, 50).encode() for _ in range(4)]
+            texts = [b" ".join([sides[2 * k], passage, sides[2 * k + 1]]) for k in range(2)]
+            first, second = chunk_dedup.chunk_ends(texts)
+            assert b"".join(texts[1][a:b] for a, b in zip([0, *second], second)) == texts[1] and second == sorted(set(second))
+            known = set(chunk_dedup.digests(texts[0], first))
+            owners = [(1,) if d in known else None for d in chunk_dedup.digests(texts[1], second)]
+            spans = chunk_dedup.repeated_spans(texts[1], second, owners, chunk_dedup.MIN_RUN)
+            assert len(spans) == 1, phrase
+            start = len(sides[2]) + 1
+            assert start - 2 <= spans[0][0] <= start + 33 and start + len(passage) - 33 <= spans[0][1] <= start + len(passage) + 2, phrase
+
+
 def words(rng, n):
     return " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(n))
 
