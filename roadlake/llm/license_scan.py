@@ -28,29 +28,84 @@ from .token_ids import pieces_of
 # --------------------------------------------------------------------------
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-TEMPLATES = [
+def _bullet(marks: str) -> str:
+    return f"<<beginOptional>><<var;name=bullet;original={marks[0]};match={'|'.join(marks)}>> <<endOptional>>"
+
+
+def _party(original: str, most: int = 12) -> str:
+    return f"<<var;name=party;original={original};match=.{{1,{most}}}>>"
+
+
+_BSD_OPENING = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    f"conditions are met: {_bullet('1a')}Redistributions of source code must retain the above copyright notice, this list of conditions "
+    f"and the following disclaimer. {_bullet('2b')}Redistributions in binary form must reproduce the above copyright notice, this list of "
+    "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. ")
+_BSD_ADVERTISING = (
+    f"{_bullet('3c')}All advertising materials mentioning features or use of this software must display the following "
+    f"<<var;name=spelling;original=acknowledgement;match=acknowledgement|acknowledgment>>: This product includes software developed by "
+    f"{_party('the organization', 20)}. ")
+_BSD_NAMES = (
+    f"Neither the name of {_party('the copyright holder')} nor the names of <<var;name=its;original=its;match=its|other|any>> contributors "
+    "may be used to endorse or promote products derived from this software without specific prior written permission. ")
+_BSD_DISCLAIMER = (
+    f"THIS SOFTWARE IS PROVIDED BY {_party('THE COPYRIGHT HOLDERS AND CONTRIBUTORS')} \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO "
+    f"EVENT SHALL {_party('THE COPYRIGHT HOLDER OR CONTRIBUTORS')} BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR "
+    "CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
+    "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+    "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+
+#: One sentence that names a license.
+NOTICES = [
     ("mit", "Released under the <<beginOptional>>terms of the <<endOptional>>MIT License"),
+    ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
+    ("gpl", "<<beginOptional>>This <<endOptional>><<var;name=work;original=work;match=.{1,4}>> is licensed under the "
+            "GNU General Public License, version <<var;name=version;original=3;match=2|3>>"),
+    ("cc-by-nc-4.0", "Licensed under <<beginOptional>>a Creative Commons <<endOptional>>CC BY-NC 4.0"),
+]
+
+#: Whole license texts, and the whole headers that Apache, GPL and MPL prescribe for source files.
+TEXTS = [
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of "
             "<<var;name=work;original=this software and associated documentation files;match=.{1,12}>> (the "
             "<<beginOptional>>\"<<endOptional>>Software<<beginOptional>>\"<<endOptional>>), to deal in the Software without restriction, "
             "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies "
             "of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
             "The above copyright notice and this permission notice <<beginOptional>>(including the next paragraph) <<endOptional>>"
-            "shall be included in all copies or substantial portions of the Software."),
+            "shall be included in all copies or substantial portions of the Software. "
+            "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+            "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND <<var;name=spelling;original=NONINFRINGEMENT;"
+            f"match=noninfringement|non infringement>>. IN NO EVENT SHALL {_party('THE AUTHORS OR COPYRIGHT HOLDERS')} BE LIABLE FOR ANY "
+            "CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION "
+            "WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
     ("isc", "Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any purpose with or "
-            "without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-            "following conditions are met: <<var;name=bullet;original=1;match=.{0,1}>> Redistributions of source code must retain the "
-            "above copyright notice, this list of conditions and the following disclaimer."),
-    ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
-    ("gpl", "<<beginOptional>>This <<endOptional>><<var;name=work;original=work;match=.{1,4}>> is licensed under the "
-            "GNU General Public License, version <<var;name=version;original=3;match=2|3>>"),
+            "without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
+            f"THE SOFTWARE IS PROVIDED \"AS IS\" AND {_party('THE AUTHOR')} <<var;name=verb;original=DISCLAIMS;match=disclaims|disclaim>> ALL "
+            "WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL "
+            f"{_party('THE AUTHOR')} BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING "
+            "FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+            "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("bsd", _BSD_OPENING + _BSD_DISCLAIMER),  # two clauses
+    ("bsd", _BSD_OPENING + _bullet("3c") + _BSD_NAMES + _BSD_DISCLAIMER),
+    ("bsd", _BSD_OPENING + _BSD_ADVERTISING + _bullet("4d") + _BSD_NAMES + _BSD_DISCLAIMER),
+    ("apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with "
+                   "the License. You may obtain a copy of the License at <<var;name=scheme;original=http;match=http|https>>://www.apache.org/"
+                   "licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is "
+                   "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License "
+                   "for the specific language governing permissions and limitations under the License."),
     ("gpl", "is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
             "published by the Free Software Foundation, either version <<var;name=version;original=3;match=2|3>> of the License, or "
-            "(at your option) any later version."),
-    ("cc-by-nc-4.0", "Licensed under <<beginOptional>>a Creative Commons <<endOptional>>CC BY-NC 4.0"),
-    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+            f"(at your option) any later version. {_party('This program', 6)} is distributed in the hope that it will be useful, but WITHOUT ANY "
+            "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public "
+            "License for more details. You should have received a copy of the GNU General Public License along with "
+            f"{_party('this program', 6)}. If not, <<var;name=where;original=see;match=see|write to the Free Software Foundation>>"),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+                "distributed with this file, You can obtain one at <<var;name=scheme;original=https;match=http|https>>://"
+                "<<beginOptional>>www.<<endOptional>>mozilla.org/MPL/2.0/."),
 ]
+
+TEMPLATES = [NOTICES[0], *TEXTS, *NOTICES[1:]]
 # --------------------------------------------------------------------------
 
 #: 0 for a byte that parts words, else the byte with A-Z in lower case.
@@ -173,13 +228,14 @@ class Scanner:
     """Finds phrases and accepted templates in texts."""
 
     def __init__(self, templates=TEMPLATES, phrases=PHRASES):
+        self.whole = [tuple(t) in TEXTS for t in templates]
         self.automata = [compile_template(*t) for t in templates]
         self.phrases = {p.encode(): label for p, label in phrases.items()}
         options = b"|".join(re.escape(p) for p in self.phrases)
         self.places = re.compile(rb"(?= (" + options + rb") )") if phrases else None
 
     def scan(self, text: bytes) -> tuple:
-        """``n_words, n_base, first_word, last_word, base_labels, labels, score, spans``."""
+        """``n_words, n_base, first_word, last_word, base_labels, labels, score, text_labels, spans``."""
         words = words_of(text)
         joined = b" " + b" ".join(words) + b" "
         base, starts = set(), []
@@ -187,8 +243,8 @@ class Scanner:
             for m in self.places.finditer(joined):
                 base.add(self.phrases[m.group(1)])
                 starts.append(joined.count(b" ", 0, m.start()))
-        spans = []
-        for a in self.automata:
+        spans, texts = [], set()
+        for a, whole in zip(self.automata, self.whole):
             at, reached = joined.find(a.anchor), 0
             while at >= 0:
                 word = joined.count(b" ", 0, at)
@@ -197,13 +253,15 @@ class Scanner:
                     end = a.accept(words, start)
                     if end > word:
                         spans.append((a.label, start, end))
+                        if whole:
+                            texts.add(a.label)
                         reached = end
                         break
                 at = joined.find(a.anchor, at + 1)
         labels = base | {s[0] for s in spans}
         score = 1.0 if spans else 0.5 if base else 0.0
         return (len(words), len(starts), min(starts, default=None), max(starts, default=None),
-                ",".join(sorted(base)), ",".join(sorted(labels)), score, sorted(set(spans), key=lambda s: s[1:]))
+                ",".join(sorted(base)), ",".join(sorted(labels)), score, ",".join(sorted(texts)), sorted(set(spans), key=lambda s: s[1:]))
 
 
 _SPANS = pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("end_word", pa.int64())]))
@@ -215,13 +273,14 @@ def scan(docs: DataFrame, *, templates=TEMPLATES, phrases=PHRASES, id_col: str =
     ``n_words``; ``n_base``, ``first_word``, ``last_word`` and ``base_labels`` of all places where
     a phrase's words stand one after the other; ``labels`` with those of accepted
     templates; ``score`` 1 if a template is accepted, 0.5 if only a phrase occurs, else 0;
-    ``spans`` the accepted stretches, in words.  Labels are distinct, sorted and joined by
+    ``text_labels`` those of accepted ``TEXTS``, so a notice that only names its license is
+    told from the license text; ``spans`` the accepted stretches, in words.  Labels are distinct, sorted and joined by
     commas.  Null and empty texts have no word, no label and score 0.  Nothing is
     shuffled; equal rows and null ids each give a row; other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_bytes(text_col).alias("text"))
-    types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), _SPANS]
-    names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"]
+    types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.string(), _SPANS]
+    names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "text_labels", "spans"]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates, phrases)
@@ -236,5 +295,5 @@ def scan(docs: DataFrame, *, templates=TEMPLATES, phrases=PHRASES, id_col: str =
                 at += len(texts)
 
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_words long, n_base long, first_word long, "
-                                "last_word long, base_labels string, labels string, score double, "
+                                "last_word long, base_labels string, labels string, score double, text_labels string, "
                                 "spans array<struct<label:string,first_word:long,end_word:long>>")

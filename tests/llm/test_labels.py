@@ -87,6 +87,46 @@ def test_templates_accept_their_own_wording(label, markup, optional):
             assert scanner.scan(changed)[-1] == []
 
 
+WHOLE = [(label, filled(markup, optional, None)) for label, markup in license_scan.TEMPLATES for optional in (False, True)
+         if len(markup.split()) > 40]
+
+
+@pytest.mark.parametrize("label,text", WHOLE)
+def test_later_wording_counts(label, text):
+    """The opening alone, any changed or missing later sentence and an added condition are no license text."""
+    scanner = license_scan.Scanner()
+    spans_of = lambda t: [s for s in scanner.scan(t.encode())[-1] if s[2] - s[1] > 20]
+    names = scanner.scan(text.encode())[-2]
+    assert label in names.split(",") and spans_of(text)
+    words = text.split()
+    for share in (0.5, 0.7, 0.95):
+        assert not spans_of(" ".join(words[: int(len(words) * share)]))
+        assert not spans_of(" ".join(words[: int(len(words) * share)] + "but never on a Sunday in May or on any other day of rest whatsoever".split()
+                                     + words[int(len(words) * share) :]))
+
+
+def test_json_license_is_not_mit():
+    text = filled(license_scan.TEMPLATES[1][1], True, None)
+    added = text.replace("portions of the Software.", "portions of the Software. The Software shall be used for Good, not Evil.")
+    assert license_scan.Scanner().scan(added.encode())[5:7] == ("", 0.0)
+
+
+def test_bsd_clauses():
+    texts = [filled(m, True, None) for label, m in license_scan.TEMPLATES if label == "bsd"]
+    assert [license_scan.Scanner().scan(t.encode())[5:7] for t in texts] == [("bsd", 1.0)] * 3
+    for t in texts:
+        for old, new in (("must reproduce", "need not reproduce"), ("without specific prior", "with or without"), ("display", "sing"), ("EVEN IF ADVISED", "UNLESS ADVISED")):
+            if old in t:
+                assert license_scan.Scanner().scan(t.replace(old, new).encode())[5:7] == ("", 0.0)
+
+
+def test_notices_are_told_from_texts():
+    scanner = license_scan.Scanner()
+    for label, markup in license_scan.NOTICES:
+        found = scanner.scan(filled(markup, True, None).encode())
+        assert label in found[5].split(",") and found[7] == ""
+
+
 def test_markup_errors():
     for bad in ("<<beginOptional>>a", "a<<endOptional>>", "<<beginOptional>>a<<endOptional>>"):
         with pytest.raises(ValueError):
