@@ -33,7 +33,7 @@ class QualityParams:
     rate: float = 0.15
     seed: int = 7
     #: The model is fitted on at most this many labelled rows and bytes of text, the first by
-    #: a hash of the id; texts are taken whole.  Scoring has no bound.
+    #: a hash of the id; texts are taken whole, those that do not fit are left out.  Scoring has no bound.
     max_rows: int = 3000
     max_bytes: int = 16 << 20
     threshold: float = 0.7
@@ -184,22 +184,41 @@ class Scorer:
 
 def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, train: Column, p: QualityParams,
                     id_col: str, text_col: str) -> tuple[list[bytes], np.ndarray]:
-    """At most ``max_rows`` labelled rows and ``max_bytes`` of text, the first by a hash of the id."""
+    """At most ``max_rows`` labelled rows and ``max_bytes`` of text, the first by a hash of the id.
+
+    A row that does not fit the bytes that are left is left out.  If that leaves a label out
+    that labelled rows have, each label gets half of both bounds; if still none of its rows
+    fits, or no row at all, it is an error.
+    """
     marks = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).alias("label")))
     rows = docs.where(train & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.xxhash64(id_col).alias("order"), text_bytes(text_col).alias("text"))
-    sizes = (rows.select("id", "order", F.octet_length("text").alias("size")).join(marks, "id")
-             .orderBy("order", "id").limit(p.max_rows).select("order", "size").collect())
-    cut, held = None, 0
-    for r in sizes:
-        held += r["size"]
-        if held > p.max_bytes and cut is not None:
-            break
-        cut = r["order"]
-    if cut is None:
+    rows = rows.withColumn("hash", F.xxhash64("text")).withColumn("size", F.octet_length("text"))
+    key = ["order", "id", "hash", "size"]
+    sizes = rows.select(key).join(marks, "id").select(*key, "label")
+
+    def first(of: DataFrame, max_rows: int, max_bytes: int) -> list:
+        picked, held = [], 0
+        for r in of.orderBy(key).limit(max_rows).collect():
+            if held + r["size"] <= max_bytes:
+                held += r["size"]
+                picked.append(r)
+        return picked
+
+    picked = first(sizes, p.max_rows, p.max_bytes)
+    if len({r["label"] for r in picked}) < 2:
+        present = [r["label"] for r in sizes.select("label").distinct().collect()]
+        if len(present) == 2:
+            picked = [r for v in (0, 1) for r in first(sizes.where(F.col("label") == v), max(1, p.max_rows // 2), p.max_bytes // 2)]
+        missing = sorted(set(present) - {r["label"] for r in picked})
+        if missing:
+            raise ValueError(f"no row of label {missing[0]} fits the training sample of {p.max_bytes} bytes")
+    if not picked:
         return [], np.zeros(0, dtype=np.int64)
-    table = rows.where(F.col("order") <= cut).join(marks, "id").orderBy("order", "id").select("text", "label").toArrow()
+    picked.sort(key=lambda r: tuple(r[c] for c in key))
+    wanted = docs.sparkSession.createDataFrame([tuple(k) for k in dict.fromkeys(tuple(r[c] for c in key) for r in picked)], rows.select(key).schema)
+    table = rows.join(F.broadcast(wanted), key).join(marks, "id").orderBy(key).select("text", "label").toArrow()
     return table.column("text").to_pylist(), np.array(table.column("label").to_pylist(), dtype=np.int64)
 
 

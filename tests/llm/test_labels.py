@@ -205,3 +205,35 @@ def test_training_edges(spark, odd, none):
     for l in (labels, labels.limit(0)):
         m = quality.train(none, l, params=p)
         assert quality.score(odd, m).where("score > 0 and score < 1").count() == len(ODD)
+
+
+def in_order(spark, ids):
+    rows = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    return [r.doc_id for r in rows.orderBy(F.xxhash64("doc_id")).collect()]
+
+
+def sample_of(spark, texts, labels, **bounds):
+    docs, marks = documents(spark, texts), spark.createDataFrame(labels, "doc_id long, quality int")
+    p = quality.QualityParams(**bounds)
+    found = quality.training_sample(docs, marks, "quality", F.lit(True), p, "doc_id", "text")
+    return found[0], found[1].tolist()
+
+
+def test_sample_leaves_out_what_does_not_fit(spark):
+    ids = in_order(spark, range(20))
+    size = {ids[0]: 5000, ids[3]: 990}
+    texts = [(i, "x" * size.get(i, 50)) for i in ids]
+    got, marks = sample_of(spark, texts, [(i, k % 2) for k, i in enumerate(ids)], max_bytes=1000, max_rows=20)
+    assert [len(t) for t in got] == [50] * 18 and marks == [k % 2 for k in range(20) if k not in (0, 3)]
+
+
+def test_sample_holds_both_labels(spark):
+    ids = in_order(spark, range(20))
+    texts = [(i, f"text {i:4d}") for i in ids]
+    late = [(i, int(k == 19)) for k, i in enumerate(ids)]
+    got, marks = sample_of(spark, texts, late, max_rows=6)
+    assert marks == [0, 0, 0, 1] and len(got) == 4
+    got, marks = sample_of(spark, texts, late, max_bytes=40)
+    assert marks == [0, 0, 1]
+    with pytest.raises(ValueError):
+        sample_of(spark, [(i, t * (500 if i == ids[19] else 1)) for i, t in texts], late, max_bytes=40)
