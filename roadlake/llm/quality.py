@@ -217,9 +217,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, train: C
     if not picked:
         return [], np.zeros(0, dtype=np.int64)
     picked.sort(key=lambda r: tuple(r[c] for c in key))
-    wanted = docs.sparkSession.createDataFrame([tuple(k) for k in dict.fromkeys(tuple(r[c] for c in key) for r in picked)], rows.select(key).schema)
-    table = rows.join(F.broadcast(wanted), key).join(marks, "id").orderBy(key).select("text", "label").toArrow()
-    return table.column("text").to_pylist(), np.array(table.column("label").to_pylist(), dtype=np.int64)
+    # equal rows reach the driver once, however many there are
+    places = {k: n for n, k in enumerate(dict.fromkeys(tuple(r[c] for c in key) for r in picked))}
+    wanted = docs.sparkSession.createDataFrame([(*k, n) for k, n in places.items()], rows.select(*key, F.lit(0).alias("place")).schema)
+    found = rows.join(F.broadcast(wanted), key).groupBy("place").agg(F.first("text").alias("text")).toArrow()
+    texts = dict(zip(found.column("place").to_pylist(), found.column("text").to_pylist()))
+    return [texts[places[tuple(r[c] for c in key)]] for r in picked], np.array([r["label"] for r in picked], dtype=np.int64)
 
 
 def train(docs: DataFrame, labels: DataFrame, *, rows: Column | None = None, label_col: str = "quality",

@@ -237,3 +237,15 @@ def test_sample_holds_both_labels(spark):
     assert marks == [0, 0, 1]
     with pytest.raises(ValueError):
         sample_of(spark, [(i, t * (500 if i == ids[19] else 1)) for i, t in texts], late, max_bytes=40)
+
+
+def test_sample_of_a_repeated_id(spark):
+    """Only rows that both bounds counted are in the sample, however often an id stands."""
+    ids = in_order(spark, range(10))
+    texts = [(i, f"text {i:4d}") for i in ids] + [(ids[4], f"text {ids[4]:4d}")] * 300 + [(ids[4], f"more {k:4d}") for k in range(300)]
+    labels = [(i, k % 2) for k, i in enumerate(ids)]
+    got, marks = sample_of(spark, texts, labels, max_rows=40)
+    assert len(got) == len(marks) == 40 and marks == [0, 1, 0, 1] + [0] * 36
+    assert sample_of(spark, texts, labels, max_rows=40) == (got, marks)
+    got, marks = sample_of(spark, texts, labels, max_bytes=180)
+    assert len(got) == 20 and sum(map(len, got)) == 180
