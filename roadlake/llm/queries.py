@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitslice, chunk_dedup, cover_tree, huffman, license_scan, packing, quality, simhash, sp_codec, subword_lm
+from . import (bitslice, chunk_dedup, cover_tree, huffman, license_scan, packing, periodic, quality, sharding, simhash, sp_codec, spelling,
+               subword_lm)
 from .shared import id_crc, ship
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -67,6 +68,39 @@ def op10_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(_table(spark, sf_dir, "documents"))
+
+
+def made_periodic(docs: DataFrame) -> DataFrame:
+    """``docs(doc_id, text)`` in which one document of ten repeats a stretch of its words to its end."""
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    parts = docs.withColumn("h", id_crc("doc_id")).select("doc_id", "text", F.floor(F.col("h") / 10).alias("g"), (F.col("h") % 10 == 0).alias("hit"))
+    split = parts.select("doc_id", "text", "g", F.when(F.col("hit"), words).alias("w"))
+    placed = split.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    placed = placed.withColumn("p", F.when(F.col("n") > 0, 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))))
+    at = F.sequence(F.lit(0).cast("long"), F.col("n").cast("long") - 1)
+    index = F.transform(at, lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")))
+    repeated = F.array_join(F.transform(index, lambda i: F.get("w", i.cast("int"))), " ")
+    return placed.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(made_periodic(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    runs = F.col("runs")
+    best = F.array_min(F.transform(runs, lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.array_join(F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return (found.select("doc_id", F.size(runs).cast("long").alias("n_runs"), best.alias("best"),
+                         F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+            .select("doc_id", "n_runs", F.col("best.start").alias("start"), (-F.col("best.less")).alias("length"),
+                    F.col("best.period").alias("period"), F.expr("(-1000 * best.less) div best.period").alias("exponent_milli"),
+                    "runs_sha256", "collapsed_sha256"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"), spoiled=spelling.SPOILED)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -76,7 +110,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_subword_lattice, op2_sentencepiece_codec, op3_cover_tree, op4_content_chunks, op5_bit_sliced_topk, op6_huffman_ids,
-              op7_concat_and_cut, op8_template_licenses, op9_subword_quality, op10_simhash_tiles, pipeline)
+              op7_concat_and_cut, op8_template_licenses, op9_subword_quality, op10_simhash_tiles, op11_minimax_shards, op12_periodic_runs, op13_spelling_variants,
+              pipeline)
 }
 
 

@@ -58,7 +58,7 @@ def test_stages_on_odd_rows(spark, odd, none):
 def test_every_query_is_registered():
     names = list(entry.queries())
     assert [n for n in names if n.startswith("op")] and "pipeline" in names
-    assert sorted({int(n[2:].split("_")[0]) for n in names if n.startswith("op")}) == list(range(1, 11))
+    assert sorted({int(n[2:].split("_")[0]) for n in names if n.startswith("op")}) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", [n for n in entry.queries() if n.startswith("op") and n[2].isdigit()])
@@ -68,7 +68,8 @@ def test_query_columns(spark, name):
         5: "query_id rank vec_id score", 6: "doc_id start n_tokens ids_crc32",
         7: "doc_id start length ids_crc32 doc_tokens sequence_id offset",
         8: "doc_id n_words n_base first_word last_word base_labels labels score", 9: "doc_id held_out score predicted",
-        10: "doc_id fingerprint component_id"}
+        10: "doc_id fingerprint component_id", 11: "doc_id size text_crc32 law shard slot grown_shard",
+        12: "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256", 13: "word form root n n_near form_n"}
     out = entry.queries()[name](spark, SF_SMALL)
     assert set(wanted.get(int(name[2:].split("_")[0]), "doc_id").split()) <= set(out.columns)
     assert out.count() > 0

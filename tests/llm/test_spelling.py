@@ -1,0 +1,147 @@
+"""Spelling variants against all pairs of words."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from llm_cases import ODD, SF_SMALL, documents
+
+import __spark_entry__ as entry
+from roadlake.llm import spelling
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+
+def plain_words(docs, spoiled=None):
+    out = Counter()
+    for i, t in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            w = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if i is None else i}:{w}".encode())
+            if spoiled and h % spoiled == 0:
+                w = w[: h % len(w)] + w[h % len(w) + 1 :]
+            out[w] += 1
+    return {w: n for w, n in out.items() if len(w) >= 5 and n >= 3}
+
+
+def plain_variants(words):
+    near = {w: set() for w in words}
+    by_gap = {}
+    for w in words:  # words one edit apart share a word with one letter masked, or one is the other less a letter
+        for k in range(len(w)):
+            by_gap.setdefault((w[:k], w[k + 1 :]), set()).add(w)
+    for w in words:
+        for k in range(len(w)):
+            near[w] |= by_gap[w[:k], w[k + 1 :]] - {w}
+            less = w[:k] + w[k + 1 :]
+            if less in words:
+                near[w].add(less)
+                near[less].add(w)
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda x: (-words[x], x), default=None)
+        if best is not None and words[best] >= 2 * words[w]:
+            form[w] = best
+    rows = []
+    for w, n in words.items():
+        root = w
+        while root in form:
+            root = form[root]
+        rows.append((w, form.get(w), root, n, len(near[w]), words[form[w]] if w in form else None))
+    return sorted(rows)
+
+
+def as_rows(df):
+    return sorted((r.word, r.form, r.root, r.n, r.n_near, r.form_n) for r in df.select("word", "form", "root", "n", "n_near", "form_n").collect())
+
+
+def some_texts(seed, n=400, letters="abcé×"):
+    rng = random.Random(seed)
+    return [(k, " ".join("".join(rng.choice(letters) for _ in range(rng.choice([4, 5, 5, 6]))) for _ in range(60)) + " Ärger ärger ärger") for k in range(n)]
+
+
+def test_edits_are_all_and_only_one_apart():
+    words = ["aaaaa", "banana", "ÿÿÿÿÿÿ", "abcdé"]
+    every = type("All", (), {"tables": dict.fromkeys(range(1, 70), True), "knows": lambda self, n, h: np.arange(len(h))})()
+    for at, letters in spelling.by_length(words):
+        made = [(words[at[r]], e) for rows, es in spelling.edits(letters, every, 5) for r, e in zip(rows.tolist(), es)]
+        assert len(made) == len(set(made)) and all(one_edit(a, b) for a, b in made)
+        for k in at.tolist():
+            w = words[k]
+            expected = {w[:i] + c + w[i + 1 :] for i in range(len(w)) for c in spelling.LETTERS if c > w[i]}
+            if len(w) > 5:
+                expected |= {w[:i] + w[i + 1 :] for i in range(len(w))}
+            assert {b for a, b in made if a == w} == expected
+
+
+def test_hash_of_an_edit_is_the_hash_of_the_word_it_makes():
+    class Seen:
+        def __init__(self, length):
+            self.tables, self.h = {length: True}, []
+
+        def knows(self, n, h):
+            self.h.append(h)
+            return np.arange(len(h))
+
+    for w in ("banana", "mississippi", "x" * 40 + "abc"):
+        for length in (len(w), len(w) - 1):
+            seen = Seen(length)
+            made = [m for _, es in spelling.edits(spelling.letter_table([w.encode("latin-1")]), seen, 5) for m in es]
+            assert {len(m) for m in made} == {length}
+            assert (spelling.hashes(spelling.letter_table([m.encode("latin-1") for m in made])) == np.concatenate(seen.h)).all()
+
+
+@pytest.mark.parametrize("filter_bytes", [64 << 20, 256, 128])
+def test_variants_equal_all_pairs(spark, filter_bytes):
+    docs = some_texts(3)
+    words = plain_words(docs, 97)
+    assert len(words) > 500
+    got = as_rows(spelling.variants(documents(spark, docs), spoiled=97, filter_bytes=filter_bytes))
+    assert got == plain_variants(words)
+
+
+def test_chains_of_forms(spark):
+    chain = [("aaaaa", 400), ("aaaab", 100), ("aaabb", 30), ("aabbb", 9), ("abbbb", 3)]
+    docs = [(k, " ".join([w] * n)) for k, (w, n) in enumerate(chain)]
+    rows = as_rows(spelling.variants(documents(spark, docs)))
+    assert rows == plain_variants(dict(chain)) and {r[2] for r in rows} == {"aaaaa"}
+
+
+def test_odd_rows_long_words_and_empty(spark, odd, none):
+    assert as_rows(spelling.variants(odd)) == plain_variants(plain_words(ODD))
+    assert spelling.variants(none).count() == 0
+    word = "".join(random.Random(2).choice("abc") for _ in range(20_000))
+    docs = [(1, f"{word} {word} {word} {word[:-1]} {word[:-1]} {word[:-1]}x {word[:-1]}"), (2, " ".join([word] * 4 + [word[:-1]] * 2))]
+    assert as_rows(spelling.variants(documents(spark, docs))) == plain_variants(plain_words(docs))
+
+
+def test_long_texts_are_split_between_words(monkeypatch):
+    monkeypatch.setattr(spelling, "STRETCH", 7)
+    text = "a bcdefghijkl mn, opqrstuvwxyz abc abc abcdefg hijklmn " * 9
+    assert spelling.words_of(text.encode()) == Counter(re.findall("[a-z]+", text))
+
+
+def test_query_on_table(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    assert as_rows(entry.queries()["op13_spelling_variants"](spark, SF_SMALL)) == plain_variants(plain_words(docs, 97))
+
+
+def test_passes_stay_within_the_bound():
+    rng = random.Random(1)
+    for _ in range(200):
+        counts = {n: rng.choice([1, 50, 10_000, 3_000_000]) for n in rng.sample(range(5, 66), rng.randint(1, 20))}
+        bound = rng.choice([4096, 1 << 16, 1 << 20])
+        seen = Counter()
+        for blocks, part, parts in spelling.passes(counts, bound):
+            assert sum(8 * b for b in blocks.values()) <= bound and 0 <= part < parts
+            seen.update({(n, parts): 1 for n in blocks})
+        assert {n for n, _ in seen} == set(counts) and all(c == parts for (_, parts), c in seen.items())
