@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.readers import partition_exists
+from ..sources.readers import partition_exists, scan_table
 
 
 def expected_count(df: DataFrame, expected: int) -> DataFrame:
@@ -42,7 +42,7 @@ def artifact_check(spark: SparkSession, artifacts: list[dict]) -> DataFrame:
         exists = partition_exists(spark, a["path"], fmt)
         n, missing = None, list(a.get("columns", []))
         if exists:
-            df = spark.read.format(fmt).load(a["path"])
+            df = scan_table(spark, a["path"], fmt)
             n = df.count()
             missing = [c for c in a.get("columns", []) if c not in df.columns]
         exp = a.get("expected_rows")

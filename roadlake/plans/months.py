@@ -1,51 +1,46 @@
 """Month by month: landed history -> bronze months -> silver, with a ledger of finished source months.
 
 A month that a stopped run left unfinished is done again and replaced as a whole; a
-finished one is skipped unless it is named in ``redo``.  The ledger is a small table of one
-row per finished month, written after the month's data.
+finished one is skipped unless it is named in ``redo``.  The ledger is one small file that names
+the finished months; it is switched at once (``sources/versions``), after the month's data.  A month named
+in ``redo`` leaves it before it is done, so a redo that fails is due again in the next run.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.filters import filter_partition, month_range_filter
+from ..sources.versions import pointer, read_table, switch
 from ..sources.writers import write_bronze_month, write_silver
 from .silver import silver_clean
 
-LEDGER = "source_month string, rows long"
-
 
 def month_name(year: int, month: int) -> str:
     return f"{year:04d}-{month:02d}"
 
 
 def finished(spark: SparkSession, ledger: str) -> set[str]:
-    """The source months in the ledger (one row per month of history)."""
-    try:
-        rows = spark.read.schema(LEDGER).parquet(ledger).select("source_month").distinct().collect()
-    except AnalysisException:
-        return set()  # no ledger yet
-    return {r["source_month"] for r in rows}
-
-
-def _finish(spark: SparkSession, ledger: str, name: str, rows: int) -> None:
-    spark.createDataFrame([(name, rows)], LEDGER).coalesce(1).write.mode("append").parquet(ledger)
+    """The source months in the ledger."""
+    return set(pointer(spark, ledger)[1])
 
 
 def _each(spark: SparkSession, months: Iterable[tuple[int, int]], ledger: str, redo: Iterable[tuple[int, int]], step) -> dict[str, int]:
-    done, again = finished(spark, ledger), {month_name(*m) for m in redo}
+    months, again = list(months), {month_name(*m) for m in redo}
+    if again:
+        # out of the ledger first: a redo that fails is due again, though its old rows can still be read
+        switch(spark, ledger, lambda done: {m: v for m, v in done.items() if m not in again})
+    done = finished(spark, ledger)
     out = {}
     for year, month in months:
         name = month_name(year, month)
-        if name in done and name not in again:
+        if name in done:
             continue
         rows = step(year, month, name)
         if rows:
-            _finish(spark, ledger, name, rows)
+            switch(spark, ledger, lambda done: done | {name: {"rows": rows}})
             out[name] = rows
     return out
 
@@ -59,8 +54,7 @@ def land_months(raw: DataFrame, months: Iterable[tuple[int, int]], root: str, le
         rows = month_range_filter(raw, year, month, ts=ts)
         if rows.limit(1).isEmpty():
             return 0
-        write_bronze_month(rows, root, year, month)
-        return filter_partition(spark.read.parquet(root), year, month).count()
+        return spark.read.parquet(write_bronze_month(rows, root, year, month)).count()  # from the file footers
 
     return _each(spark, months, ledger, redo, land)
 
@@ -74,13 +68,10 @@ def clean_months(spark: SparkSession, bronze_root: str, months: Iterable[tuple[i
     """
 
     def clean(year: int, month: int, name: str) -> int:
-        bronze = filter_partition(spark.read.parquet(bronze_root), year, month)
+        bronze = filter_partition(read_table(spark, bronze_root), year, month)
         if bronze.limit(1).isEmpty():
             return 0
-        write_silver(silver_clean(bronze, active, holidays), silver_root, name)
-        try:
-            return spark.read.parquet(f"{silver_root}/source_month={name}").count()
-        except AnalysisException:
-            return 0  # nothing valid: no file, no schema
+        written = write_silver(silver_clean(bronze, active, holidays), silver_root, name)
+        return spark.read.parquet(written).count() if written else 0  # none: nothing valid
 
     return _each(spark, months, ledger, redo, clean)

@@ -17,22 +17,20 @@ from .. import settings as S
 from ..functions.text import clean_quotes, json_decode_snapshot
 from ..functions.timefn import epoch_ntz, local_date_str, local_hour_str, parse_local_ts, plus_minutes, utc_to_local
 from ..operators.filters import _lit_ts, month_range_filter
+from .versions import read_table
 
 #: Columns taken from the feed by name (the last may be missing), and what they are called here.
 FEED_COLUMNS = {"linkId": "raw_link", "Speed": "raw_speed", "DataAsOf": "raw_time", "linkName": "raw_name"}
 
 
 def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """One parquet file or a folder of them (e.g. a Spark-written dimension)."""
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(path)
+    """One parquet file, a folder of them, or a table of replaced versions (e.g. a dimension of K5)."""
+    return read_table(spark, path, schema)
 
 
 def scan_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A (partitioned) lakehouse table; ``fmt`` is ``parquet`` or ``delta``."""
-    return spark.read.format(fmt).load(path)
+    return read_table(spark, path) if fmt == "parquet" else spark.read.format(fmt).load(path)
 
 
 def scan_feed_tsv(spark: SparkSession, path: str, streaming: bool = False, max_files: int | None = None) -> DataFrame:
@@ -172,7 +170,7 @@ def partition_exists(spark: SparkSession, path: str, fmt: str = "parquet", **equ
     A missing path or table counts as empty.  Only one row is read.
     """
     try:
-        df = spark.read.format(fmt).load(path)
+        df = scan_table(spark, path, fmt)
     except AnalysisException:
         return False
     for k, v in equals.items():

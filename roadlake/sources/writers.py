@@ -1,5 +1,8 @@
 """Sinks (K1-K9).  A step that is run again leaves the table as one run would: months are
 replaced as a whole, micro-batches are appended once per run and batch.
+
+Parquet tables that are replaced (K1, K3 to K6) go through ``versions``: a write that fails or
+is killed leaves the old rows readable.  Other formats (``delta``) bring transactions of their own.
 """
 
 from __future__ import annotations
@@ -13,16 +16,12 @@ from pyspark.sql import functions as F
 from .. import settings as S
 from ..functions.text import json_encode_snapshot
 from ..functions.timefn import local_date_str, local_hour_str, utc_to_local
+from .versions import read_table, replace_partitions, replace_unit
 
 
-def _dynamic(writer):
-    return writer.option("partitionOverwriteMode", "dynamic")
-
-
-def write_bronze_month(df: DataFrame, root: str, year: int, month: int) -> None:
-    """K1: replace one raw month under ``year=/month=`` (other months untouched)."""
-    out = df.withColumn("year", F.lit(year).cast("int")).withColumn("month", F.lit(month).cast("int"))
-    _dynamic(out.write.mode("overwrite")).partitionBy("year", "month").parquet(root)
+def write_bronze_month(df: DataFrame, root: str, year: int, month: int) -> str | None:
+    """K1: replace one raw month, the unit ``year=/month=`` (other months untouched); its folder, or None if it is empty now."""
+    return replace_unit(df.sparkSession, root, f"year={year}/month={month}", lambda path: df.write.parquet(path))
 
 
 def processing_partition(df: DataFrame, processing_utc, zone: str = S.LOCAL_ZONE) -> DataFrame:
@@ -89,8 +88,8 @@ def write_bronze_realtime(df: DataFrame, root: str, run_id: str, batch_id: int,
     return append_once(out, root, list(keys), ["date", "hour"], run_id, batch_id)
 
 
-def write_silver(df: DataFrame, root: str, source_month: str, fmt: str = "parquet") -> None:
-    """K3: replace everything that one *source* month (``yyyy-MM`` of the UTC input) gave.
+def write_silver(df: DataFrame, root: str, source_month: str, fmt: str = "parquet") -> str | None:
+    """K3: replace everything that one *source* month (``yyyy-MM`` of the UTC input) gave; its folder, or None if it is empty now.
 
     Below ``source_month=`` rows lie by year and month of local time, so the hours of a
     source month that belong to the local month before do not touch that month's own rows.
@@ -98,8 +97,11 @@ def write_silver(df: DataFrame, root: str, source_month: str, fmt: str = "parque
     if not re.fullmatch(r"\d{4}-\d{2}", source_month):
         raise ValueError("source_month is yyyy-MM")
     out = df.withColumn("year", F.year("data_as_of").cast("int")).withColumn("month", F.month("data_as_of").cast("int"))
-    (out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy("year", "month").save(f"{root}/source_month={source_month}"))
+    if fmt != "parquet":
+        path = f"{root}/source_month={source_month}"
+        out.write.format(fmt).mode("overwrite").partitionBy("year", "month").save(path)
+        return path
+    return replace_unit(df.sparkSession, root, f"source_month={source_month}", lambda path: out.write.partitionBy("year", "month").parquet(path))
 
 
 def _gold_layout(df: DataFrame, partitions: int, files_per_month: int) -> DataFrame:
@@ -114,34 +116,41 @@ def write_gold(df: DataFrame, root: str, fmt: str = "parquet", partitions: int =
     Rows are spread over ``files_per_month`` hash slots per month before the write,
     so one large month is written by several tasks instead of one.
     """
-    out = _gold_layout(df, partitions, files_per_month)
-    (out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
-     .option("maxRecordsPerFile", max_records).partitionBy("year", "month").save(root))
+    _write_gold(df, root, fmt, partitions, files_per_month, max_records, whole=True)
+
+
+def _write_gold(df: DataFrame, root: str, fmt: str, partitions: int, files_per_month: int, max_records: int, whole: bool) -> None:
+    def writer():
+        return (_gold_layout(df, partitions, files_per_month).write.format(fmt).option("maxRecordsPerFile", max_records)
+                .partitionBy("year", "month"))
+
+    if fmt == "parquet":
+        replace_partitions(df.sparkSession, root, ["year", "month"], lambda path: writer().save(path), whole)
+    else:
+        writer().mode("overwrite").option("partitionOverwriteMode", "static" if whole else "dynamic").save(root)
 
 
 def replace_gold_months(df: DataFrame, root: str, fmt: str = "parquet", partitions: int = S.GOLD_WRITE_PARTITIONS,
                         files_per_month: int = 8, max_records: int = S.GOLD_MAX_RECORDS_PER_FILE) -> None:
     """K4, partial form: replace only the months that ``df`` holds; all others stay."""
-    out = _gold_layout(df, partitions, files_per_month)
-    (_dynamic(out.write.format(fmt).mode("overwrite")).option("maxRecordsPerFile", max_records)
-     .partitionBy("year", "month").save(root))
+    _write_gold(df, root, fmt, partitions, files_per_month, max_records, whole=False)
 
 
 def write_lookup(df: DataFrame, path: str) -> None:
     """K5: overwrite a small dimension as one file (one row per link)."""
     # repartition, not coalesce: what computes the rows keeps its own parallelism
-    df.repartition(1).write.mode("overwrite").parquet(path)
+    replace_unit(df.sparkSession, path, "", lambda place: df.repartition(1).write.parquet(place))
 
 
 def compact_artifact(spark: SparkSession, src: str, dst: str) -> bool:
-    """K6: rewrite a multi-file dimension as one file at a new path.
+    """K6: rewrite a multi-file dimension as one file (``dst`` may be ``src``: the old files stay until they are vacuumed).
 
     Refuses (returns False, writes nothing) when the source reads as empty.
     """
-    df = spark.read.parquet(src)
+    df = read_table(spark, src)
     if df.isEmpty():
         return False
-    df.repartition(1).write.mode("overwrite").parquet(dst)
+    replace_unit(spark, dst, "", lambda place: df.repartition(1).write.parquet(place))
     return True
 
 

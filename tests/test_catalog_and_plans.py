@@ -114,10 +114,11 @@ def test_operators_are_lazy(spark):
 def test_partition_pruning_on_written_silver(spark, scratch):
     from roadlake.operators.filters import filter_partition
     from catalog import tables as T
+    from roadlake.sources.readers import scan_table
     from roadlake.sources.writers import write_silver
     root = os.path.join(scratch, "silver")
     write_silver(T.silver(spark, SF), root, "2024-01")
-    p = plan(filter_partition(spark.read.parquet(root), 2024, 1))
+    p = plan(filter_partition(scan_table(spark, root), 2024, 1))
     assert "PartitionFilters: [isnotnull(year" in p and "(month" in p
 
 

@@ -123,14 +123,14 @@ def test_warmup_replay_and_artifact_check(spark, scratch):
     lk_path = os.path.join(scratch, "lookup")
     write_lookup(lookup, lk_path)
     assert C.needs_warmup(spark.createDataFrame([("1",)], "link_id string"))
-    replay = C.warmup_snapshots(spark.read.parquet(root), spark.read.parquet(lk_path), now)
+    replay = C.warmup_snapshots(spark.read.parquet(root), R.scan_table(spark, lk_path), now)
     got = sorted((r.link_id, r.current_congestion) for r in replay.collect())
     assert got == [("1", 1), ("2", 2)]       # 21:00 is outside the 90-minute lookback; 7 has no lookup
     topic = os.path.join(scratch, "topic")
     empty_topic = spark.createDataFrame([], "link_id string")
     assert C.maybe_warmup(spark, empty_topic, os.path.join(scratch, "none"), lookup, now,
                           topic_fmt="parquet", topic_path=topic) == 0       # no bronze yet
-    assert C.maybe_warmup(spark, empty_topic, root, spark.read.parquet(lk_path), now,
+    assert C.maybe_warmup(spark, empty_topic, root, R.scan_table(spark, lk_path), now,
                           topic_fmt="parquet", topic_path=topic) == 2
     full = spark.range(25).selectExpr("CAST(id AS STRING) AS link_id")
     assert C.maybe_warmup(spark, full, root, lookup, now, topic_fmt="parquet", topic_path=topic) == 0
