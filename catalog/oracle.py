@@ -17,14 +17,15 @@ READINGS = """readings AS (
 BRONZE = r"""bronze AS (
   SELECT CAST(user_id AS VARCHAR) AS link_id, event_type AS borough,
          'link-' || CAST(user_id AS VARCHAR) AS link_name,
-         CASE WHEN event_id % 89 = 0 THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS speed,
-         CASE WHEN event_id % 97 = 0 THEN 'not a time' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') END AS data_as_of,
+         CASE WHEN bad = 1 THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS speed,
+         CASE WHEN bad = 2 THEN 'not a time' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') END AS data_as_of,
          CASE TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 10
            WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'no points' WHEN 3 THEN '40.5'
            WHEN 4 THEN '40.5,-73.9,7 40.6,-73.8'
            ELSE '40.' || lpad(CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS VARCHAR), 2, '0')
                 || ',-73.' || lpad(CAST(user_id % 100 AS VARCHAR), 2, '0') || ' 40.80,-73.90' END AS link_points
-  FROM events)"""
+  FROM (SELECT *, 0 AS bad FROM events UNION ALL SELECT *, 1 FROM events WHERE event_id % 89 = 0
+        UNION ALL SELECT *, 2 FROM events WHERE event_id % 97 = 0) e)"""
 
 ACTIVE = """active AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS link_id FROM events
                      WHERE ts >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 48 HOUR)"""
@@ -128,8 +129,9 @@ DENSE_SILVER = """dense_silver AS (
   FROM (SELECT *, ((utc AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') AS loc FROM (
     SELECT CAST(l_suppkey % 20 AS VARCHAR) AS link_id, l_quantity AS speed, l_orderkey,
            TIMESTAMP '2024-03-01 05:00:00' + INTERVAL 5 MINUTE *
-             (row_number() OVER (PARTITION BY l_suppkey % 20 ORDER BY l_orderkey, l_linenumber, l_extendedprice) - 1) AS utc
-    FROM lineitem) x WHERE l_orderkey % 97 <> 0) y)"""
+             (row_number() OVER (PARTITION BY l_suppkey % 20 ORDER BY l_orderkey, l_linenumber, l_extendedprice) - 1)
+             + CASE WHEN l_orderkey % 97 = 0 THEN INTERVAL 3650 DAY ELSE INTERVAL 0 DAY END AS utc
+    FROM lineitem) x) y)"""
 
 DENSE_LOOKUP = """dense_lookup AS (
   SELECT link_id, CAST(quantile_disc(speed, 0.85) AS DOUBLE) AS free_flow_speed

@@ -6,8 +6,8 @@ Events of one user lie hours apart, so every minute constant is multiplied by
 ``SCALE`` (150) when run on these tables; the operators themselves are unscaled.
 
 ``bronze`` re-creates the raw text form (speed and time as text, a point list)
-with some deliberately malformed rows so the cleaning rules are exercised on the
-whole table.
+plus deliberately malformed copies of some rows, so the cleaning rules have work and
+no event is lost.
 """
 
 from __future__ import annotations
@@ -51,8 +51,13 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw text rows like the landed history (speed/time as text, point list)."""
-    e = table(spark, sf_dir, "events")
+    """Raw text rows like the landed history (speed/time as text, point list).
+
+    Every event is a well-formed row; one in 89 comes a second time with a bad speed, one in
+    97 with a bad time.
+    """
+    bad = F.array(F.lit(0), F.when(F.col("event_id") % 89 == 0, F.lit(1)), F.when(F.col("event_id") % 97 == 0, F.lit(2)))
+    e = table(spark, sf_dir, "events").withColumn("bad", F.explode(F.array_compact(bad)))
     uid = F.col("user_id").cast("string")
     k = F.get_json_object("props", "$.k").try_cast("int")
     pts = (F.when(k % 10 == 0, F.lit(None).cast("string"))
@@ -63,24 +68,34 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
            .otherwise(F.concat(F.lit("40."), F.lpad(k.cast("string"), 2, "0"), F.lit(",-73."),
                                F.lpad((F.col("user_id") % 100).cast("string"), 2, "0"),
                                F.lit(" 40.80,-73.90"))))
-    speed = F.when(F.col("event_id") % 89 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string"))
-    ts = (F.when(F.col("event_id") % 97 == 0, F.lit("not a time"))
+    speed = F.when(F.col("bad") == 1, F.lit("n/a")).otherwise(F.col("value").cast("string"))
+    ts = (F.when(F.col("bad") == 2, F.lit("not a time"))
           .otherwise(F.date_format("ts", S.BRONZE_TS_FORMAT)))
     return e.select(uid.alias("link_id"), F.col("event_type").alias("borough"),
                     F.concat(F.lit("link-"), uid).alias("link_name"),
                     speed.alias("speed"), ts.alias("data_as_of"), pts.alias("link_points"))
 
 
+def _listing(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the tables' files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    tables = list(fs.listStatus(path))
+    files = [s for t in tables if t.isDirectory() for s in fs.listStatus(t.getPath())] + [t for t in tables if not t.isDirectory()]
+    return tuple(sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in files))
+
+
 def kept(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
     """A dimension or stage that production keeps as a table: written once per session and
     table folder, below the shared checkpoint folder, and read from there afterwards."""
     tables = spark.__dict__.setdefault("_roadlake_kept", {})
-    if (sf_dir, name) not in tables:
+    key = (sf_dir, _listing(spark, sf_dir), name)  # another input, or other files in the folder, make it anew
+    if key not in tables:
         path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
         made = make()
         made.write.parquet(path)
-        tables[sf_dir, name] = (path, made.schema)
-    path, schema = tables[sf_dir, name]
+        tables[key] = (path, made.schema)
+    path, schema = tables[key]
     return spark.read.schema(schema).parquet(path)
 
 
@@ -140,6 +155,8 @@ def feed_rows(events: DataFrame, zone: str = S.LOCAL_ZONE) -> DataFrame:
 # --- a dense series: lineitem as five-minute readings, at the operators' own minute scale ---
 
 DENSE_STEP_S = 300
+#: Readings that are late by this many days leave gaps where they would have been.
+DENSE_LATE_DAYS = 3650
 DENSE_SPLITS = {
     "train": "data_as_of < TIMESTAMP_NTZ'2024-03-02 00:00:00'",
     "val": "data_as_of < TIMESTAMP_NTZ'2024-03-04 00:00:00'",
@@ -147,17 +164,31 @@ DENSE_SPLITS = {
 }
 
 
+def numbered(ordered: DataFrame) -> DataFrame:
+    """Rows of an ordered frame with their place: the parts' counts, then the place inside the part."""
+    marked = ordered.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_id"))
+    path = f"{checkpoint_dir(ordered.sparkSession)}/ordered-{uuid.uuid4().hex}"
+    marked.write.parquet(path)  # the order is fixed once
+    rows = ordered.sparkSession.read.parquet(path)
+    counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
+    counts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.join(counts, "_part").withColumn("place", F.col("_before") + inside)
+
+
 def dense_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver rows from ``lineitem``: link = supplier modulo 20, the n-th line of a link is its
     reading of the n-th five minutes from 2024-03-01 05:00 UTC; every 97th reading
-    (by order key) is missing, which punches gaps; speed = quantity."""
-    li = table(spark, sf_dir, "lineitem")
-    link = F.col("l_suppkey") % 20
-    nth = F.row_number().over(Window.partitionBy(link).orderBy("l_orderkey", "l_linenumber", "l_extendedprice")) - 1
-    rows = li.select(link.cast("string").alias("link_id"), nth.alias("nth"), "l_orderkey", F.col("l_quantity").alias("speed"))
-    utc = F.timestamp_add("SECOND", F.col("nth") * DENSE_STEP_S, F.lit("2024-03-01 05:00:00").cast("timestamp_ntz"))
-    rows = (rows.where(F.col("l_orderkey") % 97 != 0).withColumn("data_as_of_utc", utc)
-            .withColumn("data_as_of", utc_to_local("data_as_of_utc")))
+    (by order key) comes ten years late, which leaves gaps; speed = quantity."""
+    order = ["l_orderkey", "l_linenumber", "l_extendedprice"]
+    li = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 20).alias("link"), *order, F.col("l_quantity").alias("speed"))
+    placed = numbered(li.repartitionByRange("link", *order).sortWithinPartitions("link", *order))
+    first = placed.groupBy("link").agg(F.min("place").alias("first"))  # one row per link
+    rows = placed.join(first, "link").select(F.col("link").cast("string").alias("link_id"), (F.col("place") - F.col("first")).alias("nth"), "l_orderkey", "speed")
+    late = F.when(F.col("l_orderkey") % 97 == 0, F.lit(DENSE_LATE_DAYS * 86_400)).otherwise(F.lit(0))
+    utc = F.timestamp_add("SECOND", F.col("nth") * DENSE_STEP_S + late, F.lit("2024-03-01 05:00:00").cast("timestamp_ntz"))
+    rows = rows.withColumn("data_as_of_utc", utc).withColumn("data_as_of", utc_to_local("data_as_of_utc"))
     rows = rows.select("*", *calendar_features("data_as_of"))
     return rows.select("link_id", F.lit("b").alias("borough"), F.concat(F.lit("link-"), "link_id").alias("link_name"),
                        "data_as_of", "speed", "hour", "day_of_week", "month", "is_weekend",
