@@ -16,11 +16,12 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import text_bytes
+from .shared import ship, text_bytes
 from .token_ids import pieces_of
 
 # --------------------------------------------------------------------------
@@ -239,15 +240,24 @@ class Scanner:
         words = words_of(text)
         joined = b" " + b" ".join(words) + b" "
         base, starts = set(), []
+        blanks = None
+
+        def word_at(place: int) -> int:
+            """The number of the word that begins behind the blank at ``place``: the blanks before it."""
+            nonlocal blanks
+            if blanks is None:  # most texts have no phrase and no anchor
+                blanks = np.flatnonzero(np.frombuffer(joined, dtype=np.uint8) == 0x20)
+            return int(np.searchsorted(blanks, place))
+
         if self.places:
             for m in self.places.finditer(joined):
                 base.add(self.phrases[m.group(1)])
-                starts.append(joined.count(b" ", 0, m.start()))
+                starts.append(word_at(m.start()))
         spans, texts = [], set()
         for a, whole in zip(self.automata, self.whole):
             at, reached = joined.find(a.anchor), 0
             while at >= 0:
-                word = joined.count(b" ", 0, at)
+                word = word_at(at)
                 # the earliest start that is accepted over this anchor
                 for start in range(max(reached, word - a.before), word - a.leads + 1):
                     end = a.accept(words, start)
@@ -259,7 +269,7 @@ class Scanner:
                         break
                 at = joined.find(a.anchor, at + 1)
         labels = base | {s[0] for s in spans}
-        score = 1.0 if spans else 0.5 if base else 0.0
+        score = 1.0 if texts else 0.8 if spans else 0.5 if base else 0.0
         return (len(words), len(starts), min(starts, default=None), max(starts, default=None),
                 ",".join(sorted(base)), ",".join(sorted(labels)), score, ",".join(sorted(texts)), sorted(set(spans), key=lambda s: s[1:]))
 
@@ -272,12 +282,14 @@ def scan(docs: DataFrame, *, templates=TEMPLATES, phrases=PHRASES, id_col: str =
 
     ``n_words``; ``n_base``, ``first_word``, ``last_word`` and ``base_labels`` of all places where
     a phrase's words stand one after the other; ``labels`` with those of accepted
-    templates; ``score`` 1 if a template is accepted, 0.5 if only a phrase occurs, else 0;
+    templates; ``score`` 1 if a whole license text or header is accepted, 0.8 if only a sentence that
+    names a license is, 0.5 if only a phrase occurs, else 0;
     ``text_labels`` those of accepted ``TEXTS``, so a notice that only names its license is
     told from the license text; ``spans`` the accepted stretches, in words.  Labels are distinct, sorted and joined by
     commas.  Null and empty texts have no word, no label and score 0.  Nothing is
     shuffled; equal rows and null ids each give a row; other columns are not read.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_bytes(text_col).alias("text"))
     types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.string(), _SPANS]
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "text_labels", "spans"]

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import id_crc, text_bytes
+from .shared import fresh, id_crc, ship, text_bytes
 from .token_ids import pieces_of
 from .words import Growing, WordNumbers, spans
 
@@ -90,7 +90,7 @@ def fit(texts: list[bytes], labels: np.ndarray, p: QualityParams = QualityParams
     if len(set(labels.tolist())) < 2:
         return QualityModel(np.zeros(p.buckets), prior, p)
     rng = np.random.default_rng(p.seed)
-    table, new, all_rows = WordNumbers(), [], []
+    table, new, all_rows = WordNumbers(), [], []  # none of them is held while training
     for part in pieces_of(pa.array(texts, pa.binary())):
         data, starts, ends, n_words = spans(part)
         numbers, met = table.numbers(data, starts, ends)
@@ -104,7 +104,8 @@ def fit(texts: list[bytes], labels: np.ndarray, p: QualityParams = QualityParams
     docs = []
     for rows in all_rows:
         unique, n = np.unique(rows, return_counts=True)
-        docs.append((unique, n, sizes[rows[1:][rows[1:] == rows[:-1]]].sum()))
+        docs.append((unique, n.astype(np.int32), sizes[rows[1:][rows[1:] == rows[:-1]]].sum()))
+    del table, new, all_rows, parts
     vectors = (rng.random((p.buckets, p.dim), dtype=np.float32) - 0.5) / p.dim
     seen = np.full(p.buckets, 1e-6, dtype=np.float32)  # squared gradients so far, for each bucket's step
     out = np.zeros((p.dim, 2))
@@ -183,9 +184,12 @@ class Scorer:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, train: Column, p: QualityParams,
-                    id_col: str, text_col: str) -> tuple[list[bytes], np.ndarray]:
+                    id_col: str, text_col: str) -> tuple[DataFrame, list[int], np.ndarray]:
     """At most ``max_rows`` labelled rows and ``max_bytes`` of text, the first by a hash of the id.
 
+    Returns ``(place, text)`` of the distinct texts, the place of each sample row's text, and its label;
+    the texts stay where they are.
+
     A row that does not fit the bytes that are left is left out.  If that leaves a label out
     that labelled rows have, each label gets half of both bounds; if still none of its rows
     fits, or no row at all, it is an error.
@@ -214,15 +218,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, train: C
         missing = sorted(set(present) - {r["label"] for r in picked})
         if missing:
             raise ValueError(f"no row of label {missing[0]} fits the training sample of {p.max_bytes} bytes")
-    if not picked:
-        return [], np.zeros(0, dtype=np.int64)
     picked.sort(key=lambda r: tuple(r[c] for c in key))
-    # equal rows reach the driver once, however many there are
+    # equal rows are one text, however many there are
     places = {k: n for n, k in enumerate(dict.fromkeys(tuple(r[c] for c in key) for r in picked))}
     wanted = docs.sparkSession.createDataFrame([(*k, n) for k, n in places.items()], rows.select(*key, F.lit(0).alias("place")).schema)
-    found = rows.join(F.broadcast(wanted), key).groupBy("place").agg(F.first("text").alias("text")).toArrow()
-    texts = dict(zip(found.column("place").to_pylist(), found.column("text").to_pylist()))
-    return [texts[places[tuple(r[c] for c in key)]] for r in picked], np.array([r["label"] for r in picked], dtype=np.int64)
+    found = rows.join(F.broadcast(wanted), key).groupBy("place").agg(F.first("text").alias("text"))
+    return found, [places[tuple(r[c] for c in key)] for r in picked], np.array([r["label"] for r in picked], dtype=np.int64)
 
 
 def train(docs: DataFrame, labels: DataFrame, *, rows: Column | None = None, label_col: str = "quality",
@@ -231,9 +232,23 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: Column | None = None, lab
 
     Rows without a label, without an id or with a label besides 0 and 1 are left out; an
     id labelled more than once takes the smallest label.  Only the text is an input.
+    One task trains on the bounded sample; a lost executor costs it a retry with the same result.
     """
-    texts, marks = training_sample(docs, labels, label_col, F.lit(True) if rows is None else rows, params, id_col, text_col)
-    return fit(texts, marks, params)
+    ship(docs.sparkSession)
+    sample, places, marks = training_sample(docs, labels, label_col, F.lit(True) if rows is None else rows, params, id_col, text_col)
+
+    if not places:
+        return fit([], marks, params)
+
+    def fitted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: dict[int, bytes] = {}
+        for batch in parts:
+            texts.update(zip(batch.column("place").to_pylist(), batch.column("text").to_pylist()))
+        model = fit([texts[k] for k in places], marks, params)
+        yield pa.RecordBatch.from_arrays([pa.array([model.margin.tobytes()], pa.binary()), pa.array([model.bias])], names=["margin", "bias"])
+
+    model = sample.repartition(1).mapInArrow(fitted, "margin binary, bias double").first()
+    return QualityModel(np.frombuffer(bytes(model["margin"])), model["bias"], params)
 
 
 def with_score(rows: DataFrame, model: QualityModel, name: str, text_name: str) -> DataFrame:
@@ -259,6 +274,7 @@ def score(docs: DataFrame, model: QualityModel, *, id_col: str = "doc_id", text_
     Null and empty texts have no features: their score is the softmax of the bias.
     Repeated rows and null ids each give a row; other columns are not read.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_bytes(text_col).alias("text"))
     return with_score(rows, model, "score", "text").withColumn(
         "predicted", (F.col("score") >= model.params.threshold).cast("int"))
@@ -266,9 +282,10 @@ def score(docs: DataFrame, model: QualityModel, *, id_col: str = "doc_id", text_
 
 def keep_accepted(docs: DataFrame, model: QualityModel, *, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text reaches the threshold, unchanged."""
-    rows = docs.select("*", text_bytes(text_col).alias("__quality_text"))
-    scored = with_score(rows, model, "__quality_score", "__quality_text")
-    return scored.where(F.col("__quality_score") >= model.params.threshold).select(*(f"`{c}`" for c in docs.columns))
+    ship(docs.sparkSession)
+    text, score_ = fresh("quality_text", docs.columns), fresh("quality_score", docs.columns)
+    scored = with_score(docs.select("*", text_bytes(text_col).alias(text)), model, score_, text)
+    return scored.where(F.col(score_) >= model.params.threshold).select(*(f"`{c}`" for c in docs.columns))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -27,7 +27,7 @@ from .words import IdPool, spans
 
 END_ID = 1
 #: Words whose ids one Python worker keeps (about 60 bytes each); beyond it starts anew.
-CACHE_WORDS = 2_000_000
+CACHE_WORDS = 1_000_000
 ID = np.dtype("<u4")
 
 TOKEN_SCHEMA = "part int, before long, doc_id {id_type}, n_tokens long, ids binary"
@@ -161,9 +161,10 @@ def tokenised(docs: DataFrame, vocabulary_path: str, *, id_col: str = "doc_id",
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), text_bytes(text_col).alias("text"))
     if ordered:
-        keyed = rows.withColumn("tie", F.xxhash64("text"))
-        rows = (keyed.repartitionByRange(ordered, "doc_id", "tie")
-                .sortWithinPartitions("doc_id", "tie").select("doc_id", "text"))
+        # ``row`` deals rows that are equal in both over several parts; their order does not matter
+        keyed = rows.withColumn("tie", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+        rows = (keyed.repartitionByRange(ordered, "doc_id", "tie", "row")
+                .sortWithinPartitions("doc_id", "tie", "row").select("doc_id", "text"))
     shared = spark.sparkContext.broadcast(read_vocabulary(vocabulary_path))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     end = np.array([end_id], ID).tobytes()

@@ -100,7 +100,7 @@ class WordNumbers:
         if 2 * need > len(self.table):
             slots = len(self.table)
             while 2 * need > slots:
-                slots *= 4
+                slots *= 2
             self.table = np.full(slots, -1, dtype=np.int32)
             numbers = np.arange(need)
         self._place(numbers[self.sizes[numbers] > 0])

@@ -53,7 +53,7 @@ def test_scan_cases(spark, odd):
         if r.doc_id is not None and r.doc_id >= 100:
             assert labels == list(CASES.values())[r.doc_id - 100]
         assert set(filter(None, r.base_labels.split(","))) <= labels and ",".join(sorted(labels)) == r.labels
-        assert r.score == (1.0 if r.spans else 0.5 if r.n_base else 0.0)
+        assert r.score == (1.0 if r.text_labels else 0.8 if r.spans else 0.5 if r.n_base else 0.0)
 
 
 def test_scan_table_and_empty(spark, none):
@@ -200,7 +200,8 @@ def test_training_reads_only_its_rows(spark):
 def test_training_edges(spark, odd, none):
     labels = spark.createDataFrame([(None, 1), (4, None), (5, 7), (6, 0), (6, 1), (12, 1), (99, 0)], "doc_id long, quality int")
     p = quality.QualityParams(epochs=1, max_rows=10)
-    texts, marks = quality.training_sample(odd, labels, "quality", F.lit(True), p, "doc_id", "text")
+    _, places, marks = quality.training_sample(odd, labels, "quality", F.lit(True), p, "doc_id", "text")
+    assert len(places) == 3
     assert sorted(marks.tolist()) == [0, 0, 1]
     for l in (labels, labels.limit(0)):
         m = quality.train(none, l, params=p)
@@ -215,8 +216,9 @@ def in_order(spark, ids):
 def sample_of(spark, texts, labels, **bounds):
     docs, marks = documents(spark, texts), spark.createDataFrame(labels, "doc_id long, quality int")
     p = quality.QualityParams(**bounds)
-    found = quality.training_sample(docs, marks, "quality", F.lit(True), p, "doc_id", "text")
-    return found[0], found[1].tolist()
+    rows, places, held = quality.training_sample(docs, marks, "quality", F.lit(True), p, "doc_id", "text")
+    texts = {r.place: bytes(r.text) for r in rows.collect()}
+    return [texts[k] for k in places], held.tolist()
 
 
 def test_sample_leaves_out_what_does_not_fit(spark):
