@@ -18,14 +18,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import pair_runs, ship, stored
 
 SCALE = 256
 TOP = 5
 BLOCK_ROWS = 16_384
 QUERY_SHARD = 256
-#: Quantised components must fit in so many bits, the sign included; scores then fit in 64.
-COMPONENT_BITS = 24
+#: Quantised components must fit in so many bits, the sign included.
+COMPONENT_BITS = 62
 
 
 def usable(vector: str) -> Column:
@@ -37,7 +37,7 @@ def usable(vector: str) -> Column:
 
 def quantise(values: np.ndarray, scale: int) -> np.ndarray:
     q = np.floor(values.astype(np.float64) * scale)
-    if len(q) and np.abs(q).max() >= 1 << (COMPONENT_BITS - 1):
+    if len(q) and np.abs(q).max() >= 2.0 ** (COMPONENT_BITS - 1):
         raise ValueError(f"a quantised component needs more than {COMPONENT_BITS} bits")
     return q.astype(np.int64)
 
@@ -129,10 +129,11 @@ class Index:
         rows = _rows(sure)
         if len(rows) < k:
             rows = np.concatenate([rows, _rows(tied)[: k - len(rows)]])
-        scores = np.full(len(rows), -offset, dtype=np.int64)
-        for t, s in enumerate(slices):
-            scores += ((s[rows >> 6] >> (rows & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64) << t
-        return self.ids[rows], scores
+        # of k rows at most, in integers of any size
+        scores = [sum((int(s[r >> 6]) >> (r & 63) & 1) << t for t, s in enumerate(slices)) - offset for r in rows.tolist()]
+        if any(not -(1 << 63) <= x < 1 << 63 for x in scores):
+            raise OverflowError("a score among the best does not fit in a long")
+        return self.ids[rows], np.array(scores, dtype=np.int64)
 
 
 def _rows(bitmap: np.ndarray) -> np.ndarray:
@@ -169,9 +170,13 @@ def top_k(vectors: DataFrame, queries: Column, *, k: int = TOP, scale: int = SCA
     with each other.  A candidate id that stands twice can be returned twice; a
     query that stands twice with the same vector is answered once.  No rows give no rows.
 
-    Work is one unit per (block of candidates, shard of queries), so neither side has to fit
-    in one task, and only ``k`` rows per query and block are shuffled.
+    Components may be as large as 2**61 when quantised, beyond that they are an error, and so is a
+    score among the best that does not fit in a long.
+
+    A unit of work is a block of candidates and a run of shards of queries, so neither side has
+    to fit in one task, and only ``k`` rows per query and block are shuffled.
     """
+    ship(vectors.sparkSession)
     rows = (vectors.where(F.col(id_col).isNotNull() & usable(vector_col))
             .select(F.col(id_col).cast("long").alias("id"), F.size(vector_col).alias("dim"), F.col(vector_col).alias("v"),
                     queries.alias("asks")))
@@ -185,24 +190,27 @@ def top_k(vectors: DataFrame, queries: Column, *, k: int = TOP, scale: int = SCA
         q = quantise(flat, scale).reshape(table.num_rows, dim)
         return pa.table({"dim": pa.array([dim], pa.int32()), "shard": pa.array([key[1].as_py()], pa.int32()),
                          "query_ids": pa.array([table.column("id").to_numpy().astype("<i8").tobytes()], pa.binary()),
-                         "q": pa.array([q.astype("<i4").tobytes()], pa.binary())})
+                         "q": pa.array([q.astype("<i8").tobytes()], pa.binary())})
 
     asked = asked.withColumn("shard", F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int"))
     asked = stored(asked.groupBy("dim", "shard").applyInArrow(gather, "dim int, shard int, query_ids binary, q binary"), "queries")
     # each shard of queries visits each block of its dimension: shards x blocks units
-    units = asked.select("dim", "shard").join(index.select("dim", "block"), "dim")
-    n_units = max(1, units.count())
-    met = (units.join(asked, ["dim", "shard"]).join(index, ["dim", "block"])
-           .select("dim", "bits", "ids", "slices", "query_ids", "q").repartition(n_units))
+    blocks = index.withColumnRenamed("dim", "block_dim")
+    shards_ = asked.withColumnRenamed("dim", "shard_dim")
+    units = stored(blocks.select("block_dim", "block").join(shards_.select("shard_dim", "shard"), F.expr("block_dim = shard_dim")), "units")
+    met = (pair_runs(units, blocks, ["block_dim", "block"], shards_, ["shard_dim", "shard"])
+           .select("is_right", "block_dim", "bits", "ids", "slices", "query_ids", "q"))
 
     def search(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             for r in range(batch.num_rows):
-                dim, bits, ids, slices, query_ids, q = (batch.column(c)[r].as_py() for c in range(6))
-                ids = np.frombuffer(ids, "<i8")
-                index_ = Index(ids, np.frombuffer(slices, np.uint64).reshape(dim, bits, -(-len(ids) // 64)))
+                right, dim, bits, ids, slices, query_ids, q = (batch.column(c)[r].as_py() for c in range(7))
+                if not right:  # a block and, after it, the queries that it is asked
+                    ids = np.frombuffer(ids, "<i8")
+                    index_ = Index(ids, np.frombuffer(slices, np.uint64).reshape(dim, bits, -(-len(ids) // 64)))
+                    continue
                 query_ids = np.frombuffer(query_ids, "<i8")
-                asked_ = np.frombuffer(q, "<i4").reshape(len(query_ids), dim).astype(np.int64)
+                asked_ = np.frombuffer(q, "<i8").reshape(len(query_ids), dim)
                 answers = [index_.top(vector, own, k) for own, vector in zip(query_ids.tolist(), asked_)]
                 n = [len(found) for found, _ in answers]
                 copies = np.array([zlib.crc32(vector.tobytes()) for vector in asked_], dtype=np.int64)

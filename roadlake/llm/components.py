@@ -30,8 +30,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round links all larger neighbours of a node to the smallest one around it, then all
     smaller ones; rounds are as many as the logarithm of the longest path, each is two
-    aggregates and two joins over the links, which only become fewer.  Nothing but
-    one row of digests per round reaches the driver.  Nulls and loops are ignored.
+    aggregates and two sort-merge joins over the links, which only become fewer.  Nothing but
+    one row of digests per round reaches the driver, no side of a join passes through it.  Nulls and loops are ignored.
     """
     links = stored(edges.where("a is not null and b is not null and a <> b")
                    .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
@@ -39,9 +39,9 @@ def components(edges: DataFrame) -> DataFrame:
     while seen[0]:
         both = links.union(links.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small_least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(small_least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = (large.join(small_least.hint("merge"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(small_least.select("u", F.col("m").alias("v"))).distinct())
         following = stored(small, "links")
         now = _digest(following)

@@ -62,6 +62,41 @@ def drop(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    while name.lower() in {c.lower() for c in taken}:
+        name = f"_{name}"
+    return name
+
+
+#: Partners that one unit of work of a block join meets, and the most tasks that its units are dealt to.
+RUN_PARTNERS, MOST_TASKS = 32, 20_000
+
+
+def pair_runs(pairs: DataFrame, left: DataFrame, left_key: list[str], right: DataFrame, right_key: list[str], keep: list[str] = ()) -> DataFrame:
+    """Blocks that meet, so that each task reads a left block once for a run of its partners.
+
+    ``pairs(left_key, right_key, keep)`` names the pairs.  Rows of the result are ``is_right`` (false: a
+    left block, which holds for the rows up to the next one) with the other columns of ``left``, ``right`` and
+    ``keep``.  A run has about ``RUN_PARTNERS`` partners, so it moves half the bytes of single pairs; the
+    number of tasks follows the runs up to ``MOST_TASKS``, beyond which a task takes several.
+    """
+    n = pairs.count()
+    most = pairs.groupBy(*left_key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    run = F.pmod(F.xxhash64(*right_key), F.lit(max(1, math.ceil(most / RUN_PARTNERS)))).alias("run")
+    dealt = pairs.select(*left_key, *right_key, *keep, run)
+    heads = dealt.select(*left_key, "run").distinct().join(left, left_key)
+    partners = dealt.join(right, right_key)
+    extra = [c for c in right.columns if c not in right_key]
+    types = dict(left.dtypes) | dict(pairs.dtypes) | dict(right.dtypes)
+    nulls = lambda names: [F.lit(None).cast(types[c]).alias(c) for c in names]
+    own = [c for c in left.columns if c not in left_key]
+    both = (heads.select(*left_key, "run", F.lit(False).alias("is_right"), *own, *nulls([*keep, *extra]))
+            .unionByName(partners.select(*left_key, "run", F.lit(True).alias("is_right"), *nulls(own), *keep, *extra)))
+    tasks = min(MOST_TASKS, max(1, math.ceil(n / max(1, min(most, RUN_PARTNERS) // 4))))
+    return both.repartition(tasks, *left_key, "run").sortWithinPartitions(*left_key, "run", "is_right")
+
+
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

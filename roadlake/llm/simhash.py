@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -19,12 +21,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components, forest
-from .shared import stored, text_bytes
+from .shared import fresh, pair_runs, ship, stored, text_bytes
 
 SHINGLE = 3
 RADIUS = 3
 SEED = 42
 STRETCH = 256
+#: Bytes of a long text that are hashed at once.
+TEXT_STRETCH = 1 << 20
+_SPACE = re.compile(rb"[\t-\r ]")
 
 
 def fingerprint(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -51,6 +56,22 @@ def shingle_hashes(text: bytes, width: int, seed: int) -> list[int]:
     return [digest(b" ".join(s), seed) for s in zip(*(words[k:] for k in range(width)))]
 
 
+def long_fingerprint(text: bytes, width: int, seed: int) -> int:
+    """The fingerprint of a text of any length; memory follows one stretch of it, not the text."""
+    votes, n, carried, at = np.zeros(64, dtype=np.int64), 0, [], 0
+    while at < len(text):
+        gap = _SPACE.search(text, at + TEXT_STRETCH)
+        to = gap.start() if gap else len(text)
+        words = carried + text[at:to].lower().split()
+        hashes = np.array([xxhash.xxh64_intdigest(b" ".join(s), seed) for s in zip(*(words[k:] for k in range(width)))], dtype=np.uint64)
+        votes += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        n, at = n + len(hashes), to
+        carried = words[len(words) - min(len(words), width - 1) :]
+    if not n:
+        return xxhash.xxh64_intdigest(b" ".join(carried), seed) if carried else 0
+    return int(np.packbits(votes * 2 > n, bitorder="little").view(np.uint64)[0])
+
+
 def with_fingerprint(rows: DataFrame, name: str, text_name: str, *, width: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """Replaces the binary column ``text_name`` of ``rows`` by the fingerprint ``name`` (long)."""
     keep = [c for c in rows.columns if c != text_name]
@@ -67,7 +88,12 @@ def with_fingerprint(rows: DataFrame, name: str, text_name: str, *, width: int =
                 ends.clear()
 
             for text in batch.column(text_name):
-                held.extend(shingle_hashes(text.as_py(), width, seed))
+                text = text.as_py()
+                if len(text) > 2 * TEXT_STRETCH:
+                    flush()
+                    prints.append(np.array([long_fingerprint(text, width, seed)], dtype=np.uint64))
+                    continue
+                held.extend(shingle_hashes(text, width, seed))
                 ends.append(len(held))
                 if len(held) > 200_000:
                     flush()
@@ -142,29 +168,31 @@ def fingerprint_links(prints: DataFrame, radius: int = RADIUS, tile_rows: int |
     right = names.select(F.col("ones").alias("ones_b"), F.col("tile").alias("tile_b"))
     pairs = (names.withColumn("ones_b", F.explode(F.sequence(F.col("ones"), F.col("ones") + radius)))
              .join(right, "ones_b").where("ones < ones_b or tile <= tile_b"))
-    met = (pairs.join(tiles, ["ones", "tile"])
-           .join(tiles.select(F.col("ones").alias("ones_b"), F.col("tile").alias("tile_b"), F.col("fps").alias("fps_b")),
-                 ["ones_b", "tile_b"])
-           .select((F.expr("ones = ones_b and tile = tile_b")).alias("same"), "fps", "fps_b"))
+    pairs = stored(pairs.withColumn("same", F.expr("ones = ones_b and tile = tile_b")), "tile-pairs")
+    other = tiles.select(F.col("ones").alias("ones_b"), F.col("tile").alias("tile_b"), F.col("fps").alias("fps_b"))
+    met = pair_runs(pairs, tiles, ["ones", "tile"], other, ["ones_b", "tile_b"], ["same"]).select("is_right", "same", "fps", "fps_b")
 
     def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = None
         for batch in parts:
-            for same, a, b in zip(*(batch.column(c) for c in ("same", "fps", "fps_b"))):
-                x, y = (np.frombuffer(v.as_py(), dtype=np.uint64) for v in (a, b))
+            for right, same, a, b in zip(*batch.columns):
+                if not right.as_py():
+                    x = np.frombuffer(a.as_py(), dtype=np.uint64)
+                    continue
+                y = np.frombuffer(b.as_py(), dtype=np.uint64)
                 both = np.concatenate([x, y]).view(np.int64)
                 i, j = linked_pairs(x, y, radius, same.as_py())
                 yield pa.RecordBatch.from_arrays([pa.array(both[i]), pa.array(both[j])], names=["a", "b"])
 
-    spread = met.repartition(max(1, pairs.count()))
-    return spread.mapInArrow(compare, "a long, b long")
+    return met.mapInArrow(compare, "a long, b long")
 
 
 def _grouped(rows: DataFrame, radius: int, tile_rows: int | None) -> DataFrame:
     """``rows(doc_id, fp, ...)`` (a written table) -> ``(fp, component_id, class_fp)`` per distinct fingerprint."""
-    prints = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "prints")
     found = components(fingerprint_links(prints.select("fp"), radius, tile_rows))
-    classed = (prints.join(found.select(F.col("node").alias("fp"), "component"), "fp", "left")
-               .select("fp", "first_id", F.coalesce("component", "fp").alias("class_fp")))
+    classed = stored(prints.join(found.select(F.col("node").alias("fp"), "component"), "fp", "left")
+                     .select("fp", "first_id", F.coalesce("component", "fp").alias("class_fp")), "classes")
     heads = classed.groupBy("class_fp").agg(F.min("first_id").alias("component_id"))
     return classed.join(heads, "class_fp").select("fp", "component_id", "class_fp")
 
@@ -178,6 +206,7 @@ def near_duplicates(docs: DataFrame, *, width: int = SHINGLE, radius: int = RADI
     ``component_id`` is the smallest id of the component that is not null, or null if there is
     none.  No rows give no rows; columns besides the two named ones are not read.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_bytes(text_col).alias("text"))
     rows = stored(with_fingerprint(rows, "fp", "text", width=width, seed=seed), "fingerprints")
     groups = _grouped(rows, radius, tile_rows)
@@ -185,8 +214,9 @@ def near_duplicates(docs: DataFrame, *, width: int = SHINGLE, radius: int = RADI
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
 
-def row_hash(columns: list[str]) -> Column:
-    return F.xxhash64(*(F.col(f"`{c}`") for c in columns))
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns; those that hold maps, which cannot be hashed, go as JSON."""
+    return F.xxhash64(*(F.to_json(F.struct(f"`{c}`")) if "map<" in t or t == "variant" else F.col(f"`{c}`") for c, t in docs.dtypes))
 
 
 def keep_one(docs: DataFrame, *, width: int = SHINGLE, radius: int = RADIUS, seed: int = SEED,
@@ -196,13 +226,15 @@ def keep_one(docs: DataFrame, *, width: int = SHINGLE, radius: int = RADIUS, see
     It is the one with the smallest id (nulls last), then the smallest hash of its
     columns; of rows equal in every column one stays.
     """
+    ship(docs.sparkSession)
     columns = docs.columns
-    rows = docs.select(F.col(id_col).alias("doc_id"), row_hash(columns).alias("row"), text_bytes(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), row_hash(docs).alias("row"), text_bytes(text_col).alias("text"))
     rows = stored(with_fingerprint(rows, "fp", "text", width=width, seed=seed), "fingerprints")
     groups = _grouped(rows, radius, tile_rows)
+    kept_id, kept_row, own_row = (fresh(c, columns) for c in ("kept_id", "kept_row", "own_row"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     kept = (rows.join(groups, "fp").groupBy("class_fp").agg(F.min(order).alias("k"))
-            .select(F.col("k.doc_id").alias("__kept_id"), F.col("k.row").alias("__kept_row")))
-    hashed = docs.withColumn("__kept_row_of", row_hash(columns))
-    met = hashed.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col("__kept_id")) & (F.col("__kept_row_of") == F.col("__kept_row")), "left_semi")
-    return met.dropDuplicates([id_col, "__kept_row_of"]).select(*(f"`{c}`" for c in columns))
+            .select(F.col("k.doc_id").alias(kept_id), F.col("k.row").alias(kept_row)))
+    hashed = docs.withColumn(own_row, row_hash(docs))
+    met = hashed.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col(kept_id)) & (F.col(own_row) == F.col(kept_row)), "left_semi")
+    return met.dropDuplicates([id_col, own_row]).select(*(f"`{c}`" for c in columns))

@@ -76,6 +76,49 @@ def test_simhash_table(spark, tile_rows):
     assert got == plain_groups([(r.doc_id, r.text) for r in docs.collect()])
 
 
+def test_simhash_long_text_in_stretches(spark, monkeypatch):
+    """A text of any length, cut anywhere, has the fingerprint of the whole."""
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 2, 3, 4, 900):
+        text = b" \n".join(bytes(f"W{x}", "ascii") for x in rng.integers(0, 50, n))
+        for width in (1, 3, 5):
+            hashes = np.array(simhash.shingle_hashes(text, width, 42), dtype=np.uint64)
+            for stretch in (1, 7, 100, 10_000):
+                monkeypatch.setattr(simhash, "TEXT_STRETCH", stretch)
+                assert simhash.long_fingerprint(text, width, 42) == int(simhash.fingerprint(hashes, np.array([len(hashes)]))[0])
+    monkeypatch.undo()
+    text = " ".join(f"w{k}" for k in range(800_000))  # 5 MB and more
+    rows = simhash.near_duplicates(documents(spark, [(2, text), (1, text + " end"), (3, "x")])).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {1: 1, 2: 1, 3: 3}
+
+
+def test_keep_one_with_maps_and_clashing_names(spark):
+    rows = [(1, "a b c d", {"k": 1}, 5, 6), (1, "a b c d", {"k": 1}, 5, 6), (2, "a b c d", {"k": 2}, 7, 8), (3, None, None, 0, 0), (4, "", {}, 1, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra map<string, int>, kept_id int, OWN_ROW int")
+    kept = simhash.keep_one(docs)
+    assert kept.schema == docs.schema and sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
+def test_many_pairs_in_few_tasks(spark):
+    """Blocks that meet: every pair once, its left block first, and a bounded number of tasks."""
+    from roadlake.llm import shared
+
+    left = spark.range(60).select(F.col("id").alias("a"), F.concat(F.lit("left"), "id").alias("x"))
+    right = spark.range(90).select(F.col("id").alias("b"), F.concat(F.lit("right"), "id").alias("y"))
+    pairs = left.select("a").join(right.select("b"), F.expr("(a + b) % 3 > 0")).withColumn("mark", F.expr("a = b"))
+    met = shared.pair_runs(pairs, left, ["a"], right, ["b"], ["mark"])
+    assert met.rdd.getNumPartitions() <= shared.MOST_TASKS
+    seen = []
+    for part in met.select("is_right", "x", "y", "mark").rdd.glom().collect():
+        held = None
+        for r in part:
+            if not r.is_right:
+                held = r.x
+            else:
+                seen.append((int(held[4:]), int(r.y[5:]), r.mark))
+    assert sorted(seen) == sorted((a, b, a == b) for a in range(60) for b in range(90) if (a + b) % 3)
+
+
 def test_simhash_odd(odd, none):
     assert by_key(simhash.near_duplicates(odd).collect()) == plain_groups(ODD)
     assert simhash.near_duplicates(none).count() == 0

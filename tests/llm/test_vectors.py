@@ -50,6 +50,16 @@ def test_top_k_odd(spark, block_rows, shard):
     assert sorted(map(tuple, got.collect())) == plain_top(rows)
 
 
+def test_top_k_large_components(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=4) * 10.0 ** rng.integers(0, 7)], 0) for i in range(300)]
+    rows += [(1000, [1e6, 40000.0, -1e6, 32768.0], 0), (1050, [-3e5] * 4, 0)]
+    assert sorted(map(tuple, bitslice.top_k(table(spark, rows), F.col("vec_id") % 50 == 0, block_rows=64).collect())) == plain_top(rows)
+    far = bitslice.top_k(table(spark, [(50, [3e9, 3e9], 0), (1, [3e9, 3e9], 0)]), F.col("vec_id") % 50 == 0)
+    with pytest.raises(Exception, match="does not fit in a long"):
+        far.collect()
+
+
 def test_top_k_table_and_empty(spark):
     vectors = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
     rows = [(r.vec_id, r.embedding, r.label) for r in vectors.collect()]
