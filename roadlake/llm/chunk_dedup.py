@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import BLOCK_BYTES, block_of, count_blocks, stored, text_bytes
+from .shared import BLOCK_BYTES, block_of, count_blocks, ship, stored, text_bytes
 from .token_ids import pieces_of
 
 REACH = 16
@@ -180,6 +180,14 @@ def whole_words(text: bytes, start: int, end: int) -> tuple[int, int]:
     return start, end
 
 
+def characters(text: bytes, ends: list[int]) -> list[int]:
+    """How many characters stand before each byte position (ends of words, so no character is cut)."""
+    if not ends or text.isascii():
+        return ends
+    begins = np.cumsum(np.frombuffer(text, dtype=np.uint8) & 0xC0 != 0x80)
+    return [int(begins[e - 1]) if e else 0 for e in ends]
+
+
 def repeated_spans(text: bytes, ends: list[int], owners: list, min_run: int) -> list[tuple[int, int, object]]:
     """Byte spans of runs of repeated chunks; ``owners[k]`` is ``None`` for a chunk that stays, else ``(id,)``."""
     spans, k, n = [], 0, len(ends)
@@ -235,6 +243,7 @@ def repeats(docs: DataFrame, *, min_run: int = MIN_RUN, reach: int = REACH, max_
     Null text has no chunk and stays null; empty text stays empty.  Of equal rows one
     keeps the text.  Equal ids and extra columns of any name are allowed; no rows give no rows.
     """
+    ship(docs.sparkSession)
     columns = docs.columns
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"),
                        F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
@@ -250,9 +259,14 @@ def repeats(docs: DataFrame, *, min_run: int = MIN_RUN, reach: int = REACH, max_
 
     def send(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
+        copies: Counter = Counter()
         for batch in parts:
             blocks, ids = batch.column("block").to_pylist(), batch.column("id").to_pylist()
             for block, i, (text, ends) in zip(blocks, ids, chunked(batch.column("text"))):
+                # two copies of a row say what any number of them does
+                copies[block, i, row := xxhash.xxh128_digest(text)] += 1
+                if copies[block, i, row] > 2:
+                    continue
                 of_block = held.setdefault(block, [[], [], []])
                 of_block[0].append(i)
                 of_block[1].append(len(ends))
@@ -310,8 +324,8 @@ def repeats(docs: DataFrame, *, min_run: int = MIN_RUN, reach: int = REACH, max_
                 spans = repeated_spans(text, ends, owners, min_run)
                 n_chunks.append(len(ends))
                 n_repeated.append(len(owners) - owners.count(None))
-                all_spans.append([{"start": len(text[:a].decode("utf-8", "replace")), "end": len(text[:b].decode("utf-8", "replace")),
-                                   "owner_id": o} for a, b, o in spans])
+                at = characters(text, [x for a, b, _ in spans for x in (a, b)])
+                all_spans.append([{"start": a, "end": b, "owner_id": o} for a, b, (_, _, o) in zip(at[::2], at[1::2], spans)])
                 stays = [0, *(x for a, b, _ in spans for x in (a, b)), len(text)]
                 kept.append(b"".join(text[a:b] for a, b in zip(stays[::2], stays[1::2])))
             yield pa.RecordBatch.from_arrays(

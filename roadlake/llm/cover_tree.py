@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .bitslice import usable
 from .components import components, forest
-from .shared import stored
+from .shared import ship, stored
 
 COSINE = 0.93
 BLOCK_ROWS = 2048
@@ -143,6 +143,7 @@ def near_duplicates(vectors: DataFrame, *, cosine: float = COSINE, block_rows: i
     lengths do not link.  Rows with equal ids each have a row; a null id counts as linked
     but is never a component's smallest, and its ``kept`` is null.  No rows give no rows.
     """
+    ship(vectors.sparkSession)
     group = F.col(group) if isinstance(group, str) else group
     fits = usable(vector_col) & F.exists(vector_col, lambda x: x != 0) & group.isNotNull()
     every = vectors.select(F.col(id_col).alias("vec_id"), F.when(fits, group).alias("g"), F.when(fits, F.col(vector_col)).alias("v"))

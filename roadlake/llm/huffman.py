@@ -23,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import drop, scratch
+from .shared import drop, scratch, ship, text_bytes
 from .token_ids import END_ID, pieces_of, tokenised, with_start
 
-LIMIT = 18
+#: Code lengths: the least limit (more ids than 2**LIMIT raise it) and what the decoder's 32-bit window can take.
+LIMIT, MOST_BITS = 18, 25
+PART_BYTES = 64 << 20
 BLOCK_TOKENS = 1 << 17
 EVERY = 128
 CODE = "lengths binary, limit int, total long"
@@ -163,13 +165,20 @@ def write_ids(docs: DataFrame, path: str, vocabulary_path: str, *, parts: int |
     """Write the ids of every document to ``path`` in ascending ``id_col`` order.
 
     Null or empty text is one end id.  Equal ids are ordered by a hash of their text, null
-    ids come first; every row is written.  Without rows the folder has a code table of
+    ids come first; every row is written.  Codes take ``limit`` bits at most, or as many as
+    the number of used ids needs (2**25 ids are the most).  Without rows the folder has a code table of
     length 0 and no block.  Only ``id_col`` and ``text_col`` are read.
     """
     spark = docs.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ship(spark)
+    if parts is None:
+        held = docs.agg(F.sum(F.octet_length(text_bytes(text_col)))).first()[0] or 0
+        parts = max(spark.sparkContext.defaultParallelism, -(-held // PART_BYTES))
     tokens = tokenised(docs, vocabulary_path, id_col=id_col, text_col=text_col, end_id=end_id, ordered=parts)
     counts = token_counts(tokens)
+    limit = max(limit, (int(np.count_nonzero(counts)) - 1).bit_length())
+    if limit > MOST_BITS:
+        raise ValueError(f"more than 2**{MOST_BITS} different ids")
     lengths = code_lengths(counts, limit)
     spark.createDataFrame([(bytearray(lengths.tobytes()), limit, int(counts.sum()))], CODE).coalesce(1).write.parquet(f"{path}/code")
     placed = with_start(tokens).select("doc_id", "start", "n_tokens", "ids")
@@ -206,6 +215,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary_path: str, *, parts: int |
 
 def read_ids(spark: SparkSession, path: str, every: int = EVERY) -> DataFrame:
     """``(doc_id, start, n_tokens, ids)`` of every document in the files at ``path``."""
+    ship(spark)
     code = spark.read.parquet(f"{path}/code").first()
     lengths, limit = np.frombuffer(bytes(code["lengths"]), dtype=np.uint8), code["limit"]
     shared = spark.sparkContext.broadcast(lengths)  # one byte per id of the vocabulary

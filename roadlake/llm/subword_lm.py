@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import BLOCK_BYTES, block_of, count_blocks, stored, text_bytes
+from .shared import BLOCK_BYTES, block_of, count_blocks, ship, stored, text_bytes
 from .sp_model import BYTE, CONTROL, UNIGRAM, UNKNOWN, read_model
 from .token_ids import pieces_of
 from .words import WordNumbers, spans
@@ -316,6 +316,7 @@ def score(docs: DataFrame, train: Column, model_path: str, *, rounds: int = ROUN
     and probability back; no task holds more words than its block has.
     """
     spark = docs.sparkSession
+    ship(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(train, F.lit(False)).alias("train"), text_bytes(text_col).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count_if("train").alias("n")).first()
     n_blocks, n_train = count_blocks(total["b"], block_bytes), total["n"] or 0

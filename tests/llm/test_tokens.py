@@ -6,7 +6,8 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from llm_cases import ODD, SF_SMALL
+from llm_cases import ODD, SF_SMALL, documents
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from roadlake.llm import huffman, packing
@@ -92,6 +93,25 @@ def test_digests_of_table_and_empty(spark, none, tok):
     assert huffman.id_digests(none, PATH).count() == 0
 
 
+def test_limit_follows_the_used_ids(spark, odd, tok, scratch):
+    """A limit below what the used ids need is raised, and the reader follows it."""
+    huffman.write_ids(odd, scratch + "/f", PATH, limit=3)
+    code = spark.read.parquet(scratch + "/f/code").first()
+    used = int((np.frombuffer(bytes(code.lengths), dtype=np.uint8) > 0).sum())
+    assert code.limit == (used - 1).bit_length() > 3
+    rows = huffman.read_ids(spark, scratch + "/f").collect()
+    assert sorted((r.doc_id or -1, bytes(r.ids)) for r in rows) == sorted((i or -1, whole(tok, t).tobytes()) for i, t in ODD)
+
+
+def test_repeated_rows_are_dealt_over_parts(spark):
+    """A row repeated 100,000 times is spread over the range parts."""
+    docs = documents(spark, [(7, "the same")]).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(100_000)))).repartition(8)
+    got = huffman.id_digests(docs, PATH, parts=8)
+    sizes = got.groupBy(F.spark_partition_id()).count().collect()
+    starts = got.agg(F.min("start"), F.max("start"), F.count("*"), F.min("n_tokens"), F.max("n_tokens")).first()
+    assert starts[2] == 100_000 and starts[3] == starts[4] and starts[1] == 99_999 * starts[3] and len(sizes) > 1
+
+
 def cost_without_limit(counts):
     heap = [int(c) for c in counts if c]
     heapq.heapify(heap)
