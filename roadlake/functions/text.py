@@ -48,6 +48,9 @@ def name_fallback(primary, fallback) -> Column:
     return F.coalesce(F.nullif(_c(primary), F.lit("")), _c(fallback))
 
 
+#: Names a published row: the same when its batch is published again.
+MESSAGE_ID = "message_id"
+
 SNAPSHOT_VALUE_SCHEMA = T.StructType([
     T.StructField("data_as_of", T.StringType()),
     T.StructField("current_congestion", T.IntegerType()),
@@ -58,13 +61,14 @@ SNAPSHOT_VALUE_SCHEMA = T.StructType([
 
 def json_encode_snapshot(data_as_of="data_as_of", current="current_congestion",
                          ratio="speed_ratio", name="link_name",
-                         zone: str = S.LOCAL_ZONE) -> Column:
-    """snapshot fields -> JSON text; time as ISO-8601 local with offset."""
+                         zone: str = S.LOCAL_ZONE, message_id=None) -> Column:
+    """snapshot fields -> JSON text; time as ISO-8601 local with offset; ``message_id``, if given, as one more field."""
     return F.to_json(F.struct(
         iso_local_text(_c(data_as_of), zone).alias("data_as_of"),
         _c(current).cast("int").alias("current_congestion"),
         _c(ratio).cast("double").alias("speed_ratio"),
         _c(name).alias("link_name"),
+        *([] if message_id is None else [_c(message_id).cast("string").alias(MESSAGE_ID)]),
     ))
 
 

@@ -101,6 +101,12 @@ def serving_features(snapshots: DataFrame, lookup: DataFrame, holidays: DataFram
     link_name.  Links missing from the lookup or missing any lag are dropped.
     """
     newest = newest_with_lags(snapshots, ["current_congestion", "speed_ratio"], key=key, tie=tie, params=params)
+    return lag_features(newest, lookup, holidays, key=key, params=params, zone=zone)
+
+
+def lag_features(newest: DataFrame, lookup: DataFrame, holidays: DataFrame | None = None, key: str = "link_id",
+                 params: S.ServingParams = S.ServingParams(), zone: str = S.LOCAL_ZONE) -> DataFrame:
+    """J8's second half: feature rows from snapshots that have their lags (in batch or from ``lookback_stream``)."""
     newest = newest.dropna(subset=[f"lag_{m}" for m in params.lag_tolerance])
     feat = lookup_inner(newest, lookup, key=key, with_ratio=False)
     local = utc_to_local("data_as_of", zone)

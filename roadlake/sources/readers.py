@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import settings as S
-from ..functions.text import clean_quotes, json_decode_snapshot
+from ..functions.text import MESSAGE_ID, clean_quotes, json_decode_snapshot
 from ..functions.timefn import epoch_ntz, local_date_str, local_hour_str, parse_local_ts, plus_minutes, utc_to_local
 from ..operators.filters import _lit_ts, month_range_filter
 from .versions import read_table
@@ -107,9 +107,11 @@ def lookback_window(snapshots: DataFrame, now, minutes: float = S.LOOKBACK_MINUT
 
 def decode_snapshot_messages(msgs: DataFrame, zone: str = S.LOCAL_ZONE) -> DataFrame:
     """S6 decode: (key, value[, timestamp]) messages -> snapshot rows; null keys,
-    invalid JSON and messages missing a required field are dropped."""
+    invalid JSON and messages missing a required field are dropped.  ``message_id`` is null in
+    messages that carry none."""
     v = json_decode_snapshot(F.col("value").cast("string"), zone)
-    cols = [F.col("key").cast("string").alias("link_id"), v.alias("v")]
+    cols = [F.col("key").cast("string").alias("link_id"), v.alias("v"),
+            F.get_json_object(F.col("value").cast("string"), f"$.{MESSAGE_ID}").alias(MESSAGE_ID)]
     if "timestamp" in msgs.columns:
         cols.append(F.col("timestamp").alias("msg_ts"))
     out = msgs.select(*cols)
@@ -120,10 +122,26 @@ def decode_snapshot_messages(msgs: DataFrame, zone: str = S.LOCAL_ZONE) -> DataF
     return out.select(*keep, "v.data_as_of", "v.current_congestion", "v.speed_ratio", "v.link_name")
 
 
+def published_once(snapshots: DataFrame) -> DataFrame:
+    """Each message id once, in a batch or (within its watermark) in a stream; messages without an id all stay."""
+    named = snapshots.withColumn(MESSAGE_ID, F.coalesce(MESSAGE_ID, F.uuid()))
+    once = named.dropDuplicatesWithinWatermark([MESSAGE_ID]) if snapshots.isStreaming else named.dropDuplicates([MESSAGE_ID])
+    return once.drop(MESSAGE_ID)
+
+
+def snapshot_stream(msgs: DataFrame, late_minutes: float = S.LOOKBACK_MINUTES, zone: str = S.LOCAL_ZONE) -> DataFrame:
+    """S6 as a stream: decoded messages with ``event_ts`` and its watermark, each published row once.
+
+    Ids are remembered until the watermark has passed the row's time by ``late_minutes``.
+    """
+    from ..streaming.state import with_event_time
+    return published_once(with_event_time(decode_snapshot_messages(msgs, zone), late_minutes))
+
+
 def scan_snapshots_bounded(spark: SparkSession, now_ms: int, lookback_minutes: float = S.LOOKBACK_MINUTES,
                            fmt: str = "kafka", options: dict | None = None,
                            path: str | None = None, zone: str = S.LOCAL_ZONE) -> DataFrame:
-    """Every message since ``now - lookback`` on all partitions, decoded.
+    """Every message since ``now - lookback`` on all partitions, decoded, a row published twice once.
 
     ``fmt="kafka"``: starting offsets by timestamp, falling back to the latest offset
     where no message is that new.  Any other ``fmt`` reads a message folder (tests)
@@ -139,7 +157,7 @@ def scan_snapshots_bounded(spark: SparkSession, now_ms: int, lookback_minutes: f
         msgs = spark.read.format(fmt).load(path)
         start_ts = F.timestamp_add("MILLISECOND", F.lit(start), F.lit("1970-01-01").cast("timestamp_ntz"))
         msgs = msgs.filter(F.col("timestamp") >= start_ts)
-    return decode_snapshot_messages(msgs, zone)
+    return published_once(decode_snapshot_messages(msgs, zone))
 
 
 def scan_predictions(spark: SparkSession, root: str) -> DataFrame:

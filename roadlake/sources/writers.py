@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import settings as S
@@ -154,22 +154,38 @@ def compact_artifact(spark: SparkSession, src: str, dst: str) -> bool:
     return True
 
 
-def snapshot_messages(df: DataFrame, zone: str = S.LOCAL_ZONE, timestamp_col: str | None = None) -> DataFrame:
+def message_id(df: DataFrame, run_id: str, batch_id: int) -> Column:
+    """Run, batch and row: a batch that is published again gives its rows the same ids.
+
+    The row is told by all its columns, so rows that differ have different ids; rows that are
+    equal in every column are one message.
+    """
+    row = F.sha2(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))), 256)
+    return F.concat_ws(":", F.lit(str(run_id)), F.lit(int(batch_id)).cast("string"), row)
+
+
+def snapshot_messages(df: DataFrame, zone: str = S.LOCAL_ZONE, timestamp_col: str | None = None, id_col: Column | None = None) -> DataFrame:
     """K7 payload: key = link_id, value = JSON snapshot (+ message time for file topics)."""
-    cols = [F.col("link_id").cast("string").alias("key"), json_encode_snapshot(zone=zone).alias("value")]
+    cols = [F.col("link_id").cast("string").alias("key"), json_encode_snapshot(zone=zone, message_id=id_col).alias("value")]
     if timestamp_col:
         cols.append(F.col(timestamp_col).alias("timestamp"))
     return df.select(*cols)
 
 
 def write_snapshots(df: DataFrame, fmt: str = "kafka", options: dict | None = None,
-                    path: str | None = None, timestamp_col: str | None = None) -> None:
+                    path: str | None = None, timestamp_col: str | None = None,
+                    run_id: str | None = None, batch_id: int | None = None) -> None:
     """K7: publish snapshots to the topic (``kafka``) or, in tests, append to a folder
-    (``timestamp_col`` then plays the broker's message time)."""
+    (``timestamp_col`` then plays the broker's message time).
+
+    With ``run_id`` and ``batch_id`` every message carries an id, by which readers (``scan_snapshots_bounded``,
+    ``snapshot_stream``) take a batch that was published twice once.
+    """
+    named = None if run_id is None else message_id(df, run_id, batch_id)
     if fmt == "kafka":
-        snapshot_messages(df).write.format("kafka").options(**(options or {})).save()
+        snapshot_messages(df, id_col=named).write.format("kafka").options(**(options or {})).save()
     else:
-        snapshot_messages(df, timestamp_col=timestamp_col).write.mode("append").format(fmt).save(path)
+        snapshot_messages(df, timestamp_col=timestamp_col, id_col=named).write.mode("append").format(fmt).save(path)
 
 
 def write_predictions(df: DataFrame, root: str, processing_utc, run_id: str, batch_id: int,

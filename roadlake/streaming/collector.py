@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import settings as S
 from ..functions.timefn import plus_minutes
 from ..operators.filters import _lit_ts
+from .state import change_stream, with_state_store
 
 LOG = logging.getLogger(__name__)
 
@@ -75,76 +76,78 @@ def judged_feed(feed: DataFrame, active: DataFrame, lookup: DataFrame, now=None,
     return lookup_inner(valid, lookup, fallback=False).observe(f"{OBSERVED}_matched", F.count(F.lit(1)).alias("matched"))
 
 
-def change_stream(valid: DataFrame, ttl_minutes: float = S.DEAD_LINK_MINUTES) -> DataFrame:
-    """T3 + T4: keyed emit-if-changed over micro-batches."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
-    from .state import OUT_COLS, OUT_SCHEMA, STATE_SCHEMA, make_change_handler
-    return (valid.select(*OUT_COLS).groupBy("link_id")
-            .applyInPandasWithState(make_change_handler(ttl_minutes), OUT_SCHEMA, STATE_SCHEMA,
-                                    "append", GroupStateTimeout.ProcessingTimeTimeout))
-
-
 def run_id_of(spark, checkpoint: str) -> str:
     """The id that Spark gives a stream with its checkpoint: the same after a restart, new with a new checkpoint."""
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def dual_sink(bronze_root: str, checkpoint: str, topic_fmt: str = "kafka", topic_options: dict | None = None,
-              topic_path: str | None = None, on_bronze_error=None):
+              topic_path: str | None = None, on_bronze_error=None, dead_letters: str | None = None):
     """T5: one micro-batch -> topic (K7), then bronze (K2).  The batch is persisted so
-    both writes read it once.  A failing bronze write is tried once more; if that fails
-    too it is logged and handed to ``on_bronze_error(batch_id, error)``, and the topic
+    both writes read it once.  A batch that is retried is published again with the same
+    message ids, so readers take it once.  A failing bronze write is tried once more; if that fails
+    too the rows go to ``dead_letters`` (default: beside bronze) under run and batch, the
+    failure is logged and handed to ``on_bronze_error(batch_id, error)``, and the topic
     keeps flowing.  Bronze rows are written once per run and batch."""
     from ..sources.writers import write_bronze_realtime, write_snapshots
+    dead = dead_letters or f"{bronze_root.rstrip('/')}-dead-letters"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
+        run = run_id_of(batch.sparkSession, checkpoint)
         try:
             write_snapshots(batch, fmt=topic_fmt, options=topic_options, path=topic_path,
-                            timestamp_col=None if topic_fmt == "kafka" else "ingest_ts")
+                            timestamp_col=None if topic_fmt == "kafka" else "ingest_ts", run_id=run, batch_id=batch_id)
             rows = batch.select("link_id", "speed", "data_as_of", "borough", "link_name", "ingest_ts")
             for attempt in (1, 2):
                 try:
-                    write_bronze_realtime(rows, bronze_root, run_id_of(batch.sparkSession, checkpoint), batch_id)
+                    write_bronze_realtime(rows, bronze_root, run, batch_id)
                     break
                 except Exception as e:  # noqa: BLE001 - the topic must not stop on a bronze failure
                     LOG.warning("bronze write of batch %s failed, attempt %s: %s", batch_id, attempt, e)
-                    if attempt == 2 and on_bronze_error:
-                        on_bronze_error(batch_id, e)
+                    if attempt == 2:
+                        try:
+                            rows.write.mode("overwrite").parquet(f"{dead}/run_id={run}/batch_id={batch_id}")
+                        except Exception as again:  # noqa: BLE001
+                            LOG.error("rows of batch %s are neither in bronze nor in %s: %s", batch_id, dead, again)
+                        if on_bronze_error:
+                            on_bronze_error(batch_id, e)
         finally:
             batch.unpersist()
 
     return sink
 
 
+def recover_dead_letters(spark, dead: str, bronze_root: str) -> int:
+    """Write the batches of a dead-letter folder to bronze, each once per run and batch; returns how many had rows to add."""
+    from ..sources.writers import write_bronze_realtime
+    letters = spark.read.parquet(dead)
+    added = 0
+    for r in letters.select("run_id", "batch_id").distinct().collect():  # one row per failed batch
+        own = letters.where((F.col("run_id") == r["run_id"]) & (F.col("batch_id") == r["batch_id"])).drop("run_id", "batch_id")
+        added += write_bronze_realtime(own, bronze_root, r["run_id"], r["batch_id"])
+    return added
+
+
 def start_collector(feed_stream: DataFrame, active: DataFrame, lookup: DataFrame, bronze_root: str,
                     checkpoint: str, topic_fmt: str = "kafka", topic_options: dict | None = None,
-                    topic_path: str | None = None, trigger: dict | None = None, on_bronze_error=None):
+                    topic_path: str | None = None, trigger: dict | None = None, on_bronze_error=None,
+                    initial: DataFrame | None = None, late_minutes: float = S.DEAD_LINK_MINUTES,
+                    ttl_minutes: float = S.DEAD_LINK_MINUTES, dead_letters: str | None = None):
     """The whole collector as one streaming query (default trigger: every minute).
 
     ``feed_stream`` comes from ``scan_feed_tsv``; its ``max_files`` bounds what one
-    micro-batch, and so one link's rows in it, can hold.
+    micro-batch, and so one link's rows in it, can hold.  ``initial`` (``link_id``, ``data_as_of``) is the
+    warm-up replay: a first start emits none of its newest readings again.  Readings
+    ``late_minutes`` older than the newest one seen are dropped by the watermark, besides those that
+    the ``dead`` verdict drops by the clock; a link that is silent for ``ttl_minutes`` is forgotten.
     """
     valid = judged_feed(feed_stream, active, lookup)
-    changed = change_stream(valid)
-    sink = dual_sink(bronze_root, checkpoint, topic_fmt, topic_options, topic_path, on_bronze_error)
+    changed = change_stream(valid, ttl_minutes, late_minutes, initial)
+    sink = dual_sink(bronze_root, checkpoint, topic_fmt, topic_options, topic_path, on_bronze_error, dead_letters)
     w = changed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).outputMode("append")
-    trigger = trigger or {"processingTime": "1 minute"}
-    w = w.trigger(**trigger)
-    if not (trigger.get("availableNow") or trigger.get("once")):
-        return w.start()
-    # A bounded catch-up run must end once the input is drained; with state timeouts
-    # pending, no-data batches would keep it alive.  Timed-out links are then evicted
-    # by the next run instead (eviction never changes output).  The setting is taken
-    # when the query starts, so the session's own value is restored right after.
-    spark = feed_stream.sparkSession
-    key = "spark.sql.streaming.noDataMicroBatches.enabled"
-    old = spark.conf.get(key, "true")
-    spark.conf.set(key, "false")
-    try:
-        return w.start()
-    finally:
-        spark.conf.set(key, old)
+    with with_state_store(feed_stream.sparkSession):
+        return w.trigger(**(trigger or {"processingTime": "1 minute"})).start()
 
 
 # --------------------------------------------------------------------------- warm-up

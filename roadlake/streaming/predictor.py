@@ -1,7 +1,8 @@
 """The scorer (T7, T8): lookback snapshots -> serving features -> model -> predictions.
 
-Each run is a bounded Spark job over the topic's last 90 minutes; the streaming
-form triggers that job every 5 minutes from ``foreachBatch``.
+Two forms.  A run over the topic's last 90 minutes is a bounded Spark job, which ``start_predictor``
+triggers every 5 minutes.  ``start_lookback_predictor`` keeps each link's lookback as state of the stream
+instead, so a tick reads only the snapshots that are new.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import settings as S
-from ..operators.asof import serving_features
+from ..operators.asof import lag_features, serving_features
 from ..operators.ml import score_batch
 from ..sources.readers import lookback_window
 from ..sources.writers import write_predictions
@@ -67,3 +68,39 @@ def start_predictor(tick_stream: DataFrame, load_snapshots, lookup: DataFrame, h
     w = (tick_stream.select(now_utc().alias("_tick")).writeStream.foreachBatch(tick)
          .option("checkpointLocation", checkpoint))
     return w.trigger(**(trigger or {"processingTime": "5 minutes"})).start()
+
+
+def start_lookback_predictor(snapshots: DataFrame, lookup: DataFrame, holidays: DataFrame, model, out_root: str, checkpoint: str,
+                             initial: DataFrame | None = None, trigger: dict | None = None,
+                             params: S.ServingParams = S.ServingParams(), late_minutes: float = S.LOOKBACK_MINUTES, on_error=None):
+    """T7 + T8 in the stream: every micro-batch scores the links whose lookback it changed.
+
+    ``snapshots`` is a stream (``snapshot_stream``), ``initial`` a batch frame with the lookback before
+    the first start.  Predictions are written once per run and batch; a micro-batch that fails
+    twice is logged and handed to ``on_error(batch_id, error)``, and its links are scored again with
+    their next snapshot.
+    """
+    from .collector import run_id_of
+    from .state import lookback_stream, with_state_store
+
+    def score(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for attempt in (1, 2):
+                try:
+                    preds = score_batch(model, lag_features(batch, lookup, holidays, params=params))
+                    # the batch's own time, so that a retry goes to the same partition
+                    at = batch.agg(F.date_format(F.max("data_as_of"), "yyyy-MM-dd HH:mm:ss")).first()[0]
+                    if at is not None:
+                        write_predictions(preds, out_root, at, run_id_of(batch.sparkSession, checkpoint), batch_id)
+                    return
+                except Exception as e:  # noqa: BLE001 - the next snapshot of a link scores it again
+                    LOG.warning("scoring of batch %s failed, attempt %s: %s", batch_id, attempt, e)
+                    if attempt == 2 and on_error:
+                        on_error(batch_id, e)
+        finally:
+            batch.unpersist()
+
+    w = lookback_stream(snapshots, params, late_minutes, initial).writeStream.foreachBatch(score).option("checkpointLocation", checkpoint)
+    with with_state_store(snapshots.sparkSession):
+        return w.outputMode("append").trigger(**(trigger or {"processingTime": "5 minutes"})).start()

@@ -1,48 +1,221 @@
-"""Keyed change-detection state (T3) with eviction (T4).
+"""Keyed streaming state (T3, T4, T6, T8, T9): change detection and the lookback ring.
 
-For one link's rows of a micro-batch, in the order in which the feed brought them, it
-emits a row when its ``data_as_of`` differs from the previous row's (the last
-emitted value), remembering that value across micro-batches.  A link that sends
-nothing for ``ttl_minutes`` of processing time loses its state; its next valid
-reading is newer than anything remembered, so eviction never changes output.
+Both are ``transformWithState`` processors in event time (``data_as_of``, UTC): rows older than the
+watermark never reach them, and timers on the readings' own time end a link's state.  Both
+take their state at the first start from a batch frame, such as the warm-up replay.
+The session needs the RocksDB state store (``with_state_store``).
 """
 
 from __future__ import annotations
 
-from typing import Iterator
+from collections.abc import Iterator
+from typing import Any
 
 import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from .. import settings as S
 
 OUT_SCHEMA = ("link_id string, data_as_of timestamp_ntz, speed double, link_name string, "
               "borough string, free_flow_speed double, speed_ratio double, current_congestion int, "
               "ingest_ts timestamp_ntz, feed_file string, feed_row long")
-STATE_SCHEMA = "last_ns long"
 OUT_COLS = [c.strip().split(" ")[0] for c in OUT_SCHEMA.split(",")]
+EVENT_TIME = "event_ts"
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-def make_change_handler(ttl_minutes: float = S.DEAD_LINK_MINUTES):
-    ttl_ms = int(ttl_minutes * 60_000)
 
-    def handler(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        pdf = pd.concat(list(pdfs), ignore_index=True)
+class with_state_store:
+    """While a query of this module starts, the session's state store is RocksDB; its own setting comes back after."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __enter__(self) -> None:
+        self.old = self.spark.conf.get(PROVIDER, None)
+        self.spark.conf.set(PROVIDER, ROCKSDB)
+
+    def __exit__(self, *_: Any) -> None:
+        self.spark.conf.unset(PROVIDER) if self.old is None else self.spark.conf.set(PROVIDER, self.old)
+
+
+def with_event_time(rows: DataFrame, late_minutes: float, ts: str = "data_as_of") -> DataFrame:
+    """``event_ts`` with a watermark ``late_minutes`` behind the newest reading seen.
+
+    ``data_as_of`` is UTC wall time; the event time is that instant whatever the session's zone.
+    Rows that have it already keep it.
+    """
+    if EVENT_TIME in rows.columns:
+        return rows
+    instant = F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts)))
+    return rows.withColumn(EVENT_TIME, instant).withWatermark(EVENT_TIME, f"{int(late_minutes * 60)} seconds")
+
+
+def micros(times: pd.Series) -> pd.Series:
+    return times.astype("datetime64[us]").astype("int64")
+
+
+class ChangeProcessor(StatefulProcessor):
+    """Emits a link's reading when its time differs from the one emitted last; T4: forgets silent links.
+
+    Rows of a micro-batch are taken in the order in which the feed brought them.  A timer
+    stands ``ttl_minutes`` after the newest remembered reading; once the watermark passes it the
+    state goes (nothing older can arrive any more, so output does not change).
+    """
+
+    def __init__(self, ttl_minutes: float):
+        self.ttl_us = int(ttl_minutes * 60_000_000)
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "last_us long, newest_us long")
+
+    def _remember(self, last: int, newest: int) -> None:
+        old = self.last.get() if self.last.exists() else None
+        if old is not None and old[1] != newest:
+            self.handle.deleteTimer((old[1] + self.ttl_us) // 1000)
+        self.last.update((last, newest))
+        if old is None or old[1] != newest:
+            self.handle.registerTimer((newest + self.ttl_us) // 1000)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        us = micros(initialState["data_as_of"])
+        if len(us):
+            # as the replay has published them: the newest reading is the last one emitted
+            self._remember(int(us.max()), int(us.max()))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True)
         if pdf.empty:
             return
         pdf = pdf.sort_values(["ingest_ts", "feed_file", "feed_row"], kind="stable").reset_index(drop=True)
-        ns = pdf["data_as_of"].astype("datetime64[ns]").astype("int64")
-        last = state.get[0] if state.exists else None
-        prev = ns.shift(1)
-        if last is not None:
-            prev.iloc[0] = last
-        emit = prev.isna() | (ns != prev)
-        state.update((int(ns.iloc[-1]),))
-        state.setTimeoutDuration(ttl_ms)
-        out = pdf.loc[emit, OUT_COLS]
+        us = micros(pdf["data_as_of"])
+        held = self.last.get() if self.last.exists() else None
+        before = us.shift(1)
+        if held is not None:
+            before.iloc[0] = held[0]
+        changed = before.isna() | (us != before)
+        self._remember(int(us.iloc[-1]), max(int(us.max()), held[1] if held else int(us.max())))
+        out = pdf.loc[changed, OUT_COLS]
         if not out.empty:
             yield out
 
-    return handler
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def change_stream(valid: DataFrame, ttl_minutes: float = S.DEAD_LINK_MINUTES, late_minutes: float = S.DEAD_LINK_MINUTES,
+                  initial: DataFrame | None = None) -> DataFrame:
+    """T3 + T4 + T9: keyed emit-if-changed over micro-batches, in event time.
+
+    ``initial`` (``link_id``, ``data_as_of``) is what has been emitted before the first start,
+    for example the warm-up replay: its newest reading of each link is not emitted again.
+    """
+    rows = with_event_time(valid.select(*OUT_COLS), late_minutes)
+    if initial is not None:
+        initial = initial.select("link_id", "data_as_of").groupBy("link_id").agg(F.max("data_as_of").alias("data_as_of")).groupBy("link_id")
+    return rows.groupBy("link_id").transformWithStateInPandas(ChangeProcessor(ttl_minutes), OUT_SCHEMA, "append", "EventTime", initialState=initial)
+
+
+# --------------------------------------------------------------------------- the lookback ring
+
+SNAPSHOT = "link_id string, data_as_of timestamp_ntz, current_congestion int, speed_ratio double, link_name string"
+
+
+def lag_schema(lags) -> str:
+    return SNAPSHOT + "".join(f", lag_{m} struct<u: long, current_congestion: int, speed_ratio: double>" for m in lags)
+
+
+class LookbackProcessor(StatefulProcessor):
+    """T7 + J6 + J7 in the stream: each link's snapshots of the lookback, and the lags of its newest one.
+
+    The ring is a map from the snapshot's time to its values (equal times: the first to arrive).  A
+    micro-batch that adds a snapshot emits the newest one with its lags; a timer at the newest time plus the
+    lookback clears links that have gone silent.  Memory per link is the lookback, whatever the
+    length of the stream.
+    """
+
+    def __init__(self, params: S.ServingParams):
+        sc = params.scale
+        self.back_us = sc.micros(params.lookback_minutes)
+        self.lags = {m: (sc.micros(m), sc.micros(lo), sc.micros(hi), sc.micros(m + params.locf_max_minutes))
+                     for m, (lo, hi) in params.lag_tolerance.items()}
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.ring = handle.getMapState("ring", "us long", "current_congestion int, speed_ratio double, link_name string")
+        self.newest = handle.getValueState("newest", "us long")
+
+    def _take(self, pdf: pd.DataFrame) -> int | None:
+        """Adds snapshots, drops what has left the lookback, moves the timer; the newest time, or None if nothing was added."""
+        us = micros(pdf["data_as_of"]).tolist()
+        old = self.newest.get()[0] if self.newest.exists() else None
+        newest = max([*us, *([old] if old is not None else [])])
+        added = False
+        for t, *values in zip(us, pdf["current_congestion"], pdf["speed_ratio"], pdf["link_name"]):
+            if t >= newest - self.back_us and not self.ring.containsKey((t,)):
+                self.ring.updateValue((t,), (int(values[0]), float(values[1]), values[2]))
+                added = True
+        if newest == old:
+            return newest if added else None
+        for (t,) in [k for k in self.ring.keys() if k[0] < newest - self.back_us]:
+            self.ring.removeKey((t,))
+        if old is not None:
+            self.handle.deleteTimer((old + self.back_us) // 1000)
+        self.handle.registerTimer((newest + self.back_us) // 1000)
+        self.newest.update((newest,))
+        return newest
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        if len(initialState):
+            self._take(initialState)
+
+    def _lag(self, times: list[int], at: int, near: int, far: int, carried: int) -> int | None:
+        """The time nearest to ``at`` within the tolerance, the earlier one of two; else J7: the last one before, if not too old."""
+        within = [t for t in times if far <= t <= near]
+        if within:
+            return min(within, key=lambda t: (abs(t - at), t))
+        return max((t for t in times if carried <= t <= at), default=None)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True)
+        newest = self._take(pdf) if len(pdf) else None
+        if newest is None:
+            return
+        held = {k[0]: v for k, v in self.ring.iterator()}
+        times = sorted(held)
+        now = held[newest]
+        row = {"link_id": key[0], "data_as_of": pd.Timestamp(newest, unit="us"), "current_congestion": now[0], "speed_ratio": now[1], "link_name": now[2]}
+        for m, (at, lo, hi, carried) in self.lags.items():
+            t = self._lag(times, newest - at, newest - lo, newest - hi, newest - carried)
+            row[f"lag_{m}"] = None if t is None else {"u": t, "current_congestion": held[t][0], "speed_ratio": held[t][1]}
+        yield pd.DataFrame([row])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.ring.clear()
+        self.newest.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def lookback_stream(snapshots: DataFrame, params: S.ServingParams = S.ServingParams(), late_minutes: float = S.LOOKBACK_MINUTES,
+                    initial: DataFrame | None = None) -> DataFrame:
+    """T7 + T8: each link's newest snapshot with its lags, whenever a micro-batch adds a snapshot of the lookback.
+
+    Columns are those of ``newest_with_lags`` on the link's lookback.  ``initial`` holds snapshots from
+    before the first start (the topic's lookback or the warm-up replay).
+    """
+    cols = [c.strip().split(" ")[0] for c in SNAPSHOT.split(",")]
+    kept = [EVENT_TIME] if EVENT_TIME in snapshots.columns else []
+    rows = with_event_time(snapshots.select(*cols, *kept), late_minutes * params.scale.factor)
+    state = None if initial is None else initial.select(*cols).groupBy("link_id")
+    return rows.groupBy("link_id").transformWithStateInPandas(LookbackProcessor(params), lag_schema(params.lag_tolerance), "append", "EventTime", initialState=state)

@@ -226,41 +226,11 @@ def test_bronze_failure_is_retried_then_reported(spark, scratch, monkeypatch):
     assert spark.read.parquet(bronze).count() == 1 and not told  # the second attempt worked
     _collect(spark, scratch, {"f2.txt": [("1", 30, now - dt.timedelta(minutes=20))]}, on_bronze_error=report)
     assert [m for _, m in told] == ["no space"] and spark.read.parquet(topic).count() == 2  # reported; the topic flows
-
-
-class _State:
-    def __init__(self):
-        self.value, self.timeout, self.hasTimedOut = None, None, False
-
-    @property
-    def exists(self):
-        return self.value is not None
-
-    @property
-    def get(self):
-        return self.value
-
-    def update(self, v):
-        self.value = v
-
-    def setTimeoutDuration(self, ms):
-        self.timeout = ms
-
-    def remove(self):
-        self.value = None
-
-
-def test_state_times_out(spark):
-    import pandas as pd
-    from roadlake.streaming.state import OUT_COLS, make_change_handler
-    handler, state = make_change_handler(ttl_minutes=120), _State()
-    row = {c: None for c in OUT_COLS} | {"link_id": "1", "data_as_of": pd.Timestamp("2024-01-01 10:00"), "ingest_ts": pd.Timestamp("2024-01-01 10:01"), "feed_file": "f", "feed_row": 0}
-    once = lambda: sum(len(x) for x in handler(("1",), iter([pd.DataFrame([row])]), state))
-    assert once() == 1 and once() == 0 and state.timeout == 120 * 60_000
-    state.hasTimedOut = True
-    assert list(handler(("1",), iter([]), state)) == [] and not state.exists
-    state.hasTimedOut = False
-    assert once() == 1
+    dead = bronze + "-dead-letters"
+    assert spark.read.parquet(dead).count() == 1 and spark.read.parquet(bronze).count() == 1  # kept beside bronze
+    monkeypatch.setattr(writers, "write_bronze_realtime", real)
+    assert C.recover_dead_letters(spark, dead, bronze) == 1 and C.recover_dead_letters(spark, dead, bronze) == 0
+    assert spark.read.parquet(bronze).count() == 2
 
 
 def test_run_training_evaluates_every_row(spark):
