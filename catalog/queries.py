@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadlake import settings as S
+from roadlake.functions.timefn import epoch_micros
 from roadlake.functions import (calendar_features, class_label, clean_quotes, confidence, epoch_seconds,
                          json_decode_snapshot, json_encode_snapshot, local_date_str, local_hour_str,
                          minutes_between, parse_first_point, parse_local_ts, parse_utc_ts,
@@ -22,7 +23,7 @@ from roadlake.operators import filters as P
 from roadlake.operators import joins as J
 from roadlake.operators import metrics as M
 from roadlake.operators import windows as W
-from roadlake.operators.asof import asof_lags, serving_features
+from roadlake.operators.asof import asof_join, asof_lags, serving_features
 from roadlake.session import checkpoint_dir
 from roadlake.sources import readers as R
 from . import oracle as O
@@ -934,6 +935,52 @@ def q_order_within_link_rank(spark, sf):
     return T.numbered(s).select("link_id", "data_as_of", "place")
 
 
+# ---------------------------------------------------------------- stored and merged state
+@query("asof_join", _w(O.READINGS) + """,
+l AS (SELECT * FROM readings WHERE borough = 'click'),
+r AS (SELECT link_id, data_as_of, min(event_id) AS event_id FROM readings WHERE borough <> 'click' GROUP BY ALL)
+SELECT l.event_id, r.event_id AS matched, (epoch_us(l.data_as_of) - epoch_us(r.data_as_of)) / 60000000.0 AS minutes
+FROM l ASOF LEFT JOIN r ON l.link_id = r.link_id AND l.data_as_of >= r.data_as_of""")
+def q_asof_join(spark, sf):
+    """Each click with the last other reading of its link: an as-of join of two tables."""
+    r = T.readings(spark, sf)
+    met = asof_join(r.where("borough = 'click'"), r.where("borough <> 'click'"), ["event_id"], tie="event_id")
+    gap = (epoch_micros(F.col("data_as_of")) - F.col("match.u")) / F.lit(60_000_000.0)
+    return met.select("event_id", F.col("match.event_id").alias("matched"), gap.alias("minutes"))
+
+
+@query("free_flow_speed_months", """
+SELECT CAST(l_suppkey AS VARCHAR) AS link_id, CAST(quantile_disc(l_quantity, 0.85) AS DOUBLE) AS free_flow_speed
+FROM lineitem WHERE l_quantity IS NOT NULL GROUP BY l_suppkey""")
+def q_free_flow_speed_months(spark, sf):
+    """P85 from stored month cells, refined inside the one cell that holds it."""
+    li = T.table(spark, sf, "lineitem").select(F.col("l_suppkey").cast("string").alias("link_id"), F.col("l_quantity").cast("double").alias("speed"),
+                                               F.trunc("l_shipdate", "month").alias("month"))
+    cells = T.kept(spark, sf, "speed-cells", lambda: G.speed_sketches(li, [F.col("month")], width=5.0))
+    return G.refined_speed(li, G.sketched_speed(cells, width=5.0))
+
+
+@query("correlation_months", _corr_sql())
+def q_correlation_months(spark, sf):
+    """The matrix of all rows from the co-moments of each month."""
+    gold = T.gold(spark, sf).withColumn("month_of", F.trunc("data_as_of", "month"))
+    months = T.kept(spark, sf, "co-moments", lambda: M.co_moments(gold, CORR_COLS, ["month_of"]))
+    return M.correlations(M.merge_co_moments(months), CORR_COLS)
+
+
+@query("coverage_sketched", _w(*O.BASE_SILVER) + """
+SELECT count(*) AS rows, true AS within_bound, count(DISTINCT link_id) >= 20 AS ready FROM silver""")
+def q_coverage_sketched(spark, sf):
+    """Distinct links and readiness from stored hour sketches; the estimate is checked against its error bound."""
+    silver = T.silver(spark, sf)
+    hours = T.kept(spark, sf, "link-sketches", lambda: G.link_sketches(silver, [F.date_trunc("hour", "data_as_of").alias("hour")]))
+    exact = G.distinct_links(silver).withColumnRenamed("distinct_links", "exact")
+    bound = F.greatest(F.lit(1.0), F.lit(4 * 1.04 / 2 ** (G.LG_K / 2)) * F.col("exact"))
+    # one row each
+    return (G.sketched_links(hours).crossJoin(F.broadcast(exact))
+            .select("rows", (F.abs(F.col("distinct_links") - F.col("exact")) <= bound).alias("within_bound"), "ready"))
+
+
 def queries() -> dict:
     return {k: v[0] for k, v in Q.items()}
 

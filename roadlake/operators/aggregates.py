@@ -13,6 +13,10 @@ from .. import settings as S
 from ..functions.congestion import class_label
 
 
+#: Slices of a bracket that are ranked side by side.
+SLICES = 256
+
+
 def ranked_values(x: DataFrame, keys: list[str], value: str, ranks: dict[str, tuple[float, Column]],
                   accuracy: int = 10_000) -> DataFrame:
     """Exact order statistics per key, bounded in memory whatever the number of values.
@@ -21,7 +25,8 @@ def ranked_values(x: DataFrame, keys: list[str], value: str, ranks: dict[str, tu
     rows and as a 0-based rank in terms of ``_n``, the key's row count.  One pass brackets
     each rank by two sketch quantiles (their rank error is at most ``n / accuracy``, the
     margin is twice that); a second counts the rows below each bracket as one group and the
-    rows inside, about ``4 n / accuracy`` per rank, by value; those counts are ranked.
+    rows inside, about ``4 n / accuracy`` per rank, by value; those counts are ranked in slices of the
+    bracket's values, so no task holds a whole bracket.
     Null and NaN values take no part.  Returns ``keys``, ``_n`` and one column per name.
     """
     x = x.select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
@@ -42,8 +47,15 @@ def ranked_values(x: DataFrame, keys: list[str], value: str, ranks: dict[str, tu
     # all rows below a bracket are one group, its null value sorts first
     counted = (met.groupBy(*by, "_n", F.col("b.k").alias("_of"), F.col("b.rank").alias("_rank"),
                            F.when(F.col("_x") >= F.col("b.lo"), F.col("_x")).alias("_x")).agg(F.count(F.lit(1)).alias("_m")))
-    run = Window.partitionBy(*by, "_of").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    upto = counted.withColumn("_upto", F.sum("_m").over(run))
+    # ranked in slices of the bracket by value: a table of one row per slice says what lies before it
+    ends = counted.groupBy(*by, "_of").agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    span = F.col("_hi") - F.col("_lo")
+    place = F.when((span > 0) & (span < F.lit(float("inf"))), F.least(F.lit(SLICES - 1), F.floor((F.col("_x") - F.col("_lo")) / span * F.lit(SLICES))))
+    sliced = counted.join(ends, [*by, "_of"]).withColumn("_slice", F.when(F.col("_x").isNull(), F.lit(-1)).otherwise(F.coalesce(place, F.lit(0))).cast("long"))
+    before = Window.partitionBy(*by, "_of").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # at most SLICES + 1 rows
+    bases = sliced.groupBy(*by, "_of", "_slice").agg(F.sum("_m").alias("_s")).select(*by, "_of", "_slice", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_base"))
+    run = Window.partitionBy(*by, "_of", "_slice").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    upto = sliced.withColumn("_in", F.sum("_m").over(run)).join(bases, [*by, "_of", "_slice"]).withColumn("_upto", F.col("_base") + F.col("_in"))
     pick = [F.min(F.when((F.col("_of") == k) & (F.col("_upto") > F.col("_rank")), F.col("_x"))).alias(n) for k, n in enumerate(names)]
     return upto.groupBy(*by).agg(F.first("_n").alias("_n"), *pick).select(*keys, "_n", *names)
 
@@ -115,6 +127,57 @@ def distinct_links(df: DataFrame, key: str = "link_id", approx: bool = False) ->
     return df.agg(F.count_distinct(key).alias("distinct_links"))
 
 
+#: Sketch size of distinct counts: a relative standard error of about 1.04 / sqrt(2**LG_K), 1.6 % here.
+LG_K = 12
+
+
+def link_sketches(df: DataFrame, by: list[Column], key: str = "link_id", lg_k: int = LG_K) -> DataFrame:
+    """G8, G22, G23 mergeable: per group (an hour, a month) a HyperLogLog sketch of the links and the rows.
+
+    A few kB a group whatever its rows; a new hour adds its own row and reads no other.
+    """
+    return df.groupBy(*by).agg(F.hll_sketch_agg(key, lg_k).alias("links"), F.count(F.lit(1)).alias("rows"))
+
+
+def sketched_links(sketches: DataFrame, by: list[str] = (), min_links: int = S.WARMUP_MIN_LINKS) -> DataFrame:
+    """Distinct links (estimated), rows and the readiness flag (G23) of unions of stored sketches; no reading is read."""
+    both = sketches.groupBy(*by).agg(F.hll_union_agg("links").alias("_s"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+    n = F.coalesce(F.hll_sketch_estimate("_s"), F.lit(0)).cast("long")
+    return both.select(*by, n.alias("distinct_links"), "rows", (n >= F.lit(min_links)).alias("ready"))
+
+
+def speed_sketches(df: DataFrame, by: list[Column], key: str = "link_id", speed: str = "speed", width: float = 0.25) -> DataFrame:
+    """G1 mergeable: per link and group (a month) how many speeds lie in each cell of ``width``, from 0 on.
+
+    Speeds are bounded (0 to 100 after cleaning), so a group has at most 100 / width cells whatever its
+    rows.  Counts add up over any choice of groups.
+    """
+    cell = F.floor(F.col(speed) / F.lit(width)).cast("long").alias("cell")
+    return df.where(F.col(speed).isNotNull()).groupBy(key, *by, cell).agg(F.count(F.lit(1)).alias("n"))
+
+
+def sketched_speed(sketches: DataFrame, key: str = "link_id", q: float = S.FREE_FLOW_PERCENTILE, width: float = 0.25) -> DataFrame:
+    """``(key, n, low, high)``: the exact ``q`` percentile (the smallest value whose share reaches ``q``) lies in ``[low, high)``.
+
+    From stored cell counts only: months can be added or left out without reading any reading again.
+    """
+    cells = sketches.groupBy(key, "cell").agg(F.sum("n").alias("n"))
+    steps = Window.partitionBy(key).orderBy("cell")  # the cells of one link
+    upto = cells.select(key, "cell", F.sum("n").over(steps).alias("_upto"), F.sum("n").over(Window.partitionBy(key)).alias("_all"))
+    hit = upto.where(F.col("_upto") >= F.ceil(F.lit(q) * F.col("_all"))).groupBy(key).agg(F.min("cell").alias("cell"), F.first("_all").alias("n"))
+    return hit.select(key, "n", (F.col("cell") * F.lit(width)).alias("low"), ((F.col("cell") + 1) * F.lit(width)).alias("high"))
+
+
+def refined_speed(readings: DataFrame, bracket: DataFrame, key: str = "link_id", speed: str = "speed", q: float = S.FREE_FLOW_PERCENTILE) -> DataFrame:
+    """The exact percentile from a bracket: of the readings only those inside are ranked, those below are counted."""
+    met = readings.select(key, F.col(speed).cast("double").alias("_x")).join(bracket, key).where(F.col("_x") < F.col("high"))
+    counted = met.groupBy(key, "n", F.when(F.col("_x") >= F.col("low"), F.col("_x")).alias("_x")).agg(F.count(F.lit(1)).alias("_m"))
+    run = Window.partitionBy(key).orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)  # values of one cell; null: all below
+    upto = counted.select(key, "n", "_x", F.sum("_m").over(run).alias("_upto"))
+    return (upto.where(F.col("_x").isNotNull() & (F.col("_upto") >= F.ceil(F.lit(q) * F.col("n"))))
+            .groupBy(key).agg(F.min("_x").alias("free_flow_speed")))
+
+
 def value_ranges(df: DataFrame, ts: str = "data_as_of", speed: str = "speed") -> DataFrame:
     """min/max of time and of numeric-cast speed."""
     sp = F.col(speed).try_cast("double")

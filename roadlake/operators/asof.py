@@ -61,6 +61,54 @@ def asof_lags(df: DataFrame, values: list[str], key: str = "link_id", ts: str =
     return split.select("*", *cols).filter(F.col(HOME)).drop(BUCKET, HOME, MICROS)
 
 
+def asof_join(left: DataFrame, right: DataFrame, values: list[str], key: str = "link_id", ts: str = "data_as_of", direction: str = "backward",
+              within_minutes: float | None = None, tie: str | None = None, bucket_hours: float = 24.0, out: str = "match") -> DataFrame:
+    """J6 + J7 between two tables: each row of ``left`` with the row of ``right`` of its key that is nearest in time.
+
+    ``direction``: ``"backward"`` (the last at or before it), ``"forward"`` (the first at or after it) or
+    ``"nearest"`` (the earlier one of two equally near).  ``out`` is a struct of ``u`` (epoch micros) and
+    ``values`` of that row, null if there is none, or none ``within_minutes``; equal times take the
+    smallest ``tie``.  All rows and columns of ``left`` stay, also those without a key or time.
+
+    Both sides are put in one frame, cut into time buckets, and one sorted pass per (key, bucket)
+    carries the last and the next row of ``right`` along; there is no pair of rows, and a hot key is
+    spread over its buckets.  What a bucket cannot see itself comes from a table of one row per key and
+    bucket: the last (first) row of ``right`` in the buckets before (after) it.
+    """
+    if direction not in ("backward", "forward", "nearest"):
+        raise ValueError("direction is backward, forward or nearest")
+    width = F.lit(max(1, int(bucket_hours * 3_600_000_000)))
+    us = epoch_micros(F.col(ts))
+    order = F.col(tie) if tie else F.lit(0)
+    found = (right.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+             .select(F.col(key).alias("_key"), us.alias("_us"), order.alias("_tie"), F.struct(us.alias("u"), *values).alias("_row")))
+    # of equal times the smallest tie
+    found = found.groupBy("_key", "_us").agg(F.min_by("_row", "_tie").alias("_row")).withColumn("_bucket", F.floor(F.col("_us") / width))
+    asked = left.select(F.struct(*(F.col(f"`{c}`") for c in left.columns)).alias("_left"), F.col(key).alias("_key"), us.alias("_us"))
+    asked = asked.withColumn("_bucket", F.floor(F.col("_us") / width))
+    both = asked.withColumn("_row", F.lit(None).cast(found.schema["_row"].dataType)).unionByName(
+        found.withColumn("_left", F.lit(None).cast(asked.schema["_left"].dataType)))
+    steps = Window.partitionBy("_key", "_bucket").orderBy("_us")
+    ends = found.groupBy("_key", "_bucket").agg(F.min_by("_row", "_us").alias("_first"), F.max_by("_row", "_us").alias("_last"))
+    # every bucket of either side, one row each, with what lies before and after it
+    places = both.select("_key", "_bucket").distinct().join(ends, ["_key", "_bucket"], "left")
+    series = Window.partitionBy("_key").orderBy("_bucket")
+    places = places.select("_key", "_bucket",
+                           F.last("_last", True).over(series.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+                           F.first("_first", True).over(series.rowsBetween(1, Window.unboundedFollowing)).alias("_after"))
+    same = steps.rangeBetween(Window.unboundedPreceding, 0), steps.rangeBetween(0, Window.unboundedFollowing)
+    seen = both.select("*", F.last("_row", True).over(same[0]).alias("_back"), F.first("_row", True).over(same[1]).alias("_next")).where("_left is not null")
+    met = seen.join(places, seen["_key"].eqNullSafe(places["_key"]) & seen["_bucket"].eqNullSafe(places["_bucket"]), "left")
+    known = seen["_key"].isNotNull() & seen["_us"].isNotNull()
+    back = F.when(known, F.coalesce(seen["_back"], places["_before"]))
+    forth = F.when(known, F.coalesce(seen["_next"], places["_after"]))
+    if within_minutes is not None:
+        reach = F.lit(int(round(within_minutes * 60_000_000)))
+        back, forth = F.when(seen["_us"] - back["u"] <= reach, back), F.when(forth["u"] - seen["_us"] <= reach, forth)
+    pick = {"backward": back, "forward": forth, "nearest": _pick_nearest(back, forth, seen["_us"])}[direction]
+    return met.select("_left.*", pick.alias(out))
+
+
 def newest_with_lags(snapshots: DataFrame, values: list[str], key: str = "link_id", ts: str = "data_as_of",
                      tie: str | None = None, params: S.ServingParams = S.ServingParams()) -> DataFrame:
     """W5 + J6 + J7 for the newest snapshot of each link only: two partial aggregates, no window.

@@ -42,6 +42,37 @@ def assembler(numeric=S.NUMERIC_FEATURES, cats=S.CATEGORICAL_FEATURES) -> Vector
                            outputCol="features", handleInvalid="keep")
 
 
+def target_statistics(train: DataFrame, cats=S.CATEGORICAL_FEATURES, label: str = S.LABEL_COL, weight: float = 20.0) -> DataFrame:
+    """M1 for many links: per category value the mean label, drawn towards the mean of all by ``weight`` rows.
+
+    ``(feature, value, stat)``, one row per value and a row with a null value for values not
+    met in training.  A plain aggregate: it grows with the values, not with the forest.
+    """
+    rows = train.select(F.explode(F.array(*(F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cats))).alias("f"),
+                        F.col(label).cast("double").alias("y"))
+    sums = rows.groupBy("f.feature", "f.value").agg(F.sum("y").alias("s"), F.count("y").alias("n"))
+    whole = sums.groupBy("feature").agg((F.sum("s") / F.sum("n")).alias("mean"))  # one row per feature
+    known = (sums.where("value is not null").join(whole, "feature")
+             .select("feature", "value", ((F.col("s") + F.lit(weight) * F.col("mean")) / (F.col("n") + F.lit(weight))).alias("stat")))
+    return known.unionByName(whole.select("feature", F.lit(None).cast("string").alias("value"), F.col("mean").alias("stat")))
+
+
+def with_target_statistics(df: DataFrame, stats: DataFrame, cats=S.CATEGORICAL_FEATURES) -> DataFrame:
+    """Adds ``<feature>_stat`` columns; values without one, and nulls, get the feature's mean.  Joins on the value, no category limit."""
+    for c in cats:
+        own = stats.where((F.col("feature") == c) & F.col("value").isNotNull()).select(F.col("value").alias(c), F.col("stat").alias(f"{c}_stat"))
+        rest = stats.where((F.col("feature") == c) & F.col("value").isNull()).select(F.col("stat").alias("_rest"))
+        df = (df.join(own, c, "left").crossJoin(F.broadcast(rest))  # one row
+              .withColumn(f"{c}_stat", F.coalesce(f"{c}_stat", "_rest")).drop("_rest"))
+    return df
+
+
+def many_links_pipeline(weight_col: str | None = "class_weight", **forest_overrides) -> Pipeline:
+    """M4 for any number of links: the forest on ``with_target_statistics`` columns, all continuous, at the usual ``maxBins``."""
+    columns = VectorAssembler(inputCols=[f"{c}_stat" for c in S.CATEGORICAL_FEATURES] + list(S.NUMERIC_FEATURES), outputCol="features", handleInvalid="keep")
+    return Pipeline(stages=[columns, forest(weight_col, **forest_overrides)])
+
+
 def forest(weight_col: str | None = "class_weight", **overrides) -> RandomForestClassifier:
     """M3: the weighted forest; every parameter can be overridden (e.g. ``maxBins`` must
     be at least the number of distinct links + 1)."""

@@ -96,6 +96,8 @@ def dual_sink(bronze_root: str, checkpoint: str, topic_fmt: str = "kafka", topic
         batch.persist()
         run = run_id_of(batch.sparkSession, checkpoint)
         try:
+            if batch.isEmpty():  # nothing has changed, or the watermark alone has moved
+                return
             write_snapshots(batch, fmt=topic_fmt, options=topic_options, path=topic_path,
                             timestamp_col=None if topic_fmt == "kafka" else "ingest_ts", run_id=run, batch_id=batch_id)
             rows = batch.select("link_id", "speed", "data_as_of", "borough", "link_name", "ingest_ts")
