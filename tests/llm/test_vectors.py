@@ -140,3 +140,36 @@ def test_tree_covers_and_links():
     for cosine in (0.93, 0.5):
         got = sorted((i, j) for a, b in cover_tree.links(x, x, tree, tree, cosine, True) for i, j in zip(a.tolist(), b.tolist()))
         assert got == [(i, j) for i in range(240) for j in range(i + 1, 240) if x[i] @ x[j] >= cosine]
+
+
+def clustered(n, dim=16, clusters=40, seed=4):
+    rng = np.random.default_rng(seed)
+    middle = rng.normal(size=(clusters, dim))
+    return (middle[rng.integers(0, clusters, n)] + rng.normal(size=(n, dim)) * 0.05).astype(np.float32)
+
+
+def test_nets_are_nested_and_spread():
+    x = cover_tree.unit(clustered(600).ravel(), 16)
+    few, many = cover_tree.net(x, 20), cover_tree.net(x, 60)
+    assert many[:20].tolist() == few.tolist() and len(set(many.tolist())) == 60
+    away = np.min([cover_tree.distances(x, x[c]) for c in cover_tree.net(x, 40)], axis=0)
+    assert away.max() < 0.6  # forty centres cover forty clusters
+    assert cover_tree.net(x[:1], 5).tolist() == [0] and len(cover_tree.net(np.repeat(x[:1], 9, axis=0), 5)) == 1
+
+
+def test_cells_drop_block_pairs(spark, caplog):
+    """Clustered vectors of one label: the same links as by all products, from a small share of the block pairs."""
+    x = clustered(4000)
+    rows = [(i, v.tolist(), 1 if i % 10 else 2) for i, v in enumerate(x)]
+    with caplog.at_level("INFO", logger="roadlake.llm.cover_tree"):
+        got = cover_tree.near_duplicates(table(spark, rows), block_rows=100, leaf=8).collect()
+    compared, of = caplog.records[-1].args
+    assert compared < of / 4
+    unit = cover_tree.unit(x.ravel(), 16)
+    group = np.array([1 if i % 10 else 2 for i in range(len(x))])
+    near = (unit @ unit.T >= 0.93) & (group[:, None] == group[None, :])
+    assert {r.vec_id: r.n_links for r in got} == {i: int(near[i].sum()) - 1 for i in range(len(x))}
+    a, b = np.nonzero(near)
+    from roadlake.llm.components import forest
+    low = forest(a, b, len(x))
+    assert {r.vec_id: r.component_id for r in got} == {i: int(low[i]) for i in range(len(x))}
