@@ -133,35 +133,81 @@ def _single(lat: Lattice, chars: np.ndarray, found: np.ndarray, logs: np.ndarray
     return out
 
 
+#: Longer words are summed up in stretches side by side.
+LONG = 2048
+
+
+def _log_sum(terms: np.ndarray) -> np.ndarray:
+    """Logarithm of the sum over the first axis."""
+    top = terms.max(axis=0)
+    top[top == -np.inf] = 0.0
+    with np.errstate(divide="ignore"):
+        return top + np.log(np.exp(terms - top).sum(axis=0))
+
+
+def _sums(ends: list[np.ndarray]) -> np.ndarray:
+    """``out[:, j]``: log sum over all chains of arcs from 0 to j; ``ends[l - 1][:, j]`` is the arc of length l that ends at j."""
+    count, n = ends[0].shape[0], ends[0].shape[1] - 1
+    if n > LONG:
+        return np.stack([_long_sums([e[r] for e in ends]) for r in range(count)])
+    out = np.full((count, n + 1), -np.inf)
+    out[:, 0] = 0.0
+    for j in range(1, n + 1):
+        out[:, j] = _log_sum(np.stack([out[:, j - l] + ends[l - 1][:, j] for l in range(1, min(j, len(ends)) + 1)]))
+    return out
+
+
+def _long_sums(ends: list[np.ndarray]) -> np.ndarray:
+    """``_sums`` of one long word: its stretches go side by side, as many steps as the root of its length.
+
+    What a stretch does depends on the sums at the ``len(ends)`` places before it.  The first pass
+    takes each of these places alone as a start, which gives the stretch's matrix; the matrices, one
+    after the other, give the sums before each stretch; the second pass fills the stretches in.
+    """
+    n, reach = len(ends[0]) - 1, len(ends)
+    width = max(reach, int(n**0.5))
+    rows = -(-n // width)
+    arcs = np.full((reach, rows * width), -np.inf)
+    arcs[:, :n] = [e[1:] for e in ends]
+    arcs = arcs.reshape(reach, rows, width)
+    last = [np.full((rows, reach), -np.inf) for _ in range(reach)]  # the sums at the latest places, newest first
+    for k in range(reach):
+        last[k][:, k] = 0.0
+    for t in range(width):
+        last = [_log_sum(np.stack([last[l] + arcs[l, :, t, None] for l in range(reach)])), *last[:-1]]
+    matrix = np.stack(last, axis=2)  # (stretch, place before it, place at its end)
+    before = np.full((rows, reach), -np.inf)
+    before[0, 0] = 0.0
+    for r in range(1, rows):
+        before[r] = _log_sum(before[r - 1][:, None] + matrix[r - 1])
+    last = [before[:, k] for k in range(reach)]
+    out = np.empty((rows, width))
+    for t in range(width):
+        out[:, t] = _log_sum(np.stack([last[l] + arcs[l, :, t] for l in range(reach)]))
+        last = [out[:, t], *last[:-1]]
+    return np.append(0.0, out.ravel()[:n])
+
+
+def _ending(weight: list[np.ndarray]) -> list[np.ndarray]:
+    """Arcs by where they end instead of where they start."""
+    count, n = weight[0].shape
+    out = [np.full((count, n + 1), -np.inf) for _ in weight]
+    for l, w in enumerate(weight, start=1):
+        out[l - 1][:, l:] = w
+    return out
+
+
 def forward(lat: Lattice, chars: np.ndarray, found: list[np.ndarray], logs: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """``alpha[:, j]``: log probability of all segmentations of the first j characters; and the arcs' weights."""
     weight = [_single(lat, chars, found[0], logs), *(logs[f] for f in found[1:])]
-    count, n = chars.shape
-    alpha = np.full((count, n + 1), -np.inf)
-    alpha[:, 0] = 0.0
-    for j in range(1, n + 1):
-        reach = min(j, len(weight))
-        terms = np.stack([alpha[:, j - l] + weight[l - 1][:, j - l] for l in range(1, reach + 1)])
-        top = terms.max(axis=0)
-        top[top == -np.inf] = 0.0
-        with np.errstate(divide="ignore"):
-            alpha[:, j] = top + np.log(np.exp(terms - top).sum(axis=0))
-    return alpha, weight
+    return _sums(_ending(weight)), weight
 
 
 def expected(lat: Lattice, chars, found, logs, times: np.ndarray) -> np.ndarray:
     """Expected uses of each piece over all segmentations, each word ``times`` times."""
     alpha, weight = forward(lat, chars, found, logs)
     count, n = chars.shape
-    beta = np.full((count, n + 1), -np.inf)
-    beta[:, n] = 0.0
-    for i in range(n - 1, -1, -1):
-        reach = min(n - i, len(weight))
-        terms = np.stack([weight[l - 1][:, i] + beta[:, i + l] for l in range(1, reach + 1)])
-        top = terms.max(axis=0)
-        top[top == -np.inf] = 0.0
-        with np.errstate(divide="ignore"):
-            beta[:, i] = top + np.log(np.exp(terms - top).sum(axis=0))
+    beta = _sums(_ending([w[:, ::-1] for w in weight]))[:, ::-1]  # the same from the end
     out = np.zeros(len(lat.pieces) + 2)
     whole = alpha[:, n][:, None]
     for l, (w, f) in enumerate(zip(weight, found), start=1):

@@ -229,3 +229,27 @@ def test_decode_rows(spark, odd):
     assert sorted(r.text for r in rows) == sorted(t or "" for _, t in ODD)
     null = spark.createDataFrame([(1, None)], "doc_id long, ids binary")
     assert sp_codec.decode(null, PATH).collect()[0].text is None
+
+
+def test_long_words_in_stretches(monkeypatch):
+    """Forward sums and expected uses of long words, cut into stretches, equal those of one step a character."""
+    lat, weights = subword_lm.vocabulary(PATH)
+    logs = subword_lm.log_weights(weights)
+    rng = np.random.default_rng(6)
+    for n in (130, 577, 1500):
+        words = ["".join(rng.choice(list("theandsr\u00e9\U0001f9ff"), n)) for _ in range(2)]
+        args = (lat, *subword_lm.arcs_of(lat, words), logs)
+        monkeypatch.setattr(subword_lm, "LONG", 1 << 30)
+        alpha, uses = subword_lm.forward(*args)[0], subword_lm.expected(*args, np.array([1.0, 2.0]))
+        monkeypatch.setattr(subword_lm, "LONG", 50)
+        assert np.allclose(subword_lm.forward(*args)[0], alpha, rtol=1e-10)
+        assert np.allclose(subword_lm.expected(*args, np.array([1.0, 2.0])), uses, rtol=1e-7, atol=1e-9)
+
+
+def test_word_of_a_megabyte():
+    import time
+    lat, weights = subword_lm.vocabulary(PATH)
+    word = "".join(np.random.default_rng(7).choice(list("abcdefghijklmnopqrstuvwxyzABCDEF0123456789+/"), 1_000_000))
+    began = time.time()
+    got = subword_lm.word_logs(lat, [word.encode()], subword_lm.log_weights(weights))[0]
+    assert np.isfinite(got) and got < -100_000 and time.time() - began < 90
