@@ -28,7 +28,7 @@ from .token_ids import END_ID, pieces_of, tokenised, with_start
 
 #: Code lengths: the least limit (more ids than 2**LIMIT raise it) and what the decoder's 32-bit window can take.
 LIMIT, MOST_BITS = 18, 25
-PART_BYTES = 64 << 20
+PART_BYTES = 24 << 20
 BLOCK_TOKENS = 1 << 17
 EVERY = 128
 CODE = "lengths binary, limit int, total long"
