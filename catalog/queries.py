@@ -882,6 +882,64 @@ def q_prediction_profile(spark, sf):
     return profile(R.scan_predictions(spark, root), ts="timestamp")
 
 
+@query("prediction_report", _w(*O.BASE_SNAP, """preds AS (
+  SELECT link_id, data_as_of AS timestamp, CAST(current_congestion AS INTEGER) AS predicted_congestion, speed_ratio AS confidence FROM snapshots)""",
+  """newest AS (SELECT CAST(row_number() OVER (ORDER BY timestamp DESC, link_id, predicted_congestion) AS INTEGER) AS place, * FROM preds)""") + """
+SELECT 'summary' AS section, 1 AS place, 'rows' AS item, CAST(count(*) AS DOUBLE) AS number, CAST(NULL AS TIMESTAMP) AS at FROM preds
+UNION ALL SELECT 'summary', 2, 'links', count(DISTINCT link_id), NULL FROM preds
+UNION ALL SELECT 'summary', 3, 'first', NULL, min(timestamp) FROM preds
+UNION ALL SELECT 'summary', 4, 'last', NULL, max(timestamp) FROM preds
+UNION ALL SELECT 'class', c + 1, label, (SELECT count(*) FROM preds WHERE predicted_congestion = c), NULL
+  FROM (VALUES (0, '0-free flow'), (1, '1-congested'), (2, '2-severe')) t(c, label)
+UNION ALL SELECT 'class', 4, 'other', count(*) FILTER (WHERE predicted_congestion IS NULL OR predicted_congestion NOT IN (0, 1, 2)), NULL FROM preds
+UNION ALL SELECT 'nulls', 1, 'confidence', count(*) FILTER (WHERE confidence IS NULL), NULL FROM preds
+UNION ALL SELECT 'nulls', 2, 'link_id', count(*) FILTER (WHERE link_id IS NULL), NULL FROM preds
+UNION ALL SELECT 'nulls', 3, 'predicted_congestion', count(*) FILTER (WHERE predicted_congestion IS NULL), NULL FROM preds
+UNION ALL SELECT 'nulls', 4, 'timestamp', count(*) FILTER (WHERE timestamp IS NULL), NULL FROM preds
+UNION ALL SELECT 'confidence', 1, 'count', count(confidence), NULL FROM preds
+UNION ALL SELECT 'confidence', 2, 'mean', round(avg(confidence), 4), NULL FROM preds
+UNION ALL SELECT 'confidence', 3, 'std', round(stddev_samp(confidence), 4), NULL FROM preds
+UNION ALL SELECT 'confidence', 4, 'min', round(min(confidence), 4), NULL FROM preds
+UNION ALL SELECT 'confidence', 5, 'p25', round(quantile_cont(confidence, 0.25), 4), NULL FROM preds
+UNION ALL SELECT 'confidence', 6, 'p50', round(quantile_cont(confidence, 0.5), 4), NULL FROM preds
+UNION ALL SELECT 'confidence', 7, 'p75', round(quantile_cont(confidence, 0.75), 4), NULL FROM preds
+UNION ALL SELECT 'confidence', 8, 'max', round(max(confidence), 4), NULL FROM preds
+UNION ALL SELECT 'newest', place, CAST(link_id AS VARCHAR), predicted_congestion, timestamp FROM newest WHERE place <= 10""")
+def q_prediction_report(spark, sf):
+    """Q5 whole: the report of persistence predictions (the present class holds, the ratio stands for the confidence)."""
+    from roadlake.operators.quality import prediction_report
+    s = T.snapshots(spark, sf)
+    return prediction_report(s.select("link_id", F.col("data_as_of").alias("timestamp"), F.col("current_congestion").cast("int").alias("predicted_congestion"),
+                                      F.col("speed_ratio").alias("confidence")))
+
+
+@query("forest_evidence", _w(*O.DENSE_GOLD, """held AS (
+  SELECT split, CAST(future_congestion_15min AS DOUBLE) AS a, CAST(current_congestion AS DOUBLE) AS p FROM dense_split WHERE split <> 'train')""",
+  """f AS (SELECT split, c, 2.0 * count(*) FILTER (WHERE a = c AND p = c)
+            / nullif(count(*) FILTER (WHERE a = c) + count(*) FILTER (WHERE p = c), 0) AS f1
+          FROM held CROSS JOIN (VALUES (0.0), (1.0), (2.0)) t(c) GROUP BY split, c)""") + """
+SELECT split, (SELECT count(*) FROM held h WHERE h.split = f.split) AS rows,
+  CAST(round(sum(coalesce(f1, 0)) / 3, 6) AS DOUBLE) AS persistence_f1,
+  TRUE AS rows_ok, 1.0::DOUBLE AS importance_total, 19 AS features FROM f GROUP BY split""")
+def q_forest_evidence(spark, sf):
+    """M3-M6: next to the persistence forecast of each split, what must hold of any forest: it scores every row, its importances add up to 1."""
+    from roadlake.operators.ml import feature_importance
+    from roadlake.plans.training import evaluate
+    frame, model = _forest(spark, sf)
+    shares = feature_importance(model).agg(F.round(F.sum("importance"), 6).alias("importance_total"), F.count("feature").cast("int").alias("features"))
+    parts = []
+    for split in ("val", "test"):
+        held = frame.filter(F.col("split") == split)
+        last = held.select(F.col(S.LABEL_COL), F.col("current_congestion").cast("double").alias("prediction"))
+        plain = M.macro_f1(M.class_metrics(last)).select("rows", F.round("macro_f1", 6).alias("persistence_f1"))
+        own = evaluate(model, held)["macro_f1"].select(F.col("rows").alias("scored"))
+        parts.append(plain.crossJoin(own).crossJoin(shares)  # one row each
+                     .where(F.col("rows") > 0)
+                     .select(F.lit(split).alias("split"), "rows", "persistence_f1", (F.col("rows") == F.col("scored")).alias("rows_ok"),
+                             "importance_total", "features"))
+    return P.union_all(parts)
+
+
 @query("evaluate_split", _w(*O.DENSE_GOLD) + """
 SELECT split, count(*) AS rows, TRUE AS f1_ok FROM dense_split WHERE split <> 'train' GROUP BY split""")
 def q_evaluate_split(spark, sf):

@@ -249,3 +249,20 @@ def test_hot_link_is_spread_over_tasks(spark):
                 .groupBy(F.spark_partition_id().alias("p")).count().collect())
     assert len(per_task) >= 8                         # the hot link spans most tasks
     assert max(r["count"] for r in per_task) < 0.4 * hot_rows
+
+
+def test_prediction_report_odd_rows(spark):
+    """Nulls, ties, an unknown class, an extra column and an empty table."""
+    from roadlake.operators.quality import prediction_report
+    schema = "link_id string, timestamp timestamp_ntz, predicted_congestion int, confidence double, `odd name.x` int"
+    t = [dt.datetime(2024, 1, 1, h) for h in range(4)]
+    rows = [("a", t[0], 0, 0.5, 1), ("b", t[3], 2, 0.75, None), ("a", t[3], 7, None, None), (None, None, None, 1.0, None), ("c", t[3], 0, 0.5, 2)]
+    got = {(r.section, r.place): r for r in prediction_report(spark.createDataFrame(rows, schema), newest=3).collect()}
+    assert {r.item: r.number for (s, _), r in got.items() if s == "class"} == {"0-free flow": 2, "1-congested": 0, "2-severe": 1, "other": 2}
+    assert {r.item: r.number for (s, _), r in got.items() if s == "nulls"} == {
+        "link_id": 1, "timestamp": 1, "predicted_congestion": 1, "confidence": 1, "odd name.x": 3}
+    assert [(got["newest", k].item, got["newest", k].number) for k in (1, 2, 3)] == [("a", 7), ("b", 2), ("c", 0)] and ("newest", 4) not in got
+    assert (got["summary", 1].number, got["summary", 2].number, got["summary", 3].at, got["summary", 4].at) == (5, 3, t[0], t[3])
+    none = {(r.section, r.item): r for r in prediction_report(spark.createDataFrame([], schema)).collect()}
+    assert none["summary", "rows"].number == 0 and none["summary", "last"].at is None and not any(s == "newest" for s, _ in none)
+    assert none["confidence", "count"].number == 0 and none["confidence", "p50"].number is None
