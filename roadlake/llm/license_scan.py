@@ -57,6 +57,25 @@ _BSD_DISCLAIMER = (
     "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
     "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
 
+_MIT_GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of "
+    "<<var;name=work;original=this software and associated documentation files;match=.{1,12}>> (the "
+    "<<beginOptional>>\"<<endOptional>>Software<<beginOptional>>\"<<endOptional>>), to deal in the Software without restriction, "
+    "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies "
+    "of the Software, and to permit persons to whom the Software is furnished to do so")
+_MIT_DISCLAIMER = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+    "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND <<var;name=spelling;original=NONINFRINGEMENT;"
+    f"match=noninfringement|non infringement>>. IN NO EVENT SHALL {_party('THE AUTHORS OR COPYRIGHT HOLDERS')} BE LIABLE FOR ANY "
+    "CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION "
+    "WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+_ISC_DISCLAIMER = (
+    f"THE SOFTWARE IS PROVIDED \"AS IS\" AND {_party('THE AUTHOR')} <<var;name=verb;original=DISCLAIMS;match=disclaims|disclaim>> ALL "
+    "WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL "
+    f"{_party('THE AUTHOR')} BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING "
+    "FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+    "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.")
+
 #: One sentence that names a license.
 NOTICES = [
     ("mit", "Released under the <<beginOptional>>terms of the <<endOptional>>MIT License"),
@@ -68,25 +87,11 @@ NOTICES = [
 
 #: Whole license texts, and the whole headers that Apache, GPL and MPL prescribe for source files.
 TEXTS = [
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of "
-            "<<var;name=work;original=this software and associated documentation files;match=.{1,12}>> (the "
-            "<<beginOptional>>\"<<endOptional>>Software<<beginOptional>>\"<<endOptional>>), to deal in the Software without restriction, "
-            "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies "
-            "of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+    ("mit", _MIT_GRANT + ", subject to the following conditions: "
             "The above copyright notice and this permission notice <<beginOptional>>(including the next paragraph) <<endOptional>>"
-            "shall be included in all copies or substantial portions of the Software. "
-            "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
-            "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND <<var;name=spelling;original=NONINFRINGEMENT;"
-            f"match=noninfringement|non infringement>>. IN NO EVENT SHALL {_party('THE AUTHORS OR COPYRIGHT HOLDERS')} BE LIABLE FOR ANY "
-            "CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION "
-            "WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+            "shall be included in all copies or substantial portions of the Software. " + _MIT_DISCLAIMER),
     ("isc", "Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any purpose with or "
-            "without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
-            f"THE SOFTWARE IS PROVIDED \"AS IS\" AND {_party('THE AUTHOR')} <<var;name=verb;original=DISCLAIMS;match=disclaims|disclaim>> ALL "
-            "WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL "
-            f"{_party('THE AUTHOR')} BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING "
-            "FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
-            "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+            "without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. " + _ISC_DISCLAIMER),
     ("bsd", _BSD_OPENING + _BSD_DISCLAIMER),  # two clauses
     ("bsd", _BSD_OPENING + _bullet("3c") + _BSD_NAMES + _BSD_DISCLAIMER),
     ("bsd", _BSD_OPENING + _BSD_ADVERTISING + _bullet("4d") + _BSD_NAMES + _BSD_DISCLAIMER),
@@ -104,6 +109,36 @@ TEXTS = [
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
                 "distributed with this file, You can obtain one at <<var;name=scheme;original=https;match=http|https>>://"
                 "<<beginOptional>>www.<<endOptional>>mozilla.org/MPL/2.0/."),
+    ("mit-0", _MIT_GRANT + ". " + _MIT_DISCLAIMER),
+    ("0bsd", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. "
+             + _ISC_DISCLAIMER),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will "
+             f"{_party('the authors')} be held liable for any damages arising from the use of this software. Permission is granted to anyone to "
+             "use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to "
+             f"the following restrictions: {_bullet('1a')}The origin of this software must not be misrepresented; you must not claim that you "
+             "wrote the original software. If you use this software in a product, an "
+             "<<var;name=spelling;original=acknowledgment;match=acknowledgment|acknowledgement>> in the product documentation would be "
+             f"appreciated but is not required. {_bullet('2b')}Altered source versions must be plainly marked as such, and must not be "
+             f"misrepresented as being the original software. {_bullet('3c')}This notice may not be removed or altered from any source "
+             "distribution."),
+    ("bsl-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying "
+                "documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the "
+                "Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to "
+                "do so, all subject to the following: The copyright notices in the Software and this entire statement, including the above "
+                "license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or "
+                "in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of "
+                "machine-executable object code generated by a source language processor. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT "
+                "WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A "
+                "PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE "
+                "BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION "
+                "WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+                  "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+                  "commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of "
+                  "this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for "
+                  "the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an "
+                  "overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law. "
+                  + _MIT_DISCLAIMER),
 ]
 
 TEMPLATES = [NOTICES[0], *TEXTS, *NOTICES[1:]]

@@ -1,5 +1,6 @@
 """License scan and quality classifier."""
 
+import random
 import re
 import zlib
 
@@ -127,6 +128,65 @@ def test_notices_are_told_from_texts():
         assert label in found[5].split(",") and found[7] == ""
 
 
+def test_related_texts_are_told_apart():
+    """MIT without its notice condition is another license, and so is ISC without one."""
+    texts = {label: filled(m, True, None) for label, m in license_scan.TEXTS}
+    for label in ("mit", "mit-0", "isc", "0bsd", "zlib", "bsl-1.0", "unlicense"):
+        found = license_scan.Scanner().scan(f"Copyright (c) 2020 A. B. {texts[label]} int main".encode())
+        assert (found[5], found[6], found[7]) == (label, 1.0, label)
+
+
+def random_template(rng, depth=0):
+    """``(markup, fillings)``: every filling is a tuple of words, None for any word."""
+    markup, fillings = "", {()}
+    for k in range(rng.randint(1, 4 - depth)):
+        kind = rng.choice(("word", "word", "optional", "choice", "any")) if depth or k else "word"  # the first is mandatory
+        if kind == "word":
+            w = rng.choice("abc")
+            part, ways = f"{w} ", {(w,)}
+        elif kind == "optional" and depth < 2:
+            inner, ways = random_template(rng, depth + 1)
+            part, ways = f"<<beginOptional>>{inner}<<endOptional>>", ways | {()}
+        elif kind == "choice":
+            choices = [" ".join(rng.choice("abc") for _ in range(rng.randint(1, 2))) for _ in range(2)]
+            part, ways = f"<<var;name=x;original={choices[0]};match={'|'.join(choices)}>>", {tuple(c.split()) for c in choices}
+        else:
+            fewest = rng.randint(0, 2)
+            most = max(1, fewest + rng.randint(0, 1))
+            part, ways = f"<<var;name=x;original=a;match=.{{{fewest},{most}}}>>", {(None,) * n for n in range(fewest, most + 1)}
+        markup, fillings = markup + part, {f + w for f in fillings for w in ways}
+    return markup, fillings
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_automata_equal_all_fillings(seed):
+    """Random templates against the set of all their fillings: longest stretch from every word, then the spans from left to right."""
+    rng = random.Random(seed)
+    accepted = 0
+    for _ in range(80):
+        markup, fillings = random_template(rng)
+        automaton = license_scan.compile_template("x", markup)
+        scanner = license_scan.Scanner([("x", markup)], {})
+        for _ in range(5):
+            words = [rng.choice("abc") for _ in range(rng.randint(0, 14))]
+            ends = []
+            for start in range(len(words) + 1):
+                fits = [len(f) for f in fillings if len(f) <= len(words) - start and all(w in (None, x) for w, x in zip(f, words[start:]))]
+                ends.append(start + max(fits) if fits else -1)
+            coded = [w.encode() for w in words]
+            assert [automaton.accept(coded, k) for k in range(len(words) + 1)] == ends, markup
+            spans, at = [], 0
+            while at < len(words):
+                if ends[at] > at:
+                    spans.append(("x", at, ends[at]))
+                    at = ends[at]
+                else:
+                    at += 1
+            assert scanner.scan(b" ".join(coded))[-1] == spans, (markup, words)
+            accepted += len(spans)
+    assert accepted > 100
+
+
 def test_markup_errors():
     for bad in ("<<beginOptional>>a", "a<<endOptional>>", "<<beginOptional>>a<<endOptional>>"):
         with pytest.raises(ValueError):
