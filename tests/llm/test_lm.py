@@ -106,6 +106,46 @@ def plain_scores(rows):
             for k, ((i, _), w) in enumerate(zip(rows, split))]
 
 
+def plain_model_scores(rows, training, rounds):
+    """The model's log10 probabilities, every segmentation of every word written out."""
+    lat, prior = subword_lm.vocabulary(PATH)
+    w = dict(zip(lat.pieces, prior)) | {None: prior[-1]}  # None: the end
+    split = {i: (t or "").lower().split() for i, t in rows}
+    ways = {x: [s for s in segmentations("▁" + x) if all(p in w for p in s)] for words in split.values() for x in words}
+    counts = Counter(x for i, words in split.items() if i in training for x in words)
+    for _ in range(rounds if training else 0):
+        uses = {p: subword_lm.PRIOR * v for p, v in w.items()}
+        for x in counts:
+            weigh = [math.prod(w[p] for p in s) for s in ways[x]]
+            for s, v in zip(ways[x], weigh):
+                for p in s:
+                    uses[p] += v / sum(weigh)
+        uses[None] += 1
+        whole = sum(uses.values())
+        w = {p: v / whole for p, v in uses.items()}
+    N, V = sum(counts.values()) + len(training), len(counts) + 1
+    first = sum(v for p, v in w.items() if p and p.startswith("▁"))
+    D = subword_lm.DISCOUNT
+
+    def word(x):
+        pieces = sum(math.prod(w[p] for p in s) for s in ways[x]) * (first + w[None]) / first
+        return math.log10(max(counts[x] - D, 0) / N + D * V / N * pieces)
+
+    return {i: sum(map(word, words)) + math.log10((len(training) - D) / N) for i, words in split.items()}
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 2])
+def test_model_score_equals_all_segmentations(spark, rounds):
+    """``score`` itself on documents: prior, expectation rounds, whole-word arcs, discount and end, by plain enumeration."""
+    rows = [(1, "The cat sat on the mat and the cat ran"), (2, "a dog sat"), (3, "zebra cats run on mats"), (4, ""), (5, None),
+            (6, "the xqzv dog"), (7, "The cat sat on the mat and the cat ran")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    training = {1, 2, 4, 7}
+    want = plain_model_scores(rows, training, rounds)
+    got = subword_lm.score(docs, F.col("doc_id").isin(*training), PATH, rounds=rounds, block_bytes=40).collect()
+    assert {r.doc_id: r.score for r in got} == pytest.approx(want, rel=1e-9)
+
+
 def ordered(rows):
     return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[2], r[5]))
 
