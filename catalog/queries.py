@@ -1039,6 +1039,9 @@ def q_coverage_sketched(spark, sf):
             .select("rows", (F.abs(F.col("distinct_links") - F.col("exact")) <= bound).alias("within_bound"), "ready"))
 
 
+from . import stored  # noqa: E402,F401  (registers the queries of sinks and streams)
+
+
 def queries() -> dict:
     return {k: v[0] for k, v in Q.items()}
 

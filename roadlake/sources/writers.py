@@ -56,10 +56,14 @@ def append_once(df: DataFrame, root: str, keys: list[str], partition_by: list[st
         except AnalysisException:
             there = None  # nothing has been written yet
         if there is not None:
+            *outer, inner = partition_by
+            inside: dict[tuple, list] = {}
+            for *place, v in places:
+                inside.setdefault(tuple(place), []).append(v)
             here = F.lit(False)
-            for place in places:
-                same = F.lit(True)
-                for c, v in zip(partition_by, place):
+            for place, values in inside.items():  # one term per outer partition, whatever it holds
+                same = F.col(inner).isin(values)
+                for c, v in zip(outer, place):
                     same &= F.col(c) == F.lit(v)
                 here |= same
             there = there.where(here & (F.col(RUN) == F.lit(str(run_id))) & (F.col(BATCH) == F.lit(int(batch_id))))

@@ -135,7 +135,8 @@ def start_collector(feed_stream: DataFrame, active: DataFrame, lookup: DataFrame
                     checkpoint: str, topic_fmt: str = "kafka", topic_options: dict | None = None,
                     topic_path: str | None = None, trigger: dict | None = None, on_bronze_error=None,
                     initial: DataFrame | None = None, late_minutes: float = S.DEAD_LINK_MINUTES,
-                    ttl_minutes: float = S.DEAD_LINK_MINUTES, dead_letters: str | None = None):
+                    ttl_minutes: float = S.DEAD_LINK_MINUTES, dead_letters: str | None = None,
+                    now=None, dead_minutes: float = S.DEAD_LINK_MINUTES):
     """The whole collector as one streaming query (default trigger: every minute).
 
     ``feed_stream`` comes from ``scan_feed_tsv``; its ``max_files`` bounds what one
@@ -143,8 +144,9 @@ def start_collector(feed_stream: DataFrame, active: DataFrame, lookup: DataFrame
     warm-up replay: a first start emits none of its newest readings again.  Readings
     ``late_minutes`` older than the newest one seen are dropped by the watermark, besides those that
     the ``dead`` verdict drops by the clock; a link that is silent for ``ttl_minutes`` is forgotten.
+    ``now`` pins that clock (replays, tests).
     """
-    valid = judged_feed(feed_stream, active, lookup)
+    valid = judged_feed(feed_stream, active, lookup, now, dead_minutes)
     changed = change_stream(valid, ttl_minutes, late_minutes, initial)
     sink = dual_sink(bronze_root, checkpoint, topic_fmt, topic_options, topic_path, on_bronze_error, dead_letters)
     w = changed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).outputMode("append")
