@@ -97,6 +97,22 @@ def pair_runs(pairs: DataFrame, left: DataFrame, left_key: list[str], right: Dat
     return both.repartition(tasks, *left_key, "run").sortWithinPartitions(*left_key, "run", "is_right")
 
 
+#: A key is hot if it holds more than one in so many rows; so there are fewer hot keys than this.
+HOT_KEYS = 1000
+
+
+def join_hot(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataFrame:
+    """``rows`` joined with ``table`` (written, one row per key; ``weight``: how many ``rows`` have the key, not returned).
+
+    Hot keys, fewer than ``HOT_KEYS`` rows of the table, are broadcast; only the others are shuffled,
+    so no task gets more than a small share of the rows for one key.
+    """
+    total = table.agg(F.sum(weight)).first()[0] or 0
+    is_hot = F.col(weight) * F.lit(HOT_KEYS) > F.lit(total)
+    hot, cold = F.broadcast(table.where(is_hot).drop(weight)), table.where(~is_hot).drop(weight)
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key))
+
+
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components, forest
-from .shared import fresh, pair_runs, ship, stored, text_bytes
+from .shared import fresh, join_hot, pair_runs, ship, stored, text_bytes
 
 SHINGLE = 3
 RADIUS = 3
@@ -187,14 +187,12 @@ def fingerprint_links(prints: DataFrame, radius: int = RADIUS, tile_rows: int |
     return met.mapInArrow(compare, "a long, b long")
 
 
-def _grouped(rows: DataFrame, radius: int, tile_rows: int | None) -> DataFrame:
-    """``rows(doc_id, fp, ...)`` (a written table) -> ``(fp, component_id, class_fp)`` per distinct fingerprint."""
-    prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "prints")
+def _classes(rows: DataFrame, radius: int, tile_rows: int | None) -> DataFrame:
+    """``rows(doc_id, fp, ...)`` (a written table) -> ``(fp, first_id, n_rows, class_fp)`` per distinct fingerprint, written."""
+    prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_rows")), "prints")
     found = components(fingerprint_links(prints.select("fp"), radius, tile_rows))
-    classed = stored(prints.join(found.select(F.col("node").alias("fp"), "component"), "fp", "left")
-                     .select("fp", "first_id", F.coalesce("component", "fp").alias("class_fp")), "classes")
-    heads = classed.groupBy("class_fp").agg(F.min("first_id").alias("component_id"))
-    return classed.join(heads, "class_fp").select("fp", "component_id", "class_fp")
+    return stored(prints.join(found.select(F.col("node").alias("fp"), "component"), "fp", "left")
+                  .select("fp", "first_id", "n_rows", F.coalesce("component", "fp").alias("class_fp")), "classes")
 
 
 def near_duplicates(docs: DataFrame, *, width: int = SHINGLE, radius: int = RADIUS, seed: int = SEED,
@@ -209,8 +207,10 @@ def near_duplicates(docs: DataFrame, *, width: int = SHINGLE, radius: int = RADI
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_bytes(text_col).alias("text"))
     rows = stored(with_fingerprint(rows, "fp", "text", width=width, seed=seed), "fingerprints")
-    groups = _grouped(rows, radius, tile_rows)
-    return (rows.join(groups, "fp")
+    classed = _classes(rows, radius, tile_rows)
+    heads = stored(classed.groupBy("class_fp").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("n_prints")), "heads")
+    groups = stored(join_hot(classed.select("fp", "n_rows", "class_fp"), heads, "class_fp", "n_prints"), "groups")
+    return (join_hot(rows, groups, "fp", "n_rows")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
 
@@ -230,10 +230,11 @@ def keep_one(docs: DataFrame, *, width: int = SHINGLE, radius: int = RADIUS, see
     columns = docs.columns
     rows = docs.select(F.col(id_col).alias("doc_id"), row_hash(docs).alias("row"), text_bytes(text_col).alias("text"))
     rows = stored(with_fingerprint(rows, "fp", "text", width=width, seed=seed), "fingerprints")
-    groups = _grouped(rows, radius, tile_rows)
+    classed = _classes(rows, radius, tile_rows)
     kept_id, kept_row, own_row = (fresh(c, columns) for c in ("kept_id", "kept_row", "own_row"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    kept = (rows.join(groups, "fp").groupBy("class_fp").agg(F.min(order).alias("k"))
+    of_print = rows.groupBy("fp").agg(F.min(order).alias("k"))  # before the join, so a print of many rows is one row
+    kept = (of_print.join(classed.select("fp", "class_fp"), "fp").groupBy("class_fp").agg(F.min("k").alias("k"))
             .select(F.col("k.doc_id").alias(kept_id), F.col("k.row").alias(kept_row)))
     hashed = docs.withColumn(own_row, row_hash(docs))
     met = hashed.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col(kept_id)) & (F.col(own_row) == F.col(kept_row)), "left_semi")

@@ -99,6 +99,21 @@ def test_keep_one_with_maps_and_clashing_names(spark):
     assert kept.schema == docs.schema and sorted(r.doc_id for r in kept.collect()) == [1, 3]
 
 
+@pytest.mark.parametrize("hot_keys", [1, 3, 1000])
+def test_hot_fingerprints(spark, monkeypatch, hot_keys):
+    """A fingerprint and a class of a third of all rows: whichever keys count as hot, the rows are the same."""
+    from roadlake.llm import shared
+
+    monkeypatch.setattr(shared, "HOT_KEYS", hot_keys)
+    rng = random.Random(3)
+    rows = [(k, "" if k % 3 else "one text that many documents share") for k in range(60)]
+    rows += [(100 + k, words(rng, 20)) for k in range(20)] + [(None, None), (5, "one text that many documents share")]
+    docs = documents(spark, rows)
+    assert by_key(simhash.near_duplicates(docs).collect()) == plain_groups(rows)
+    kept = [r.doc_id for r in simhash.keep_one(docs).collect()]
+    assert sorted(kept) == sorted({c for _, _, c in plain_groups(rows)})
+
+
 def test_many_pairs_in_few_tasks(spark):
     """Blocks that meet: every pair once, its left block first, and a bounded number of tasks."""
     from roadlake.llm import shared
