@@ -143,10 +143,10 @@ def fit(texts: list[bytes], labels: np.ndarray, p: QualityParams = QualityParams
             per_word = np.stack([np.bincount(inverse, times * back[doc, k], len(unique)) for k in range(p.dim)], axis=1)
             if epoch == 0 and b == 0:
                 continue  # the output layer is still zero
-            touched, place = np.unique(used, return_inverse=True)
-            grad = np.stack([np.bincount(place, per_word[word, k], len(touched)) for k in range(p.dim)], axis=1)
-            step = np.append(touched, same)
-            grad = np.vstack([grad, (repeats[:, None] * back).sum(axis=0)])
+            # the repetition feature may share its bucket with a word or n-gram
+            step, place = np.unique(np.append(used, same), return_inverse=True)
+            of_repeats = (repeats[:, None] * back).sum(axis=0)
+            grad = np.stack([np.bincount(place, np.append(per_word[word, k], of_repeats[k]), len(step)) for k in range(p.dim)], axis=1)
             seen[step] += (grad**2).mean(axis=1)
             vectors[step] -= (rate * grad / np.sqrt(seen[step])[:, None]).astype(np.float32)
     return QualityModel(vectors.astype(np.float64) @ (out[:, 1] - out[:, 0]), float(bias[1] - bias[0]), p)
