@@ -28,7 +28,7 @@ THREADS = 2
 #: Stretches whose ids one Python worker keeps (about 60 bytes each); beyond it starts anew.
 CACHE = 1_000_000
 
-#: The libraries' ids are compared for one text in so many, by a hash of it, where texts go by their stretches.
+#: ``encode`` compares the libraries' ids for one text in so many, by a hash of it, where texts go by their stretches; ``digests`` for all.
 PARITY_SHARE = 16
 
 
@@ -105,9 +105,10 @@ def stretches_of(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.
 class Codec:
     """Encodes and decodes texts with the ids of a SentencePiece model."""
 
-    def __init__(self, raw: bytes, threads: int = THREADS, cache: int = CACHE, check: bool = False):
+    def __init__(self, raw: bytes, threads: int = THREADS, cache: int = CACHE, check: bool = False, share: int = PARITY_SHARE):
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         os.environ["RAYON_NUM_THREADS"] = str(threads)
+        self.share = share
         self.model = parse_model(raw)
         self.whole = build(self.model)
         self.inner = build(self.model, prefix=False)
@@ -122,7 +123,7 @@ class Codec:
         if check:
             import sentencepiece
 
-            self.judge = sentencepiece.SentencePieceProcessor(model_proto=raw)
+            self.judge = sentencepiece.SentencePieceProcessor(model_proto=raw, num_threads=threads)
 
     def _learn(self, stretches: list[bytes]) -> list[bytes]:
         texts = [s.decode("utf-8", "replace") for s in stretches]
@@ -137,7 +138,7 @@ class Codec:
         """Ids of each text; whether they decode to it; whether the sentencepiece library gives the same (None: not asked).
 
         Every text's own ids are decoded.  The library is asked about whole texts: all of them, or
-        where ids come from stretches one in ``PARITY_SHARE``, by a hash of the text.
+        where ids come from stretches one in ``share``, by a hash of the text.
         """
         if not self.parted:
             plain = [t.decode("utf-8", "replace") for t in texts]
@@ -158,7 +159,7 @@ class Codec:
         found = [np.frombuffer(x, ID).tolist() for x in ids]
         back = [a == b for a, b in zip(self.whole.decode_batch(found, skip_special_tokens=False), plain)]
         same: list[bool | None] = [None] * len(texts)
-        asked = [k for k, t in enumerate(texts) if zlib.crc32(t) % PARITY_SHARE == 0]
+        asked = [k for k, t in enumerate(texts) if self.share == 1 or zlib.crc32(t) % self.share == 0]
         for k, theirs in zip(asked, self.judge.encode([plain[k] for k in asked])):
             same[k] = theirs == found[k]
         return ids, back, same
@@ -171,22 +172,22 @@ class Codec:
 _MADE: dict[tuple, Codec] = {}
 
 
-def codec_of(raw: bytes, threads: int, check: bool) -> Codec:
+def codec_of(raw: bytes, threads: int, check: bool, share: int = PARITY_SHARE) -> Codec:
     """One codec per Python worker and model: the stretches it has met serve the worker's next tasks."""
-    key = (hash(raw), threads, check)
+    key = (hash(raw), threads, check, share)
     if key not in _MADE:
         _MADE.clear()
-        _MADE[key] = Codec(raw, threads, check=check)
+        _MADE[key] = Codec(raw, threads, check=check, share=share)
     return _MADE[key]
 
 
-def encode(docs: DataFrame, model_path: str, *, threads: int = THREADS, check: bool = False,
+def encode(docs: DataFrame, model_path: str, *, threads: int = THREADS, check: bool = False, share: int = PARITY_SHARE,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids`` of every row (ids as little-endian unsigned 32-bit integers).
 
     ``check`` adds ``round_trip``, whether decoding the row's ids gives its text back,
     and ``parity``, whether the ``sentencepiece`` library gives the same ids for the whole text; it is
-    null for texts on which that was not measured (see ``PARITY_SHARE``).  Null and empty
+    null for texts on which that was not measured: all but one in ``share``.  Null and empty
     texts have no ids.  Equal rows and null ids each give a row; other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_bytes(text_col).alias("text"))
@@ -197,7 +198,7 @@ def encode(docs: DataFrame, model_path: str, *, threads: int = THREADS, check: b
     names = ["doc_id", "n_tokens", "ids", *(["round_trip", "parity"] if check else [])]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(shared.value, threads, check)
+        codec = codec_of(shared.value, threads, check, share)
         for batch in parts:
             at = 0
             for raw in pieces_of(batch.column("text")):
@@ -233,7 +234,10 @@ def decode(rows: DataFrame, model_path: str, *, id_col: str = "doc_id", ids_col:
 
 
 def digests(docs: DataFrame, model_path: str, **options) -> DataFrame:
-    """Per row: ``doc_id, n_tokens, ids_crc32, round_trip, parity, parity_measured`` (null text counts as empty), see ``encode``."""
-    found = encode(docs, model_path, check=True, **options)
+    """Per row: ``doc_id, n_tokens, ids_crc32, round_trip, parity, parity_measured`` (null text counts as empty), see ``encode``.
+
+    Parity is measured on every text, unless ``share`` says otherwise.
+    """
+    found = encode(docs, model_path, check=True, **({"share": 1} | options))
     return found.select("doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"), "round_trip", "parity",
                         F.col("parity").isNotNull().alias("parity_measured"))

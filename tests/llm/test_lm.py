@@ -234,6 +234,17 @@ def test_model_file():
     assert (model.model_type, model.byte_fallback, model.add_dummy_prefix, model.remove_extra_whitespaces) == (2, True, True, False)
 
 
+def test_digests_measure_parity_on_every_text(spark):
+    """Each row of the query has its own parity; encode measures a share, unless it is told otherwise."""
+    docs = spark.createDataFrame([(k, f"some words {k}, and more of them\n\n{k * 7919} ") for k in range(64)] + [(64, None), (65, "")], "doc_id long, text string")
+    rows = sp_codec.digests(docs, PATH).collect()
+    assert len(rows) == 66 and all(r.parity_measured and r.parity and r.round_trip for r in rows)
+    assert any(r.parity is None for r in sp_codec.encode(docs, PATH, check=True).collect())
+    codec = sp_codec.Codec(open(PATH, "rb").read(), check=True, share=1)
+    codec.judge = sentencepiece.SentencePieceProcessor(model_file=PATH, add_bos=True)  # a library that differs is noticed on each text
+    assert codec.checked([b"one", b"two words", b"three of them"])[2] == [False] * 3
+
+
 def test_merge_parity(spark, odd, none):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").union(odd.select("doc_id", "text"))
     rows = sp_codec.encode(docs, PATH, check=True).collect()
