@@ -35,7 +35,7 @@ from .queries import DEAD_MIN, LOOKBACK_MIN, _forest, _serving_sql, _w, _window,
 
 #: Readings of one landed feed file; even, so that the two copies of a reading share a file.
 FEED_FILE_ROWS = 10_000
-#: Files of one micro-batch.
+#: Files of one micro-batch for each core that there is: a task's share of a batch stays the same on any cluster.
 BATCH_FILES = 16
 MESSAGES = "key string, value string, timestamp timestamp_ntz"
 NOW_MS = int(dt.datetime.fromisoformat(T.NOW).replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
@@ -47,6 +47,10 @@ def _place(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _batch_files(spark: SparkSession) -> int:
+    return BATCH_FILES * spark.sparkContext.defaultParallelism
+
+
 def _months(df: DataFrame, ts: str) -> list[tuple[int, int]]:
     return [(r["year"], r["month"]) for r in P.month_calendar_of(df, ts).collect()]  # one row per month
 
@@ -257,7 +261,7 @@ def q_collect_stream(spark, sf):
     """Feed files -> rules -> changed readings -> topic and bronze; a second run of the same stream adds nothing."""
     feed, bronze, topic, ck = _land_feed(spark, sf), _place(spark, "bronze-rt"), _place(spark, "topic"), _place(spark, "stream")
     for _ in range(2):
-        stream = R.scan_feed_tsv(spark, feed, streaming=True, max_files=BATCH_FILES)
+        stream = R.scan_feed_tsv(spark, feed, streaming=True, max_files=_batch_files(spark))
         _end(start_collector(stream, T.active(spark, sf), T.lookup(spark, sf), bronze, ck, topic_fmt="parquet", topic_path=topic,
                              trigger={"availableNow": True}, now=T.NOW, dead_minutes=DEAD_MIN, late_minutes=DEAD_MIN, ttl_minutes=DEAD_MIN))
     told = R.published_once(R.decode_snapshot_messages(spark.read.schema(MESSAGES).parquet(topic)))
@@ -277,7 +281,7 @@ def q_late_data(spark, sf):
     folder, out, ck = _place(spark, "valid"), _place(spark, "changed"), _place(spark, "stream")
     for part in (P.filter_dead_links(rows, T.NOW, 48 * 60), rows):
         part.write.mode("append").option("maxRecordsPerFile", FEED_FILE_ROWS).parquet(folder)
-        valid = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", BATCH_FILES).parquet(folder)
+        valid = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", _batch_files(spark)).parquet(folder)
         changed = ST.change_stream(valid, ttl_minutes=DEAD_MIN, late_minutes=DEAD_MIN)
         with ST.with_state_store(spark):
             _end(changed.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
@@ -301,7 +305,7 @@ def q_warmup_replay(spark, sf):
 def q_lookback_stream(spark, sf):
     """T7 + T8 in the stream: from the topic, published twice, to each link's lags in its ring; the last of them are the serving features."""
     topic, out, ck = _publish(spark, _window(spark, sf)), _place(spark, "lags"), _place(spark, "stream")
-    msgs = spark.readStream.schema(MESSAGES).option("maxFilesPerTrigger", BATCH_FILES).parquet(topic)
+    msgs = spark.readStream.schema(MESSAGES).option("maxFilesPerTrigger", _batch_files(spark)).parquet(topic)
     ring = ST.lookback_stream(R.snapshot_stream(msgs, LOOKBACK_MIN), T.SERVING_PARAMS)
 
     def keep(batch: DataFrame, number: int) -> None:
