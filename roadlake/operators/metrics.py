@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import settings as S
@@ -30,11 +30,19 @@ def class_weight(train: DataFrame, label: str = S.LABEL_COL,
                          (total / (F.lit(num_classes) * F.col("count"))).cast("double").alias("class_weight"))
 
 
+def _times(condition: Column, count: str | None) -> Column:
+    """How often a condition holds, each row counted once or ``count`` times."""
+    return F.count_if(condition) if count is None else F.coalesce(F.sum(F.when(condition, F.col(count))), F.lit(0))
+
+
 def confusion_matrix(pred: DataFrame, actual: str = S.LABEL_COL, predicted: str = "prediction",
-                     classes=S.CLASSES) -> DataFrame:
-    """Actual x predicted counts, every class row and column present, zeros filled."""
+                     classes=S.CLASSES, count: str | None = None) -> DataFrame:
+    """Actual x predicted counts, every class row and column present, zeros filled.
+
+    A row of ``pred`` is one prediction, or ``count`` of them.
+    """
     a, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
-    aggs = [F.count_if(p == float(c)).alias(f"pred_{c}") for c in classes]
+    aggs = [_times(p == float(c), count).alias(f"pred_{c}") for c in classes]
     counts = pred.groupBy(a.alias("actual")).agg(*aggs)
     spine = _classes(pred.sparkSession, classes).withColumnRenamed("c", "actual")
     out = spine.join(counts, on="actual", how="left")
@@ -50,15 +58,18 @@ def confusion_normalized(cm: DataFrame, classes=S.CLASSES, digits: int = 6) -> D
 
 
 def class_metrics(pred: DataFrame, actual: str = S.LABEL_COL, predicted: str = "prediction",
-                  classes=S.CLASSES) -> DataFrame:
-    """Tp, fp, fn, precision, recall, f1 per class; 0.0 when a denominator is 0."""
+                  classes=S.CLASSES, count: str | None = None) -> DataFrame:
+    """Tp, fp, fn, precision, recall, f1 per class; 0.0 when a denominator is 0.
+
+    A row of ``pred`` is one prediction, or ``count`` of them.
+    """
     a, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
     aggs = []
     for c in classes:
         c = float(c)
-        aggs += [F.count_if((a == c) & (p == c)).alias(f"tp{int(c)}"),
-                 F.count_if((a != c) & (p == c)).alias(f"fp{int(c)}"),
-                 F.count_if((a == c) & (p != c)).alias(f"fn{int(c)}")]
+        aggs += [_times((a == c) & (p == c), count).alias(f"tp{int(c)}"),
+                 _times((a != c) & (p == c), count).alias(f"fp{int(c)}"),
+                 _times((a == c) & (p != c), count).alias(f"fn{int(c)}")]
     wide = pred.agg(*aggs)
     stack = ", ".join(f"{float(c)}D, tp{c}, fp{c}, fn{c}" for c in classes)
     long = wide.selectExpr(f"stack({len(classes)}, {stack}) AS (class, tp, fp, fn)")
