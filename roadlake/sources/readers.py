@@ -28,9 +28,9 @@ def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | str | No
     return read_table(spark, path, schema)
 
 
-def scan_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A (partitioned) lakehouse table; ``fmt`` is ``parquet`` or ``delta``."""
-    return read_table(spark, path) if fmt == "parquet" else spark.read.format(fmt).load(path)
+def scan_table(spark: SparkSession, path: str, fmt: str = "parquet", equals: dict | None = None) -> DataFrame:
+    """A (partitioned) lakehouse table; ``fmt`` is ``parquet`` or ``delta``; ``equals`` spares listing other partitions (see ``read_table``)."""
+    return read_table(spark, path, equals=equals) if fmt == "parquet" else spark.read.format(fmt).load(path)
 
 
 def scan_feed_tsv(spark: SparkSession, path: str, streaming: bool = False, max_files: int | None = None) -> DataFrame:
@@ -188,7 +188,7 @@ def partition_exists(spark: SparkSession, path: str, fmt: str = "parquet", **equ
     A missing path or table counts as empty.  Only one row is read.
     """
     try:
-        df = scan_table(spark, path, fmt)
+        df = scan_table(spark, path, fmt, equals)
     except AnalysisException:
         return False
     for k, v in equals.items():
