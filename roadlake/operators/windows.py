@@ -15,7 +15,7 @@ from .. import settings as S
 from ..functions.congestion import congestion_trend, speed_ratio_trend
 from ..functions.timefn import epoch_micros
 from .filters import all_of, dropna_required, within_gap
-from .skew import BUCKET, HOME, MICROS, bucket_width_us, with_halo
+from .skew import BUCKET, HOME, MICROS, bucket_width_us, dealt, with_halo
 
 
 def _gap_minutes(later_sec: Column, earlier_sec: Column) -> Column:
@@ -36,7 +36,7 @@ def gold_features(df: DataFrame, params: S.GoldParams = S.GoldParams(), key: str
     max_hi = max(hi for _, hi in params.lag_tolerance.values())
     before = sc.micros(max_hi) + 1_000_000
     after = sc.micros(params.lead_tolerance[1]) + 1_000_000
-    split = with_halo(df, ts, before, after, params.bucket_hours)
+    split = dealt(with_halo(df, ts, before, after, params.bucket_hours), key)
     w = Window.partitionBy(key, BUCKET).orderBy(F.col(MICROS), *[F.col(c) for c in tie])
     sec = F.floor(F.col(MICROS) / F.lit(1_000_000))
     row = F.struct(F.col("current_congestion").alias("c"), F.col("speed_ratio").alias("r"),
