@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_changed_input_makes_stage_tables_anew(spark, scratch):
-    shutil.copy(f"{SF}/events.parquet", scratch)
+    shutil.copyfile(f"{SF}/events.parquet", os.path.join(scratch, "events.parquet"))  # the table is read-only, its copy is not
     first = T.silver(spark, scratch).count()
     assert first == T.silver(spark, scratch).count() == T.silver(spark, SF).count()
     events = spark.read.parquet(f"{SF}/events.parquet")
