@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import settings as S
-from ..functions.text import MESSAGE_ID, clean_quotes, json_decode_snapshot
+from ..functions.text import MESSAGE_ID, clean_quotes, snapshot_struct, snapshot_value
 from ..functions.timefn import epoch_ntz, local_date_str, local_hour_str, parse_local_ts, plus_minutes, utc_to_local
-from ..operators.filters import _lit_ts, month_range_filter
+from ..operators.filters import _lit_ts, all_of, month_range_filter
 from .versions import read_table
 
 #: Columns taken from the feed by name (the last may be missing), and what they are called here.
@@ -108,18 +108,18 @@ def lookback_window(snapshots: DataFrame, now, minutes: float = S.LOOKBACK_MINUT
 def decode_snapshot_messages(msgs: DataFrame, zone: str = S.LOCAL_ZONE) -> DataFrame:
     """S6 decode: (key, value[, timestamp]) messages -> snapshot rows; null keys,
     invalid JSON and messages missing a required field are dropped.  ``message_id`` is null in
-    messages that carry none."""
-    v = json_decode_snapshot(F.col("value").cast("string"), zone)
-    cols = [F.col("key").cast("string").alias("link_id"), v.alias("v"),
-            F.get_json_object(F.col("value").cast("string"), f"$.{MESSAGE_ID}").alias(MESSAGE_ID)]
+    messages that carry none.
+
+    Each message is parsed once: the parsed value is named inside one expression, not as a column, because Spark
+    writes a column's expression out again for every predicate on it and every field taken from it.
+    """
+    value = F.col("value").cast("string")
+    cols = [F.col("key").cast("string").alias("link_id"), F.get_json_object(value, f"$.{MESSAGE_ID}").alias(MESSAGE_ID)]
     if "timestamp" in msgs.columns:
         cols.append(F.col("timestamp").alias("msg_ts"))
-    out = msgs.select(*cols)
-    out = out.filter(F.col("link_id").isNotNull() & F.col("v").isNotNull()
-                     & F.col("v.data_as_of").isNotNull() & F.col("v.current_congestion").isNotNull()
-                     & F.col("v.speed_ratio").isNotNull())
-    keep = [c for c in out.columns if c != "v"]
-    return out.select(*keep, "v.data_as_of", "v.current_congestion", "v.speed_ratio", "v.link_name")
+    parsed = F.transform(F.array(snapshot_value(value)), lambda v: snapshot_struct(v, zone))
+    whole = F.filter(parsed, lambda v: all_of(v[c].isNotNull() for c in ("data_as_of", "current_congestion", "speed_ratio")))
+    return msgs.filter(F.col("key").isNotNull()).select(*cols, F.inline(whole))
 
 
 def published_once(snapshots: DataFrame) -> DataFrame:
