@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import drop, scratch, ship, text_bytes
-from .token_ids import END_ID, pieces_of, tokenised, with_start
+from .token_ids import END_ID, tokenised, with_start
 
 #: Code lengths: the least limit (more ids than 2**LIMIT raise it) and what the decoder's 32-bit window can take.
 LIMIT, MOST_BITS = 18, 25
@@ -138,21 +138,22 @@ def decode_bits(payload: bytes, n: int, checkpoints: np.ndarray, symbols: np.nda
 
 
 def token_counts(tokens: DataFrame) -> np.ndarray:
-    """How often each id occurs in all rows; one partial histogram per task, summed by Spark."""
+    """How often each id occurs in all rows: the counts that each task of ``tokenised`` wrote, summed by task and then by Spark."""
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, dtype=np.int64)
         for batch in parts:
-            for held in pieces_of(batch.column("ids")):
-                got = np.bincount(np.frombuffer(b"".join(held), "<u4"))
-                if len(got) > len(seen):
-                    seen = np.pad(seen, (0, len(got) - len(seen)))
-                seen[: len(got)] += got
+            for held in batch.column("used"):
+                ids, n = np.frombuffer(held.as_py(), "<i8").reshape(2, -1)
+                if ids[-1] >= len(seen):
+                    seen = np.pad(seen, (0, int(ids[-1]) + 1 - len(seen)))
+                seen[ids] += n
         used = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(seen[used])], names=["id", "n"])
 
     # at most one row per id of the vocabulary reaches the driver
-    rows = tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    used = tokens.where(F.col("used").isNotNull()).select("used")
+    rows = used.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     ids, n = rows.column("id").to_numpy(), rows.column("n").to_numpy()
     out = np.zeros(int(ids.max()) + 1 if len(ids) else 0, dtype=np.int64)
     out[ids] = n
@@ -174,14 +175,14 @@ def write_ids(docs: DataFrame, path: str, vocabulary_path: str, *, parts: int |
     if parts is None:
         held = docs.agg(F.sum(F.octet_length(text_bytes(text_col)))).first()[0] or 0
         parts = max(spark.sparkContext.defaultParallelism, -(-held // PART_BYTES))
-    tokens = tokenised(docs, vocabulary_path, id_col=id_col, text_col=text_col, end_id=end_id, ordered=parts)
+    tokens = tokenised(docs, vocabulary_path, id_col=id_col, text_col=text_col, end_id=end_id, ordered=parts, counted=True)
     counts = token_counts(tokens)
     limit = max(limit, (int(np.count_nonzero(counts)) - 1).bit_length())
     if limit > MOST_BITS:
         raise ValueError(f"more than 2**{MOST_BITS} different ids")
     lengths = code_lengths(counts, limit)
     spark.createDataFrame([(bytearray(lengths.tobytes()), limit, int(counts.sum()))], CODE).coalesce(1).write.parquet(f"{path}/code")
-    placed = with_start(tokens).select("doc_id", "start", "n_tokens", "ids")
+    placed = with_start(tokens.where(F.col("used").isNull())).select("doc_id", "start", "n_tokens", "ids")
     shared = spark.sparkContext.broadcast((canonical(lengths), lengths))
     spec = BLOCKS.format(id_type=placed.schema["doc_id"].dataType.simpleString())
     id_arrow = placed.limit(0).toArrow().schema.field("doc_id").type

@@ -28,9 +28,12 @@ from .words import IdPool, spans
 END_ID = 1
 #: Words whose ids one Python worker keeps (about 60 bytes each); beyond it starts anew.
 CACHE_WORDS = 1_000_000
+#: Runs of words whose ids it keeps (about 250 bytes each): words that differ in case or marks share theirs.
+CACHE_RUNS = 1 << 16
 ID = np.dtype("<u4")
 
 TOKEN_SCHEMA = "part int, before long, doc_id {id_type}, n_tokens long, ids binary"
+COUNTED = ", used binary"
 
 
 #: ASCII marks but the apostrophe, with which the pattern's own endings begin.
@@ -62,6 +65,7 @@ class WordIds:
         self.special = os.path.commonprefix([t.content for t in self.tok.get_added_tokens_decoder().values()])
         self.letters = byte_letters()
         self.pool = IdPool(self._learn, cache_words)
+        self.run = functools.lru_cache(CACHE_RUNS)(self._run)
 
     def _run(self, run: bytes) -> bytes:
         text = run.decode() if run.isalpha() else run.decode("latin-1").translate(self.letters)
@@ -71,7 +75,7 @@ class WordIds:
         """The ids of each word."""
         if self.pattern is None:
             return self._whole(words)
-        run = functools.cache(self._run)  # for this call: words of one text share their runs
+        run = self.run
         out: list[bytes | None] = []
         for w in words:
             core = w.rstrip(_MARKS)  # most words are letters, then perhaps a run of marks
@@ -149,7 +153,7 @@ def pieces_of(column: pa.Array, size: int = 1 << 20) -> Iterator[list[bytes]]:
 
 
 def tokenised(docs: DataFrame, vocabulary_path: str, *, id_col: str = "doc_id", text_col: str = "text",
-              end_id: int = END_ID, ordered: int = 0) -> DataFrame:
+              end_id: int = END_ID, ordered: int = 0, counted: bool = False) -> DataFrame:
     """Written table ``(part, before, doc_id, n_tokens, ids)`` of every row of ``docs``.
 
     ``ids`` holds the document's ids and then ``end_id``; null text counts as empty.
@@ -157,6 +161,9 @@ def tokenised(docs: DataFrame, vocabulary_path: str, *, id_col: str = "doc_id",
     rows before it, so a global position needs only the totals of the parts.  With
     ``ordered`` > 0 the rows lie in ascending ``doc_id`` order over that many parts (null
     ids first, equal ids by a hash of their text); else they keep the input's order.
+
+    With ``counted`` there is one more column ``used`` and one more row a task, the only one in which it is
+    not null: the ids that occur in the task's rows and, after them, how often (64-bit integers).
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), text_bytes(text_col).alias("text"))
@@ -171,7 +178,7 @@ def tokenised(docs: DataFrame, vocabulary_path: str, *, id_col: str = "doc_id",
 
     def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_ids(shared.value)
-        part, before = TaskContext.get().partitionId(), 0
+        part, before, seen = TaskContext.get().partitionId(), 0, np.zeros(0, dtype=np.int64)
         for batch in parts:
             at = 0
             for texts in pieces_of(batch.column("text")):
@@ -179,13 +186,24 @@ def tokenised(docs: DataFrame, vocabulary_path: str, *, id_col: str = "doc_id",
                 n = np.array([len(x) // ID.itemsize for x in ids], dtype=np.int64)
                 starts = before + np.cumsum(n) - n
                 before += int(n.sum())
+                if counted:
+                    got = np.bincount(np.frombuffer(b"".join(ids), ID), minlength=len(seen))
+                    got[: len(seen)] += seen
+                    seen = got
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(n), part, dtype=np.int32)), pa.array(starts),
-                     batch.column("doc_id").slice(at, len(n)), pa.array(n), pa.array(ids, pa.binary())],
-                    names=["part", "before", "doc_id", "n_tokens", "ids"])
+                     batch.column("doc_id").slice(at, len(n)), pa.array(n), pa.array(ids, pa.binary()),
+                     *([pa.nulls(len(n), pa.binary())] if counted else [])], names=names)
                 at += len(n)
-
-    return stored(rows.mapInArrow(encode, TOKEN_SCHEMA.format(id_type=id_type)), "tokens")
+        if before and counted:
+            there = np.flatnonzero(seen)
+            last = (part, before, None, 0, b"", np.concatenate([there, seen[there]]).astype("<i8").tobytes())
+            types = (pa.int32(), pa.int64(), batch.schema.field("doc_id").type, pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(last, types)], names=names)
+
+    spec = TOKEN_SCHEMA.format(id_type=id_type) + (COUNTED if counted else "")
+    names = [x.split()[0] for x in spec.split(", ")]
+    return stored(rows.mapInArrow(encode, spec), "tokens")
 
 
 def with_start(tokens: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from roadlake.llm import huffman, packing
-from roadlake.llm.token_ids import WordIds, read_vocabulary
+from roadlake.llm.token_ids import WordIds, read_vocabulary, tokenised
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -103,6 +103,25 @@ def test_limit_follows_the_used_ids(spark, odd, tok, scratch):
     assert sorted((r.doc_id or -1, bytes(r.ids)) for r in rows) == sorted((i or -1, whole(tok, t).tobytes()) for i, t in ODD)
 
 
+def test_ids_are_counted_where_they_are_made(spark, odd, tok):
+    """op6: the counts of all ids come from one row a task; the ids themselves are not read for them."""
+    tokens = tokenised(odd, PATH, ordered=3, counted=True)
+    made = np.bincount(np.concatenate([whole(tok, t) for _, t in ODD]))
+    assert huffman.token_counts(tokens).tolist() == made.tolist()
+    assert huffman.token_counts(tokens.withColumn("ids", F.lit(None).cast("binary"))).tolist() == made.tolist()
+    rows = tokens.where("used IS NULL")
+    assert rows.count() == len(ODD) and rows.agg(F.sum("n_tokens")).first()[0] == made.sum()
+    assert tokens.where("used IS NOT NULL").count() <= 3
+
+
+def test_runs_are_kept_between_calls():
+    """op6, op7: words that differ in case and marks give their run to the library once."""
+    ids = WordIds(read_vocabulary(PATH))
+    first = ids.encode([b"Overtakings"])
+    misses = ids.run.cache_info().misses
+    assert ids.encode([b"overtakings"]) == first and ids.run.cache_info().misses == misses == 1
+
+
 def test_repeated_rows_are_dealt_over_parts(spark):
     """A row repeated 100,000 times is spread over the range parts."""
     docs = documents(spark, [(7, "the same")]).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(100_000)))).repartition(8)
