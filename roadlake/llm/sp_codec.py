@@ -4,13 +4,15 @@ The model file's parts are rebuilt as a ``tokenizers`` pipeline: the normaliser
 character map, extra white space, the leading marker), the marker for spaces, the unigram
 scores or the merge order, and byte fallback.  Batches are encoded by the library's
 threads.  No piece has a marker behind another character, so a text's ids are those of its
-stretches "spaces, then what follows"; each worker keeps the ids of stretches it has met.
+stretches "spaces, then what follows"; each worker keeps the ids of stretches it has met and
+gives the library's model only those it has not.
 """
 
 from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,20 +46,26 @@ def _merges(model: Model) -> list[tuple[str, str]]:
     return [(left, right) for *_, left, right in sorted(found)]
 
 
-def build(model: Model, prefix: bool | None = None):
-    """The pipeline of ``model``; ``prefix`` overrides whether a marker is put in front."""
-    from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
+def core_of(model: Model, **options):
+    """The library's model alone: ids of a text that is normalised and not to be cut; ``options`` are those of its merge model."""
+    from tokenizers import models
 
     unk = model.pieces[model.unk_id][0]
     if model.model_type == UNIGRAM:
         # pieces that never match text keep their place under a name that no text has
         names = [(f"﷐{p}" if kind in (CONTROL, UNKNOWN) else p, s) for p, s, kind in model.pieces]
-        core = models.Unigram(names, unk_id=model.unk_id, byte_fallback=model.byte_fallback)
-    elif model.model_type == BPE:
+        return models.Unigram(names, unk_id=model.unk_id, byte_fallback=model.byte_fallback)
+    if model.model_type == BPE:
         ids = {p: k for k, (p, _, _) in enumerate(model.pieces)}
-        core = models.BPE(ids, _merges(model), unk_token=unk, fuse_unk=True, byte_fallback=model.byte_fallback)
-    else:
-        raise ValueError("only unigram and merge models are supported")
+        return models.BPE(ids, _merges(model), unk_token=unk, fuse_unk=True, byte_fallback=model.byte_fallback, **options)
+    raise ValueError("only unigram and merge models are supported")
+
+
+def build(model: Model, prefix: bool | None = None):
+    """The pipeline of ``model``; ``prefix`` overrides whether a marker is put in front."""
+    from tokenizers import AddedToken, Regex, Tokenizer, decoders, normalizers, pre_tokenizers
+
+    core = core_of(model)
     steps = []
     if model.charsmap:
         steps.append(normalizers.Precompiled(model.charsmap))
@@ -74,7 +82,8 @@ def build(model: Model, prefix: bool | None = None):
     tok.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}+[^{MARK}]*"), "isolated")
     # the marker in front goes again; a model that removes extra white space removes all in front
     lead = (1 << 16 if model.remove_extra_whitespaces else 1) if model.add_dummy_prefix and prefix is None else 0
-    tok.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), decoders.Strip(" ", lead, 0)])
+    spaces = decoders.Metaspace(MARK, prepend_scheme="never")  # a look at each character; Replace runs a pattern over every id's piece
+    tok.decoder = decoders.Sequence([spaces, decoders.ByteFallback(), decoders.Fuse(), decoders.Strip(" ", lead, 0)])
     own = [p for p, _, kind in model.pieces if kind == USER_DEFINED]
     if own:
         tok.add_tokens([AddedToken(p, normalized=True, special=False) for p in own])
@@ -111,13 +120,15 @@ class Codec:
         self.share = share
         self.model = parse_model(raw)
         self.whole = build(self.model)
-        self.inner = build(self.model, prefix=False)
         m = self.model
         texts = [p for p, _, kind in m.pieces if kind in (NORMAL, USER_DEFINED, UNUSED)]
         self.plain = not m.charsmap and not m.remove_extra_whitespaces and m.escape_whitespaces
         # with byte fallback nothing is unknown, and only unknown characters run together across a stretch's end
         spelt = m.byte_fallback and sum(kind == BYTE for _, _, kind in m.pieces) == 256
         self.parted = self.plain and spelt and m.add_dummy_prefix and not any(MARK in p.lstrip(MARK) or "\n" in p or " " in p for p in texts)
+        # a stretch is met once and is one word of the pipeline: the model gives its ids, unless whole pieces are looked for before it
+        self.inner = build(m, prefix=False) if any(kind == USER_DEFINED for _, _, kind in m.pieces) else None
+        self.core = core_of(m, cache_capacity=0) if self.parted and not self.inner else None
         self.pool = IdPool(self._learn, cache)
         self.judge = None
         if check:
@@ -127,6 +138,9 @@ class Codec:
 
     def _learn(self, stretches: list[bytes]) -> list[bytes]:
         texts = [s.decode("utf-8", "replace") for s in stretches]
+        if self.core:
+            ids_of = self.core.tokenize
+            return [array("I", [t.id for t in ids_of(x.replace(" ", MARK))]).tobytes() for x in texts]
         found = [e.ids for e in self.inner.encode_batch_fast(texts, add_special_tokens=False)]
         return [np.array(ids, ID).tobytes() for ids in found]
 

@@ -1,6 +1,7 @@
 """Lattice likelihood against an enumeration of all segmentations, and the SentencePiece codec against its library."""
 
 import itertools
+import json
 import math
 import struct
 import zlib
@@ -12,6 +13,7 @@ import pytest
 import sentencepiece
 from llm_cases import ODD, SF_SMALL
 from pyspark.sql import functions as F
+from tokenizers import decoders
 
 from roadlake.llm import sp_codec, subword_lm
 from roadlake.llm.shared import id_crc
@@ -275,6 +277,42 @@ def test_merge_parity(spark, odd, none):
     assert sp_codec.encode(none, PATH).count() == 0
 
 
+def test_new_stretches_go_to_the_model_alone():
+    """Stretches that were not met go to the model, each once, without the pipeline; decoding runs no pattern over each piece; results are the pipeline's."""
+    codec = sp_codec.Codec(open(PATH, "rb").read(), threads=1)
+    rng = np.random.default_rng(5)
+    words = sorted({"".join(rng.choice(list("theandsr\u00e9,.7"), rng.integers(4, 14))) for _ in range(20_000)})
+    stretches = [f" {w}".encode() for w in words] + [b"  \n", b"\n\n", b"after", b"   ", "\u2581 \u2581the".encode(), "\U0001f9ff\u0301".encode(), b"<s>", b" <0x41>", b"\xff"]
+    plain = [s.decode("utf-8", "replace") for s in stretches]
+    pipeline = sp_codec.build(codec.model, prefix=False)
+    assert [np.frombuffer(x, "<u4").tolist() for x in codec._learn(stretches)] == [e.ids for e in pipeline.encode_batch_fast(plain, add_special_tokens=False)]
+    assert codec.inner is None  # no pipeline for them is there
+    core, asked = codec.core, []
+    codec.core = type("Counted", (), {"tokenize": lambda self, x: asked.append(x) or core.tokenize(x)})()
+    texts = [" ".join(words[k : k + 200]) for k in range(0, len(words), 200)]
+    ids = [np.frombuffer(x, "<u4").tolist() for x in codec.encode([t.encode() for t in texts])]
+    assert codec.encode([t.encode() for t in texts[::-1]]) and sorted(asked) == sorted(f"\u2581{w}" for w in words)
+    slow = sp_codec.build(codec.model)
+    slow.decoder = decoders.Sequence([decoders.Replace("\u2581", " "), decoders.ByteFallback(), decoders.Fuse(), decoders.Strip(" ", 1, 0)])
+    decode = lambda t: t.decode_batch(ids, skip_special_tokens=False)
+    assert decode(codec.whole) == decode(slow) == texts
+    assert "Replace" not in {step["type"] for step in json.loads(codec.whole.to_str())["decoder"]["decoders"]}
+    # ids that no text has: a marker spelt in bytes, control pieces, every piece of the model
+    odd_ids = [[3 + 0xE2, 3 + 0x96, 3 + 0x81], [1, 2, 0], [], *([k] for k in range(len(codec.model.pieces)))]
+    assert codec.whole.decode_batch(odd_ids, skip_special_tokens=False) == slow.decode_batch(odd_ids, skip_special_tokens=False)
+
+
+@pytest.mark.parametrize("extra_spaces", [False, True])
+def test_pieces_looked_for_first(extra_spaces):
+    """Pieces that a user defined are found before the model is asked, also in stretches."""
+    more = message((1, message((1, "ther"), (2, 0.0), (3, 4))))
+    codec = sp_codec.Codec(unigram_model(True, extra_spaces) + more)
+    assert codec.parted == (not extra_spaces)
+    ids = [np.frombuffer(x, "<u4").tolist() for x in codec.encode([t.encode() for t in TEXTS])]
+    assert ids == [e.ids for e in codec.whole.encode_batch_fast(TEXTS, add_special_tokens=False)]
+    assert len(codec.model.pieces) - 1 in ids[0]
+
+
 def test_decode_rows(spark, odd):
     rows = sp_codec.decode(sp_codec.encode(odd, PATH), PATH).collect()
     assert sorted(r.text for r in rows) == sorted(t or "" for _, t in ODD)
