@@ -19,6 +19,7 @@ from roadlake import settings as S
 from roadlake.functions import clean_quotes, parse_utc_ts
 from roadlake.operators import filters as P
 from roadlake.operators.asof import lag_features
+from roadlake.operators.forest import with_predictions
 from roadlake.operators.ml import assembler, indexers, save_model
 from roadlake.operators.quality import artifact_check
 from roadlake.plans.months import clean_months, land_months
@@ -215,9 +216,7 @@ def q_save_model(spark, sf):
     """M3 M4 M8: the fitted model and the one read back from its folder predict alike, with the same probabilities."""
     frame, model = _forest(spark, sf)
     again = save_model(model, _place(spark, "model"))
-    said = [F.col("prediction"), vector_to_array("probability").alias("probability")]
-    first = model.transform(frame).select(*frame.columns, F.struct(*said).alias("first"))
-    both = again.transform(first).select("split", "first", F.struct(*said).alias("second"))
+    both = with_predictions(frame, first=model, second=again)
     return both.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("first") != F.col("second")).alias("different"))
 
 
